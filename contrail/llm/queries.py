@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sharding
-from .shared import read
+from . import mixing, sharding, urlrules
+from .shared import cut, read
+
+
+def op2_entropy_balanced_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = cut(mixing.sized(read(spark, sf_dir, "documents")))
+    return mixing.mixed(sizes, mixing.plan(sizes)).select(
+        "doc_id", "size", "source", "source_size", "target", "rate", "copies", "extra", "taken"
+    )
+
+
+def op4_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlrules.judge(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op9_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +29,8 @@ def op9_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_entropy_balanced_mix": op2_entropy_balanced_mix,
+    "op4_url_automaton": op4_url_automaton,
     "op9_feistel_sharding": op9_feistel_sharding,
 }
 
