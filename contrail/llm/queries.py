@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding, urlrules
+from . import mixing, packing, sharding, urlrules
 from .shared import cut, read
 
 
@@ -18,6 +18,10 @@ def op2_entropy_balanced_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(read(spark, sf_dir, "documents"))
+
+
 def op4_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -30,6 +34,7 @@ def op9_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_entropy_balanced_mix": op2_entropy_balanced_mix,
+    "op3_power_of_two_packing": op3_power_of_two_packing,
     "op4_url_automaton": op4_url_automaton,
     "op9_feistel_sharding": op9_feistel_sharding,
 }
