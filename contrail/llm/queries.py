@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, sharding, urlrules
+from . import mixing, packing, sharding, syncmers, urlrules
 from .shared import cut, read
 
 
@@ -26,6 +26,10 @@ def op4_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.compared(read(spark, sf_dir, "documents"))
+
+
 def op9_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
@@ -36,6 +40,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_entropy_balanced_mix": op2_entropy_balanced_mix,
     "op3_power_of_two_packing": op3_power_of_two_packing,
     "op4_url_automaton": op4_url_automaton,
+    "op5_closed_syncmers": op5_closed_syncmers,
     "op9_feistel_sharding": op9_feistel_sharding,
 }
 
