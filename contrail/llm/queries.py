@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, sharding, syncmers, urlrules
+from . import htmltext, mixing, packing, sharding, syncmers, urlrules
 from .shared import cut, read
 
 
@@ -36,12 +36,17 @@ def op9_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_entropy_balanced_mix": op2_entropy_balanced_mix,
     "op3_power_of_two_packing": op3_power_of_two_packing,
     "op4_url_automaton": op4_url_automaton,
     "op5_closed_syncmers": op5_closed_syncmers,
     "op9_feistel_sharding": op9_feistel_sharding,
+    "op10_crf_main_text": op10_crf_main_text,
 }
 
 ORACLE: dict[str, str] = {}
