@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import htmltext, mixing, packing, sharding, syncmers, urlrules
+from . import htmltext, mixing, packing, quality, sharding, syncmers, urlrules
 from .shared import cut, read
 
 
+def op1_hierarchical_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.select("doc_id", "source", "lang", "evidence", "host_share", "path_share", "probability", "kept")
+
+
 def op2_entropy_balanced_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = cut(mixing.sized(read(spark, sf_dir, "documents")))
     return mixing.mixed(sizes, mixing.plan(sizes)).select(
@@ -41,6 +46,7 @@ def op10_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hierarchical_quality": op1_hierarchical_quality,
     "op2_entropy_balanced_mix": op2_entropy_balanced_mix,
     "op3_power_of_two_packing": op3_power_of_two_packing,
     "op4_url_automaton": op4_url_automaton,
