@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import htmltext, mixing, packing, quality, sharding, syncmers, urlrules
+from . import htmltext, mixing, packing, quality, setsketch, sharding, syncmers, urlrules
 from .shared import cut, read
 
 
@@ -35,6 +35,10 @@ def op5_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.compared(read(spark, sf_dir, "documents"))
 
 
+def op7_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(read(spark, sf_dir, "documents"), width=4, threshold=80)
+
+
 def op9_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_power_of_two_packing": op3_power_of_two_packing,
     "op4_url_automaton": op4_url_automaton,
     "op5_closed_syncmers": op5_closed_syncmers,
+    "op7_setsketch_near_dedup": op7_setsketch_near_dedup,
     "op9_feistel_sharding": op9_feistel_sharding,
     "op10_crf_main_text": op10_crf_main_text,
 }
