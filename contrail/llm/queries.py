@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import htmltext, mixing, packing, quality, setsketch, sharding, syncmers, urlrules
+from . import htmltext, mixing, packing, quality, setsketch, sharding, surrogates, syncmers, urlrules
 from .shared import cut, read
 
 
@@ -39,6 +39,12 @@ def op7_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(read(spark, sf_dir, "documents"), width=4, threshold=80)
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = surrogates.pseudonymize(read(spark, sf_dir, "documents"))
+    kinds = F.array_join(F.transform("entities", lambda e: e["kind"]), ",")
+    return found.select("doc_id", "text", F.size("entities").alias("n_entities"), kinds.alias("kinds"))
+
+
 def op9_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
@@ -56,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_automaton": op4_url_automaton,
     "op5_closed_syncmers": op5_closed_syncmers,
     "op7_setsketch_near_dedup": op7_setsketch_near_dedup,
+    "op8_pii_surrogates": op8_pii_surrogates,
     "op9_feistel_sharding": op9_feistel_sharding,
     "op10_crf_main_text": op10_crf_main_text,
 }
