@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import htmltext, mixing, packing, quality, setsketch, sharding, surrogates, syncmers, urlrules
+from . import htmltext, mixing, packing, projections, quality, setsketch, sharding, surrogates, syncmers, urlrules
 from .shared import cut, read
 
 
@@ -35,6 +35,10 @@ def op5_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.compared(read(spark, sf_dir, "documents"))
 
 
+def op6_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projections.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op7_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(read(spark, sf_dir, "documents"), width=4, threshold=80)
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_power_of_two_packing": op3_power_of_two_packing,
     "op4_url_automaton": op4_url_automaton,
     "op5_closed_syncmers": op5_closed_syncmers,
+    "op6_sorted_projections": op6_sorted_projections,
     "op7_setsketch_near_dedup": op7_setsketch_near_dedup,
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_feistel_sharding": op9_feistel_sharding,
