@@ -55,7 +55,8 @@ def nearest(points: DataFrame, places: DataFrame, id_: str, p: tuple[str, str],
     distance = haversine(F.col(p[0]), F.col(p[1]), F.col(q[0]), F.col(q[1]))
     met = points.join(F.broadcast(places)).withColumn("distance_km", distance)
     columns = [c for c in met.columns if c not in points.columns]
-    best = met.groupBy(*points.columns).agg(F.min(F.struct("distance_km", *order, *[c for c in columns if c != "distance_km"])).alias("_b"))
+    ties = [c.alias(f"_o{i}") for i, c in enumerate(order)]
+    best = met.groupBy(*points.columns).agg(F.min(F.struct("distance_km", *ties, *[c for c in columns if c != "distance_km"])).alias("_b"))
     return best.select(*points.columns, *[f"_b.{c}" for c in columns])
 
 
