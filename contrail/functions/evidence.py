@@ -99,10 +99,10 @@ def discounted(score: Column, artifact: Column) -> Column:
     return F.bround(clamp01(score * (1.0 - 0.5 * clamp01(artifact))), 4)
 
 
-def available_mean(parts: dict[Column, float], penalty: float = 0.05, most: float = 0.35) -> tuple[Column, Column]:
+def available_mean(parts: list[tuple[Column, float]], penalty: float = 0.05, most: float = 0.35) -> tuple[Column, Column]:
     """(weighted mean over the parts that are not null, penalty for those that are)."""
-    top = sum((F.coalesce(c * w, F.lit(0.0)) for c, w in parts.items()), F.lit(0.0))
-    weight = sum((F.when(c.isNotNull(), w).otherwise(0.0) for c, w in parts.items()), F.lit(0.0))
-    missing = sum((c.isNull().cast("int") for c in parts), F.lit(0))
+    top = sum((F.coalesce(c * w, F.lit(0.0)) for c, w in parts), F.lit(0.0))
+    weight = sum((F.when(c.isNotNull(), w).otherwise(0.0) for c, w in parts), F.lit(0.0))
+    missing = sum((c.isNull().cast("int") for c, _ in parts), F.lit(0))
     mean = F.when(weight == 0, 0.0).otherwise(top / F.when(weight == 0, 1.0).otherwise(weight))
     return F.bround(clamp01(mean), 4), F.bround(F.least(F.lit(most), missing * penalty), 4)

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fusion, matching, rollups
+from . import evidence, fusion, matching, review, rollups
 
-_PARTS = (fusion, matching, rollups)
+_PARTS = (fusion, matching, rollups, evidence, review)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for p in _PARTS for k, v in p.QUERIES.items()}
 ORACLE: dict[str, str] = {k: v for p in _PARTS for k, v in p.ORACLE.items()}
