@@ -43,14 +43,14 @@ def _family(name: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         m = _maps(observations(spark, sf_dir), family)
         score = E.combined_score(F.col("signals"), F.col("links"), family)
-        out = m.select("obs_id", E.signal_score(F.col("signals"), family).alias("signal_score"), E.link_score(F.col("links"), family).alias("link_score"), score.alias("combined_score"), E.discounted(score, F.col("confidence") * 0.7391 + 0.00137).alias("adjusted_score"))
+        out = m.select("obs_id", E.signal_score(F.col("signals"), family).alias("signal_score"), E.link_score(F.col("links"), family).alias("link_score"), score.alias("combined_score"), E.discounted(score, F.col("confidence") * 0.7391 + 0.0013713).alias("adjusted_score"))
         return out.withColumn("band", band(F.col("combined_score")))
 
     parts = " + ".join(f"round_even({_clamp_sql(_signal_sql(i))} * CAST({w} AS DOUBLE), 4)" for i, w in enumerate(family.signals.values()))
     links = " + ".join(f"CASE WHEN {_link_sql(i)} THEN CAST({w} AS DOUBLE) ELSE 0 END" for i, w in enumerate(family.links.values()))
     sql = f"""WITH {OBS}, s AS (SELECT obs_id, confidence, round({_clamp_sql(parts)}, 4) AS signal_score, round({_clamp_sql(links)}, 4) AS link_score FROM obs),
  c AS (SELECT *, round({_clamp_sql('signal_score + link_score')}, 4) AS combined_score FROM s)
- SELECT obs_id, signal_score, link_score, combined_score, round(combined_score * (1.0 - CAST(0.5 AS DOUBLE) * (confidence * CAST(0.7391 AS DOUBLE) + CAST(0.00137 AS DOUBLE))), 4) AS adjusted_score,
+ SELECT obs_id, signal_score, link_score, combined_score, round(combined_score * (1.0 - CAST(0.5 AS DOUBLE) * (confidence * CAST(0.7391 AS DOUBLE) + CAST(0.0013713 AS DOUBLE))), 4) AS adjusted_score,
  CASE WHEN combined_score >= 0.7 THEN 'HIGH' WHEN combined_score >= 0.4 THEN 'MEDIUM' ELSE 'LOW' END AS band FROM c"""
     query.__name__ = f"{name}_scores"
     return query, sql
