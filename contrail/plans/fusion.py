@@ -209,3 +209,26 @@ ORACLE = {
     "replay_timeline": f"WITH {OBS}, u AS (SELECT ts AS event_ts, 'a' || obs_id AS item, 'adsb' AS sensor FROM obs WHERE kind = 'view' UNION ALL SELECT ts, 'b' || obs_id, 'screen' FROM obs WHERE kind = 'click') SELECT event_ts, item, sensor, coalesce(epoch_us(event_ts) - epoch_us(lag(event_ts) OVER (PARTITION BY sensor ORDER BY event_ts, item)), 0) > 7200000000 AS after_gap FROM u",
     "running_calibration": f"WITH {OBS} SELECT obs_id, max(value) OVER (PARTITION BY corridor_id ORDER BY confidence, obs_id ROWS UNBOUNDED PRECEDING) AS running_value FROM obs WHERE kind = 'signup'",
 }
+
+
+def session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming session operator on a batch; the same sessions as by gaps."""
+    from ..streaming import live
+
+    return live.sessions(observations(spark, sf_dir).select("aircraft", "ts")).select(
+        "aircraft", "day", F.col("start_ts").cast("timestamp_ntz").alias("start_ts"), F.col("end_ts").cast("timestamp_ntz").alias("end_ts"), "n"
+    )
+
+
+def hourly_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..streaming import live
+
+    w = live.tumbling(observations(spark, sf_dir).select("ts", "kind"), "ts", "3 hours")
+    return w.select(F.col("start_ts").cast("timestamp_ntz").alias("start_ts"), "kind", "n")
+
+
+QUERIES |= {"session_windows": session_windows, "hourly_windows": hourly_windows}
+ORACLE |= {
+    "session_windows": f"WITH {_SESS} SELECT aircraft, day, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS n FROM s GROUP BY aircraft, day, session",
+    "hourly_windows": f"WITH {OBS} SELECT time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '2000-01-01') AS start_ts, kind, count(*) AS n FROM obs GROUP BY 1, 2",
+}
