@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import lean
+
 #: Tags that hold no text for readers.
 SILENT = frozenset("script style noscript template svg iframe object canvas math head title textarea select option".split())
 #: Tags that stand within a line of text; any other tag ends a block.
@@ -358,7 +360,7 @@ def main_text(page: str | None, field: Field) -> str:
 
 def extract(pages: DataFrame, field: Field | None = None) -> DataFrame:
     """Rows (page_id, url, text, n_chars): the main text of every page."""
-    model = field or default_field()
+    model, pages = field or default_field(), lean(pages)
 
     @F.pandas_udf("string")
     def texts(lots: Iterator[pd.Series]) -> Iterator[pd.Series]:

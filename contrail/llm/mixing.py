@@ -199,11 +199,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
     """
     sizes = cut(sized(docs))
     sources = plan(sizes, weights)
-    rows = docs.withColumn("size", count_words(F.col("text"))).withColumn("base", F.lit(1.0))
+    # a row travels as one column, so that none of its names can clash
+    rows = docs.select(
+        "doc_id", "source", count_words(F.col("text")).alias("size"), F.lit(1.0).alias("base"), F.struct(*docs.columns).alias("_row")
+    )
     decided = mixed(rows, sources)
     times = (F.col("copies") + (F.col("extra") * 2 >= F.col("size")).cast("long")).cast("int")
-    return (
-        decided.where("size > 0")
-        .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times)))
-        .select(*[decided[c] for c in docs.columns])
-    )
+    return decided.where("size > 0").select("_row", F.explode(F.array_repeat(F.lit(0), times))).select("_row.*")

@@ -10,6 +10,7 @@ with a sequence of its own. An empty table gives an empty result. Texts are toke
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import attach, cut
+from .shared import attach, cut, lean
 
 #: Longest sequence, a power of two.
 MOST = 2048
@@ -47,30 +48,39 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        from tiktoken import Encoding
-
         import public_tokenizers
+        from tiktoken import Encoding
+        from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        self.path = path
+        model = Tokenizer.from_file(path)
         # the printable stand-ins of the 256 bytes: visible Latin-1 stands for itself, others from 256 up
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in visible]
         byte_of = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
-        special = {t.content for t in self.model.get_added_tokens_decoder().values()}
+        special = {t.content for t in model.get_added_tokens_decoder().values()}
         ranks = {
-            bytes(byte_of[c] for c in token): i for token, i in self.model.get_vocab().items() if token not in special
+            bytes(byte_of[c] for c in token): i for token, i in model.get_vocab().items() if token not in special
         }
         self.fast = Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def reference(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch(texts, add_special_tokens=False)]
+        from tokenizers import Tokenizer
+
+        model = Tokenizer.from_file(self.path)
+        model.encode_special_tokens = True
+        return [e.ids for e in model.encode_batch(texts, add_special_tokens=False)]
 
     def __call__(self, text: str) -> np.ndarray:
         return np.array(self.fast.encode_ordinary(text), dtype=np.uint32)
 
 
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """One encoder for each worker process."""
+    return Encoder(path)
+
+
 def cuts(total: int, most: int = MOST) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces: full ones, then the bits of the rest, longest first."""
     out = [(i * most, most) for i in range(total // most)]
@@ -85,10 +95,11 @@ def cuts(total: int, most: int = MOST) -> list[tuple[int, int]]:
 def pieces(docs: DataFrame, path: str | None = None, most: int = MOST, end: int = END, with_ids: bool = True) -> DataFrame:
     """Rows (doc_id, start, length, ids_crc32, doc_tokens and, if asked for, ids): the pieces of every document."""
     where = path or tokenizer_path()
+    docs = lean(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(where)
+        encode = encoder(where)
         for batch in (b.slice(i, LOT) for b in batches for i in range(0, b.num_rows, LOT)):
             keys, rows, ids_of = [], [], []
             texts = batch.column("text")

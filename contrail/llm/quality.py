@@ -9,7 +9,8 @@ posterior log odds of a document are its evidence plus the log odds of its path.
 Nulls: a null or blank text has no evidence of quality and is rejected with probability 0; null hosts and paths are
 sites of their own; labels without a matching document, null labels and labels other than 0 and 1 are ignored, and a
 document labelled twice counts twice. Without labels of both kinds no document can be told apart: every document that
-is not blank gets even odds and is kept. Empty tables give empty results. Other columns pass through.
+is not blank gets even odds and is kept. Empty tables give empty results. Other columns pass through, but for those that
+bear the name of a column of the result, which gives way.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import attach, cut
+from .shared import attach, cut, lean, without
 
 #: The model is fitted on at most so many labelled documents, those with the least hashes of their ids.
 FIT_ROWS = 20_000
@@ -174,13 +175,17 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     Hosts and paths are columns of `docs`. The text is read twice, once for the sites and once for the result, and is
     never shuffled; the table of sites is looked up by broadcast while it is small, else by salted keys.
     """
+    docs = lean(docs)
+    made = ("evidence", "host_share", "path_share", "probability", "kept")
+    docs = without(docs, *(m for m in (*made, "documents", "_host", "_path") if m not in (host, path)))
     names = docs.columns
     model = train(docs, labels)
     base = model.base if model else 0.0
     scored = with_evidence(docs.select(F.col(host).alias("host"), F.col(path).alias("path"), "text"), model)
     table = sites(scored.select("host", "path", "evidence"), base)
     keyed = with_evidence(docs, model).withColumns({"_host": F.col(host), "_path": F.col(path)})
-    found = attach(keyed, table.withColumnsRenamed({"host": "_host", "path": "_path"}), ["_host", "_path"])
+    table = table.select(F.col("host").alias("_host"), F.col("path").alias("_path"), "host_share", "path_share")
+    found = attach(keyed, table, ["_host", "_path"])
     share = F.greatest(F.lit(0.001), F.least(F.lit(0.999), F.col("path_share")))
     odds = F.greatest(F.lit(-SITE_LIMIT), F.least(F.lit(SITE_LIMIT), F.log(share / (1 - share))))
     probability = F.coalesce(1 / (1 + F.exp(-(F.col("evidence") + odds))), F.lit(0.0))

@@ -13,6 +13,14 @@ BROADCAST_ROWS = 100_000
 SALTS = 16
 
 
+def lean(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """`df`, with batches of at most `rows` rows between the JVM and Python workers from now on, so that batches of long
+    texts stay small on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    df.sparkSession.conf.set(name, str(min(rows, int(df.sparkSession.conf.get(name, "10000")))))
+    return df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """`df` from a reliable checkpoint in the folder that the session names, so that lost executors cost no lineage."""
     context = df.sparkSession.sparkContext
@@ -27,6 +35,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def without(df: DataFrame, *made: str) -> DataFrame:
+    """`df` less its columns that bear the names an operator is about to make, whatever their case."""
+    taken = {m.lower() for m in made}
+    return df.drop(*[c for c in df.columns if c.lower() in taken])
+
+
 def attach(big: DataFrame, small: DataFrame, keys: list[str], most: int = BROADCAST_ROWS) -> DataFrame:
     """`big` left-joined to the look-up table `small` (one row for each null-safe key).
 

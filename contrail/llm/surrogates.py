@@ -11,7 +11,7 @@ Within a document the surrogates are checked: none may equal an entity of the do
 clash walks on along the cycle. Across the corpus `collisions` counts distinct entities that share a surrogate.
 
 Nulls: a null text stays null; an empty text stays empty. Repeated rows are treated alike, empty tables give empty
-results and other columns pass through. Texts are read whole. A user supplies the key; the default is for tests only.
+results and other columns pass through, but for one named `entities`. Texts are read whole. A user supplies the key; the default is for tests only.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import lean, without
+
 #: Key of the surrogates unless the caller gives another.
 KEY = b"contrail-surrogates"
 #: Steps of a walk away from a clash; a format with fewer values than entities in a document keeps its last step.
@@ -271,6 +273,7 @@ def pseudonymize(docs: DataFrame, key: bytes = KEY) -> DataFrame:
                 {"text": [t for t, _ in rows], "entities": [[dict(zip(("start", "end", "kind", "value", "surrogate"), e, strict=True)) for e in es] for _, es in rows]}
             )
 
+    docs = without(lean(docs), "entities", "_w")
     found = docs.withColumn("_w", work("text"))
     rest = [F.col("_w.text").alias("text") if c == "text" else found[c] for c in docs.columns]
     return found.select(*rest, F.col("_w.entities").alias("entities"))

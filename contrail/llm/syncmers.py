@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import without
+
 
 #: Tokens of a k-mer and of its inner s-mers.
 K = 5
@@ -85,7 +87,7 @@ def likeness(a: Column, b: Column, kept: int = KEPT) -> Column:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """`docs` with `anchors` and `fingerprint`."""
-    hashed = docs.withColumn("_t", tokens(F.col("text")))
+    hashed = without(docs, "anchors", "fingerprint", "_t").withColumn("_t", tokens(F.col("text")))
     return (
         hashed.withColumn("anchors", anchors(F.col("_t")))
         .withColumn("fingerprint", as_text(sketch(F.col("anchors"))))

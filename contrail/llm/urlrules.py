@@ -6,7 +6,7 @@ and a step over one URL character is a shift with carry between words, an AND wi
 the bits that a `*` keeps alive. All URLs of a batch step together, so the work is (longest URL) array operations.
 
 Nulls and URLs without `://` have an empty host and path and meet no rule. Empty tables give empty results; repeated
-rows are judged alike; other columns pass through untouched.
+rows are judged alike; other columns pass through, but for those that bear the name of a column of the result.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import lean, without
+
 #: Stands between host and path; outside of Unicode, so that no URL contains it.
 BAR = 0x110000
 #: URLs handled together; memory is this times (words of state + longest URL) at most, longest first.
@@ -168,6 +170,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, blocked: tuple[str,
                     out.append((rule.name if rule else None, rule.verdict if rule else "block" if met else "allow", met))
             yield pd.DataFrame(out, columns=["rule", "verdict", "globs"])
 
+    pages = without(lean(pages), "host", "path", "rule", "verdict", "globs", "_v")
     found = pages.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
     return found.withColumn("_v", verdicts("host", "path")).select(
         *found.columns, "_v.rule", "_v.verdict", "_v.globs"

@@ -15,8 +15,9 @@ from contrail.llm.shared import BROADCAST_ROWS, cut, read
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the quality classifier rejects."""
-    found = quality.classify(docs, read(spark, sf_dir, "labels"))
-    return found.where("kept").select(*docs.columns)
+    # a row travels as one column, so that none of its names can clash
+    rows = docs.select("text", "source", "lang", "doc_id", F.struct(*docs.columns).alias("_row"))
+    return quality.classify(rows, read(spark, sf_dir, "labels")).where("kept").select("_row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,10 +40,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by surrogates and counts the characters again."""
-    found = surrogates.pseudonymize(docs).drop("entities")
-    if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return found.select(*docs.columns)
+    rows = docs.select("text", F.struct(*docs.columns).alias("_row"))
+    found = surrogates.pseudonymize(rows)
+    new = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
+    return found.select(*[new[c].alias(c) if c in new else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
