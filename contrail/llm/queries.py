@@ -72,4 +72,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_crf_main_text": op10_crf_main_text,
 }
 
-ORACLE: dict[str, str] = {}
+def _reach(edges: str, nodes: str) -> str:
+    """SQL for the smallest node that each node reaches over symmetric `edges` (a, b)."""
+    return (
+        f"reach(n, m) AS (SELECT id, id FROM {nodes} UNION SELECT e.b, r.m FROM reach r JOIN {edges} e ON e.a = r.n), "
+        "comp AS (SELECT n AS id, min(m) AS component_id FROM reach GROUP BY n)"
+    )
+
+
+_GLOBS = " OR ".join(
+    # a glob over `.host|path` as a pattern; no supplied address has a line break for the bar to be mistaken for
+    "regexp_matches(u, '^" + g.replace(".", "\\.").replace("|", "\n").replace("*", ".*").replace("?", ".") + "$', 's')"
+    for g in urlrules.BLOCKED
+)
+_RULES = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in urlrules.RULES)
+
+ORACLE: dict[str, str] = {
+    "op4_url_automaton": f"""WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+ regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path FROM pages), r(v, h, q) AS (VALUES {_RULES}),
+ f AS (SELECT page_id, first(h || q ORDER BY length(h || q) DESC) AS rule, first(v ORDER BY length(h || q) DESC) AS v FROM p JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, q) GROUP BY 1),
+ u AS (SELECT *, '.' || host || chr(10) || path AS u FROM p)
+ SELECT u.page_id, host, path, rule, coalesce(v, CASE WHEN {_GLOBS} THEN 'block' ELSE 'allow' END) AS verdict FROM u LEFT JOIN f ON f.page_id = u.page_id""",
+    "op6_sorted_projections": f"""WITH RECURSIVE v AS (SELECT vec_id AS id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+ edges AS (SELECT a.id AS a, b.id AS b FROM v a JOIN v b ON a.label = b.label AND a.id <> b.id AND list_cosine_similarity(a.e, b.e) >= 0.93), {_reach('edges', 'v')}
+ SELECT v.id AS vec_id, (SELECT count(*) FROM edges WHERE a = v.id) AS n_links, component_id, v.id = component_id AS kept FROM v JOIN comp ON comp.id = v.id""",
+    "op7_setsketch_near_dedup": f"""WITH RECURSIVE w AS (SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+ s AS (SELECT id, unnest(list_distinct(list_transform(range(1, greatest(2, len(w) - 2)), lambda i: array_to_string(w[i:i + 3], ' ')))) AS g FROM w WHERE len(w) > 0),
+ n AS (SELECT id, count(*) AS n FROM s GROUP BY 1), i AS (SELECT x.id AS a, y.id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.id <> y.id GROUP BY 1, 2),
+ edges AS (SELECT a, b FROM i JOIN n p ON p.id = a JOIN n q ON q.id = b WHERE 100 * k >= 80 * (p.n + q.n - k)), {_reach('edges', 'w')}
+ SELECT w.id AS doc_id, coalesce(n, 0) AS n_shingles, component_id, w.id = component_id AS kept FROM w JOIN comp ON comp.id = w.id LEFT JOIN n ON n.id = w.id""",
+}
