@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: A look-up table of at most this many rows is broadcast; a larger one is joined by salted keys.
 BROADCAST_ROWS = 100_000
+#: Rows of a partition of a compact table.
+PART_ROWS = 20_000
 #: Copies of a look-up row when its join is salted.
 SALTS = 16
 
@@ -30,6 +32,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def compact(df: DataFrame, rows: int = PART_ROWS) -> DataFrame:
+    """As `cut`, in partitions of about `rows` rows: a small table costs few files in every later shuffle."""
+    kept = cut(df)
+    return kept.coalesce(1 + kept.count() // rows)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One of the tables of a directory."""
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -80,7 +88,7 @@ def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
     round is a grouped minimum and a join by node, both safe on hubs: the minimum combines before it shuffles, and
     adaptive execution may split the join. Rounds are logarithmic in the nodes for the graphs met here.
     """
-    state = cut(
+    state = compact(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
     before = None
@@ -94,7 +102,7 @@ def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
         # small star: the neighbours below the node, and the node, move to the smallest of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("x"), "a", "m")
-        state = cut(
+        state = compact(
             small.select(F.col("x").alias("a"), F.col("m").alias("b"))
             .union(small.select("a", F.col("m").alias("b")))
             .where("a <> b")
