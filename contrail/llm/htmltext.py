@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 
 from .shared import lean
 
-#: Tags that hold no text for readers.
-SILENT = frozenset("script style noscript template svg iframe object canvas math head title textarea select option".split())
+#: Tags that hold no text for readers. A head is not one: what may stand in it is silent of itself, all else ends it.
+SILENT = frozenset("script style noscript template svg iframe object canvas math title textarea select option".split())
+#: Silent tags that hold raw text up to the end tag.
+RAW = frozenset("script style title textarea iframe".split())
 #: Tags that stand within a line of text; any other tag ends a block.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
@@ -53,19 +55,40 @@ _KIND_OF = {w: k for k, words in KINDS.items() for w in words.split()}
 _TAGS = frozenset("article main nav header footer aside form section table ul ol li h1 h2 h3 h4 p div blockquote pre figure figcaption dl button label a".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.S)
+_SILENT = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>]).*?(?:</\1\s*>|\Z)|"
+    r"<(/?)(noscript|template|svg|object|canvas|math|select)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>",
+    re.S | re.I,
+)
+#: The end tag of a raw element; another start of its kind before it tells that it is missing, but for code.
+_RAW_ENDS = {t: re.compile(rf"(</){t}(?=[\s/>])[^>]*>" + ("" if t in ("script", "style") else rf"|<{t}(?=[\s/>])"), re.I) for t in RAW}
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _SPACE = re.compile(r"\s+")
 _LEGAL = re.compile(r"©|\(c\)|copyright|all rights reserved|cookie|privacy|subscribe|newsletter|advertis|sponsor", re.I)
 
 
+def _ends(page: str) -> dict[int, int]:
+    """Start of each silent element that has its end tag, to the end of that tag; raw ones and options are left out."""
+    out: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for found in _SILENT.finditer(page):
+        name = (found[3] or "").lower()
+        if name and not found[2] and not found[0].endswith("/>"):
+            opened.setdefault(name, []).append(found.start())
+        elif name and found[2] and opened.get(name):
+            out[opened[name].pop()] = found.end()
+    return out
+
+
 def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
     """The leaf blocks of a page in order: (text, features of its ancestors, characters within links)."""
     out: list[tuple[str, tuple[str, ...], int]] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     state = {"linked": 0}
-    silent = ""
+    hush = -1  # place in the stack of the outermost silent tag that lacks its end
+    ends: dict[int, int] | None = None
 
     def flush() -> None:
         text = _SPACE.sub(" ", entities.unescape("".join(parts))).strip()
@@ -82,33 +105,41 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
             state["linked"] += len(text.strip())
 
     at = 0
-    for found in _TOKEN.finditer(page):
-        if found.start() < at:
-            continue
-        if not silent and found.start() > at:
+    while found := _TOKEN.search(page, at):
+        if hush < 0 and found.start() > at:
             add(page[at : found.start()])
         at = found.end()
         tag = found.group()
         if tag[1] in "!?":
-            if not silent and tag.startswith("<![CDATA["):
+            if hush < 0 and tag.startswith("<![CDATA["):
                 add(tag[9:-3])
             continue
         name = _NAME.match(tag)[1].lower()
         closing = tag[1] == "/"
-        if silent:
-            if closing and name == silent:
-                silent = ""
+        if name == "head":
+            flush()
             continue
         if name in SILENT and not closing:
-            if name not in INLINE:
-                flush()
-            if not tag.endswith("/>"):
-                if name in ("script", "style"):  # raw text up to the end tag, whatever it holds
-                    end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-                    at = end.end() if end else len(page)
-                else:
-                    silent = name
-            continue
+            flush()
+            if tag.endswith("/>"):
+                continue
+            if name in RAW:
+                end = _RAW_ENDS[name].search(page, at)
+                if end and end[1]:
+                    at = end.end()
+                    continue
+                if name in ("script", "style"):
+                    at = len(page)
+                    continue
+                if name == "title":
+                    after = _TOKEN.search(page, at)
+                    at = after.start() if after else len(page)
+                    continue
+            elif name != "option":
+                ends = _ends(page) if ends is None else ends
+                if found.start() in ends:
+                    at = ends[found.start()]
+                    continue
         if name in INLINE:
             if name == "br":
                 parts.append(" ")
@@ -124,11 +155,13 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
                 if name in INLINE and any(t not in INLINE for t, _ in stack[depth:]):
                     continue  # an inline end tag does not close blocks
                 del stack[depth:]
+                hush = hush if hush < len(stack) else -1
             continue
         if name in SELF_CLOSING:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
                     del stack[i:]
+                    hush = hush if hush < len(stack) else -1
                     break
                 if stack[i][0] in SCOPES:
                     break
@@ -142,8 +175,10 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
                     if word in _KIND_OF:
                         marks.append("kind:" + _KIND_OF[word])
         if not tag.endswith("/>"):
+            if name in SILENT and hush < 0:
+                hush = len(stack)
             stack.append((name, tuple(marks)))
-    if not silent and at < len(page):
+    if hush < 0 and at < len(page):
         rest = page[at:]
         cut = re.search(r"<[/a-zA-Z!][^>]*\Z", rest)  # a tag that the page's end cuts off
         add(rest[: cut.start()] if cut else rest)

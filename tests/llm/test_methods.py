@@ -408,6 +408,22 @@ def test_blocks_of_hard_pages():
     assert [b[0] for b in htmltext.blocks(page)][1:-1] == ["Title here", "Onetwo three four.", "Second paragraph <ok> ends here.", "a b"]
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html><head><title>T's a<b</title><meta charset=x><body><p>One.</p>",
+        "<html><head><title>T</title><link rel=x><p>One.</p>",
+        "<head><title>T</title></head><datalist><option>A<option>B</datalist><p>One.</p>",
+        "<title>T<p>One.</p>",
+        "<div><select><option>A<option>B</div><p>One.",
+        "<svg><svg>x</svg>y</svg><p>One.</p>",
+        *(f"<div><{t}>no</div><p>One.</p>" for t in ("iframe", "object", "canvas", "svg", "noscript", "template", "textarea", "math")),
+    ],
+)
+def test_silent_tags_without_their_end(page):
+    assert [b[0] for b in htmltext.blocks(page)] == ["One."]
+
+
 # -- quality --------------------------------------------------------------------------------------
 
 
