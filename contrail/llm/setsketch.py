@@ -273,8 +273,8 @@ def _squares(rows: DataFrame, by: str, item: Column) -> DataFrame:
 
 
 def _many(rows: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
-    """For fuller buckets, a spanning forest (a, b) of the pairs between components whose estimate allows the
-    threshold: at most one row for each member of a square."""
+    """For fuller buckets, a spanning forest (a, b) over ids of the pairs between components whose estimate allows the
+    threshold: at most one row for each member of a square, and the ids of every such pair are connected."""
     own = rows.join(classes.select("id", "n", "registers"), "id")
     squares = _squares(own, "bucket", F.struct("id", "part", "n", "registers"))
     return squares.mapInArrow(_within(threshold, False), "a long, b long").distinct()
@@ -313,8 +313,10 @@ def _clustered(members: DataFrame, classes: DataFrame, docs: DataFrame, width: i
 
 
 def _joined(u: pa.StructArray, v: pa.StructArray, threshold: int, verify: bool) -> list[tuple[int, int]]:
-    """Links between rows of u and v, one for each two components that they join; verified on full sets if asked for."""
+    """Links between rows of u and v; verified on full sets, one for each two components that they join, or by estimate
+    alone, a forest of ids, as an estimate between two components does not stand for the other pairs between them."""
     (ui, up, un, ur), (vi, vp, vn, vr) = _columns(u), _columns(v)
+    uk, vk = (up, vp) if verify else (ui, vi)
     us, vs = (u.field("s"), v.field("s")) if verify else (None, None)
     parent: dict[int, int] = {}
 
@@ -332,11 +334,11 @@ def _joined(u: pa.StructArray, v: pa.StructArray, threshold: int, verify: bool)
         likely = fits[np.argsort(-j, kind="stable")][: int((j >= threshold / 100 - MARGIN).sum())]
         mine = us[k].values.to_numpy() if verify else None
         for t in likely:
-            if root(int(up[k])) == root(int(vp[t])):
+            if root(int(uk[k])) == root(int(vk[t])):
                 continue
             both = len(np.intersect1d(mine, vs[int(t)].values.to_numpy(), assume_unique=True)) if verify else 0
             if not verify or both * 100 >= threshold * (un[k] + vn[t] - both):
-                parent[root(int(up[k]))] = root(int(vp[t]))
+                parent[root(int(uk[k]))] = root(int(vk[t]))
                 out.append((int(ui[k]), int(vi[t])))
     return out
 

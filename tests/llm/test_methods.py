@@ -291,6 +291,24 @@ def test_a_dense_group_loses_no_link(spark):
     assert {r["doc_id"]: r["component_id"] for r in setsketch.near_duplicates(rows, 4).collect()} == want
 
 
+def test_a_false_best_estimate_hides_no_likely_pair(spark):
+    """Outside a large part, r's likeliest member p5 is not a link; its likely pair with p1 must stay in r's cluster."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(1000, 2000, setsketch.M, dtype=np.uint16)
+
+    def apart(n, seed):
+        x = base.copy()
+        at = np.random.default_rng(seed).choice(setsketch.M, n, replace=False)
+        x[at] += np.where(np.arange(n) % 2, 1, -1).astype(np.int16).astype(np.uint16)
+        return x.tobytes()
+
+    regs = {i: apart(8 + 2 * (i != 5), i) for i in range(1, 11)} | {99: base.tobytes()}
+    classes = spark.createDataFrame([(i, 100, bytearray(x)) for i, x in regs.items()], "id long, n long, registers binary")
+    rows = spark.createDataFrame([(7, i, 99 if i == 99 else 1) for i in regs], "bucket long, id long, part long")
+    pairs = [(r["a"], r["b"]) for r in setsketch._many(rows, classes, 80).collect()]
+    assert {i for p in pairs for i in p} == set(regs) and len(pairs) == len(regs) - 1
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(1)
     for share in (0.5, 0.8, 0.95):
