@@ -43,6 +43,15 @@ def test_hamming_pairs_at_the_limit(spark):
     assert values(joins.hamming_pairs(rows, "i", "h", 4), "a", "b", "distance") == [(1, 2, 4), (2, 3, 1)]
 
 
+def test_card_fields_reads_every_observation(spark, tmp_path):
+    from contrail.plans import review
+
+    rows = [(i, 7, at(i % 60), "view", 1.0, '{"k": 3}') for i in (5, 99_999, 100_000, 2_000_001)]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, event_type string, value double, props string")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    assert values(review.card_fields(spark, str(tmp_path)), "obs_id") == [(5,), (99_999,), (100_000,), (2_000_001,)]
+
+
 def test_one_to_one_takes_the_cheapest_first(spark):
     rows = spark.createDataFrame([("c", "a", "x", 2), ("c", "a", "y", 1), ("c", "b", "y", 1), ("c", "b", "x", 9)], "g string, l string, r string, d int")
     assert values(joins.one_to_one(rows, "g", "l", "r", "d"), "l", "r") == [("a", "y"), ("b", "x")]
