@@ -79,13 +79,13 @@ def insert_missing(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
 def hamming_pairs(rows: DataFrame, id_: str, bits: str, most: int = 4) -> DataFrame:
     """Pairs (a, b, distance) of 64-bit hashes that differ in at most `most` bits.
 
-    The bits are cut into most + 1 pieces; two hashes within the distance agree on a piece at least, so pieces are the
-    join key. Equal hashes meet once through one representative.
+    The bits are cut into most + 1 pieces of nearly equal width; two hashes within the distance agree on a piece at
+    least, so pieces are the join key. Equal hashes meet once through one representative.
     """
     pieces = most + 1
-    width = -(-64 // pieces)
+    ends = [64 * i // pieces for i in range(pieces + 1)]
     kinds = rows.groupBy(bits).agg(F.min(id_).alias("_id"))
-    part = [F.shiftrightunsigned(F.shiftleft(F.col(bits), max(0, 64 - width * (i + 1))), 64 - min(width, 64 - width * i)) for i in range(pieces)]
+    part = [F.shiftrightunsigned(F.shiftleft(F.col(bits), 64 - e), 64 - (e - s)) for s, e in zip(ends, ends[1:], strict=False)]
     exploded = kinds.select("_id", bits, F.posexplode(F.array(*part)).alias("_i", "_p"))
     a = exploded.select(F.col("_id").alias("a"), F.col(bits).alias("_x"), "_i", "_p")
     b = exploded.select(F.col("_id").alias("b"), F.col(bits).alias("_y"), "_i", "_p")

@@ -43,6 +43,11 @@ def test_hamming_pairs_at_the_limit(spark):
     assert values(joins.hamming_pairs(rows, "i", "h", 4), "a", "b", "distance") == [(1, 2, 4), (2, 3, 1)]
 
 
+def test_hamming_pairs_with_a_flipped_bit_in_each_piece(spark):
+    rows = spark.createDataFrame([(1, 0), (2, 0x1111111111111111)], "i long, h long")
+    assert values(joins.hamming_pairs(rows, "i", "h", 16), "a", "b", "distance") == [(1, 2, 16)]
+
+
 def test_card_fields_reads_every_observation(spark, tmp_path):
     from contrail.plans import review
 
