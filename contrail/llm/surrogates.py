@@ -54,14 +54,17 @@ MALE = "Mr Herr Monsieur Señor Sr Don Signor Господин Κύριος".spl
 EITHER = "Dr Prof Professor Доктор".split()
 
 _WORD = r"[A-ZÀ-ÖØ-ÞΑ-ΩΆΈΉΊΌΎΏА-ЯЁ][a-zß-öø-ÿα-ωά-ώςа-яё'’\-]+"
+_MARKS = r"AKIA|ASIA|gh[pos]_|sk-|xox[abp]-"
+_LABELS = r"token|secret|password|passwd|pwd|api[_\-]?key|access[_\-]?key"
+_HEX = "[0-9A-Fa-f]{1,4}"
 #: Patterns by type, tried in this order where they begin at the same place.
 PATTERNS: dict[str, str] = {
     "key": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\b(?:ghp|gho|ghs)_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9]{20,}\b|\bxox[abp]-[A-Za-z0-9\-]{10,}",
-    "secret": r"(?i:\b(?:token|secret|password|passwd|pwd|api[_\-]?key|access[_\-]?key)\b\s*[=:]\s*[\"']?)(?P<secret>[A-Za-z0-9_\-+/=.]{6,})",
+    "secret": r"(?i:\b(?:" + _LABELS + r")\b\s*[=:]\s*[\"']?)(?P<secret>[A-Za-z0-9_\-+/=.]{6,})",
     "email": r"[A-Za-z0-9_.+\-%À-ÖØ-öø-ÿ]+@[A-Za-z0-9](?:[A-Za-z0-9.\-]*[A-Za-z0-9])?\.[A-Za-z]{2,}",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "mac": r"\b(?:[0-9A-Fa-f]{2}[:\-]){5}[0-9A-Fa-f]{2}\b",
-    "ipv6": r"(?<![:\w])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![:\w])",
+    "ipv6": rf"(?<![:\w])(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}}|(?:{_HEX}:){{1,7}}:|:(?::{_HEX}){{1,7}})(?![:\w])",
     "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "card": r"(?<![\d.])(?:\d{4}[ \-]?){3}\d{4}(?!\d)|(?<![\d.])3[47]\d{2}[ \-]?\d{6}[ \-]?\d{5}(?!\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
@@ -70,7 +73,7 @@ PATTERNS: dict[str, str] = {
 }
 _ANY = re.compile("|".join(f"(?P<t_{k}>{p})" for k, p in PATTERNS.items()))
 #: A text without any of these holds no entity.
-_HINT = re.compile(r"[\d@]|" + "|".join(FEMALE + MALE + EITHER) + r"|(?i:passw|secret|token|key)")
+_HINT = re.compile(r"[\d@]|:[0-9A-Fa-f]{0,4}:|-[0-9A-Fa-f]{2}-|" + "|".join(FEMALE + MALE + EITHER) + rf"|{_MARKS}|(?i:{_LABELS})")
 
 
 def luhn(digits: str) -> bool:
@@ -157,7 +160,7 @@ def _ipv4(value: str, key: bytes) -> str:
 
 #: What stays of a value because it tells the type: country codes and the marks of access keys.
 _HEADS = {
-    "key": re.compile("AKIA|ASIA|gh[pos]_|sk-|xox[abp]-"),
+    "key": re.compile(_MARKS),
     "iban": re.compile("[A-Z]{2}"),
     "phone": re.compile(r"\+\d{1,3}(?=[ .\-(])|"),
 }

@@ -396,6 +396,16 @@ def test_op8_leaves_nothing_and_clean_texts_alone(spark, sf):
     assert surrogates.collisions(read(spark, sf, "documents")).count() == 0
 
 
+@pytest.mark.parametrize(
+    "value",
+    ["correcthorse", "sk-" + "abcd" * 6, "ghp_" + "abcdef" * 6, "xoxb-abcdefghijkl", "AKIA" + "ABCD" * 4, "aa:bb:cc:dd:ee:ff", "aa-bb-cc-dd-ee-ff", "fe80::ab", "::ab", "2001:db8::"],
+)
+def test_entities_without_a_digit_or_shortened(value):
+    text = f"see pwd={value} there" if value == "correcthorse" else f"see {value} there"
+    new, found = surrogates.replaced(text)
+    assert [e[3] for e in found] == [value] and value not in new.split()
+
+
 # -- extraction -----------------------------------------------------------------------------------
 
 
