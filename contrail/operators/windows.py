@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .cuts import row_numbers
+
 
 def sessions(rows: DataFrame, by: list[str], time: str, tie: str, minutes: int = 60) -> DataFrame:
     """`rows` with `session`, 1 for the first of each group; a gap longer than `minutes` begins another."""
@@ -62,32 +64,6 @@ def running_max(rows: DataFrame, by: str, value: str, order: list[Column]) -> Co
 
 
 def batch_plan(rows: DataFrame, order: list[Column], size: int) -> DataFrame:
-    """`rows` with batch_index and position in their order.
-
-    Row numbers come from ranges sorted apart and offset by the sizes of the ranges before, so no task orders all rows.
-    """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    context = rows.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        import tempfile
-
-        context.setCheckpointDir(rows.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
-    placed = (
-        rows.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_at", F.monotonically_increasing_id())
-        .checkpoint()
-    )
-    part = F.shiftright("_at", 33)
-    counts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    number = F.col("_offset") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn("_i", number)
-        .withColumn("batch_index", F.floor(F.col("_i") / size))
-        .withColumn("position", F.col("_i") % size)
-        .drop("_part", "_offset", "_at", "_i")
-    )
+    """`rows` with batch_index and position in their order."""
+    placed = row_numbers(rows, order, "_i")
+    return placed.withColumn("batch_index", F.floor(F.col("_i") / size)).withColumn("position", F.col("_i") % size).drop("_i")
