@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.cuts import cut
+
 #: A look-up table of at most this many rows is broadcast; a larger one is joined by salted keys.
 BROADCAST_ROWS = 100_000
 #: Rows of a partition of a compact table.
@@ -23,15 +23,6 @@ def lean(df: DataFrame, rows: int = 1000) -> DataFrame:
     return df
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """`df` from a reliable checkpoint in the folder that the session names, so that lost executors cost no lineage."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="contrail-"))
-    return df.checkpoint()
-
-
 def compact(df: DataFrame, rows: int = PART_ROWS) -> DataFrame:
     """As `cut`, in partitions of about `rows` rows: a small table costs few files in every later shuffle."""
     kept = cut(df)
