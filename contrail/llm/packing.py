@@ -5,7 +5,7 @@ each bit of the rest, longest first. Every piece is a sequence of its own; seque
 batch is drawn from one bucket. Sequences are numbered without gaps, bucket after bucket.
 
 Nulls: a null text is empty and gives the end mark alone; a null id is a value. Repeated rows give repeated pieces, each
-with a sequence of its own. An empty table gives an empty result. Texts are tokenized whole.
+with a sequence of its own. An empty table gives an empty result. Texts are tokenized whole, however long.
 """
 
 from __future__ import annotations
@@ -44,7 +44,8 @@ class Encoder:
     """Ids of texts by the vocabulary in a tokenizer file, a byte-level BPE.
 
     The file is read by `tokenizers`, whose ids are the measure; the ranks in it drive tiktoken's merges, which give
-    the same ids several times faster. `reference` gives the ids of `tokenizers` itself, and the tests compare them.
+    the same ids several times faster. A special token of the file is one id where it stands in a text, as `tokenizers`
+    has it. `reference` gives the ids of `tokenizers` itself, and the tests compare them.
     """
 
     def __init__(self, path: str):
@@ -52,27 +53,22 @@ class Encoder:
         from tiktoken import Encoding
         from tokenizers import Tokenizer
 
-        self.path = path
-        model = Tokenizer.from_file(path)
+        self.model = Tokenizer.from_file(path)
         # the printable stand-ins of the 256 bytes: visible Latin-1 stands for itself, others from 256 up
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in visible]
         byte_of = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
-        special = {t.content for t in model.get_added_tokens_decoder().values()}
+        special = {t.content: i for i, t in self.model.get_added_tokens_decoder().items()}
         ranks = {
-            bytes(byte_of[c] for c in token): i for token, i in model.get_vocab().items() if token not in special
+            bytes(byte_of[c] for c in token): i for token, i in self.model.get_vocab().items() if token not in special
         }
-        self.fast = Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.fast = Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
     def reference(self, texts: list[str]) -> list[list[int]]:
-        from tokenizers import Tokenizer
-
-        model = Tokenizer.from_file(self.path)
-        model.encode_special_tokens = True
-        return [e.ids for e in model.encode_batch(texts, add_special_tokens=False)]
+        return [e.ids for e in self.model.encode_batch(texts, add_special_tokens=False)]
 
     def __call__(self, text: str) -> np.ndarray:
-        return np.array(self.fast.encode_ordinary(text), dtype=np.uint32)
+        return np.array(self.fast.encode(text, allowed_special="all"), dtype=np.uint32)
 
 
 @functools.cache

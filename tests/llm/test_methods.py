@@ -107,6 +107,42 @@ def test_newton_meets_the_constraint_with_base_rates(spark):
         assert r["r"] == pytest.approx(r["t"], rel=1e-6) and abs(r["k"] - r["t"]) <= 1 and r["m"] <= 3
 
 
+def dense_rates(size, source, band, base, target):
+    """The optimum of the same dual by damped Newton over all multipliers at once, every document on its own."""
+    sources, bands = sorted(set(source)), sorted(set(band))
+    x = np.array([[s == k for k in sources] + [b == k for k in bands] for s, b in zip(source, band, strict=True)], dtype=float)
+    words = np.array([sum(n for n, b in zip(size, band, strict=True) if b == k) for k in bands], dtype=float)
+    want = np.concatenate([[target[s] for s in sources], words])
+    soft = np.concatenate([np.full(len(sources), 1e-9), mixing.SOFT * words])
+    n, q, m = np.array(size, float), np.array(base, float), np.zeros(len(want))
+
+    def miss(m):
+        return want - x.T @ (n * np.minimum(3.0, q * np.exp(x @ m))) - soft * m
+
+    for _ in range(400):
+        r = q * np.exp(x @ m)
+        h = (x * (n * r * (r < 3))[:, None]).T @ x + np.diag(soft + 1e-9)
+        step = np.clip(np.linalg.solve(h, miss(m)), -1, 1)
+        while np.abs(miss(m + step)).sum() > np.abs(miss(m)).sum() and np.abs(step).max() > 1e-12:
+            step /= 2
+        m = m + step
+    return np.minimum(3.0, q * np.exp(x @ m))
+
+
+def test_rates_equal_the_dense_dual(spark):
+    rng = random.Random(8)
+    docs = spark.createDataFrame([(i, "w " * rng.choice([1, 3, 9, 40, 200]), "abcd"[min(3, rng.randrange(6))], rng.choice([0.5, 1.0])) for i in range(400)], "doc_id long, text string, source string, b double")
+    sizes = cut(mixing.sized(docs, F.col("b")))
+    rows = mixing.mixed(sizes, mixing.plan(sizes)).collect()
+    target = {r["source"]: r["target"] for r in rows}
+    want = dense_rates(*([r[c] for r in rows] for c in ("size", "source", "band", "base")), target)
+    assert [r["rate"] for r in rows] == pytest.approx(list(want), abs=1e-4)
+    kinds = {(r["source"], r["base"]): set() for r in rows}
+    for r in rows:
+        kinds[r["source"], r["base"]].add(round(r["rate"], 6))
+    assert max(map(len, kinds.values())) > 1  # documents of one source differ by their length
+
+
 def test_op2_takes_the_targets(spark, sf):
     rows = QUERIES["op2_entropy_balanced_mix"](spark, sf).collect()
     words = {r["doc_id"]: len(re.findall(r"[^\x20\x09-\x0D]+", r["text"])) for r in read(spark, sf, "documents").collect()}
