@@ -5,7 +5,7 @@ the permuted number alone gives shard (remainder) and slot (quotient), so a shar
 by one at most, and any row's place can be computed without moving data.
 
 Nulls: a null id is a value like any other, a null text has no bytes and checksum 0. Repeated rows are numbered one
-after the other. An empty table gives an empty result. Other columns are not read.
+after the other. Very long texts count by their bytes. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from .shared import attach, cut
 
 #: Half rounds of the permutation.
 HALF_ROUNDS = 8
-#: Steps of the cycle walk; numbers outside are fewer than one in the square root of N, or fewer than this many.
+#: Steps of the cycle walk. Fewer than one number in the square root of N lies outside, so a walk this long does not occur
+#: but by an error, which is raised.
 WALK = 64
 #: Distinct rows for each block of the numbering.
 BLOCK_ROWS = 50_000
@@ -48,7 +49,8 @@ def permuted(number: Column, total: Column, key: int) -> Column:
         return F.aggregate(keys, start, half, lambda s: s["u"] * b + s["v"])
 
     steps = F.sequence(F.lit(2), F.lit(WALK))
-    return F.aggregate(steps, once(number), lambda x, _: F.when(x < total, x).otherwise(once(x)))
+    out_of_steps = F.raise_error(F.lit("a cycle walk did not come back")).cast("long")
+    return F.aggregate(steps, once(number), lambda x, _: F.when(x < total, x).otherwise(once(x)), lambda x: F.when(x < total, x).otherwise(out_of_steps))
 
 
 def numbered(rows: DataFrame, columns: list[str]) -> DataFrame:
