@@ -6,8 +6,11 @@ pairs of neighbouring labels, gives each block one of two labels, main text or n
 pages by gradient ascent of the conditional likelihood (forward-backward), and Viterbi decodes. `labelled_pages` writes
 the training pages from templates with a fixed seed; a user with labelled pages passes those instead.
 
-Nulls: a null html is empty and gives an empty text, as does a page without blocks. Repeated rows are extracted alike,
-an empty table gives an empty result, and other columns are not read. Pages are read whole.
+Pages are read whole, in time in proportion to their length whatever their markup: every sign is looked at a fixed number
+of times, and open tags are counted, never searched.
+
+Nulls: a null html is empty and gives an empty text, as does a page without blocks. Labels that are equally likely are
+decided for "not". Repeated rows are extracted alike, an empty table gives an empty result, and other columns are not read.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ import functools
 import html as entities
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,134 +58,210 @@ KINDS = {
 _KIND_OF = {w: k for k, words in KINDS.items() for w in words.split()}
 _TAGS = frozenset("article main nav header footer aside form section table ul ol li h1 h2 h3 h4 p div blockquote pre figure figcaption dl button label a".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.S)
-_SILENT = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>]).*?(?:</\1\s*>|\Z)|"
-    r"<(/?)(noscript|template|svg|object|canvas|math|select)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>",
-    re.S | re.I,
-)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)|<!--|<!\[CDATA\[|<[!?]")
+#: What may end a tag, or begin a value that may hide its end.
+_STOP = re.compile(r">|=\s*([\"'])")
 #: The end tag of a raw element; another start of its kind before it tells that it is missing, but for code.
-_RAW_ENDS = {t: re.compile(rf"(</){t}(?=[\s/>])[^>]*>" + ("" if t in ("script", "style") else rf"|<{t}(?=[\s/>])"), re.I) for t in RAW}
-_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_RAW_ENDS = {t: re.compile(rf"<(/){t}(?=[\s/>])" + ("" if t in ("script", "style") else rf"|<{t}(?=[\s/>])"), re.I) for t in RAW}
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+#: Numbers of characters: those too large for any character, and zeros in front of others.
+_FAR, _ZEROS = re.compile(r"&#(?:[1-9][0-9]{7,}|[xX][1-9a-fA-F][0-9a-fA-F]{7,});?"), re.compile(r"&#(?:0+(?=[0-9])|([xX])0+(?=[0-9a-fA-F]))")
 _SPACE = re.compile(r"\s+")
 _LEGAL = re.compile(r"©|\(c\)|copyright|all rights reserved|cookie|privacy|subscribe|newsletter|advertis|sponsor", re.I)
 
 
-def _ends(page: str) -> dict[int, int]:
+class Tags:
+    """The marks of a page in order, each (start, end, name, closing): comments and the like have an empty name, and a raw
+    element is one mark named `<` up to the end of its end tag, a section of plain characters one named `[`. A quoted value
+    may hold a `>`, unless its quote never closes."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.open_quotes: set[str] = set()
+
+    def _after(self, sign: str, at: int) -> int:
+        found = self.page.find(sign, at)
+        return len(self.page) if found < 0 else found + len(sign)
+
+    def _end(self, at: int) -> int:
+        first = -1
+        while stop := _STOP.search(self.page, at):
+            if not stop[1]:
+                return stop.end()
+            at = stop.end()
+            if stop[1] not in self.open_quotes:
+                close = self.page.find(stop[1], at)
+                if close < 0:
+                    self.open_quotes.add(stop[1])
+                else:
+                    at = close + 1
+        return len(self.page)
+
+    def __iter__(self) -> Iterator[tuple[int, int, str, bool]]:
+        page, at, cdata = self.page, 0, True
+        while found := _TAG.search(page, at):
+            start, at = found.start(), found.end()
+            name = (found[2] or "").lower()
+            if name:
+                at = self._end(at)
+                if name in RAW and not found[1] and page[at - 2 : at] != "/>":
+                    end = self._raw(name, at)
+                    name, at = ("<" if end > at or name in ("script", "style", "title") else name), end
+            elif found[0] == "<!--":
+                at = self._after("-->", at)
+            elif cdata and found[0] == "<![CDATA[":
+                close = page.find("]]>", at)
+                cdata = close >= 0
+                yield start, (close + 3 if cdata else at), "[" if cdata else "", False
+                at = close + 3 if cdata else at
+                continue
+            else:
+                at = self._after(">", at)
+            yield start, at, name, bool(found[1])
+
+    def _raw(self, name: str, at: int) -> int:
+        """Where a raw element that is open at `at` ends."""
+        end = _RAW_ENDS[name].search(self.page, at)
+        if end and end[1]:
+            return self._after(">", end.end())
+        if name in ("script", "style"):
+            return len(self.page)
+        if name == "title":  # without its end it holds a line of text
+            after = _TAG.search(self.page, at)
+            return after.start() if after else len(self.page)
+        return at
+
+
+def _silent(tags: list[tuple[int, int, str, bool]]) -> dict[int, int]:
     """Start of each silent element that has its end tag, to the end of that tag; raw ones and options are left out."""
     out: dict[int, int] = {}
     opened: dict[str, list[int]] = {}
-    for found in _SILENT.finditer(page):
-        name = (found[3] or "").lower()
-        if name and not found[2] and not found[0].endswith("/>"):
-            opened.setdefault(name, []).append(found.start())
-        elif name and found[2] and opened.get(name):
-            out[opened[name].pop()] = found.end()
+    for start, end, name, closing in tags:
+        if name in SILENT and name not in RAW and name != "option":
+            if not closing:
+                opened.setdefault(name, []).append(start)
+            elif opened.get(name):
+                out[opened[name].pop()] = end
     return out
 
 
+class Open:
+    """The open tags of a page, with places by name, of blocks and of scopes, so that no step searches them."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, tuple[str, ...]]] = []
+        self.at: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.scopes: list[int] = []
+        self.marks: Counter[str] = Counter()
+
+    def push(self, name: str, marks: tuple[str, ...]) -> None:
+        place = len(self.stack)
+        self.at.setdefault(name, []).append(place)
+        if name not in INLINE:
+            self.blocks.append(place)
+        if name in SCOPES:
+            self.scopes.append(place)
+        self.marks.update(marks)
+        self.stack.append((name, marks))
+
+    def last(self, name: str) -> int:
+        return self.at[name][-1] if self.at.get(name) else -1
+
+    def close(self, place: int) -> None:
+        """Closes the tag at a place and all within it."""
+        while len(self.stack) > place:
+            name, marks = self.stack.pop()
+            self.at[name].pop()
+            for held in (self.blocks, self.scopes):
+                if held and held[-1] == len(self.stack):
+                    held.pop()
+            self.marks.subtract(marks)
+
+
+def decoded(text: str) -> str:
+    """Character references as characters; numbers of any length."""
+    if "&#" in text:
+        text = _FAR.sub("\ufffd", _ZEROS.sub(r"&#\1", text))
+    return entities.unescape(text)
+
+
 def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
     """The leaf blocks of a page in order: (text, features of its ancestors, characters within links)."""
     out: list[tuple[str, tuple[str, ...], int]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    opened = Open()
     parts: list[str] = []
-    state = {"linked": 0}
-    hush = -1  # place in the stack of the outermost silent tag that lacks its end
-    ends: dict[int, int] | None = None
+    linked = 0
+    hush = -1  # place of the outermost silent tag that lacks its end
 
     def flush() -> None:
-        text = _SPACE.sub(" ", entities.unescape("".join(parts))).strip()
+        nonlocal linked
+        text = _SPACE.sub(" ", decoded("".join(parts))).strip()
         if text:
-            marks = tuple(dict.fromkeys(f for _, own in stack for f in own))
-            inner = next((t for t, _ in reversed(stack) if t not in INLINE), "")
-            out.append((text, (*marks, "in:" + (inner if inner in _TAGS else "other")), state["linked"]))
+            marks = tuple(sorted(m for m, n in opened.marks.items() if n))
+            inner = opened.stack[opened.blocks[-1]][0] if opened.blocks else ""
+            out.append((text, (*marks, "in:" + (inner if inner in _TAGS else "other")), linked))
         parts.clear()
-        state["linked"] = 0
+        linked = 0
 
     def add(text: str) -> None:
+        nonlocal linked
         parts.append(text)
-        if text and any(t == "a" for t, _ in stack[-4:]):
-            state["linked"] += len(text.strip())
+        if opened.last("a") >= max(0, len(opened.stack) - 4):
+            linked += len(text.strip())
 
     at = 0
-    while found := _TOKEN.search(page, at):
-        if hush < 0 and found.start() > at:
-            add(page[at : found.start()])
-        at = found.end()
-        tag = found.group()
-        if tag[1] in "!?":
-            if hush < 0 and tag.startswith("<![CDATA["):
-                add(tag[9:-3])
+    tags = list(Tags(page))
+    ends = _silent(tags)
+    for start, end, name, closing in tags:
+        if start < at:
+            continue  # within a silent element
+        if hush < 0 and start > at:
+            add(page[at:start])
+        at = end
+        if name == "[" and hush < 0:
+            add(page[start + 9 : end - 3])
+        if name in ("", "["):
             continue
-        name = _NAME.match(tag)[1].lower()
-        closing = tag[1] == "/"
-        if name == "head":
+        if name in ("head", "<"):
             flush()
             continue
+        alone = page[end - 2 : end] == "/>"
         if name in SILENT and not closing:
             flush()
-            if tag.endswith("/>"):
+            if alone:
+                continue
+            if start in ends:
+                at = ends[start]
                 continue
-            if name in RAW:
-                end = _RAW_ENDS[name].search(page, at)
-                if end and end[1]:
-                    at = end.end()
-                    continue
-                if name in ("script", "style"):
-                    at = len(page)
-                    continue
-                if name == "title":
-                    after = _TOKEN.search(page, at)
-                    at = after.start() if after else len(page)
-                    continue
-            elif name != "option":
-                ends = _ends(page) if ends is None else ends
-                if found.start() in ends:
-                    at = ends[found.start()]
-                    continue
         if name in INLINE:
             if name == "br":
                 parts.append(" ")
-            if name in VOID:
-                continue
         else:
             flush()
-            if name in VOID:
-                continue
+        if name in VOID:
+            continue
         if closing:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
-            if depth >= 0:
-                if name in INLINE and any(t not in INLINE for t, _ in stack[depth:]):
-                    continue  # an inline end tag does not close blocks
-                del stack[depth:]
-                hush = hush if hush < len(stack) else -1
+            place = opened.last(name)
+            # an inline end tag does not close blocks
+            if place >= 0 and not (name in INLINE and opened.blocks and opened.blocks[-1] > place):
+                opened.close(place)
+                hush = hush if hush < len(opened.stack) else -1
+            continue
+        if name in SELF_CLOSING and opened.last(name) > (opened.scopes[-1] if opened.scopes else -1):
+            opened.close(opened.last(name))
+            hush = hush if hush < len(opened.stack) else -1
+        if alone:
             continue
-        if name in SELF_CLOSING:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    hush = hush if hush < len(stack) else -1
-                    break
-                if stack[i][0] in SCOPES:
-                    break
-        marks = []
-        if name in _TAGS:
-            marks.append("tag:" + name)
-        if " " in tag or "\n" in tag or "\t" in tag:
-            for value in _NAMED.findall(tag):
-                value = value.strip("\"'").lower()
-                for word in {*value.split(), *re.split(r"[\s_\-]+", value)}:
-                    if word in _KIND_OF:
-                        marks.append("kind:" + _KIND_OF[word])
-        if not tag.endswith("/>"):
-            if name in SILENT and hush < 0:
-                hush = len(stack)
-            stack.append((name, tuple(marks)))
+        marks = {"tag:" + name} if name in _TAGS else set()
+        for value in _NAMED.findall(page, start, end):
+            value = value.strip("\"'").lower()
+            marks.update("kind:" + _KIND_OF[w] for w in {*value.split(), *re.split(r"[\s_\-]+", value)} if w in _KIND_OF)
+        if name in SILENT and hush < 0:
+            hush = len(opened.stack)
+        opened.push(name, tuple(marks))
     if hush < 0 and at < len(page):
-        rest = page[at:]
-        cut = re.search(r"<[/a-zA-Z!][^>]*\Z", rest)  # a tag that the page's end cuts off
-        add(rest[: cut.start()] if cut else rest)
+        add(page[at:])
     flush()
     return out
 
@@ -237,34 +317,37 @@ class Field:
 def fit(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 100, rate: float = 2.0, ridge: float = 2e-4) -> Field:
     """A field fitted to labelled pages (features of the blocks, labels) by full-batch gradient ascent with momentum."""
     names = {f: i for i, f in enumerate(sorted({f for rows, _ in pages for row in rows for f in row}))}
-    mats, gold = [], []
-    for rows, labels in pages:
-        x = np.zeros((len(rows), len(names) + 1))
-        x[:, -1] = 1
+    longest = max(len(rows) for rows, _ in pages)
+    # pages side by side, short ones filled up with blocks that do not count
+    x = np.zeros((len(pages), longest, len(names) + 1))
+    y, real = np.zeros((len(pages), longest), dtype=int), np.zeros((len(pages), longest), dtype=bool)
+    for p, (rows, labels) in enumerate(pages):
+        y[p, : len(rows)], real[p, : len(rows)] = labels, True
         for i, row in enumerate(rows):
-            x[i, [names[f] for f in row]] = 1
-        mats.append(x)
-        gold.append(np.array(labels))
+            x[p, i, [*(names[f] for f in row), -1]] = 1
+    flat = x.reshape(-1, x.shape[2])
+    last = real.sum(axis=1) - 1
+    both = real[:, 1:]
+    seen = np.zeros((2, 2))
+    np.add.at(seen, (y[:, :-1][both], y[:, 1:][both]), 1)
     w, t = np.zeros((len(names) + 1, 2)), np.zeros((2, 2))
     vw, vt = np.zeros_like(w), np.zeros_like(t)
-    total = sum(len(y) for y in gold)
+    total = int(real.sum())
     for _ in range(rounds):
-        gw, gt = -ridge * total * w, -ridge * total * t
-        for x, y in zip(mats, gold, strict=True):
-            s = x @ w
-            n = len(s)
-            fore, rear = np.zeros((n, 2)), np.zeros((n, 2))
-            fore[0] = s[0]
-            for i in range(1, n):
-                fore[i] = np.logaddexp(fore[i - 1, 0] + t[0], fore[i - 1, 1] + t[1]) + s[i]
-            for i in range(n - 2, -1, -1):
-                rear[i] = np.logaddexp(t[:, 0] + s[i + 1, 0] + rear[i + 1, 0], t[:, 1] + s[i + 1, 1] + rear[i + 1, 1])
-            z = np.logaddexp(*fore[-1])
-            gw += x.T @ (np.eye(2)[y] - np.exp(fore + rear - z))
-            if n > 1:
-                joint = np.exp(fore[:-1, :, None] + t + (s[1:] + rear[1:])[:, None, :] - z)
-                gt -= joint.sum(axis=0)
-                np.add.at(gt, (y[:-1], y[1:]), 1)
+        s = (flat @ w).reshape(*y.shape, 2)
+        fore, rear = np.zeros_like(s), np.zeros_like(s)
+        fore[:, 0] = s[:, 0]
+        for i in range(1, longest):
+            fore[:, i] = np.logaddexp(fore[:, i - 1, :1] + t[0], fore[:, i - 1, 1:] + t[1]) + s[:, i]
+        for i in range(longest - 2, -1, -1):
+            ahead = s[:, i + 1] + rear[:, i + 1]
+            step = np.logaddexp(t[:, 0] + ahead[:, :1], t[:, 1] + ahead[:, 1:])
+            rear[:, i] = np.where(both[:, i, None], step, 0.0)
+        z = np.logaddexp(*np.moveaxis(fore[np.arange(len(last)), last], -1, 0))[:, None, None]
+        gap = np.where(real[:, :, None], np.eye(2)[y] - np.exp(np.minimum(fore + rear - z, 0)), 0.0)
+        gw = flat.T @ gap.reshape(-1, 2) - ridge * total * w
+        joint = np.exp(np.minimum(fore[:, :-1, :, None] + t + (s[:, 1:] + rear[:, 1:])[:, :, None, :] - z[..., None], 0))
+        gt = seen - (joint * both[:, :, None, None]).sum(axis=(0, 1)) - ridge * total * t
         vw, vt = 0.9 * vw + gw / total, 0.9 * vt + gt / total
         w, t = w + rate * vw * 0.2, t + rate * vt * 0.2
     return Field(names, w, t)
@@ -294,7 +377,8 @@ def labelled_pages(count: int = TRAINING_PAGES, seed: int = TRAINING_SEED) -> li
         return text if rng.random() < 0.7 else text + f' <a href="/x">{words(2)}</a> ' + sentence(3, 12)
 
     def attr(kind: str) -> str:
-        named = rng.choice(KINDS[kind].split())
+        # a fifth of the names mean nothing, as those that build tools make
+        named = rng.choice(KINDS[kind].split()) if rng.random() < 0.8 else words(1)
         return f' {rng.choice(["class", "id"])}="{rng.choice(["", "site-", "block ", "x-"])}{named}"'
 
     def menu() -> list[tuple[str, int]]:
