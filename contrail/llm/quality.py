@@ -6,11 +6,14 @@ posterior around the global share, the share of a path one around its host's, ea
 hosts (paths) says, by moments: a site with few documents stays near the prior, a large one shows its own share. The
 posterior log odds of a document are its evidence plus the log odds of its path.
 
+Texts are read once: their evidence is kept in a checkpoint, of which both the sites and the result are made.
+
 Nulls: a null or blank text has no evidence of quality and is rejected with probability 0; null hosts and paths are
 sites of their own; labels without a matching document, null labels and labels other than 0 and 1 are ignored, and a
-document labelled twice counts twice. Without labels of both kinds no document can be told apart: every document that
-is not blank gets even odds and is kept. Empty tables give empty results. Other columns pass through, but for those that
-bear the name of a column of the result, which gives way.
+document labelled twice counts twice. Of labelled rows that repeat an id, the one whose text has the least hash is fitted.
+Without labels of both kinds no document can be told apart: every document that is not blank gets even odds and is kept.
+Very long texts are read whole, in time in proportion to their length. Empty tables give empty results. Other columns pass
+through, but for those that bear the name of a column of the result, which gives way.
 """
 
 from __future__ import annotations
@@ -25,12 +28,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import attach, cut, lean, without
+from .urlrules import host_of, path_of
 
 #: The model is fitted on at most so many labelled documents, those with the least hashes of their ids.
 FIT_ROWS = 20_000
 #: A document is kept if its posterior is at least this.
 KEEP = 0.5
-#: The site's log odds count at most so much either way, so that a site alone never condemns a good document.
+#: Unless the caller says otherwise, the site's log odds count at most so much either way, so that a site alone never
+#: condemns a good document.
 SITE_LIMIT = 2.0
 #: Bounds of a prior's strength, in documents.
 STRENGTH = (10.0, 10_000.0)
@@ -77,21 +82,23 @@ class Model:
         return np.clip(x @ self.weights[:-1] + self.weights[-1] - self.base, -30, 30)
 
 
-def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> Model:
-    """A ridge logistic regression by Newton steps."""
-    mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
+def fit(x: np.ndarray, y: np.ndarray, times: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> Model:
+    """A ridge logistic regression by Newton steps; each row counts `times`."""
+    mean = np.average(x, axis=0, weights=times)
+    scale = np.maximum(np.sqrt(np.average((x - mean) ** 2, axis=0, weights=times)), 1e-6)
     z = np.hstack([np.clip((x - mean) / scale, -8, 8), np.ones((len(x), 1))])
     w = np.zeros(z.shape[1])
     penalty = np.full(z.shape[1], ridge)
     penalty[-1] = 1e-6
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-z @ w))
-        h = (z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty)
-        step = np.linalg.solve(h, z.T @ (y - p) - penalty * w)
+        h = (z * (times * p * (1 - p))[:, None]).T @ z + np.diag(penalty)
+        step = np.linalg.solve(h, z.T @ (times * (y - p)) - penalty * w)
         w = w + step
         if np.abs(step).max() < 1e-6:
             break
-    return Model(mean, scale, w, float(np.log(y.mean() / (1 - y.mean()))))
+    share = np.average(y, weights=times)
+    return Model(mean, scale, w, float(np.log(share / (1 - share))))
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Model | None:
@@ -102,15 +109,16 @@ def train(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Model | N
         for lot in lots:
             yield pd.Series([statistics(t) for t in lot])
 
-    known = labels.where("quality in (0, 1) and doc_id is not null").select("doc_id", "quality")
+    known = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id", "quality").agg(F.count("*").alias("times"))
     chosen = cut(known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most))
     # at most `most` rows, so the broadcast is bounded
     rows = docs.select("doc_id", "text").where("length(trim(text)) > 0").join(F.broadcast(chosen), "doc_id")
-    found = rows.select("quality", stats("text").alias("x")).limit(2 * most).collect()
+    rows = rows.select("doc_id", "quality", "times", F.xxhash64("text").alias("h"), stats("text").alias("x"))
+    found = rows.groupBy("doc_id", "quality").agg(F.min(F.struct("h", "x", "times")).alias("r")).orderBy("doc_id", "quality").collect()
     y = np.array([r["quality"] for r in found], dtype=float)
     if len(y) == 0 or y.min() == y.max():
         return None
-    return fit(np.array([r["x"] for r in found]), y)
+    return fit(np.array([r["r"]["x"] for r in found]), y, np.array([r["r"]["times"] for r in found], dtype=float))
 
 
 def with_evidence(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -169,25 +177,30 @@ def sites(scored: DataFrame, base: float) -> DataFrame:
     )
 
 
-def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", keep: float = KEEP) -> DataFrame:
+def classify(
+    docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", url: str | None = None,
+    keep: float = KEEP, site_limit: float = SITE_LIMIT, carry: bool = True,
+) -> DataFrame:
     """`docs` with evidence, host_share, path_share, probability and kept.
 
-    Hosts and paths are columns of `docs`. The text is read twice, once for the sites and once for the result, and is
-    never shuffled; the table of sites is looked up by broadcast while it is small, else by salted keys.
+    Hosts and paths are columns of `docs`; with `url`, a column of addresses, the host is the address's, and the path its
+    host with the first step of its path. Without `carry` the text is left out, so that no text is written or shuffled.
+    The table of sites is looked up by broadcast while it is small, else by salted keys.
     """
     docs = lean(docs)
     made = ("evidence", "host_share", "path_share", "probability", "kept")
-    docs = without(docs, *(m for m in (*made, "documents", "_host", "_path") if m not in (host, path)))
-    names = docs.columns
+    docs = without(docs, *(m for m in (*made, "documents", "_host", "_path") if m not in (host, path, url)))
+    names = [c for c in docs.columns if carry or c != "text"]
     model = train(docs, labels)
     base = model.base if model else 0.0
-    scored = with_evidence(docs.select(F.col(host).alias("host"), F.col(path).alias("path"), "text"), model)
-    table = sites(scored.select("host", "path", "evidence"), base)
-    keyed = with_evidence(docs, model).withColumns({"_host": F.col(host), "_path": F.col(path)})
+    at = F.col(url) if url else None
+    site = (F.col(host), F.col(path)) if at is None else (host_of(at), F.regexp_extract(path_of(at), "^/[^/]*", 0))
+    scored = cut(with_evidence(docs, model).select(*names, site[0].alias("_host"), site[1].alias("_path"), "evidence"))
+    table = sites(scored.select(F.col("_host").alias("host"), F.col("_path").alias("path"), "evidence"), base)
     table = table.select(F.col("host").alias("_host"), F.col("path").alias("_path"), "host_share", "path_share")
-    found = attach(keyed, table, ["_host", "_path"])
+    found = attach(scored, table, ["_host", "_path"])
     share = F.greatest(F.lit(0.001), F.least(F.lit(0.999), F.col("path_share")))
-    odds = F.greatest(F.lit(-SITE_LIMIT), F.least(F.lit(SITE_LIMIT), F.log(share / (1 - share))))
+    odds = F.greatest(F.lit(-site_limit), F.least(F.lit(site_limit), F.log(share / (1 - share))))
     probability = F.coalesce(1 / (1 + F.exp(-(F.col("evidence") + odds))), F.lit(0.0))
     if model is None:
         probability = F.when(F.col("evidence").isNotNull(), F.lit(0.5)).otherwise(0.0)

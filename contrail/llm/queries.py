@@ -12,7 +12,8 @@ from .shared import cut, read
 
 
 def op1_hierarchical_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    found = quality.classify(docs, read(spark, sf_dir, "labels"), carry=False)
     return found.select("doc_id", "source", "lang", "evidence", "host_share", "path_share", "probability", "kept")
 
 

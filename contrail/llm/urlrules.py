@@ -11,6 +11,7 @@ rows are judged alike; other columns pass through, but for those that bear the n
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -56,12 +57,14 @@ BLOCKED = (
 
 
 def rule_glob(rule: Rule) -> str:
-    """The glob of a site rule: any subdomain, then the host, the bar, the path and anything."""
-    return f"*.{rule.host}|{rule.path}*"
+    """The glob of a site rule: any subdomain, then the host, the bar, the path and anything; its own signs stand for themselves."""
+    host, path = (re.sub(r"([*?|\\])", r"\\\1", x) for x in (rule.host, rule.path))
+    return f"*.{host}|{path}*"
 
 
 class Automaton:
-    """Globs compiled into masks; `match` tells for each text which globs it meets as a whole."""
+    """Globs compiled into masks; `match` tells for each text which globs it meets as a whole. A sign after a backslash
+    stands for itself."""
 
     def __init__(self, globs: list[str]):
         symbols: list[tuple[int, int]] = []  # of each bit: the code point that it needs (-1: any), its glob
@@ -71,13 +74,13 @@ class Automaton:
         open_at: list[int] = []  # globs met by nothing or by any text so far
         for g, glob in enumerate(globs):
             first = True
-            for c in glob:
+            for c in re.findall(r"\\.|.", glob, re.S):
                 if c == "*":
                     (open_at if first else loops).append(g if first else len(symbols) - 1)
                     continue
                 if first:
                     self.starts.append(len(symbols))
-                symbols.append((-1 if c == "?" else BAR if c == "|" else ord(c), g))
+                symbols.append((-1 if c == "?" else BAR if c == "|" else ord(c[-1]), g))
                 first = False
             self.ends.append(-1 if first else len(symbols) - 1)
         self.open = set(open_at)

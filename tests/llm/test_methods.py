@@ -2,8 +2,10 @@
 
 import fnmatch
 import hashlib
+import itertools
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -206,6 +208,15 @@ def test_the_automaton_equals_fnmatch():
         assert got.tolist() == [[fnmatch.fnmatchcase(t, g) for g in globs] for t in texts]
 
 
+def test_signs_of_a_rule_stand_for_themselves(spark):
+    rules = (urlrules.Rule("block", "a.example", "/x*|?\\y"),)
+    rows = spark.createDataFrame([(1, "http://a.example/x*|", ""), (2, "http://a.example/xQ|", ""), (3, "http://b.a.example/x*|", "")], "page_id long, url string, html string")
+    glob = urlrules.rule_glob(rules[0])
+    codes = [urlrules.canonical("b.a.example", p) for p in ("/x*|?\\y", "/x*|?\\yz", "/xa|?\\y", "/x*|b\\y")]
+    assert urlrules.Automaton([glob]).match(codes)[:, 0].tolist() == [True, True, False, False]
+    assert {r["verdict"] for r in urlrules.judge(rows, rules, ()).collect()} == {"allow"}
+
+
 def test_op4_equals_brute_force(spark, sf):
     rules = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
     urls = {r["page_id"]: r["url"] for r in read(spark, sf, "pages").collect()}
@@ -488,6 +499,55 @@ def test_silent_tags_without_their_end(page):
     assert [b[0] for b in htmltext.blocks(page)] == ["One."]
 
 
+@pytest.mark.parametrize("part", ["<a ", '<p class="x', "<p id='", "<!--", "<![CDATA[", "</title ", "<title>", "<option>", "<svg>", "</b>", "<div>x", "<b><p>", "<b><hr>x", "<li><ul><b>", "&#9", "&#0", " class=", "=\"'", "<textarea ", "a<b"])
+def test_hostile_pages_take_linear_time(part):
+    page = "<article><p>" + part * (1_000_000 // len(part))
+    began = time.process_time()
+    htmltext.main_text(page, htmltext.default_field())
+    assert time.process_time() - began < 12  # a million signs; a quadratic step takes minutes
+    htmltext.main_text("&#" + "9" * 10_000 + ";" + "&#x" + "0" * 10_000 + "41;", htmltext.default_field())
+
+
+def test_decoding_and_fitting_equal_brute_force():
+    rng = np.random.default_rng(5)
+    field = htmltext.Field({"f": 0, "g": 1}, rng.normal(size=(3, 2)), rng.normal(size=(2, 2)))
+    rows = [[f for f in "fg" if rng.random() < 0.5] for _ in range(7)]
+    s = field.scores(rows)
+
+    def worth(labels):
+        return sum(s[i, y] for i, y in enumerate(labels)) + sum(field.pairs[a, b] for a, b in zip(labels, labels[1:], strict=False))
+
+    best = max(itertools.product((0, 1), repeat=7), key=worth)
+    assert tuple(field.decode(rows)) == best
+    # the fitted weights make the gradient of the penalised likelihood vanish, summed over all labellings
+    pages = [([["f"], ["g"], ["f", "g"]], [1, 0, 1]), ([["g"], ["f"]], [0, 1]), ([["f"]], [0]), ([["g"], ["g"], ["f"]], [0, 0, 0])]
+    fitted = htmltext.fit(pages, rounds=4000, ridge=0.05)
+    gw, gt = -0.05 * 9 * fitted.weights, -0.05 * 9 * fitted.pairs
+    for rows, gold in pages:
+        s = fitted.scores(rows)
+        x = np.array([[f in r for f in "fg"] + [True] for r in rows], dtype=float)
+        every = list(itertools.product((0, 1), repeat=len(rows)))
+        logs = np.array([sum(s[i, y] for i, y in enumerate(ys)) + sum(fitted.pairs[a, b] for a, b in zip(ys, ys[1:], strict=False)) for ys in every])
+        chance = np.exp(logs - logs.max())
+        for ys, p in [(gold, 1.0), *zip(every, -chance / chance.sum(), strict=True)]:
+            for i, y in enumerate(ys):
+                gw[:, y] += p * x[i]
+            for a, b in zip(ys, ys[1:], strict=False):
+                gt[a, b] += p
+    assert np.abs(gw).max() < 1e-4 and np.abs(gt).max() < 1e-4
+
+
+def test_held_out_pages_with_meaningless_names():
+    """Pages of other seeds whose classes and ids say nothing, so that tags and text alone decide."""
+    field, right, count = htmltext.default_field(), 0, 0
+    pages = htmltext.labelled_pages(60, seed=99)
+    blank = [[(re.sub(r' (class|id)="[^"]*"', "", p), y) for p, y in page] for page in pages]
+    for rows, labels in htmltext.examples(blank):
+        right += int((field.decode(rows) == np.array(labels)).sum())
+        count += len(labels)
+    assert right / count > 0.8
+
+
 # -- quality --------------------------------------------------------------------------------------
 
 
@@ -500,6 +560,50 @@ def test_held_out_labels(spark):
     assert np.mean([r["kept"] for r in rows if r["quality"] == 1]) > 0.99
 
 
+def test_op1_equals_brute_force(spark, sf):
+    """Shares, probabilities and decisions from the evidence by plain loops."""
+    rows = QUERIES["op1_hierarchical_quality"](spark, sf).collect()
+    texts = {r["doc_id"]: r["text"] for r in read(spark, sf, "documents").collect()}
+    labels = [(r["doc_id"], r["quality"]) for r in read(spark, sf, "labels").collect() if r["quality"] in (0, 1) and (texts.get(r["doc_id"]) or "").strip()]
+    x, y = np.array([quality.statistics(texts[i]) for i, _ in labels]), np.array([q for _, q in labels], dtype=float)
+    model = quality.fit(x, y, np.ones(len(y)))
+    for r in rows:
+        text = texts[r["doc_id"]] or ""
+        assert (r["evidence"] is None) == (not text.strip())
+        if text.strip():
+            assert r["evidence"] == pytest.approx(model.evidence([text])[0], abs=2e-6)
+    good = lambda r: 0.0 if r["evidence"] is None else round(1e6 / (1 + np.exp(-(r["evidence"] + model.base)))) / 1e6
+    paths, hosts = defaultdict(list), defaultdict(list)
+    for r in rows:
+        paths[r["source"], r["lang"]].append(good(r))
+        hosts[r["source"]].append(good(r))
+
+    def strength(groups, means):
+        n, share, m = (np.array(z, dtype=float) for z in ([len(g) for g in groups], [np.mean(g) for g in groups], means))
+        chance = m * (1 - m)
+        rho = (np.sum(n * (share - m) ** 2) - chance.sum()) / max(1e-9, np.sum(n * chance) - chance.sum())
+        return float(np.clip(1 / np.clip(rho, 1e-6, 0.999999) - 1, *quality.STRENGTH))
+
+    every = min(0.999, max(0.001, np.mean([g for gs in hosts.values() for g in gs])))
+    s = strength(hosts.values(), [every] * len(hosts))
+    host = {k: (sum(g) + s * every) / (len(g) + s) for k, g in hosts.items()}
+    t = strength(paths.values(), [host[k] for k, _ in paths])
+    path = {k: (sum(g) + t * host[k[0]]) / (len(g) + t) for k, g in paths.items()}
+    for r in rows:
+        assert r["host_share"] == pytest.approx(host[r["source"]], abs=1e-6) and r["path_share"] == pytest.approx(path[r["source"], r["lang"]], abs=1e-6)
+        share = min(0.999, max(0.001, path[r["source"], r["lang"]]))
+        odds = min(quality.SITE_LIMIT, max(-quality.SITE_LIMIT, np.log(share / (1 - share))))
+        want = 0.0 if r["evidence"] is None else 1 / (1 + np.exp(-(r["evidence"] + odds)))
+        assert r["probability"] == pytest.approx(want, abs=1e-5) and (abs(want - 0.5) < 1e-5 or r["kept"] == (want >= 0.5))
+
+
+def test_addresses_give_hosts_and_paths(spark):
+    docs = spark.createDataFrame([(i, "some plain words here", f"https://H{i % 2}.example.org/{'ab'[i % 2]}/{i}?q=1") for i in range(6)], "doc_id long, text string, url string")
+    docs = docs.withColumns({"source": F.lit(None).cast("string"), "lang": F.lit("en")})
+    got = quality.classify(docs, spark.createDataFrame([(0, 1)], "doc_id long, quality int"), url="url", carry=False)
+    assert "text" not in got.columns and got.count() == 6 and got.where("kept").count() == 6
+
+
 def test_shares_shrink_with_size(spark):
     rows = [("big", "p", 5.0)] * 4000 + [("big", "q", -5.0)] * 40 + [("bad", "p", -5.0)] * 4000 + [("one", "p", 5.0)]
     t = {(r["host"], r["path"]): r for r in quality.sites(cut(spark.createDataFrame(rows, "host string, path string, evidence double")), 0.0).collect()}
