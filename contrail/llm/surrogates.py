@@ -1,26 +1,31 @@
 """Personal data replaced by surrogates: keyed, of the same type and format, distinct, and the same everywhere.
 
 Patterns find mail addresses, telephone numbers, payment cards, IBANs, social security numbers, IPv4 and IPv6 and MAC
-addresses, access keys, labelled secrets and names after a title. A surrogate is a keyed permutation of the values of
-the entity's own format (digits stay digits, letters keep case and script, separators stay), so it needs no table:
-equal entities get equal surrogates in every document, different ones of a format get different ones by construction.
-The permutation is D(E(x) + 1), a single cycle, so no value keeps itself. Cards keep a valid check digit; the octets
-of an address stay below 256. Names come from lists by gender and script with a keyed, built family name.
-
-Within a document the surrogates are checked: none may equal an entity of the document or another entity's surrogate; a
-clash walks on along the cycle. Across the corpus `collisions` counts distinct entities that share a surrogate.
-
-Nulls: a null text stays null; an empty text stays empty. Repeated rows are treated alike, empty tables give empty
-results and other columns pass through, but for one named `entities`. Texts are read whole. A user supplies the key; the default is for tests only.
+addresses, access keys, labelled secrets, dates of birth, street addresses and names after a title; a name that is known
+so is also found where it stands without its title, alone or after a given name. A surrogate is a keyed permutation of the
+values of the entity's own format (digits stay digits, letters keep case and script, separators stay), so it needs no
+table: equal entities get equal surrogates in every document, different ones get different ones by construction. The
+permutation is D(E(x) + 1), a single cycle, so no value keeps itself; where only some values of a format will do, the
+cycle is walked on to the next of them, which leaves it one to one. Payment cards and IBANs keep right check digits;
+octets stay below 256; dates stay dates. A name's words are permuted one by one among words with vowels and consonants in
+the same places and the same last letter, which tells the gender in many languages; the title stays. So the surrogates
+of Anna Berg, Berg and Karl Berg agree in the family name. A surrogate may be a value that someone else bears, as any value
+of a format may. `collisions` checks a corpus for entities that share a surrogate; there are none.
+
+Nulls: a null text stays null; an empty text stays empty. Where two types begin at one place, the first in `PATTERNS` wins.
+Repeated rows are treated alike, empty tables give empty results and other columns pass through, but for one named
+`entities`. Texts are read whole, in time in proportion to their length. A user supplies the key; the default is for
+tests only.
 """
 
 from __future__ import annotations
 
-import hashlib
+import functools
 import hmac
 import math
 import re
 import struct
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -31,49 +36,56 @@ from .shared import lean, without
 
 #: Key of the surrogates unless the caller gives another.
 KEY = b"contrail-surrogates"
-#: Steps of a walk away from a clash; a format with fewer values than entities in a document keeps its last step.
-WALK = 100
-
-# Given names by gender and script, and the titles that tell the gender.
-NAMES = {
-    ("latin", "f"): "Anna Clara Elena Ida Julia Laura Maria Nora Olga Rosa Sara Vera".split(),
-    ("latin", "m"): "Adam Bruno David Emil Hugo Ivan Karl Leon Marco Oscar Paul Tomas".split(),
-    ("cyrillic", "f"): "Анна Вера Елена Ирина Мария Нина Ольга Юлия".split(),
-    ("cyrillic", "m"): "Андрей Борис Иван Лев Максим Олег Павел Юрий".split(),
-    ("greek", "f"): "Άννα Ελένη Ζωή Μαρία Νίκη Σοφία".split(),
-    ("greek", "m"): "Γιάννης Κώστας Νίκος Πέτρος Σπύρος".split(),
-}
-SYLLABLES = {
-    "latin": "ba be bo da de do fa fe go ka ke ko la le lo ma me mo na ne no pa pe ra re ro sa se so ta te to va ve".split(),
-    "cyrillic": "ба бе во га да до за ка ко ла ле ло ма ме но па ра ре ро са се та то".split(),
-    "greek": "βα γο δα κα κο λα λε μα μο να νο πα ρα σα τα το".split(),
-}
-ENDS = {"latin": ["n", "r", "l", "s"], "cyrillic": ["н", "р", "к", "с"], "greek": ["ς", "ν"]}
+
+# Titles that tell the gender, and common given names.
 FEMALE = "Mrs Ms Miss Mme Madame Mlle Frau Señora Sra Srta Doña Signora Госпожа Κυρία".split()
 MALE = "Mr Herr Monsieur Señor Sr Don Signor Господин Κύριος".split()
 EITHER = "Dr Prof Professor Доктор".split()
-
-_WORD = r"[A-ZÀ-ÖØ-ÞΑ-ΩΆΈΉΊΌΎΏА-ЯЁ][a-zß-öø-ÿα-ωά-ώςа-яё'’\-]+"
+GIVEN = frozenset(
+    "Adam Alice Ana Andreas Andrew Anna Anne Antonio Anton Barbara Carlos Carmen Charles Charlotte Christian Clara Claire "
+    "Daniel David Elena Elizabeth Emil Emily Emma Eva Felix Fernando Francesco François Frank Georg George Giulia Hannah "
+    "Hans Heinrich Helen Henry Ida Ines Isabel Jack Jacques James Jan Jane Javier Jean Jennifer Johanna Johannes John Jorge "
+    "José Juan Julia Karl Katharina Laura Leon Linda Lisa Louis Lucas Lucia Luis Manuel Marco Marc Maria Marie Mark Martin "
+    "Mary Michael Miguel Nora Oliver Olivia Oscar Pablo Patricia Paul Paula Pedro Peter Philippe Pierre Rachel Richard Robert "
+    "Rosa Sara Sarah Sofia Sophie Stefan Susan Thomas Tomas Ursula Vera Victor William "
+    "Андрей Анна Борис Вера Дмитрий Елена Иван Ирина Максим Мария Наталья Нина Олег Ольга Павел Сергей Юлия Юрий "
+    "Άννα Γιάννης Γιώργος Ελένη Κώστας Μαρία Νίκος Πέτρος Σοφία".split()
+)
+
+_UPPER, _LOWER = "A-ZÀ-ÖØ-ÞĀΑ-ΩΆΈΉΊΌΎΏА-ЯЁ", "a-zß-öø-ÿα-ωά-ώςа-яё"
+#: A word of a name: Berg, O'Brien, Jean-Luc, McDonald.
+_WORD = rf"[{_UPPER}](?:['’][{_UPPER}])?[{_LOWER}]+(?:(?:['’\-][{_UPPER}]?|[{_UPPER}])[{_LOWER}]{{2,}})*"
 _MARKS = r"AKIA|ASIA|gh[pos]_|sk-|xox[abp]-"
 _LABELS = r"token|secret|password|passwd|pwd|api[_\-]?key|access[_\-]?key"
 _HEX = "[0-9A-Fa-f]{1,4}"
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_BORN = r"date of birth|dob|born(?: on)?|geboren(?: am)?|geburtsdatum|née? le|date de naissance|nacid[oa] el|fecha de nacimiento"
+_STREET = "Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Boulevard|Blvd|Court|Square|Terrace|Crescent"
+_STRASSE = "straße|strasse|str\\.|weg|platz|allee|gasse"
+_RUE = "rue|avenue|boulevard|place|chemin|allée|impasse"
+_CALLE = r"Calle|Avenida|Avda\.|Plaza|Paseo"
 #: Patterns by type, tried in this order where they begin at the same place.
 PATTERNS: dict[str, str] = {
     "key": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\b(?:ghp|gho|ghs)_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9]{20,}\b|\bxox[abp]-[A-Za-z0-9\-]{10,}",
     "secret": r"(?i:\b(?:" + _LABELS + r")\b\s*[=:]\s*[\"']?)(?P<secret>[A-Za-z0-9_\-+/=.]{6,})",
-    "email": r"[A-Za-z0-9_.+\-%À-ÖØ-öø-ÿ]+@[A-Za-z0-9](?:[A-Za-z0-9.\-]*[A-Za-z0-9])?\.[A-Za-z]{2,}",
-    "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
+    "birth": rf"(?i:\b(?:{_BORN})\b[: ]{{1,3}})(?P<birth>[0-9]{{1,2}}(?P<_dot>[./\-])[0-9]{{1,2}}(?P=_dot)[0-9]{{4}}|[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})(?![0-9])",
+    "email": r"(?<![\w.+%\-])[\w.+%\-]++@[^\W_](?:[\w.\-]*[^\W_])?\.[^\W\d_]{2,}",
+    "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "mac": r"\b(?:[0-9A-Fa-f]{2}[:\-]){5}[0-9A-Fa-f]{2}\b",
     "ipv6": rf"(?<![:\w])(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}}|(?:{_HEX}:){{1,7}}:|:(?::{_HEX}){{1,7}})(?![:\w])",
-    "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
+    "ipv4": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\d]|\.\d)",
     "card": r"(?<![\d.])(?:\d{4}[ \-]?){3}\d{4}(?!\d)|(?<![\d.])3[47]\d{2}[ \-]?\d{6}[ \-]?\d{5}(?!\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
-    "phone": r"(?<![\w.])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}(?!\d)|(?<![\w.])\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}(?!\d)|(?<![\w.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])",
+    "phone": r"(?<![\w.])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}(?!\d)|(?<![\w.])\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}(?!\d)"
+    r"|(?<![\w.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])|(?<![\w.+\-/])(?:0\d{1,4}|\(0\d{1,4}\))[ /\-]\d{3,4}[ \-]?\d{3,5}(?![\w\-])|(?<![\w.])0\d(?:[ .]\d{2}){4}(?![\w.])",
+    "address": rf"\b\d{{1,5}}[A-Za-z]?[ ](?:{_WORD}[ ]){{1,3}}(?:{_STREET})\b|\b[{_UPPER}][{_LOWER}]+?(?:{_STRASSE})[ ]\d{{1,4}}[a-z]?\b"
+    rf"|\b\d{{1,4}},?[ ](?:{_RUE})[ ](?:(?:de[ ]la|des|du|de)[ ]|de[ ]l['’]|d['’])?{_WORD}(?:[ \-]{_WORD})?|\b(?:{_CALLE})[ ](?:de[ ](?:la[ ]|los[ ]|las[ ])?)?{_WORD}(?:[ ]{_WORD})?,?[ ]\d{{1,4}}\b",
     "name": rf"\b(?P<title>{'|'.join(FEMALE + MALE + EITHER)})\.?[ ](?P<name>{_WORD}(?:[ ]{_WORD}){{0,2}})",
 }
 _ANY = re.compile("|".join(f"(?P<t_{k}>{p})" for k, p in PATTERNS.items()))
 #: A text without any of these holds no entity.
 _HINT = re.compile(r"[\d@]|:[0-9A-Fa-f]{0,4}:|-[0-9A-Fa-f]{2}-|" + "|".join(FEMALE + MALE + EITHER) + rf"|{_MARKS}|(?i:{_LABELS})")
+_WORDS = re.compile(_WORD)
 
 
 def luhn(digits: str) -> bool:
@@ -89,7 +101,7 @@ class Permutation:
     """A keyed permutation of 0..n-1 in one cycle: D(E(x) + 1), E a Feistel network with cycle walking."""
 
     def __init__(self, key: bytes, tweak: str, n: int):
-        self.key, self.n = hmac.digest(key, tweak.encode(), "sha256"), n
+        self.key, self.n = hmac.digest(key, tweak.encode("utf-8", "surrogatepass"), "sha256"), n
         self.a = max(1, math.isqrt(n - 1) + 1)
         self.b = -(-n // self.a)
 
@@ -113,27 +125,58 @@ class Permutation:
         return self._walk((self._walk(x, range(8), 1) + 1) % self.n, range(7, -1, -1), -1)
 
 
-_ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
-
-
-def _shuffled(value: str, key: bytes, kind: str, hexed: bool = False) -> str:
-    """Permutes the letters and digits of `value` within their own classes; everything else stays."""
-    sets = ("0123456789abcdef",) if hexed and value == value.lower() else ("0123456789ABCDEF",) if hexed and value == value.upper() else _ALPHABETS
-    at, x, n = [], 0, 1
-    for i, c in enumerate(value):
-        letters = next((s for s in sets if c in s), None)
-        if letters:
-            at.append((i, letters))
-            x, n = x * len(letters) + letters.index(c), n * len(letters)
-    if n < 2 or n.bit_length() > 300:
-        # too long for one number: each piece of 40 characters is its own
-        return value if n < 2 else "".join(_shuffled(value[i : i + 40], key, f"{kind}{i}", hexed) for i in range(0, len(value), 40))
-    shape = "".join(next((s[0] for s in sets if c in s), c) for c in value)
-    x = Permutation(key, f"{kind}|{shape}", n).next(x)
+_LATIN, _CYRILLIC, _GREEK = "abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω"
+_SETS = tuple(x for s in (_LATIN, _CYRILLIC, _GREEK) for x in (s, s.upper()))
+_SET_OF = {c: s for s in _SETS for c in s}
+#: Vowels; of a name's letters, vowels and consonants are permuted apart.
+_VOWELS = frozenset("aeiou" + "аеиоуыэюя" + "αεηιουω")
+
+
+@functools.lru_cache(100_000)
+def alphabet(c: str) -> str:
+    """The characters that `c` may become: digits of its script, letters of its script and case; empty for others."""
+    if c in _SET_OF:
+        return _SET_OF[c]
+    if c.isdecimal():
+        return "".join(chr(ord(c) - unicodedata.decimal(c) + i) for i in range(10))
+    if not c.isalpha():
+        return ""
+    block, kind = ord(c) // 32 * 32, unicodedata.category(c)
+    near = (chr(x) for x in range(block, block + 32))
+    return "".join(x for x in near if x.isalpha() and x not in _SET_OF and unicodedata.category(x) == kind)
+
+
+@functools.lru_cache(100_000)
+def _sound(c: str) -> str:
+    """As `alphabet`, vowels and consonants apart."""
+    return "".join(x for x in alphabet(c) if (x.lower() in _VOWELS) == (c.lower() in _VOWELS))
+
+
+def permuted(value: str, key: bytes, tweak: str, of: Callable[[str], str] = alphabet, good: Callable[[str], bool] = lambda _: True) -> str:
+    """The next value, along the cycle, with characters of the same alphabets, for which `good` holds as it does for
+    `value`; all else in it stays. Long values are permuted in pieces of 40 characters."""
+    new = value
+    while True:
+        new = "".join(_permuted(new[i : i + 40], key, f"{tweak}{i or ''}", of) for i in range(0, len(new), 40))
+        if new == value or good(new):
+            return new
+
+
+def _permuted(value: str, key: bytes, tweak: str, of: Callable[[str], str]) -> str:
+    sets = [of(c) for c in value]
+    x, n = 0, 1
+    for c, s in zip(value, sets, strict=True):
+        if len(s) > 1:
+            x, n = x * len(s) + s.index(c), n * len(s)
+    if n < 2:
+        return value
+    shape = "".join(s[0] if s else c for c, s in zip(value, sets, strict=True))
+    x = Permutation(key, f"{tweak}|{shape}", n).next(x)
     out = list(value)
-    for i, letters in reversed(at):
-        x, d = divmod(x, len(letters))
-        out[i] = letters[d]
+    for i in reversed(range(len(value))):
+        if len(sets[i]) > 1:
+            x, d = divmod(x, len(sets[i]))
+            out[i] = sets[i][d]
     return "".join(out)
 
 
@@ -142,79 +185,158 @@ def _card(value: str, key: bytes) -> str:
 
     A right check digit stays right, and a wrong one as far from right as it was.
     """
-    spots = [i for i, c in enumerate(value) if c.isdigit()]
-    digits = "".join(value[i] for i in spots)
+    spots = [i for i, c in enumerate(value) if c.isdecimal()]
+    digits = "".join(str(int(value[i])) for i in spots)
     off = next(d for d in range(10) if luhn(digits[:-1] + str((int(digits[-1]) + d) % 10)))
-    body = digits[0] + _shuffled(digits[1:-1], key, "card" + digits[0])
+    body = digits[0] + permuted(digits[1:-1], key, "card" + digits[0])
     right = next(d for d in range(10) if luhn(body + str(d)))
     out = list(value)
     for i, c in zip(spots, body + str((right - off) % 10), strict=True):
-        out[i] = c
+        out[i] = alphabet(value[i])[int(c)]
     return "".join(out)
 
 
+def iban_check(country: str, rest: str) -> int:
+    """The check digits of an IBAN without them."""
+    return 98 - int("".join(str(int(c, 36)) for c in rest + country + "00")) % 97
+
+
+def _iban(value: str, key: bytes) -> str:
+    """Permutes the account and sets the check digits: right ones stay right, wrong ones as far off as they were."""
+    country, check, rest = value[:2], int(value[2:4]), value[4:]
+    new = permuted(rest, key, "iban" + country)
+    off = check - iban_check(country, rest.replace(" ", ""))
+    return f"{country}{(iban_check(country, new.replace(' ', '')) + off) % 100:02}{new}"
+
+
 def _ipv4(value: str, key: bytes) -> str:
     x = int.from_bytes(bytes(map(int, value.split("."))), "big")
     return ".".join(map(str, Permutation(key, "ipv4", 2**32).next(x).to_bytes(4, "big")))
 
 
-#: What stays of a value because it tells the type: country codes and the marks of access keys.
-_HEADS = {
-    "key": re.compile(_MARKS),
-    "iban": re.compile("[A-Z]{2}"),
-    "phone": re.compile(r"\+\d{1,3}(?=[ .\-(])|"),
-}
+def _birth(value: str, key: bytes) -> str:
+    """A date of the same form: numbers that may be a day or a month stay such; the century stays; after the 28th only the
+    year changes."""
+    parts = re.split("[^0-9]", value)
+    marks = re.findall("[^0-9]", value)
+    year = next(i for i, p in enumerate(parts) if len(p) == 4)
+    late = any(int(p) > 28 for i, p in enumerate(parts) if i != year)
+    ranges = []
+    for i, p in enumerate(parts):
+        number = int(p)
+        if i == year:
+            years = range(number // 100 * 100, number // 100 * 100 + 100)
+            ranges.append([y for y in years if not late or (y % 4 == 0) == (number % 4 == 0)])
+        elif late:
+            ranges.append([number])
+        elif len(p) == 1:
+            ranges.append(list(range(1, 10)) if number else [0])
+        else:
+            ranges.append(list(range(1, 13)) if 1 <= number <= 12 else list(range(13, 29)) if number else [0])
+    x = n = 0
+    for p, r in zip(parts, ranges, strict=True):
+        x, n = x * len(r) + r.index(int(p)), (n or 1) * len(r)
+    shape = "|".join(f"{len(p)}:{r[0]}:{len(r)}" for p, r in zip(parts, ranges, strict=True)) + "".join(marks)
+    x = Permutation(key, "birth" + shape, n).next(x)
+    out = []
+    for p, r in zip(reversed(parts), reversed(ranges), strict=True):
+        x, d = divmod(x, len(r))
+        out.append(f"{r[d]:0{len(p)}}")
+    return "".join(a + b for a, b in zip(reversed(out), [*marks, ""], strict=True))
+
+
+_HEXES = ("0123456789abcdef", "0123456789ABCDEF")
+
+
+def _case(value: str) -> str:
+    """How the letters of hexadecimal digits are written."""
+    small, large = any("a" <= c <= "f" for c in value), any("A" <= c <= "F" for c in value)
+    return "mixed" if small and large else "upper" if large else "lower"
+
+
+def _hex(value: str, key: bytes, tweak: str) -> str:
+    """Permutes hexadecimal digits within their way of writing."""
+    case = _case(value)
 
+    def of(c: str) -> str:
+        if case == "mixed" and "A" <= c <= "F":
+            return "ABCDEF"
+        digits = _HEXES[case == "upper"]
+        return digits if c in digits else ""
 
-def _hidden(kind: str) -> Callable[[str, bytes], str]:
+    return permuted(value, key, tweak + case, of, lambda v: _case(v) == case)
+
+
+_ALL_HEX = re.compile(r"[0-9a-f:\-]+|[0-9A-F:\-]+")
+#: What stays of a value because it tells the type: country codes, the nought before an area code, the marks of access keys.
+_HEADS = {"key": re.compile(_MARKS), "phone": re.compile(r"\+\d{1,3}(?=[ .\-(])|\(?0|")}
+
+
+def _plain(kind: str) -> Callable[[str, bytes], str]:
     def make(value: str, key: bytes) -> str:
         found = _HEADS[kind].match(value) if kind in _HEADS else None
         head = found.group() if found else ""
-        rest = value[len(head) :]
-        hexed = kind in ("mac", "ipv6", "secret") and bool(re.fullmatch(r"[0-9a-f:\-]+|[0-9A-F:\-]+", rest))
-        return head + _shuffled(rest, key, kind + head, hexed)
+        return head + permuted(value[len(head) :], key, kind + head)
 
     return make
 
 
+def _secret(value: str, key: bytes) -> str:
+    if _ALL_HEX.fullmatch(value):
+        return _hex(value, key, "secret")
+    return permuted(value, key, "secret", good=lambda v: not _ALL_HEX.fullmatch(v))
+
+
 def _email(value: str, key: bytes) -> str:
     user, _, host = value.rpartition("@")
     name, dot, top = host.rpartition(".")
-    plain = _shuffled(user + "@" + name, key, "email")
-    return plain + dot + top
+    return permuted(user + "@" + name, key, "email") + dot + top
 
 
-def _named(value: str, key: bytes, gender: str) -> str:
-    """A name of the same number of words, gender and script."""
-    script = "cyrillic" if re.search("[А-яЁё]", value) else "greek" if re.search("[Α-ώ]", value) else "latin"
-    words = value.split(" ")
-    out = []
-    for i, word in enumerate(words):
-        raw = int.from_bytes(hmac.digest(key, f"name|{gender if i + 1 < len(words) else ''}|{word}".encode(), hashlib.sha256), "big")
-        if i + 1 < len(words):  # a given name
-            given = NAMES[script, gender if gender in "fm" else "fm"[raw % 2]]
-            out.append(given[raw // 2 % len(given)])
-        else:
-            parts = []
-            for _ in range(4):
-                raw, d = divmod(raw, len(SYLLABLES[script]))
-                parts.append(SYLLABLES[script][d])
-            out.append("".join(parts).capitalize() + ENDS[script][raw % len(ENDS[script])])
-    return " ".join(out)
+#: Words of addresses that stay, and ends of words that do.
+_STAY = frozenset(re.sub(r"\\", "", f"{_STREET}|{_RUE}|{_CALLE}").replace(".", "").split("|"))
+_END = re.compile(rf"(?:{_STRASSE})$")
 
 
-def _gender(title: str) -> str:
-    return "f" if title in FEMALE else "m" if title in MALE else "x"
+def _word(word: str, key: bytes) -> str:
+    """A word of a name; its last letter stays, unless nothing else could change."""
+    body, last = word[:-1], word[-1:]
+    if not any(len(_sound(c)) > 1 for c in body):
+        return permuted(word, key, "word", _sound)
+    return permuted(body, key, "word" + last, _sound, lambda b: b + last not in _STAY) + last
 
 
-_MAKERS: dict[str, Callable[[str, bytes], str]] = {"card": _card, "ipv4": _ipv4, "email": _email} | {
-    k: _hidden(k) for k in ("key", "secret", "iban", "mac", "ipv6", "ssn", "phone")
-}
+def _named(value: str, key: bytes) -> str:
+    return _WORDS.sub(lambda m: _word(m.group(), key), value)
+
+
+def _address(value: str, key: bytes) -> str:
+    """Street names as words of names, house numbers as digits; the kind of street stays."""
+
+    def one(found: re.Match[str]) -> str:
+        word = found.group()
+        if word[0].isdecimal():
+            return permuted(word, key, "house")
+        end = _END.search(word)
+        at = end.start() if end else len(word)
+        return word if word in _STAY else _word(word[:at], key) + word[at:]
+
+    return re.sub(rf"\d+|[{_UPPER}][{_LOWER}'’{_UPPER}\-]*(?:(?<=str)\.)?", one, value)
+
+
+_MAKERS: dict[str, Callable[[str, bytes], str]] = {
+    "card": _card, "iban": _iban, "ipv4": _ipv4, "email": _email, "birth": _birth, "secret": _secret, "name": _named, "address": _address,
+    "mac": lambda v, k: _hex(v, k, "mac"), "ipv6": lambda v, k: _hex(v, k, "ipv6"), **{k: _plain(k) for k in ("key", "ssn", "phone")},
+}
 
 
 def surrogate(kind: str, value: str, key: bytes = KEY) -> str:
     """The surrogate of an entity; the kind of a name is `name:f`, `name:m` or `name:x`."""
-    return _named(value, key, kind[-1]) if kind.startswith("name") else _MAKERS[kind](value, key)
+    return _MAKERS[kind.partition(":")[0]](value, key)
+
+
+def _gender(title: str) -> str:
+    return "f" if title in FEMALE else "m" if title in MALE else "x"
 
 
 def entities(text: str) -> list[tuple[int, int, str, str]]:
@@ -222,39 +344,57 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     if not _HINT.search(text):
         return []
     out = []
+    family: dict[str, str] = {}
+    given: dict[str, str] = {}
     for m in _ANY.finditer(text):
         kind = next(k for k in PATTERNS if m["t_" + k] is not None)
+        if kind == "card" and not luhn("".join(str(int(c)) for c in m.group() if c.isdecimal())):
+            continue  # a number whose check digit is wrong is no card
         if kind == "name":
-            # coreference: the same person with and without a given name shares the family name's surrogate
-            out.append((m.start("name"), m.end("name"), "name:" + _gender(m["title"]), m["name"]))
-        elif kind == "secret":
-            out.append((m.start("secret"), m.end("secret"), kind, m["secret"]))
+            gender = _gender(m["title"])
+            out.append((m.start("name"), m.end("name"), "name:" + gender, m["name"]))
+            *first, last = m["name"].split(" ")
+            family.setdefault(last, gender)
+            given |= {w: gender for w in first}
+        elif kind in ("secret", "birth"):
+            out.append((m.start(kind), m.end(kind), kind, m[kind]))
         else:
             out.append((m.start(), m.end(), kind, m.group()))
-    return out
+    return _with_names(text, out, family, given) if family else out
+
+
+def _with_names(text: str, found: list[tuple[int, int, str, str]], family: dict[str, str], given: dict[str, str]) -> list[tuple[int, int, str, str]]:
+    """`found` with the places where known names stand without their titles."""
+    out, at, end, bare = [], 0, 0, -1  # bare: the end of the last name that stands without its title
+    before: re.Match[str] | None = None
+    for m in _WORDS.finditer(text):
+        while at < len(found) and found[at][0] < m.end():
+            out.append(found[at])
+            end, at = found[at][1], at + 1
+        word = m.group()
+        if m.start() >= end:
+            gender = family.get(word) or given.get(word)
+            if gender:
+                start = m.start()
+                if before and before.end() + 1 == start and text[start - 1] == " ":
+                    if before.end() == end == bare:  # the given name has been found alone: take both
+                        start = out.pop()[0]
+                    elif before.start() >= end and before.group() in GIVEN:
+                        start = before.start()
+                out.append((start, m.end(), "name:" + gender, text[start : m.end()]))
+                end = bare = m.end()
+        before = m
+    return sorted([*out, *found[at:]])
 
 
 def replaced(text: str, key: bytes = KEY) -> tuple[str, list[tuple[int, int, str, str, str]]]:
     """The text with surrogates, and (start, end, kind, value, surrogate) of each entity; places are in the input."""
-    found = entities(text)
-    if not found:
-        return text, []
-    values = {v for *_, v in found}
     given: dict[tuple[str, str], str] = {}
-    used: set[str] = set()
-    for _, _, kind, value in found:
-        if (kind, value) in given:
-            continue
-        new = surrogate(kind, value, key)
-        for _ in range(WALK):
-            if new not in values and new not in used:
-                break
-            new = surrogate(kind, new, key)
-        given[kind, value] = new
-        used.add(new)
     out, at = [], 0
     rows = []
-    for start, end, kind, value in found:
+    for start, end, kind, value in entities(text):
+        if (kind, value) not in given:
+            given[kind, value] = surrogate(kind, value, key)
         new = given[kind, value]
         out += [text[at:start], new]
         at = end
@@ -284,5 +424,5 @@ def pseudonymize(docs: DataFrame, key: bytes = KEY) -> DataFrame:
 
 def collisions(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     """Surrogates of the corpus that stand for several entities of one kind: (kind, surrogate, entities)."""
-    rows = pseudonymize(docs, key).select(F.explode("entities").alias("e")).select("e.kind", "e.value", "e.surrogate").distinct()
+    rows = pseudonymize(docs, key).select(F.explode("entities").alias("e")).select(F.split_part("e.kind", F.lit(":"), F.lit(1)).alias("kind"), "e.value", "e.surrogate").distinct()
     return rows.groupBy("kind", "surrogate").agg(F.count("*").alias("entities")).where("entities > 1")
