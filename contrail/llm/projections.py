@@ -1,17 +1,19 @@
 """Near-duplicate embeddings by sorted projection passes.
 
 Each pass hashes a vector to the signs of random projections, read as one number, and orders the vectors of a label by
-it (ties by a hash of the vector). Vectors at a small angle share long prefixes, so near ones come to stand close in some
+it (ties by a hash of pass and vector). Vectors at a small angle share long prefixes, so near ones come to stand close in some
 pass; each vector is compared with the WINDOW before it by cosine in double precision. A pass is a range partitioning
 and a sort, which no label or cluster can fill, and a window crosses batches but not partitions. Pairs verified in a
 partition are reduced to a spanning forest before they leave the task; the forests of all passes are joined into
 components, so a group of near copies costs links in proportion to its members. Within a component every pair is then
-compared, in squares, so each member's count of links is exact there.
+compared, in squares of which each serves both its sides, so each member's count of links is exact there. Squares grow with
+the component, so a vector is copied seventeen times, and more often only beyond 131,072 members. That count takes time
+with the square of a component's members, as any exact one does.
 
 Equal vectors of a label are one node that stands for all of them. Nulls: a null vector, one that is empty, zero or
 holds null or non-finite components, and one with a null label link with nothing; vectors of different lengths do not
 link. A vector with a null id has no component and is kept. Equal ids are rows of one vector each, counted apart. Empty
-tables give empty results. Other columns are not read.
+tables give empty results. Vectors of any length are read whole. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, cut
+from .shared import attach, components, cut, look_up
 
 #: Passes, projections of each, and how many vectors before it a vector is compared with.
 PASSES, BITS, WINDOW = 40, 24, 32
-#: Side of the squares in which a component's members are compared.
-SQUARE = 512
+#: Sides of the squares in which a component's members are compared, and squares in a row between these sizes.
+SQUARE, LARGEST, CELLS = 512, 8192, 16
+#: Members of a square that are compared with the others at a time.
+LINES = 512
 #: Seed of the projections.
 SEED = 1
 
@@ -57,9 +61,9 @@ def usable(vector: Column) -> Column:
     return F.coalesce((F.size(vector) > 0) & ~bad & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _plain(vector: Column) -> Column:
-    """A vector in double precision with -0.0 as 0.0."""
-    return F.transform(vector, lambda x: F.when(x == 0, 0.0).otherwise(x.cast("double")))
+def _plain(vector: Column, kind: str) -> Column:
+    """A vector with -0.0 as 0.0; single precision is kept as it is, which tasks read in double precision."""
+    return F.transform(vector, lambda x: F.when(x == 0, F.lit(0).cast(kind)).otherwise(x.cast(kind)))
 
 
 def nodes(vectors: DataFrame) -> DataFrame:
@@ -68,7 +72,8 @@ def nodes(vectors: DataFrame) -> DataFrame:
     Equal vectors of a label have the same node, a 64-bit hash.
     """
     can = F.col("label").isNotNull() & usable(F.col("embedding"))
-    rows = vectors.select(F.col("vec_id").cast("long"), "label", F.when(can, _plain(F.col("embedding"))).alias("vector"))
+    kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
+    rows = vectors.select(F.col("vec_id").cast("long"), "label", F.when(can, _plain(F.col("embedding"), kind)).alias("vector"))
     return rows.withColumns({"length": F.size("vector"), "node": F.when(F.col("vector").isNotNull(), F.xxhash64("label", "vector"))})
 
 
@@ -134,34 +139,41 @@ def _forest(threshold: float):
 
 def _counted(members: DataFrame, threshold: float) -> DataFrame:
     """Rows (node, links): for each member (component, node, length, vector, n), the vectors of other members that are
-    near, copies counted. Members meet in squares of about SQUARE by SQUARE, of which each gives sums for its rows."""
-    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / SQUARE).cast("int").alias("cells"))
-    rows = members.join(sizes, "component")
+    near, copies counted. Members meet in squares on and above the diagonal; a square gives sums for both its sides."""
+    side = F.greatest(F.lit(SQUARE), F.least(F.lit(LARGEST), F.count("*") / CELLS))
+    sizes = cut(members.groupBy("component").agg(F.ceil(F.count("*") / side).cast("int").alias("cells")))
+    rows = attach(members, sizes, ["component"])
     item = F.struct("node", "n", "vector")
     own = F.pmod(F.xxhash64("node"), F.col("cells")).cast("int")
-    every = F.sequence(F.lit(0), F.col("cells") - 1)
-    left = rows.select("component", "length", own.alias("i"), F.explode(every).alias("j"), item.alias("x"), F.lit(True).alias("l"))
-    right = rows.select("component", "length", F.explode(every).alias("i"), own.alias("j"), item.alias("x"), F.lit(False).alias("l"))
+    rows = rows.select("component", "length", "cells", own.alias("own"), item.alias("x"))
+    left = rows.select("component", "length", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("cells") - 1)).alias("j"), "x", F.lit(True).alias("l"))
+    right = rows.select("component", "length", F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"), "x", F.lit(False).alias("l"))
     squares = left.union(right).groupBy("component", "length", "i", "j").agg(
         F.collect_list(F.when(F.col("l"), F.col("x"))).alias("u"), F.collect_list(F.when(~F.col("l"), F.col("x"))).alias("v")
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(i, 16) for b in batches for i in range(0, b.num_rows, 16)):
+        for batch in (b.slice(i, 1) for b in batches for i in range(b.num_rows)):
+            u, v = batch.column("u").flatten(), batch.column("v").flatten()
             ids, sums = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-            for u, v, length in zip(batch.column("u"), batch.column("v"), batch.column("length").to_pylist(), strict=True):
-                if not u.values or not v.values or len(u.values) == 0 or len(v.values) == 0:
-                    continue
-                a, b = (x.values.field("node").to_numpy() for x in (u, v))
-                x, y = (_unit(_matrix(z.values.field("vector"), length), length) for z in (u, v))
-                # the dot products as the passes take them, so that both agree on a pair
-                near = np.einsum("ik,jk->ij", x, y) >= threshold
-                near &= a[:, None] != b
-                ids.append(a)
-                sums.append(near @ v.values.field("n").to_numpy())
+            if len(u) and len(v):
+                length, diagonal = batch.column("length")[0].as_py(), batch.column("i")[0] == batch.column("j")[0]
+                (a, n), (b, m) = ((z.field("node").to_numpy(), z.field("n").to_numpy()) for z in (u, v))
+                x, y = (_unit(_matrix(z.field("vector"), length), length) for z in (u, v))
+                below = np.zeros(len(b), dtype=np.int64)
+                for k in range(0, len(a), LINES):
+                    # the dot products as the passes take them, so that both agree on a pair
+                    near = np.einsum("ik,jk->ij", x[k : k + LINES], y) >= threshold
+                    near &= a[k : k + LINES, None] != b
+                    ids.append(a[k : k + LINES])
+                    sums.append(near @ m)
+                    below += n[k : k + LINES] @ near
+                if not diagonal:
+                    ids.append(b)
+                    sums.append(below)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(sums))], names=["node", "links"])
 
-    found = squares.select("length", "u", "v").mapInArrow(compare, "node long, links long")
+    found = squares.select("length", "i", "j", "u", "v").mapInArrow(compare, "node long, links long")
     return found.groupBy("node").agg(F.sum("links").alias("links"))
 
 
@@ -175,19 +187,21 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     )
     split = _passes(reps)
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = ["label", "length", "pass", "code", "node"]
-    sorted_ = split.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    keys = ["label", "length", "pass", "code", "tie"]
+    sorted_ = split.withColumn("tie", F.xxhash64("pass", "node")).repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     edges = sorted_.select("label", "length", "pass", "node", "vector").mapInArrow(_forest(threshold), "a long, b long")
     found = components(edges)
     members = cut(found.join(reps, "node").select("component", "node", "length", "vector", "n"))
     links = _counted(members, threshold)
     named = reps.select("node", "n", "vec_id").join(found, "node", "left").join(links, "node", "left")
     named = cut(named.select("node", "n", "vec_id", F.coalesce("component", "node").alias("part"), F.coalesce("links", F.lit(0)).alias("links")))
-    least = named.groupBy("part").agg(F.min("vec_id").alias("component_id"))
-    of = named.join(least, "part").select("node", (F.col("links") + F.col("n") - 1).alias("n_links"), "component_id")
+    least = cut(named.groupBy("part").agg(F.min("vec_id").alias("component_id"), F.count("*").alias("rows")))
+    of = look_up(named, least, "part", "rows", named.count())
+    of = cut(of.select("node", F.col("n").alias("rows"), (F.col("links") + F.col("n") - 1).alias("n_links"), "component_id"))
+    held = cut(every.select("vec_id", "node"))
     own = F.coalesce("component_id", "vec_id")
     return (
-        every.select("vec_id", "node").join(of, "node", "left")
+        look_up(held, of, "node", "rows", held.count())
         .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.when(F.col("vec_id").isNotNull(), own).alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
     )

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +15,8 @@ from ..operators.cuts import cut
 BROADCAST_ROWS = 100_000
 #: Rows of a partition of a compact table.
 PART_ROWS = 20_000
+#: Edges that a task holds at a time.
+EDGE_ROWS = 200_000
 #: Copies of a look-up row when its join is salted.
 SALTS = 16
 
@@ -62,6 +68,22 @@ def attach(big: DataFrame, small: DataFrame, keys: list[str], most: int = BROADC
     return left.join(right, met, "left").drop("_salt_l", "_salt_r", *names.values())
 
 
+def look_up(big: DataFrame, small: DataFrame, key: str, rows: str, total: int) -> DataFrame:
+    """`big` left-joined to `small`, which has one row for each key, and `rows`, how many rows of `big` bear it.
+
+    Keys of more than a thousandth of all `total` rows, fewer than a thousand, are broadcast; all others meet by key, no
+    task getting much more than that share of them; rows without a key meet nothing. Both sides must be cheap to read again.
+    """
+    hot = F.col(rows) * 1000 > total
+    values = [c for c in small.columns if c not in (key, rows)]
+    met = big.join(F.broadcast(small.where(hot).select(key, *values, F.lit(True).alias("_hot"))), key, "left")
+    first = met.where("_hot").select(*big.columns, *values)
+    rest = met.where(F.col("_hot").isNull() & F.col(key).isNotNull()).select(*big.columns)
+    rest = rest.join(small.where(~hot).select(key, *values), key, "left").select(*big.columns, *values)
+    none = big.where(F.col(key).isNull()).select(*big.columns, *[F.lit(None).cast(small.schema[v].dataType).alias(v) for v in values])
+    return first.union(rest).union(none)
+
+
 def count_words(text: Column) -> Column:
     """Number of runs of characters other than ASCII white space; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
@@ -72,18 +94,41 @@ def unit_hash(*columns: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*columns), 11).cast("double") / F.lit(float(1 << 53))
 
 
-def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's edges (a, b) to stars around the smallest node of each of its components."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            a, b = root(a), root(b)
+            parent[max(a, b)] = min(a, b)
+    found = np.array([(x, root(x)) for x in parent if root(x) != x], dtype=np.int64).reshape(-1, 2)
+    for i in range(0, len(found), 10_000):
+        part = found[i : i + 10_000]
+        yield pa.RecordBatch.from_arrays([pa.array(part[:, 0]), pa.array(part[:, 1])], names=["a", "b"])
+
+
+def components(edges: DataFrame, most_rounds: int = 64, rows: int = EDGE_ROWS) -> DataFrame:
     """Connected components of `edges` (a, b long): rows (node, component), component the smallest node reachable.
 
-    Alternates the large-star and small-star operations until the edges are stars around each smallest node. Every
+    Each task turns its edges, about `rows` of them, into stars around the smallest nodes that they reach. With several
+    tasks, rounds of the large-star and small-star operations and of such stars join them until nothing changes. Every
     round is a grouped minimum and a join by node, both safe on hubs: the minimum combines before it shuffles, and
     adaptive execution may split the join. Rounds are logarithmic in the nodes for the graphs met here.
     """
-    state = compact(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    )
+    state = _contracted(edges.where("a <> b").select("a", "b"), rows)
     before = None
     for _ in range(most_rounds):
+        now = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first() if state.rdd.getNumPartitions() > 1 else before
+        if now == before:
+            break
+        before = now
         both = state.select("a", "b").union(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         # large star: neighbours above the node move to the smallest neighbour
@@ -93,18 +138,14 @@ def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
         # small star: the neighbours below the node, and the node, move to the smallest of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("x"), "a", "m")
-        state = compact(
-            small.select(F.col("x").alias("a"), F.col("m").alias("b"))
-            .union(small.select("a", F.col("m").alias("b")))
-            .where("a <> b")
-            .distinct()
-        )
-        now = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
+        joined = small.select(F.col("x").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
+        state = _contracted(joined.where("a <> b").distinct(), rows)
     else:
         raise RuntimeError(f"components did not settle within {most_rounds} rounds")
     nodes = state.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = state.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return nodes.union(roots)
+
+
+def _contracted(edges: DataFrame, rows: int) -> DataFrame:
+    return cut(compact(edges, rows).mapInArrow(_stars, "a long, b long"))
