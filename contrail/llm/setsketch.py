@@ -3,7 +3,7 @@
 A document's set is its distinct word shingles. Each of M registers holds the least of the set's hashes under its own
 hash function, read as an exponential variate and put on an exponential scale of base B: floor(1 - log_B x), truncated
 to 0..Q+1. Registers of a union are the registers' maxima, and two sets agree in a register about as often as their
-Jaccard index says. Equal sequences of words are one class, of which one document is worked on. Classes that agree in a
+Jaccard index says. Equal sequences of words (by 128 bits) are one class, of which one document is worked on. Classes that agree in a
 band of ROWS registers meet in a bucket.
 
 First each class meets the bucket's least member and a member drawn for the band; the joint likelihood of the registers
@@ -11,12 +11,14 @@ and the exact set sizes estimates each pair, and the TRIED likeliest of each cla
 links found give components. Then only buckets that hold several components are left. In these all pairs between
 components are estimated, in squares of registers, and those that may link hold clusters together; within a cluster all
 pairs between components are tried on full sets, likeliest first, until they are joined or none is left. Squares give
-spanning links only, so a dense group costs rows in proportion to its members. No candidate pair is lost, and nothing is
+spanning links only, so a dense group costs rows in proportion to its members, and they are bounded by members and by the
+hashes of their sets, so that long texts make more squares, not larger ones. No candidate pair is lost, and nothing is
 sampled or capped.
 
 Nulls: a null text, or one without words, has an empty set and no link. A text of fewer words than a shingle is one
-shingle, its whole sequence. A document with a null id is in no group and kept. Repeated rows are copies: all rows of an id
-share its class. Empty tables give empty results. Other columns are not read.
+shingle, its whole sequence. A document with a null id is in no group and kept. Rows that repeat an id are documents of
+their own by their texts: those of one text are copies, and share all that is said of it. Equally likely pairs are tried in the order
+of their ids. Empty tables give empty results. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,12 +27,13 @@ import functools
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import BROADCAST_ROWS, compact, components, lean
+from .shared import BROADCAST_ROWS, attach, compact, components, cut, lean, look_up
 
 #: The scale of the registers: base, rate and largest value.
 B, A, Q = 1.001, 20.0, 65_534
@@ -43,8 +46,8 @@ TRIED = 2
 MARGIN = 0.14
 #: Members of a bucket up to which its pairs are listed; fuller buckets are compared in squares.
 FEW = 8
-#: Side of the squares in which members of full buckets are compared.
-SQUARE = 512
+#: Side of the squares in which members of full buckets are compared, and hashes of the sets on a side.
+SQUARE, HASHES = 512, 1 << 20
 #: Documents that a task sketches at a time.
 LOT = 256
 
@@ -127,14 +130,14 @@ def estimate(above: np.ndarray, below: np.ndarray, n1: np.ndarray, n2: np.ndarra
     return (low + high) / 2
 
 
-def _class(text: str) -> int | None:
-    """64 bits that stand for a text's normalised words, or None without words."""
+def _digest(text: str) -> bytes | None:
+    """128 bits that stand for a text's normalised words, or None without words."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
-    return int(np.uint64(xxhash.xxh3_64_intdigest(b" ".join(words), 1)).view(np.int64)) if words else None
+    return xxhash.xxh3_128_digest(b" ".join(words)) if words else None
 
 
 def _sketched(docs: DataFrame, width: int) -> DataFrame:
-    """Rows (doc_id, class, n_shingles, registers): class and sketch of each text."""
+    """Rows (doc_id, digest, n_shingles, registers): digest and sketch of each text."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, LOT) for b in batches for i in range(0, b.num_rows, LOT)):
@@ -143,15 +146,15 @@ def _sketched(docs: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array([_class(t) for t in texts], pa.int64()),
+                    pa.array([_digest(t) for t in texts], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([registers(s).tobytes() if len(s) else None for s in sets], pa.binary()),
                 ],
-                names=["doc_id", "class", "n_shingles", "registers"],
+                names=["doc_id", "digest", "n_shingles", "registers"],
             )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        sketch, "doc_id long, class long, n_shingles long, registers binary"
+        sketch, "doc_id long, digest binary, n_shingles long, registers binary"
     )
 
 
@@ -188,16 +191,17 @@ def _full_sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, width: int)
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, LOT) for b in batches for i in range(0, b.num_rows, LOT)):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            sets = [shingles(t, width).view(np.int64) for t in texts]
+            rows = [(t or "", d, c) for t, d, c in zip(*(batch.column(x).to_pylist() for x in ("text", "digest", "id")), strict=True)]
+            rows = [(t, c) for t, d, c in rows if _digest(t) == d]  # an id may bear several texts
+            sets = [shingles(t, width).view(np.int64) for t, _ in rows]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_class(t) for t in texts], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["c", "s"]
+                [pa.array([c for _, c in rows], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["c", "s"]
             )
 
-    ends = compact(ids.distinct().join(classes.select("id", "doc_id"), "id").select("doc_id").distinct())
+    ends = compact(ids.distinct().join(classes.select("id", "doc_id", "digest"), "id"))
     few = ends.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ends) if few else ends, "doc_id", "left_semi")
-    return compact(texts.select("text").mapInArrow(full, "c long, s array<long>").dropDuplicates(["c"]))
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ends) if few else ends, "doc_id")
+    return compact(texts.select("text", "digest", "id").mapInArrow(full, "c long, s array<long>").dropDuplicates(["c"]))
 
 
 def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, threshold: int) -> DataFrame:
@@ -244,22 +248,24 @@ def _few(rows: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
     return held.select("x").mapInArrow(compare, "a long, b long").distinct()
 
 
-def _squares(rows: DataFrame, by: str, item: Column) -> DataFrame:
+def _squares(rows: DataFrame, by: str, item: Column, hashes: Column) -> DataFrame:
     """Rows (u, v) of lists of `item`: the members of each group (column `by`) outside its largest part (column part),
-    u, and all of its members, v, in squares of about SQUARE by SQUARE that cover all pairs of the two."""
-    sizes = rows.groupBy(by, "part").agg(F.count("*").alias("n"))
+    u, and all of its members, v, in squares that cover all pairs of the two, with about SQUARE members and HASHES
+    `hashes` on a side at most."""
+    sizes = rows.groupBy(by, "part").agg(F.count("*").alias("n"), F.sum(hashes).alias("h"))
+    cells = lambda n, h: F.ceil(F.greatest(n / SQUARE, h / HASHES)).cast("int")
     grid = compact(
         sizes.groupBy(by)
-        .agg(F.count("*").alias("parts"), F.sum("n").alias("_all"), F.max(F.struct("n", "part")).alias("top"))
+        .agg(F.count("*").alias("parts"), F.sum("n").alias("_n"), F.sum("h").alias("_h"), F.max(F.struct("n", "part", "h")).alias("top"))
         .where("parts > 1")
         .select(
             by,
             F.col("top.part").alias("largest"),
-            F.ceil(F.col("_all") / SQUARE).cast("int").alias("wide"),
-            F.ceil((F.col("_all") - F.col("top.n")) / SQUARE).cast("int").alias("high"),
+            cells(F.col("_n"), F.col("_h")).alias("wide"),
+            cells(F.col("_n") - F.col("top.n"), F.col("_h") - F.col("top.h")).alias("high"),
         )
     )
-    met = rows.join(grid, by)
+    met = attach(rows, grid, [by]).where("largest is not null")
     own = F.xxhash64("id")
     upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     left = met.where("part <> largest").select(
@@ -276,7 +282,7 @@ def _many(rows: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
     """For fuller buckets, a spanning forest (a, b) over ids of the pairs between components whose estimate allows the
     threshold: at most one row for each member of a square, and the ids of every such pair are connected."""
     own = rows.join(classes.select("id", "n", "registers"), "id")
-    squares = _squares(own, "bucket", F.struct("id", "part", "n", "registers"))
+    squares = _squares(own, "bucket", F.struct("id", "part", "n", "registers"), F.lit(0))
     return squares.mapInArrow(_within(threshold, False), "a long, b long").distinct()
 
 
@@ -308,7 +314,7 @@ def _clustered(members: DataFrame, classes: DataFrame, docs: DataFrame, width: i
     """
     sets = _full_sets(members.select("id"), classes, docs, width).withColumnRenamed("c", "id")
     rows = members.join(classes.select("id", "n", "registers"), "id").join(sets, "id")
-    squares = _squares(rows, "cluster", F.struct("id", "part", "n", "registers", "s"))
+    squares = _squares(rows, "cluster", F.struct("id", "part", "n", "registers", "s"), F.col("n"))
     return compact(squares.mapInArrow(_within(threshold, True), "a long, b long"))
 
 
@@ -346,12 +352,44 @@ def _joined(u: pa.StructArray, v: pa.StructArray, threshold: int, verify: bool)
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, kept) for every row of `docs`: groups of texts that share at least
     `threshold` per cent of their joint shingles of `width` words, directly or through others."""
+    return grouped(docs, width, threshold).drop("digest")
+
+
+def deduplicate(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
+    """`docs` with one document of each group of near-duplicates, the one with the smallest id.
+
+    The ids to drop are broadcast while they are few, else joined by id. Of rows that repeat an id, each text counts for
+    itself, and of rows with equal id and text the least stays. Rows without an id or without words all stay.
+    """
+    found = cut(grouped(docs, width, threshold))
+    ids = cut(found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if(~F.col("kept")).alias("out")).where("n > 1 or out > 0"))
+    gone, twice = ids.where("n = 1").select("doc_id"), ids.where("n > 1").select("doc_id")
+    few = gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    rest = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    if twice.isEmpty():
+        return rest
+
+    @F.pandas_udf("binary")
+    def digest(lots: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for lot in lots:
+            yield pd.Series([_digest(t or "") for t in lot], dtype="object")
+
+    again = rest.join(twice, "doc_id", "left_semi").select(F.col("doc_id").cast("long").alias("_id"), digest("text").alias("_d"), F.struct(*docs.columns).alias("_row"))
+    stay = found.join(twice, "doc_id", "left_semi").where("kept and digest is not null").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_d")).distinct()
+    least = again.join(stay, ["_id", "_d"]).groupBy("_id", "_d").agg(F.min("_row").alias("_row"))
+    empty = again.where("_d is null").select("_row")
+    return rest.join(twice, "doc_id", "left_anti").select(*docs.columns).union(least.select("_row").union(empty).select("_row.*"))
+
+
+def grouped(docs: DataFrame, width: int, threshold: int) -> DataFrame:
+    """As `near_duplicates`, with `digest`, which stands for the row's normalised words."""
     rows = compact(_sketched(lean(docs), width))
-    known = rows.where("class is not null and doc_id is not null")
+    known = rows.where("digest is not null and doc_id is not null")
+    # numbered as they are written to the checkpoint, which every later step reads
     classes = compact(
-        known.groupBy("class")
-        .agg(F.min("doc_id").alias("doc_id"), F.max(F.struct("n_shingles", "registers")).alias("x"))
-        .select(F.col("class").alias("id"), "doc_id", F.col("x.n_shingles").alias("n"), F.col("x.registers").alias("registers"))
+        known.groupBy("digest")
+        .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows"), F.max(F.struct("n_shingles", "registers")).alias("x"))
+        .select(F.monotonically_increasing_id().alias("id"), "digest", "doc_id", "rows", F.col("x.n_shingles").alias("n"), F.col("x.registers").alias("registers"))
     )
     banded = _banded(classes)
     draw = F.min(F.struct(F.xxhash64("id", "bucket").alias("h"), F.col("id").alias("id")))
@@ -375,19 +413,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> Dat
     clusters = components(maybe).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
     members = compact(opened.select("id", "part").distinct().join(clusters, "id"))
     second = _clustered(members, classes, docs, width, threshold)
-    # an id on rows of several classes holds them together
-    several = known.groupBy("doc_id").agg(F.min("class").alias("b"), F.max("class").alias("_x")).where("b <> _x")
-    same = known.join(several, "doc_id").select(F.col("class").alias("a"), "b")
-    parts = components(first.union(second).union(same))
-    named = classes.join(parts.withColumnRenamed("node", "id"), "id", "left").select(
-        "id", "doc_id", F.coalesce("component", "id").alias("part")
+    parts = components(first.union(second))
+    named = cut(
+        classes.join(parts.withColumnRenamed("node", "id"), "id", "left").select(
+            "digest", "doc_id", "rows", F.coalesce("component", "id").alias("part")
+        )
     )
-    least = named.groupBy("part").agg(F.min("doc_id").alias("component_id"))
-    of = compact(named.join(least, "part").select(F.col("id").alias("class"), "component_id"))
+    least = cut(named.groupBy("part").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("members")))
+    of = cut(look_up(named, least, "part", "members", named.count()).select("digest", "rows", "component_id"))
     own = F.coalesce("component_id", "doc_id")
+    held = rows.select("doc_id", "n_shingles", "digest")
     return (
-        rows.select("doc_id", "class", "n_shingles")
-        .join(of, "class", "left")
-        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
+        look_up(held, of, "digest", "rows", held.count())
+        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"), "digest")
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        .select("doc_id", "n_shingles", "component_id", "kept", "digest")
     )

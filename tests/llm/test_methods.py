@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from contrail.llm import htmltext, mixing, packing, projections, quality, setsketch, sharding, surrogates, syncmers, urlrules
 from contrail.llm.queries import QUERIES
-from contrail.llm.shared import attach, components, cut, read
+from contrail.llm.shared import attach, components, cut, look_up, read
 
 
 # -- shared ---------------------------------------------------------------------------------------
@@ -38,8 +38,17 @@ def test_components_equal_union_find(spark):
     for a, b in edges:
         a, b = root(a), root(b)
         parent[max(a, b)] = min(a, b)
-    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {x: root(x) for a, b in edges if a != b for x in (a, b)}
+    for rows in (200_000, 60):
+        got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long"), rows=rows).collect()}
+        assert got == {x: root(x) for a, b in edges if a != b for x in (a, b)}
+
+
+def test_look_up_equals_a_left_join(spark):
+    big = cut(spark.createDataFrame([(i % 7 if i % 5 else None, i) for i in range(3000)] + [(100 + i, i) for i in range(2000)], "k int, v int"))
+    small = cut(big.where("k is not null and k <> 3").groupBy("k").agg(F.count("*").alias("n"), F.max("v").alias("w")))
+    want = big.join(small.drop("n"), "k", "left").select("k", "v", "w")
+    got = look_up(big, small, "k", "n", big.count())
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
 def test_attach_salted_equals_broadcast(spark):

@@ -41,5 +41,8 @@ def test_repeated_and_null_ids(spark, sf):
     docs = spark.createDataFrame([(1, "a b c d e f g h", "en", "s", 15), (1, "a b c d e f g h", "en", "s", 15), (2, "a b c d e f g h", "en", "s", 15), (None, "x y z", "en", "s", 5), (None, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
     out = pipeline.drop_near_duplicates(spark, docs, sf)
     assert sorted(map(str, (r["doc_id"] for r in out.collect()))) == ["1", "None", "None"]
+    other = spark.createDataFrame([(1, "q r s t u v w x", "en", "s", 15), (2, "a b c d e f g h", "en", "s", 15), (1, "a b c d e f g h", "de", "s", 15)], docs.schema)
+    kept = pipeline.drop_near_duplicates(spark, docs.unionByName(other), sf).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "", r["lang"] or "") for r in kept) == [(0, "", ""), (0, "x y z", "en"), (1, "a b c d e f g h", "de"), (1, "q r s t u v w x", "en")]
     for _, stage in pipeline.STAGES:
         assert stage(spark, docs.limit(0), sf).count() == 0
