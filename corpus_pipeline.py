@@ -3,18 +3,20 @@ the one before kept, written as Parquet in the shared folder and read again."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.llm import mixing, packing, quality, setsketch, surrogates
-from contrail.llm.shared import BROADCAST_ROWS, cut, read
+from contrail.llm.shared import read
+from contrail.operators.cuts import shared_folder
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the quality classifier rejects."""
+    """Drops the documents that the quality classifier rejects: those with null and blank texts among them, none where
+    there are no labels of both kinds. Rows that repeat an id are judged by their own texts, which are read whole; other
+    columns stay, whatever their names. An empty table gives an empty result."""
     # a row travels as one column, so that none of its names can clash
     rows = docs.select("text", "source", "lang", "doc_id", F.struct(*docs.columns).alias("_row"))
     return quality.classify(rows, read(spark, sf_dir, "labels")).where("kept").select("_row.*")
@@ -23,23 +25,15 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates (five words, 0.8), the one with the smallest id.
 
-    The ids to drop come from the operator; they are broadcast while they are few, else joined by id. Rows that repeat
-    an id are one document, of which one row stays; rows without an id all stay.
+    Of rows that repeat an id, each text counts for itself, and one row of each stays; rows without an id or without words
+    all stay. Texts are compared whole, and an empty table gives an empty result.
     """
-    found = cut(setsketch.near_duplicates(docs.select("doc_id", "text"), width=5, threshold=80))
-    out = cut(found.where("not kept").select("doc_id").distinct())
-    few = out.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    kept = docs.join(F.broadcast(out) if few else out, "doc_id", "left_anti").select(*docs.columns)
-    twice = cut(found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
-    if twice.isEmpty():
-        return kept
-    rest = kept.join(twice, "doc_id", "left_anti").select(*docs.columns)
-    one = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return rest.unionByName(one)
+    return setsketch.deduplicate(docs, width=5, threshold=80)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data by surrogates and counts the characters again."""
+    """Replaces personal data by surrogates and counts the characters again. Null texts stay null, repeated rows are
+    treated alike, very long texts are read whole, and other columns stay, whatever their names."""
     rows = docs.select("text", F.struct(*docs.columns).alias("_row"))
     found = surrogates.pseudonymize(rows)
     new = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
@@ -47,12 +41,15 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes each document as often as the source mix asks."""
+    """Takes each document as often as the source mix asks, up to three times: a null source is a source of its own, null
+    and empty texts, which have no words, are never taken, and repeated rows are drawn alike. Other columns stay, whatever
+    their names. An empty table gives an empty result."""
     return mixing.mix(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of a power of two of ids, each of one document."""
+    """Sequences of a power of two of ids, each of one document; a null text gives its end mark alone. sequence_id is
+    unique within a run. An empty table gives an empty result."""
     return packing.pack(docs)
 
 
@@ -70,8 +67,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to the documents of a directory."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="contrail-")
-    folder = f"{base}/pipeline-{uuid.uuid4()}"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}"
     docs = read(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
