@@ -2,31 +2,40 @@
 
 A text is read as tokens; every token has a hash. A k-mer of tokens is a closed syncmer if the least of its inner
 s-mers' hashes stands first or last in it. That is decided by the k-mer alone, so equal passages give equal anchors
-wherever they stand, and an edit touches the anchors near it only. Anchors are (position, hash); the fingerprint is the
-sketch of the KEPT least distinct anchor hashes, and likeness estimates the Jaccard index of two anchor sets.
+wherever they stand, and an edit touches the anchors near it only. Tokens end where their own characters say so, never at a
+count, so that this holds within long runs without spaces too. Of any K - S + 1 k-mers in a row one is an anchor.
+
+Anchors are (position, hash). The fingerprint holds all of a text in order, each as 32 bits of its hash and the step from
+the one before. `likeness` is the Jaccard index of two anchor sets, `aligned` that of the anchors with their positions, and
+`passages` finds shared runs of two documents at whatever offset.
 
 Nulls: a null text is empty; an empty text has no anchors and an empty fingerprint; two empty ones are alike (1), an
 empty and another are not (0). A text without any closed syncmer, such as one of fewer than K tokens, has one anchor, its whole
-token sequence. Null ids come first in the order; equal ids are ordered by their texts' hashes.
+token sequence. Null ids come first in the order; equal ids are ordered by their texts' hashes, and rows equal in both are
+next to each other. Very long texts are read whole. An empty table gives an empty result. Other columns pass through
+`fingerprints`, but for those that bear the name of a column of the result; the rest does not read them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
-from .shared import without
-
+from .shared import cut, without
 
-#: Tokens of a k-mer and of its inner s-mers.
-K = 5
+#: Tokens of a k-mer and of its inner s-mers; K - S is at most 15.
+K = 8
 S = 2
-#: Hashes of a fingerprint.
-KEPT = 128
-#: Tokens: a character of a script without spaces, or up to 24 characters between white space.
-TOKEN = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]|[^\s\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]{1,24}"
+#: Scripts without spaces, of which each character is a token.
+_SINGLE = "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
+#: Characters that end a token within a run: rare letters, digits and signs that join.
+_LAST = r"jqxzJQXZ0-9+/=_\-"
+TOKEN = rf"[{_SINGLE}]|[^\s{_SINGLE}{_LAST}]*+[{_LAST}]|[^\s{_SINGLE}{_LAST}]++"
 #: Ranges of ids, each ordered by one task, for each shuffle partition.
 RANGES = 4
+#: Bounds of ranges that are looked through at a time.
+STRIDE = 256
 
 
 def tokens(text: Column) -> Column:
@@ -68,88 +77,123 @@ def anchors(hashes: Column, k: int = K, s: int = S) -> Column:
     return let(hashes, of)
 
 
-def sketch(found: Column, kept: int = KEPT) -> Column:
-    """The `kept` least distinct hashes of the anchors, ascending."""
-    return F.slice(F.sort_array(F.array_distinct(F.transform(found, lambda a: a["hash"]))), 1, kept)
+def marks(found: Column) -> Column:
+    """32 bits of each anchor's hash."""
+    return F.transform(found, lambda a: a["hash"].bitwiseAND(F.lit(0xFFFFFFFF)))
+
+
+def as_text(found: Column) -> Column:
+    """Anchors in order as hexadecimal digits, nine for each: its mark and the step from the position before."""
+    step = lambda a, i: a["pos"] - F.coalesce(F.get(found, i - 1)["pos"], F.lit(0))
+    one = lambda a, i: F.concat(F.lpad(F.hex(a["hash"].bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"), F.hex(step(a, i)))
+    return F.lower(F.array_join(F.transform(found, one), ""))
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """Jaccard index of two arrays as sets, 1 if both are empty."""
+    union = F.size(F.array_union(a, b))
+    return F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / F.greatest(union, F.lit(1)))
+
+
+def placed(found: Column) -> Column:
+    """A hash of each anchor and its position."""
+    return F.transform(found, lambda a: F.xxhash64(a["pos"], a["hash"]))
+
 
+def aligned(a: Column, b: Column) -> Column:
+    """Jaccard index of two texts' anchors with their positions."""
+    return likeness(placed(a), placed(b))
 
-def as_text(hashes: Column) -> Column:
-    """A sketch as hexadecimal digits, 16 for each hash."""
-    return F.array_join(F.transform(hashes, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
 
+def passages(pairs: DataFrame, least: int = 2) -> DataFrame:
+    """Shared runs of the documents of `pairs` (pair, a, b: anchors): rows (pair, shift, start, end, anchors), the
+    anchors with equal marks whose positions differ by `shift`, from `start` to `end` in a, `least` of them at least.
 
-def likeness(a: Column, b: Column, kept: int = KEPT) -> Column:
-    """Estimated Jaccard index of the sets behind two sketches: the share of their union's least hashes in both."""
-    union = F.slice(F.sort_array(F.array_union(a, b)), 1, kept)
-    shared = let(union, lambda u: F.size(F.array_intersect(F.array_intersect(a, b), u)) / F.greatest(F.size(u), F.lit(1)))
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(shared)
+    Anchors meet by pair and mark; where a mark is repeated in both, its n-th place meets the n-th, so that a repeated
+    line gives no product. No pair is held in a task, as its rows are dealt by mark.
+    """
+
+    def side(name: str) -> DataFrame:
+        rows = pairs.select("pair", F.explode(name).alias("x")).select("pair", F.col("x.hash").alias("hash"), F.col("x.pos").alias(name))
+        return rows.withColumn("nth", F.row_number().over(Window.partitionBy("pair", "hash").orderBy(name)))
+
+    met = side("a").join(side("b"), ["pair", "hash", "nth"]).groupBy("pair", (F.col("b") - F.col("a")).alias("shift"))
+    return met.agg(F.min("a").alias("start"), F.max("a").alias("end"), F.count("*").alias("anchors")).where(F.col("anchors") >= least)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """`docs` with `anchors` and `fingerprint`."""
     hashed = without(docs, "anchors", "fingerprint", "_t").withColumn("_t", tokens(F.col("text")))
-    return (
-        hashed.withColumn("anchors", anchors(F.col("_t")))
-        .withColumn("fingerprint", as_text(sketch(F.col("anchors"))))
-        .drop("_t")
-    )
+    return hashed.withColumn("anchors", anchors(F.col("_t"))).withColumn("fingerprint", as_text(F.col("anchors"))).drop("_t")
+
+
+def _below(bounds: list[int], value: Column) -> Column:
+    """How many of the ascending bounds are at most `value`: first among every STRIDE-th, then between two of them."""
+    of = lambda some: F.array(*map(F.lit, some)).cast("array<bigint>")
+    before = F.size(F.filter(of(bounds[STRIDE - 1 :: STRIDE]), lambda b: b <= value)) * STRIDE
+    return before + F.size(F.filter(F.slice(of(bounds), before + 1, STRIDE), lambda b: b <= value))
 
 
 def followed(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, text, next_text): each text with that of the next document by ascending id, the last with the first.
+    """Rows (doc_id, text, h, part, guest, next_text): each text with that of the next document by ascending id, the last
+    with the first.
 
-    Ids are cut into ranges at approximate quantiles, so that no task orders them all; the first document of each range
-    also goes to the range before, and the first of all to the last, where it only serves as the next one. Only the
-    bounds and each range's least id, as many as there are ranges, come to the driver.
+    Ids are cut into ranges at approximate quantiles, so that no task orders them all; an id (or null) of so many rows that
+    several quantiles fall on it is cut further by its texts' hashes. The first document of each part also goes to the
+    part before, and the first of all to the last, where it only serves as the next one. Only the bounds come to the
+    driver, as many as there are ranges.
     """
-    spark = docs.sparkSession
-    ranges = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    ranges = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", text.alias("text"), F.shiftrightunsigned(F.xxhash64(text), 1).alias("h"))
     shares = [i / ranges for i in range(1, ranges)]
-    found = rows.select(F.percentile_approx("doc_id", shares, 10 * ranges).alias("q")).first()["q"] or []
+    cuts = rows.select(F.percentile_approx("doc_id", shares, 10 * ranges).alias("q"), F.count_if(F.col("doc_id").isNull()).alias("n"), F.count("*").alias("all")).first()
+    found = cuts["q"] or []
     bounds = sorted(set(found))
-    at = F.array(*map(F.lit, bounds)) if bounds else F.expr("cast(array() as array<bigint>)")
-    part = F.coalesce(F.size(F.filter(at, lambda b: b <= F.col("doc_id"))), F.lit(0))
-    rows = rows.withColumn("part", part)
+    often = {b: found.count(b) for b in bounds if found.count(b) > 1}
+    pieces = F.lit(1 + ranges * cuts["n"] // max(1, cuts["all"]))  # of the rows without an id
+    if often:
+        pieces = F.when(F.col("doc_id").isNull(), pieces).otherwise(F.element_at(F.create_map(*[F.lit(x) for pair in often.items() for x in pair]), F.col("doc_id")))
+    else:
+        pieces = F.when(F.col("doc_id").isNull(), pieces)
+    # an id that is cut further is the least of its range, so the rest of the range comes after its pieces
+    piece = F.coalesce(F.floor(F.col("h") / F.lit(2.0**63) * pieces), F.lit(ranges + 1))
+    range_ = F.when(F.col("doc_id").isNull(), 0).otherwise(1 + _below(bounds, F.col("doc_id")))
+    rows = rows.withColumn("part", range_ * F.lit(ranges + 2).cast("long") + piece)
     # ids compare null first: (is not null, id)
-    rank = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").alias("id"))
-    firsts = rows.select("part", rank.alias("r")).groupBy("part").agg(F.min("r").alias("r")).orderBy("part").collect()
-    before = {firsts[i]["part"]: firsts[i - 1]["part"] for i in range(len(firsts))}
-    least = {f["part"]: f["r"]["id"] for f in firsts}
-
-    def table(of: dict) -> Column:
-        pairs = [x for k, v in of.items() for x in (F.lit(k), F.lit(v).cast("long"))]
-        return F.create_map(*pairs) if pairs else F.create_map(F.lit(-1), F.lit(None).cast("long"))
-
-    first_of = F.element_at(table(least), F.col("part"))
-    leads = F.col("doc_id").eqNullSafe(first_of)
-    guest_at = F.element_at(table(before), F.col("part")).cast("int")
-    places = F.when(
-        leads, F.array(F.struct(F.col("part"), F.lit(0).alias("guest")), F.struct(guest_at.alias("part"), F.lit(1).alias("guest")))
-    ).otherwise(F.array(F.struct(F.col("part"), F.lit(0).alias("guest"))))
-    placed = rows.select("doc_id", "text", F.explode(places).alias("at")).select("doc_id", "text", "at.*")
-    order = Window.partitionBy("part").orderBy("guest", F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    return placed.withColumn("next_text", F.lead("text").over(order))
+    rank = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").alias("id"), F.col("h").alias("h"))
+    order = Window.orderBy("part")
+    firsts = rows.groupBy("part").agg(F.min(rank).alias("first"))
+    before = F.coalesce(F.lag("part").over(order), F.max("part").over(Window.partitionBy()))
+    firsts = cut(firsts.select("part", "first", before.alias("before")))
+    # a few rows for each range, so the broadcast is bounded
+    known = rows.join(F.broadcast(firsts), "part")
+    here, there = (F.struct(F.col(c).alias("part"), F.lit(g).alias("guest")) for c, g in (("part", 0), ("before", 1)))
+    places = F.when(rank == F.col("first"), F.array(here, there)).otherwise(F.array(here))
+    met = known.select("doc_id", "text", "h", F.explode(places).alias("at")).select("doc_id", "text", "h", "at.*")
+    return met.withColumn("next_text", F.lead("text").over(_within()))
+
+
+def _within() -> WindowSpec:
+    return Window.partitionBy("part").orderBy("guest", F.col("doc_id").asc_nulls_first(), "h")
 
 
 def compared(docs: DataFrame) -> DataFrame:
     """Fingerprints of each text, of its edited text, and the likenesses: the rows of the query op5."""
-    pairs = followed(docs)
-    order = Window.partitionBy("part").orderBy("guest", F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    own = pairs.withColumn("_own", sketch(anchors(tokens(F.col("text"))))).withColumn(
-        "_next", F.lead("_own").over(order)
-    )
+    pairs = followed(docs).withColumn("_own", anchors(tokens(F.col("text"))))
+    own = pairs.withColumn("_next", F.lead(marks(F.col("_own"))).over(_within()))
     n = F.char_length("text")
     moved = F.floor(n / 4).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), n - moved), F.substr(F.coalesce("next_text", F.lit("")), F.lit(1), moved))
     done = own.where("guest = 0").withColumn("edited", edited)
-    done = done.withColumn("_edited", sketch(anchors(tokens(F.col("edited")))))
+    done = done.withColumn("_edited", anchors(tokens(F.col("edited"))))
     return done.select(
         "doc_id",
         n.cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         as_text(F.col("_own")).alias("fingerprint"),
         as_text(F.col("_edited")).alias("edited_fingerprint"),
-        likeness(F.col("_own"), F.col("_edited")).alias("near_edited"),
-        likeness(F.col("_own"), F.col("_next")).alias("near_next"),
+        likeness(marks(F.col("_own")), marks(F.col("_edited"))).alias("near_edited"),
+        likeness(marks(F.col("_own")), F.col("_next")).alias("near_next"),
+        aligned(F.col("_own"), F.col("_edited")).alias("aligned_edited"),
     )

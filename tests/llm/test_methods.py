@@ -253,7 +253,7 @@ def xx(*values, seed=42):
 
 def test_anchors_equal_brute_force(spark):
     rng = random.Random(4)
-    texts = [" ".join(rng.choice("ab cd efg hij klmno".split()) for _ in range(rng.randint(0, 60))) for _ in range(60)]
+    texts = [" ".join(rng.choice("ab cd efg hik klmno".split()) for _ in range(rng.randint(0, 60))) for _ in range(60)]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     k, s = syncmers.K, syncmers.S
     for r in syncmers.fingerprints(rows).collect():
@@ -269,6 +269,57 @@ def test_anchors_equal_brute_force(spark):
             assert len(r["anchors"]) == (1 if h else 0)
 
 
+def spelled(fingerprint):
+    """(position, mark) of the anchors of a fingerprint."""
+    out, at = [], 0
+    for i in range(0, len(fingerprint), 9):
+        at += int(fingerprint[i + 8], 16)
+        out.append((at, fingerprint[i : i + 8]))
+    return out
+
+
+def test_an_edit_stays_local_in_every_kind_of_run(spark):
+    rng = random.Random(6)
+    runs = {
+        "base64": "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(4000)),
+        "khmer": "".join(chr(rng.randint(0x1780, 0x17A2)) for _ in range(1500)),
+        "lao": "".join(chr(rng.randint(0x0E81, 0x0E82)) + chr(rng.randint(0x0EA1, 0x0EA3)) for _ in range(700)),
+        "myanmar": "".join(chr(rng.randint(0x1000, 0x1020)) for _ in range(1500)),
+        "words": " ".join("".join(rng.choice("abcdeijklmnoqrstuvx") for _ in range(rng.randint(1, 9))) for _ in range(800)),
+    }
+    rows = [(f"{k}{i}", t) for k, x in runs.items() for i, t in enumerate([x, x[: len(x) // 2] + x[len(x) // 2] + x[len(x) // 2 :]])]
+    got = {r["name"]: r["fingerprint"] for r in syncmers.fingerprints(spark.createDataFrame(rows, "name string, text string")).collect()}
+    for k in runs:
+        a, b = ({m for _, m in spelled(got[f"{k}{i}"])} for i in (0, 1))
+        assert len(a & b) / len(a | b) > 0.95, k
+
+
+def test_passages_at_any_offset(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(5))
+    shared, line = " ".join(word() for _ in range(60)), " ".join(word() for _ in range(12))
+    a = " ".join(word() for _ in range(100)) + " " + shared + (" " + line) * 30
+    b = " ".join(word() for _ in range(17)) + " " + shared + " end" + (" " + line) * 30
+    rows = syncmers.fingerprints(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string"))
+    x, y = (rows.where(f"doc_id = {i}").select(F.lit(1).alias("pair"), F.col("anchors").alias("ab"[i - 1])) for i in (1, 2))
+    found = {r["shift"]: r for r in syncmers.passages(x.join(y, "pair")).collect()}
+    run = found[-83]
+    assert 100 <= run["start"] < 107 and run["end"] > 145 and run["anchors"] > 10
+    assert sum(r["anchors"] for r in found.values()) < 400  # repeated lines meet once each
+
+
+def test_repeated_and_missing_ids_are_cut_by_their_texts(spark):
+    docs = spark.createDataFrame([(None if i % 3 == 0 else 5 if i % 3 == 1 else i, f"text {i}") for i in range(600)], "doc_id long, text string")
+    rows = syncmers.followed(docs).cache()
+    assert rows.where("guest = 0").count() == 600
+    share = rows.where("guest = 0").groupBy("part").count().agg(F.max("count")).first()[0]
+    assert share < 120
+    nexts = [(r["text"], r["next_text"]) for r in rows.where("guest = 0").collect()]
+    assert sorted(a for a, _ in nexts) == sorted(b for _, b in nexts)  # one round through all documents
+    order = {r["text"]: (r["doc_id"] is not None, r["doc_id"] or 0, r["h"]) for r in rows.collect()}
+    assert sum(order[a] > order[b] for a, b in nexts) == 1
+
+
 def test_op5_equals_brute_force(spark, sf):
     docs = sorted((r["doc_id"], r["text"]) for r in read(spark, sf, "documents").collect())
     prints = {r["doc_id"]: r["fingerprint"] for r in syncmers.fingerprints(read(spark, sf, "documents")).collect()}
@@ -282,9 +333,11 @@ def test_op5_equals_brute_force(spark, sf):
         r = rows[k]
         assert r["n_chars"] == len(t) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         assert r["fingerprint"] == prints[k]
-        a, b = ({f[j : j + 16] for j in range(0, len(f), 16)} for f in (prints[k], prints[after[0]]))
-        signed = sorted(a | b, key=lambda x: int(x, 16) - (1 << 64 if int(x, 16) >> 63 else 0))[: syncmers.KEPT]
-        assert r["near_next"] == pytest.approx(len(set(signed) & a & b) / max(1, len(signed)))
+        x, y, z = (spelled(f) for f in (prints[k], prints[after[0]], r["edited_fingerprint"]))
+        a, b, c = ({m for _, m in v} for v in (x, y, z))
+        assert r["near_next"] == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
+        assert r["near_edited"] == pytest.approx(len(a & c) / len(a | c) if a | c else 1.0)
+        assert r["aligned_edited"] == pytest.approx(len({*x} & {*z}) / len({*x, *z}) if a | c else 1.0)
     again = syncmers.fingerprints(spark.createDataFrame(edits, "doc_id long, text string"))
     assert {r["doc_id"]: r["fingerprint"] for r in again.collect()} == {k: r["edited_fingerprint"] for k, r in rows.items()}
     long = [r["near_edited"] for r in rows.values() if r["n_chars"] > 500]
