@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine
+from .cuts import cut
 
 #: A dimension of at most this many rows may be broadcast.
 SMALL = 50_000
@@ -22,42 +26,83 @@ def band_join(left: DataFrame, right: DataFrame, by: list[str], l_time: str, r_t
     Times fall into buckets as wide as the band; the right side is copied to the neighbouring buckets, so that each pair
     meets in exactly one. Work is in proportion to the rows of three buckets, never to the product of the sides.
     """
-    bucket = lambda c: F.floor(c.cast("timestamp").cast("double") / seconds).cast("long")
-    one = left.withColumn("_bucket", bucket(F.col(l_time)))
-    near = F.array(*[bucket(F.col(r_time)) + d for d in (-1, 0, 1)])
-    two = right.withColumn("_bucket", F.explode(near))
+    one, two = _time_buckets(left, right, l_time, r_time, seconds)
     apart = F.abs(F.col(l_time).cast("timestamp").cast("double") - F.col(r_time).cast("timestamp").cast("double"))
     return one.join(two, [*by, "_bucket"]).where(apart <= seconds).drop("_bucket")
 
 
-def radius_join(points: DataFrame, places: DataFrame, most_km: float, p: tuple[str, str], q: tuple[str, str]) -> DataFrame:
-    """Pairs within `most_km`, with `distance_km`, on cells of latitude and longitude; p and q name (lat, lon).
+def _time_buckets(left: DataFrame, right: DataFrame, l_time: str, r_time: str, seconds: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with `_bucket`, the right one copied to the neighbours."""
+    bucket = lambda c: F.floor(c.cast("timestamp").cast("double") / seconds).cast("long")
+    near = F.array(*[bucket(F.col(r_time)) + d for d in (-1, 0, 1)])
+    return left.withColumn("_bucket", bucket(F.col(l_time))), right.withColumn("_bucket", F.explode(near))
 
-    A cell is as high as the radius; places are copied to the cells that the radius may reach.
+
+def radius_join(points: DataFrame, places: DataFrame, most_km: float, p: tuple[str, str], q: tuple[str, str], by: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs within `most_km`, with `distance_km`, on cells of latitude and longitude; p and q name (lat, lon), `by` further
+    columns that must be equal.
+
+    A cell is as high as the radius; places are copied to the cells that the radius may reach, across the date line too.
+    Rows without coordinates meet nothing.
     """
     size = max(most_km / 110.0, 1e-4)
-    cell = lambda c, s=size: F.floor(c / s).cast("long")
-    # longitudes shrink with latitude: reach as far as the pole-ward edge of the place's neighbourhood needs
-    reach = F.ceil(1.0 / F.greatest(F.cos(F.radians(F.least(F.lit(89.0), F.abs(F.col(q[0])) + size))), F.lit(0.02)))
-    two = (
-        places.withColumn("_y", F.explode(F.sequence(cell(F.col(q[0])) - 1, cell(F.col(q[0])) + 1)))
-        .withColumn("_x", F.explode(F.sequence(cell(F.col(q[1])) - reach, cell(F.col(q[1])) + reach)))
+    across = math.ceil(360.0 / size)
+    row = lambda c: F.floor(c / size).cast("long")
+    column = lambda c: F.floor(F.pmod(c + 180.0, F.lit(360.0)) / size).cast("long")
+    # longitudes shrink with latitude: reach as far as the pole-ward edge of the place's neighbourhood needs, and one cell
+    # more, as the last one before the date line is narrower
+    reach = 1 + F.ceil(1.0 / F.greatest(F.cos(F.radians(F.least(F.lit(89.0), F.abs(F.col(q[0])) + size))), F.lit(0.02)))
+    around = F.when(2 * reach + 1 >= across, F.sequence(F.lit(0), F.lit(across - 1))).otherwise(
+        F.transform(F.sequence(-reach, reach), lambda d: F.pmod(column(F.col(q[1])) + d, F.lit(across)))
     )
-    one = points.withColumn("_y", cell(F.col(p[0]))).withColumn("_x", cell(F.col(p[1])))
+    known = F.col(q[0]).isNotNull() & F.col(q[1]).isNotNull()
+    two = places.where(known).withColumn("_y", F.explode(F.sequence(row(F.col(q[0])) - 1, row(F.col(q[0])) + 1))).withColumn("_x", F.explode(around))
+    one = points.withColumn("_y", row(F.col(p[0]))).withColumn("_x", column(F.col(p[1])).cast("long"))
     distance = haversine(F.col(p[0]), F.col(p[1]), F.col(q[0]), F.col(q[1]))
-    return one.join(two, ["_y", "_x"]).drop("_y", "_x").withColumn("distance_km", distance).where(F.col("distance_km") <= most_km)
+    met = one.join(two.withColumn("_x", F.col("_x").cast("long")), [*by, "_y", "_x"])
+    return met.drop("_y", "_x").withColumn("distance_km", distance).where(F.col("distance_km") <= most_km)
 
 
-def nearest(points: DataFrame, places: DataFrame, id_: str, p: tuple[str, str], q: tuple[str, str], order: list[Column]) -> DataFrame:
-    """Each point with its nearest place; `order` breaks ties. Places are a dimension of bounded, checked size."""
-    if places.limit(SMALL + 1).count() > SMALL:
-        raise ValueError(f"nearest needs at most {SMALL} places; use radius_join for more")
-    distance = haversine(F.col(p[0]), F.col(p[1]), F.col(q[0]), F.col(q[1]))
-    met = points.join(F.broadcast(places)).withColumn("distance_km", distance)
-    columns = [c for c in met.columns if c not in points.columns]
+def band_radius_join(left: DataFrame, right: DataFrame, l_time: str, r_time: str, seconds: int, most_km: float, p: tuple[str, str], q: tuple[str, str]) -> DataFrame:
+    """Pairs at most `seconds` and `most_km` apart, with `distance_km`; rows meet by time bucket and cell together."""
+    one, two = _time_buckets(left, right, l_time, r_time, seconds)
+    apart = F.abs(F.col(l_time).cast("timestamp").cast("double") - F.col(r_time).cast("timestamp").cast("double"))
+    return radius_join(one, two, most_km, p, q, ("_bucket",)).where(apart <= seconds).drop("_bucket")
+
+
+def box_join(points: DataFrame, boxes: DataFrame, p: tuple[str, str], box: tuple[str, str, str, str], size: float) -> DataFrame:
+    """Pairs of a point (lat, lon) and a box (south, west, north, east) that holds it, edges included; they meet by cells
+    of `size` degrees, of which a box is copied to those that it touches."""
+    cell = lambda c: F.floor(F.col(c) / size).cast("long")
+    south, west, north, east = box
+    two = boxes.withColumn("_y", F.explode(F.sequence(cell(south), cell(north)))).withColumn("_x", F.explode(F.sequence(cell(west), cell(east))))
+    one = points.withColumn("_y", cell(p[0])).withColumn("_x", cell(p[1]))
+    inside = F.col(p[0]).between(F.col(south), F.col(north)) & F.col(p[1]).between(F.col(west), F.col(east))
+    return one.join(two, ["_y", "_x"]).where(inside).drop("_y", "_x")
+
+
+#: Radii in kilometres within which the nearest place is looked for, the last one half way round the earth.
+RINGS = (10.0, 50.0, 250.0, 1250.0, 6250.0, 20_040.0)
+
+
+def nearest(points: DataFrame, places: DataFrame, id_: str, p: tuple[str, str], q: tuple[str, str], order: list[Column], most_km: float = RINGS[-1]) -> DataFrame:
+    """Each row of `points` with its nearest place within `most_km`; `order` breaks ties.
+
+    Rows are looked up within growing radii: what is found within one is nearest, and only the rest goes on to the next.
+    Equal rows stay apart. Rows without coordinates, or without a place, are left out. `id_` names the points' id.
+    """
+    rest = cut(points.where(F.col(p[0]).isNotNull() & F.col(p[1]).isNotNull()).withColumn("_key", F.monotonically_increasing_id()))
     ties = [c.alias(f"_o{i}") for i, c in enumerate(order)]
-    best = met.groupBy(*points.columns).agg(F.min(F.struct("distance_km", *ties, *[c for c in columns if c != "distance_km"])).alias("_b"))
-    return best.select(*points.columns, *[f"_b.{c}" for c in columns])
+    found = None
+    for km in [*[r for r in RINGS if r < most_km], most_km]:
+        met = radius_join(rest, places, km, p, q)
+        best = met.groupBy("_key").agg(F.min(F.struct("distance_km", *ties, *[c for c in places.columns])).alias("_b"))
+        hit = cut(rest.join(best, "_key"))
+        found = hit if found is None else found.union(hit)
+        rest = cut(rest.join(hit.select("_key"), "_key", "left_anti"))
+        if rest.isEmpty():
+            break
+    return found.select(*points.columns, *[F.col(f"_b.{c}") for c in places.columns], "_b.distance_km")
 
 
 def last_wins(rows: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
@@ -77,37 +122,62 @@ def insert_missing(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
 
 
 def hamming_pairs(rows: DataFrame, id_: str, bits: str, most: int = 4) -> DataFrame:
-    """Pairs (a, b, distance) of 64-bit hashes that differ in at most `most` bits.
+    """Pairs (a, b, distance) of different 64-bit hashes that differ in at most `most` bits, each by its least id.
 
-    The bits are cut into most + 1 pieces of nearly equal width; two hashes within the distance agree on a piece at
-    least, so pieces are the join key. Equal hashes meet once through one representative.
+    The bits are cut into most + 2 pieces of nearly equal width; two hashes within the distance agree on two pieces at
+    least, so two pieces together are the join key: 15 keys of 21 bits for a distance of four.
     """
-    pieces = most + 1
+    pieces = most + 2
     ends = [64 * i // pieces for i in range(pieces + 1)]
     kinds = rows.groupBy(bits).agg(F.min(id_).alias("_id"))
     part = [F.shiftrightunsigned(F.shiftleft(F.col(bits), 64 - e), 64 - (e - s)) for s, e in zip(ends, ends[1:], strict=False)]
-    exploded = kinds.select("_id", bits, F.posexplode(F.array(*part)).alias("_i", "_p"))
-    a = exploded.select(F.col("_id").alias("a"), F.col(bits).alias("_x"), "_i", "_p")
-    b = exploded.select(F.col("_id").alias("b"), F.col(bits).alias("_y"), "_i", "_p")
+    keys = [F.xxhash64(F.lit(i), F.lit(j), part[i], part[j]) for i, j in itertools.combinations(range(pieces), 2)]
+    exploded = kinds.select("_id", bits, F.explode(F.array(*keys)).alias("_p"))
+    a = exploded.select(F.col("_id").alias("a"), F.col(bits).alias("_x"), "_p")
+    b = exploded.select(F.col("_id").alias("b"), F.col(bits).alias("_y"), "_p")
     distance = F.bit_count(F.col("_x").bitwiseXOR(F.col("_y")))
-    return a.join(b, ["_i", "_p"]).where("a < b").withColumn("distance", distance).where(F.col("distance") <= most).select("a", "b", "distance").distinct()
+    return a.join(b, "_p").where("a < b").withColumn("distance", distance).where(F.col("distance") <= most).select("a", "b", "distance").distinct()
 
 
-def one_to_one(pairs: DataFrame, component: str, left: str, right: str, cost: str) -> DataFrame:
-    """Greedy assignment: within each component, the cheapest pair first, each side once.
+def leader_groups(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows (node, leader): greedy groups in the order of the nodes, each node joining its least neighbour that leads a
+    group, or leading one itself; `pairs` (a, b) with a < b.
 
-    Pairs of different components never share a side, so components are assigned apart from each other.
+    A node is decided once all neighbours before it are: rounds decide all such nodes at once, as many rounds as the
+    longest chain of neighbours in order.
+    """
+    open_ = cut(nodes.select("node"))
+    links = cut(pairs.select("a", "b"))
+    done = None
+    while not open_.isEmpty():
+        # neighbours before a node, undecided ones and leaders
+        waits = links.join(open_.withColumnRenamed("node", "a"), "a").select(F.col("b").alias("node")).distinct()
+        leads = open_.join(waits, "node", "left_anti")
+        if done is not None:
+            below = links.join(done.where("node = leader").select(F.col("node").alias("a")), "a").groupBy(F.col("b").alias("node")).agg(F.min("a").alias("leader"))
+            leads = leads.join(below, "node", "left")
+        else:
+            leads = leads.withColumn("leader", F.lit(None).cast(nodes.schema["node"].dataType))
+        found = cut(leads.select("node", F.coalesce("leader", "node").alias("leader")))
+        done = found if done is None else cut(done.union(found))
+        open_ = cut(open_.join(found, "node", "left_anti"))
+    return done if done is not None else nodes.select("node", F.col("node").alias("leader"))
+
+
+def one_to_one(pairs: DataFrame, left: str, right: str, order: list[str]) -> DataFrame:
+    """Greedy assignment over the total order (`order`, left, right): the first pair first, each side once.
+
+    A pair that is first for both its sides is taken in any case, so each round takes all of these and drops what they
+    use up; the result is that of going through all pairs in order, without any task that does.
     """
-    import pandas as pd
-
-    def assign(frame: pd.DataFrame) -> pd.DataFrame:
-        lefts, rights, keep = set(), set(), []
-        for row in frame.sort_values([cost, left, right]).itertuples():
-            a, b = getattr(row, left), getattr(row, right)
-            keep.append(a not in lefts and b not in rights)
-            if keep[-1]:
-                lefts.add(a)
-                rights.add(b)
-        return frame.sort_values([cost, left, right])[keep]
-
-    return pairs.groupBy(component).applyInPandas(assign, pairs.schema)
+    rank = F.struct(*order, left, right)
+    rest = cut(pairs)
+    taken = None
+    while not rest.isEmpty():
+        one = rest.groupBy(left).agg(F.min(rank).alias("_l"))
+        two = rest.groupBy(right).agg(F.min(rank).alias("_r"))
+        first = rest.join(one, left).join(two, right).where((rank == F.col("_l")) & (rank == F.col("_r"))).select(*pairs.columns)
+        hit = cut(first)
+        taken = hit if taken is None else taken.union(hit)
+        rest = cut(rest.join(hit.select(left).distinct(), left, "left_anti").join(hit.select(right).distinct(), right, "left_anti").select(*pairs.columns))
+    return pairs.limit(0) if taken is None else taken

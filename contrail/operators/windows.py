@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cuts import row_numbers
+from .joins import small
 
 
 def sessions(rows: DataFrame, by: list[str], time: str, tie: str, minutes: int = 60) -> DataFrame:
@@ -38,9 +39,12 @@ def pair_checks(rows: DataFrame, by: str, time: str, tie: str, altitude: str, sp
 
 
 def monthly_changes(counts: DataFrame, entity: str, month: str, n: str) -> DataFrame:
-    """Flags of a dense grid entity x month: z-score on the entity's history, change to the month before."""
-    months = counts.select(month).distinct()
-    grid = counts.select(entity).distinct().join(F.broadcast(months)).join(counts, [entity, month], "left").na.fill(0, [n])
+    """Flags of a dense grid entity x month: z-score on the entity's history, change to the month before.
+
+    The grid is every entity in every month, by definition; months are counted before they are broadcast.
+    """
+    months = small(counts.select(month).distinct())
+    grid = counts.select(entity).distinct().crossJoin(months).join(counts, [entity, month], "left").na.fill(0, [n])
     order = Window.partitionBy(entity).orderBy(month)
     all_ = Window.partitionBy(entity)
     spread = F.stddev_pop(n).over(all_)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates as A
 from ..operators import windows as W
+from ..operators.cuts import row_numbers
 from ..operators.joins import last_wins
 from .mapping import OBS, observations, table
 
@@ -51,9 +52,8 @@ def wave_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(minutes, 6).alias("duration_minutes"), F.round(F.avg("confidence"), 6).alias("mean_confidence"),
         F.bool_and(F.col("k").isNotNull()).alias("all_parsed"),
     )
-    # waves are one for each identity: a list that one window can number
-    number = F.row_number().over(Window.orderBy("aircraft"))
-    return waves.withColumn("wave_id", F.format_string("wave_%06d", number))
+    numbered = row_numbers(waves, [F.col("aircraft")], "_i")
+    return numbered.withColumn("wave_id", F.format_string("wave_%06d", F.col("_i") + 1)).drop("_i")
 
 
 def flight_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,22 +67,41 @@ def flight_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fused_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points of each track in order, a row for each, with the altitude at the track's start and end."""
     o = observations(spark, sf_dir)
-    points = F.array_sort(F.collect_list(F.struct("ts", "obs_id", "altitude_ft")))
-    p = o.where("altitude_ft % 3 = 0").groupBy("aircraft").agg(points.alias("p"))
-    return p.select(
-        "aircraft",
-        F.array_join(F.transform("p", lambda x: x["obs_id"].cast("string")), ",").alias("path"),
-        F.element_at("p", 1)["altitude_ft"].alias("first_altitude_ft"),
-        F.element_at("p", -1)["altitude_ft"].alias("last_altitude_ft"),
-    )
+    track = Window.partitionBy("aircraft")
+    at = track.orderBy("ts", "obs_id")
+    ends = [f("altitude_ft", F.struct("ts", "obs_id")).over(track) for f in (F.min_by, F.max_by)]
+    return o.select("aircraft", F.row_number().over(at).alias("seq"), "obs_id", ends[0].alias("first_altitude_ft"), ends[1].alias("last_altitude_ft"))
+
+
+def session_polylines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The polyline of each flight, or its ends where it has fewer than three points."""
+    s = W.sessions(observations(spark, sf_dir), ["aircraft", "day"], "ts", "obs_id", 240)
+    # a flight's points: a gap of four hours ends it
+    points = F.array_sort(F.collect_list(F.struct("ts", "obs_id", F.round("lon", 4).alias("lon"), F.round("lat", 4).alias("lat"))))
+    p = s.groupBy("aircraft", "day", "session").agg(points.alias("p"))
+    whole = F.transform("p", lambda x: F.format_string("%.4f %.4f", x["lon"], x["lat"]))
+    n = F.size("p")
+    ends = F.array(F.element_at(whole, 1), F.element_at(whole, -1))
+    return p.select("aircraft", "day", "session", F.when(n >= 3, "track").otherwise("endpoints").alias("basis"), F.array_join(F.when(n >= 3, whole).otherwise(ends), ",").alias("line"))
 
 
 def group_best_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winners and losers of each group, with the group's ordinal, the row's rank and how many duplicates it has.
+
+    A group of more than one is ranked by five keys; groups are numbered in order.
+    """
     o = observations(spark, sf_dir)
     group = Window.partitionBy("aircraft", "day", "kind")
-    ranked = o.withColumn("r", F.row_number().over(group.orderBy(F.desc("confidence"), F.desc("altitude_ft"), "obs_id")))
-    return ranked.withColumn("duplicate_count", F.count("*").over(group) - 1).where("r = 1").select("aircraft", "day", "kind", "obs_id", "duplicate_count")
+    order = (F.desc("confidence"), F.desc("altitude_ft"), F.desc("speed_mph"), F.desc("value"), F.col("obs_id"))
+    ranked = o.withColumns({"r": F.row_number().over(group.orderBy(*order)), "duplicate_count": F.count("*").over(group) - 1})
+    groups = row_numbers(o.select("aircraft", "day", "kind").distinct(), [F.col(c) for c in ("aircraft", "day", "kind")], "_g")
+    met = ranked.join(groups, ["aircraft", "day", "kind"])
+    return met.select(
+        (F.col("_g") + 1).alias("group_no"), "aircraft", "day", "kind", "obs_id", F.col("r").alias("group_rank"), "duplicate_count",
+        F.when(F.col("r") == 1, "winner").otherwise("duplicate").alias("outcome"),
+    )
 
 
 def priority_review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,10 +128,12 @@ _SESS = f"""{OBS}, g AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR epoch_us(
 def recurring_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Routes of at least two different kinds in a row that recur."""
     s = W.sessions(observations(spark, sf_dir), ["aircraft", "day"], "ts", "obs_id", 480)
-    seq = F.transform(F.array_sort(F.collect_list(F.struct("ts", "obs_id", "kind"))), lambda x: x["kind"])
-    routes = s.groupBy("aircraft", "day", "session").agg(seq.alias("q"))
-    kept = F.filter(F.transform("q", lambda x, i: F.when((i == 0) | (x != F.get(F.col("q"), i - 1)), x)), lambda x: x.isNotNull())
-    named = routes.select(F.array_join(kept, ">").alias("route"), F.size(kept).alias("stops"), "aircraft")
+    before = F.lag("kind").over(Window.partitionBy("aircraft", "day", "session").orderBy("ts", "obs_id"))
+    # only the changes of a session are gathered, which make up its name
+    changes = s.withColumn("_before", before).where("_before is null or _before <> kind")
+    kept = F.transform(F.array_sort(F.collect_list(F.struct("ts", "obs_id", "kind"))), lambda x: x["kind"])
+    routes = changes.groupBy("aircraft", "day", "session").agg(kept.alias("q"))
+    named = routes.select(F.array_join("q", ">").alias("route"), F.size("q").alias("stops"), "aircraft")
     return named.where("stops >= 2").groupBy("route").agg(F.count("*").alias("n"), F.countDistinct("aircraft").alias("aircraft")).where("n >= 2")
 
 
@@ -165,10 +186,11 @@ def gap_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sampled_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """At most five points of a track, evenly down-sampled by index."""
     o = observations(spark, sf_dir)
-    p = o.groupBy("aircraft").agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "obs_id"))), lambda x: x["obs_id"]).alias("p"))
-    n = F.size("p")
-    picked = F.when(n <= 5, F.col("p")).otherwise(F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.get("p", F.floor(i * n / 5).cast("int"))))
-    return p.select("aircraft", F.array_join(F.transform(picked, lambda x: x.cast("string")), ",").alias("sample"))
+    track = Window.partitionBy("aircraft")
+    p = o.select("aircraft", "obs_id", (F.row_number().over(track.orderBy("ts", "obs_id")) - 1).alias("i"), F.count("*").over(track).alias("n"))
+    chosen = (F.col("n") <= 5) | F.exists(F.sequence(F.lit(0), F.lit(4)), lambda j: F.floor(j * F.col("n") / 5) == F.col("i"))
+    # five ids at most for each track
+    return p.where(chosen).groupBy("aircraft").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "obs_id"))), lambda x: x["obs_id"].cast("string")), ",").alias("sample"))
 
 
 def replay_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,7 +208,7 @@ def running_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("obs_id", W.running_max(o, "corridor_id", "value", [F.col("confidence"), F.col("obs_id")]).alias("running_value"))
 
 
-QUERIES = {f.__name__: f for f in (historical_baselines, baseline_anomaly_scores, anomaly_band_counts, wave_rollup, flight_fusion, fused_points, group_best_dedup, priority_review_queue, flight_sessions, recurring_routes, pair_physics_checks, track_endpoints, weekly_change_flags, short_forecast, batch_plan, gap_overlaps, sampled_points, replay_timeline, running_calibration)}
+QUERIES = {f.__name__: f for f in (historical_baselines, baseline_anomaly_scores, anomaly_band_counts, wave_rollup, flight_fusion, fused_points, session_polylines, group_best_dedup, priority_review_queue, flight_sessions, recurring_routes, pair_physics_checks, track_endpoints, weekly_change_flags, short_forecast, batch_plan, gap_overlaps, sampled_points, replay_timeline, running_calibration)}
 
 ORACLE = {
     "historical_baselines": f"WITH {OBS} SELECT corridor_id, kind AS domain, CAST(count(*) AS DOUBLE) AS historical_count, round(avg(confidence), 6) AS mean_confidence, CAST(0.0 AS DOUBLE) AS count_stddev FROM obs WHERE ts < '{CUT}' GROUP BY 1, 2",
@@ -194,8 +216,9 @@ ORACLE = {
     "anomaly_band_counts": f"WITH {_ANOM} SELECT review_band, corridor_id, count(*) AS n FROM scored GROUP BY 1, 2",
     "wave_rollup": f"WITH {OBS}, w AS (SELECT aircraft, count(*) AS obs_count, min(ts) AS earliest, max(ts) AS latest, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 60e6, 6) AS duration_minutes, round(avg(confidence), 6) AS mean_confidence, bool_and(k IS NOT NULL) AS all_parsed FROM obs GROUP BY 1) SELECT *, 'wave_' || lpad(CAST(row_number() OVER (ORDER BY aircraft) AS VARCHAR), 6, '0') AS wave_id FROM w",
     "flight_fusion": f"WITH {OBS}, c AS (SELECT aircraft, kind, count(*) AS n, min(obs_id) AS s FROM obs GROUP BY 1, 2), m AS (SELECT aircraft, kind AS consensus_kind FROM c QUALIFY row_number() OVER (PARTITION BY aircraft ORDER BY n DESC, s) = 1) SELECT aircraft, min(ts) AS first_ts, max(ts) AS last_ts, max(altitude_ft) AS max_altitude_ft, round(avg(speed_mph), 6) AS avg_speed_mph, count(*) AS points, any_value(consensus_kind) AS consensus_kind FROM obs JOIN m USING (aircraft) GROUP BY aircraft",
-    "fused_points": f"WITH {OBS} SELECT aircraft, string_agg(CAST(obs_id AS VARCHAR), ',' ORDER BY ts, obs_id) AS path, first(altitude_ft ORDER BY ts, obs_id) AS first_altitude_ft, last(altitude_ft ORDER BY ts, obs_id) AS last_altitude_ft FROM obs WHERE altitude_ft % 3 = 0 GROUP BY 1",
-    "group_best_dedup": f"WITH {OBS} SELECT aircraft, day, kind, obs_id, count(*) OVER (PARTITION BY aircraft, day, kind) - 1 AS duplicate_count FROM obs QUALIFY row_number() OVER (PARTITION BY aircraft, day, kind ORDER BY confidence DESC, altitude_ft DESC, obs_id) = 1",
+    "fused_points": f"WITH {OBS} SELECT aircraft, CAST(row_number() OVER w AS INT) AS seq, obs_id, first_value(altitude_ft) OVER (PARTITION BY aircraft ORDER BY ts, obs_id) AS first_altitude_ft, first_value(altitude_ft) OVER (PARTITION BY aircraft ORDER BY ts DESC, obs_id DESC) AS last_altitude_ft FROM obs WINDOW w AS (PARTITION BY aircraft ORDER BY ts, obs_id)",
+    "session_polylines": f"WITH {_SESS.replace('3600000000', '14400000000')}, p AS (SELECT aircraft, day, CAST(session AS BIGINT) AS session, count(*) AS n, list(printf('%.4f', round(lon, 4)) || ' ' || printf('%.4f', round(lat, 4)) ORDER BY ts, obs_id) AS p FROM s GROUP BY 1, 2, 3) SELECT aircraft, day, session, CASE WHEN n >= 3 THEN 'track' ELSE 'endpoints' END AS basis, CASE WHEN n >= 3 THEN array_to_string(p, ',') ELSE p[1] || ',' || p[-1] END AS line FROM p",
+    "group_best_dedup": f"WITH {OBS}, r AS (SELECT *, row_number() OVER (PARTITION BY aircraft, day, kind ORDER BY confidence DESC, altitude_ft DESC, speed_mph DESC, value DESC, obs_id) AS r FROM obs) SELECT dense_rank() OVER (ORDER BY aircraft, day, kind) AS group_no, aircraft, day, kind, obs_id, r AS group_rank, count(*) OVER (PARTITION BY aircraft, day, kind) - 1 AS duplicate_count, CASE WHEN r = 1 THEN 'winner' ELSE 'duplicate' END AS outcome FROM r",
     "priority_review_queue": f"WITH {OBS}, u AS (SELECT aircraft, 'error' AS reason, 1 AS r, obs_id FROM obs WHERE kind = 'error' UNION ALL SELECT aircraft, 'low_confidence', 2, obs_id FROM obs WHERE confidence < 0.2 UNION ALL SELECT aircraft, 'speed', 3, obs_id FROM obs WHERE speed_mph > 200) SELECT aircraft, reason, obs_id FROM u QUALIFY row_number() OVER (PARTITION BY aircraft ORDER BY r, obs_id) = 1",
     "flight_sessions": f"WITH {_SESS} SELECT aircraft, day, CAST(session AS BIGINT) AS session, count(*) AS n, min(ts) AS start_ts, max(ts) AS end_ts FROM s GROUP BY 1, 2, 3",
     "recurring_routes": f"WITH {_SESS.replace('3600000000', '28800000000')}, t AS (SELECT aircraft, day, session, kind, ts, obs_id, lag(kind) OVER (PARTITION BY aircraft, day, session ORDER BY ts, obs_id) AS p FROM s), r AS (SELECT aircraft, day, session, string_agg(kind, '>' ORDER BY ts, obs_id) AS route, count(*) AS stops FROM t WHERE p IS NULL OR p <> kind GROUP BY 1, 2, 3) SELECT route, count(*) AS n, count(DISTINCT aircraft) AS aircraft FROM r WHERE stops >= 2 GROUP BY 1 HAVING count(*) >= 2",

@@ -86,10 +86,9 @@ def cross_domain_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = observations(spark, sf_dir)
     a = o.where("kind = 'view'").select(F.col("obs_id").alias("air_id"), F.col("ts").alias("a_ts"), "lat", "lon", F.col("corridor_id").alias("a_corridor"))
     c = o.where("kind = 'purchase'").select(F.col("obs_id").alias("ctx_id"), F.col("ts").alias("c_ts"), F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"), F.col("corridor_id").alias("c_corridor"))
-    met = J.band_join(a.withColumn("one", F.lit(1)), c.withColumn("one", F.lit(1)), ["one"], "a_ts", "c_ts", 3600)
+    met = J.band_radius_join(a, c, "a_ts", "c_ts", 3600, 25.0, ("lat", "lon"), ("c_lat", "c_lon"))
     minutes = F.abs(F.unix_micros(F.col("a_ts").cast("timestamp")) - F.unix_micros(F.col("c_ts").cast("timestamp"))) / 60e6
-    km = geo.haversine(F.col("lat"), F.col("lon"), F.col("c_lat"), F.col("c_lon"), "km")
-    met = met.withColumn("minutes", minutes).withColumn("km", km).where("km <= 25")
+    met = met.withColumn("minutes", minutes).withColumnRenamed("distance_km", "km")
     sure = 0.45 + F.when(F.col("a_corridor") == F.col("c_corridor"), 0.25).otherwise(0.0) + 0.15 * (1 - F.col("minutes") / 60.0) + 0.15 * (1 - F.col("km") / 25.0)
     return met.select("air_id", "ctx_id", F.round("minutes", 3).alias("minutes"), F.round("km", 3).alias("distance_km"), F.round(sure, 3).alias("confidence")).where("confidence >= 0.4")
 
@@ -119,8 +118,9 @@ def airport_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bbox_layer_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Layers (half a degree around each airport's quarter) that hold a point."""
     o = observations(spark, sf_dir).where("kind = 'error'").select("obs_id", "lat", "lon")
-    a = J.small(airports(spark, sf_dir))
-    met = o.join(a, F.col("lat").between(F.col("a_lat") - 0.1, F.col("a_lat") + 0.1) & F.col("lon").between(F.col("a_lon") - 0.1, F.col("a_lon") + 0.1), "left")
+    half = F.lit(0.1)
+    a = airports(spark, sf_dir).select("airport", (F.col("a_lat") - half).alias("s"), (F.col("a_lon") - half).alias("w"), (F.col("a_lat") + half).alias("n"), (F.col("a_lon") + half).alias("e"))
+    met = o.join(J.box_join(o, a, ("lat", "lon"), ("s", "w", "n", "e"), 0.2).select("obs_id", "airport"), "obs_id", "left")
     layers = F.array_join(F.array_sort(F.collect_list(F.col("airport"))), ",")
     return met.groupBy("obs_id").agg(layers.alias("layers"), F.count("airport").alias("n_layers"))
 
@@ -135,11 +135,31 @@ def poi_pair_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return met.groupBy("a", "b").agg(F.countDistinct("o_custkey").alias("flights")).where("flights >= 2")
 
 
+def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations as frames whose hashes are those of their scene but for a few bits."""
+    o = observations(spark, sf_dir)
+    scene = F.conv(F.substring(F.md5(F.col("k").cast("string")), 1, 15), 16, 10).cast("long")
+    flips = F.lit(1).cast("long") * F.pow(F.lit(2), F.col("obs_id") % 5).cast("long") + F.pow(F.lit(2), 20 + F.col("obs_id") % 3).cast("long")
+    return o.select("obs_id", scene.bitwiseXOR(flips).alias("h"))
+
+
 def hash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of frames whose 64-bit sign hashes differ in at most four bits."""
-    e = table(spark, sf_dir, "embeddings")
-    bits = F.aggregate(F.transform("embedding", lambda x, i: F.when(x > 0, F.expr("shiftleft(1L, 0)")).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda a, x: F.shiftleft(a, 1) + x)
-    return J.hamming_pairs(e.select("vec_id", bits.alias("h")), "vec_id", "h", 16).where("distance <= 16")
+    """Pairs of different frame hashes that differ in at most four bits, each by its least frame."""
+    return J.hamming_pairs(_frames(spark, sf_dir), "obs_id", "h", 4)
+
+
+def hash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each frame with the least frame of its hash, and how many share the hash."""
+    f = _frames(spark, sf_dir)
+    n = f.groupBy("h").agg(F.min("obs_id").alias("class_id"), F.count("*").alias("copies"))
+    return f.join(n, "h").select("obs_id", "class_id", "copies")
+
+
+def near_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy groups of frames: in the order of ids, a frame joins the least leader within four bits, or leads itself."""
+    classes = hash_classes(spark, sf_dir)
+    leaders = J.leader_groups(classes.select(F.col("class_id").alias("node")).distinct(), hash_near_duplicates(spark, sf_dir))
+    return classes.join(leaders, F.col("class_id") == F.col("node")).select("obs_id", F.col("leader").alias("group_id"))
 
 
 def full_outer_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,8 +293,9 @@ def skip_reason_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return met.groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (registry_join, five_way_join, projected_positions, frames_with_conditions, unobserved_aircraft, observed_aircraft, group_anchor_recovery, temporal_band_pairs, cross_domain_overlaps, nearest_airport, footprint_radius_matches, airport_alignment, bbox_layer_context, poi_pair_flights, hash_near_duplicates, full_outer_fusion, last_report_lookup, log_verification, captured_within_days, confusable_registry_match, edit_distance_match, text_token_matches, alias_containment, alias_collisions, prediction_accuracy, latest_per_zone, label_cooccurrence, registry_cascade, token_subset_match, graph_track_summary, skip_reason_cascade)}
+QUERIES = {f.__name__: f for f in (registry_join, five_way_join, projected_positions, frames_with_conditions, unobserved_aircraft, observed_aircraft, group_anchor_recovery, temporal_band_pairs, cross_domain_overlaps, nearest_airport, footprint_radius_matches, airport_alignment, bbox_layer_context, poi_pair_flights, hash_near_duplicates, hash_classes, near_duplicate_groups, full_outer_fusion, last_report_lookup, log_verification, captured_within_days, confusable_registry_match, edit_distance_match, text_token_matches, alias_containment, alias_collisions, prediction_accuracy, latest_per_zone, label_cooccurrence, registry_cascade, token_subset_match, graph_track_summary, skip_reason_cascade)}
 
+_FRAMES = "f AS (SELECT obs_id, xor(CAST('0x' || substr(md5(CAST(k AS VARCHAR)), 1, 15) AS BIGINT), CAST(pow(2, obs_id % 5) AS BIGINT) + CAST(pow(2, 20 + obs_id % 3) AS BIGINT)) AS h FROM obs)"
 _KM = hav_sql("lat", "lon", "a_lat", "a_lon", 6371.0088)
 ORACLE = {
     "registry_join": f"WITH {OBS} SELECT r_name, n_name, count(*) AS n, count(DISTINCT aircraft) AS aircraft FROM obs JOIN customer ON c_custkey = CAST(substr(aircraft, 2) AS BIGINT) JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2",
@@ -291,7 +312,9 @@ ORACLE = {
     "airport_alignment": f"WITH {OBS}, {AIR}, m AS (SELECT obs_id, airport_id, 1 - ({_KM}) / CAST(20.0 AS DOUBLE) AS score FROM obs CROSS JOIN air WHERE kind = 'click') SELECT obs_id, round(max(score), 6) AS score, first(airport_id ORDER BY score DESC, airport_id) AS airport_id, count(*) AS matches FROM m WHERE score > 0 GROUP BY 1",
     "bbox_layer_context": f"WITH {OBS}, {AIR} SELECT obs_id, coalesce(string_agg(airport, ',' ORDER BY airport), '') AS layers, count(airport) AS n_layers FROM obs LEFT JOIN air ON lat BETWEEN a_lat - CAST(0.1 AS DOUBLE) AND a_lat + CAST(0.1 AS DOUBLE) AND lon BETWEEN a_lon - CAST(0.1 AS DOUBLE) AND a_lon + CAST(0.1 AS DOUBLE) WHERE kind = 'error' GROUP BY 1",
     "poi_pair_flights": "WITH v AS (SELECT DISTINCT l_orderkey, s_nationkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey) SELECT a.s_nationkey AS a, b.s_nationkey AS b, count(DISTINCT o_custkey) AS flights FROM v a JOIN v b ON a.l_orderkey = b.l_orderkey AND a.s_nationkey < b.s_nationkey JOIN orders ON o_orderkey = a.l_orderkey GROUP BY 1, 2 HAVING count(DISTINCT o_custkey) >= 2",
-    "hash_near_duplicates": "WITH h AS (SELECT min(vec_id) AS vec_id, bits FROM (SELECT vec_id, array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '')::BIT AS bits FROM embeddings) GROUP BY bits) SELECT a.vec_id AS a, b.vec_id AS b, CAST(bit_count(xor(a.bits, b.bits)) AS INT) AS distance FROM h a JOIN h b ON a.vec_id < b.vec_id WHERE bit_count(xor(a.bits, b.bits)) <= 16",
+    "hash_near_duplicates": f"WITH {OBS}, {_FRAMES}, h AS (SELECT min(obs_id) AS id, h FROM f GROUP BY h) SELECT a.id AS a, b.id AS b, CAST(bit_count(xor(a.h, b.h)) AS INT) AS distance FROM h a JOIN h b ON a.id < b.id WHERE bit_count(xor(a.h, b.h)) <= 4",
+    "hash_classes": f"WITH {OBS}, {_FRAMES} SELECT obs_id, min(obs_id) OVER (PARTITION BY h) AS class_id, count(*) OVER (PARTITION BY h) AS copies FROM f",
+    "near_duplicate_groups": f"WITH {OBS}, {_FRAMES}, n AS (SELECT min(obs_id) AS id, h FROM f GROUP BY h), e AS (SELECT a.id AS a, b.id AS b FROM n a JOIN n b ON a.id < b.id AND bit_count(xor(a.h, b.h)) <= 4), o AS (SELECT f.obs_id, n.id FROM f JOIN n USING (h)), z AS (SELECT list(DISTINCT a) FILTER (a IS NOT NULL) AS near, n.id FROM n LEFT JOIN e ON e.b = n.id GROUP BY n.id), w AS (SELECT list_reduce(list_prepend([]::BIGINT[], list(ids ORDER BY ids[1])), lambda led, x: CASE WHEN len(list_intersect(led, x[2:])) = 0 THEN list_append(led, x[1]) ELSE led END) AS led FROM (SELECT list_prepend(id, coalesce(near, [])) AS ids FROM z)) SELECT obs_id, CASE WHEN list_contains(led, o.id) THEN o.id ELSE list_min(list_intersect(led, near)) END AS group_id FROM o JOIN z USING (id), w",
     "full_outer_fusion": f"WITH {OBS}, w AS (SELECT aircraft, day, max(confidence) AS whole_confidence FROM obs WHERE kind = 'view' GROUP BY 1, 2), r AS (SELECT aircraft, day, max(confidence) AS region_confidence FROM obs WHERE kind = 'click' GROUP BY 1, 2) SELECT aircraft, day, whole_confidence, region_confidence, whole_confidence IS NOT NULL AND region_confidence IS NOT NULL AND abs(whole_confidence - region_confidence) > 0.25 AS conflict FROM w FULL OUTER JOIN r USING (aircraft, day)",
     "last_report_lookup": f"WITH {OBS}, r AS (SELECT aircraft, obs_id AS report_id FROM obs WHERE kind = 'error' QUALIFY row_number() OVER (PARTITION BY aircraft ORDER BY ts DESC, obs_id DESC) = 1) SELECT DISTINCT obs.aircraft, report_id FROM obs LEFT JOIN r USING (aircraft)",
     "log_verification": f"WITH {OBS}, s AS (SELECT aircraft, day(day) AS dom, count(*) AS seen FROM obs GROUP BY 1, 2) SELECT o_orderkey, 'N' || o_custkey AS aircraft, coalesce(seen, 0) AS seen, CASE WHEN seen IS NOT NULL THEN 'confirmed_by_log' ELSE 'unconfirmed' END AS status FROM orders LEFT JOIN s ON s.aircraft = 'N' || o_custkey AND s.dom = day(o_orderdate)",

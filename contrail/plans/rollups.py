@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, text
 from ..operators import aggregates as A
+from ..operators.cuts import row_numbers
 from .mapping import AIR, OBS, airports, observations, table
 
 
@@ -31,7 +32,7 @@ def exact_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of texts with one hash, numbered in the order of their first document."""
     d = table(spark, sf_dir, "documents").withColumn("sha256", F.sha2("text", 256))
     g = d.groupBy("sha256").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1")
-    return g.withColumn("dup_group_id", F.row_number().over(Window.orderBy("first_doc")))
+    return row_numbers(g, [F.col("first_doc")], "_i").withColumn("dup_group_id", F.col("_i") + 1).drop("_i")
 
 
 def grouped_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,11 +99,14 @@ def positional_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def geo_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells with medians and the value at index int(0.9 n) of the sorted values."""
-    o = observations(spark, sf_dir)
-    g = o.groupBy(F.floor(F.col("lat") / F.lit(0.1)).cast("long").alias("cell_y"), F.floor(F.col("lon") / F.lit(0.1)).cast("long").alias("cell_x")).agg(
-        F.countDistinct("day").alias("days"), F.countDistinct("aircraft").alias("aircraft"), F.round(F.median("lat"), 6).alias("lat"), F.round(F.median("lon"), 6).alias("lon"), F.array_sort(F.collect_list("value")).alias("v"),
+    o = observations(spark, sf_dir).withColumns({"cell_y": F.floor(F.col("lat") / F.lit(0.1)).cast("long"), "cell_x": F.floor(F.col("lon") / F.lit(0.1)).cast("long")})
+    cell = Window.partitionBy("cell_y", "cell_x")
+    o = o.withColumns({"_i": F.row_number().over(cell.orderBy("value")) - 1, "_n": F.count("*").over(cell)})
+    g = o.groupBy("cell_y", "cell_x").agg(
+        F.countDistinct("day").alias("days"), F.countDistinct("aircraft").alias("aircraft"), F.round(F.median("lat"), 6).alias("lat"), F.round(F.median("lon"), 6).alias("lon"),
+        F.max(F.when(F.col("_i") == F.floor(F.col("_n") * 0.9), F.col("value"))).alias("p90"),
     )
-    return g.where("days >= 5 and aircraft >= 10").select("cell_y", "cell_x", "days", "aircraft", "lat", "lon", F.get("v", F.floor(F.size("v") * 0.9).cast("int")).alias("p90"))
+    return g.where("days >= 5 and aircraft >= 10")
 
 
 def cooccurrence_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,12 +194,19 @@ def sparse_source_review(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 20 vertices of each track with stable ids."""
+    """The first 200 vertices of each track with stable ids."""
     o = observations(spark, sf_dir)
-    t = A.top_k(o, ["aircraft"], 20, [F.col("ts"), F.col("obs_id")])
+    t = A.top_k(o, ["aircraft"], 200, [F.col("ts"), F.col("obs_id")])
     return t.select(text.stable_id("node_", F.col("aircraft"), F.col("rank")).alias("node_id"), "aircraft", "rank", "obs_id")
 
 
+def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges between following vertices of a track."""
+    n = graph_nodes(spark, sf_dir)
+    after = F.lead("node_id").over(Window.partitionBy("aircraft").orderBy("rank"))
+    return n.select(F.col("node_id").alias("from_id"), after.alias("to_id"), "aircraft").where("to_id is not null")
+
+
 def coverage_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, e = table(spark, sf_dir, "customer"), table(spark, sf_dir, "events")
     return c.select(F.col("c_custkey").alias("id")).subtract(e.select(F.col("user_id").alias("id")))
@@ -260,7 +271,7 @@ def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return half("day < '2024-01-16'", "active").join(half("day >= '2024-01-16'", "fitted"), "kind", "full_outer").withColumn("delta", F.round(F.col("fitted") - F.col("active"), 6))
 
 
-QUERIES = {f.__name__: f for f in (coverage_counts, zone_quality, two_key_histogram, exact_duplicate_groups, grouped_labels, route_edges, grid_density, poi_candidates, corridor_membership, batch_status_pivot, positional_clusters, geo_clusters, cooccurrence_edges, poi_sightings, aircraft_profiles, reliability_bins, reliability_report, fitted_adjustments, persistence_scores, render_difference_labels, affine_fits, route_clusters, sparse_source_review, graph_nodes, coverage_difference, coverage_intersection, tail_candidates, file_audit, threshold_sweep, stratified_sample, split_leakage, table_row_counts, heading_mean, drift_report)}
+QUERIES = {f.__name__: f for f in (coverage_counts, zone_quality, two_key_histogram, exact_duplicate_groups, grouped_labels, route_edges, grid_density, poi_candidates, corridor_membership, batch_status_pivot, positional_clusters, geo_clusters, cooccurrence_edges, poi_sightings, aircraft_profiles, reliability_bins, reliability_report, fitted_adjustments, persistence_scores, render_difference_labels, affine_fits, route_clusters, sparse_source_review, graph_nodes, graph_edges, coverage_difference, coverage_intersection, tail_candidates, file_audit, threshold_sweep, stratified_sample, split_leakage, table_row_counts, heading_mean, drift_report)}
 
 _D = "CAST({} AS DOUBLE)"
 _BINS = f"{OBS}, {_TRUTH}, b AS (SELECT detector, least(9, CAST(trunc(score * 10) AS INT)) AS bin, count(*) AS n, avg(score) AS expected, avg(CAST(truth AS DOUBLE)) AS observed FROM t GROUP BY 1, 2)"
@@ -291,7 +302,8 @@ ORACLE = {
     "affine_fits": f"WITH {OBS}, f AS (SELECT aircraft, regr_intercept(value, CAST(k AS DOUBLE)) AS a, regr_slope(value, CAST(k AS DOUBLE)) AS b, count(*) AS n FROM obs GROUP BY 1) SELECT aircraft, any_value(n) AS n, round(any_value(a), 5) AS a, round(any_value(b), 5) AS b, round(median(abs(value - a - b * k)), 5) AS m FROM obs JOIN f USING (aircraft) GROUP BY 1",
     "route_clusters": f"WITH {OBS} SELECT kind, CAST(floor(lat * 10) AS BIGINT) AS lat_bucket, CAST(floor(lon * 10) AS BIGINT) AS lon_bucket, count(*) AS n, round(avg(confidence), 6) AS mean, min(confidence) AS low, max(confidence) AS high, min(ts) AS first_ts, max(ts) AS last_ts FROM obs GROUP BY 1, 2, 3",
     "sparse_source_review": f"WITH {OBS} SELECT aircraft || '|' || day AS item, 'sparse_source' AS reason FROM obs GROUP BY aircraft, day HAVING count(*) < 3 UNION ALL SELECT CAST(obs_id AS VARCHAR), 'low_confidence' FROM obs WHERE confidence < 0.05 UNION ALL SELECT CAST(obs_id AS VARCHAR), 'error' FROM obs WHERE kind = 'error' AND value > 30",
-    "graph_nodes": f"WITH {OBS}, r AS (SELECT aircraft, CAST(row_number() OVER (PARTITION BY aircraft ORDER BY ts, obs_id) AS INT) AS rank, obs_id FROM obs) SELECT 'node_' || substr(sha256(aircraft || '|' || rank), 1, 16) AS node_id, * FROM r WHERE rank <= 20",
+    "graph_edges": f"WITH {OBS}, r AS (SELECT aircraft, row_number() OVER (PARTITION BY aircraft ORDER BY ts, obs_id) AS rank FROM obs), n AS (SELECT *, 'node_' || substr(sha256(aircraft || '|' || rank), 1, 16) AS node_id FROM r WHERE rank <= 200) SELECT a.node_id AS from_id, b.node_id AS to_id, a.aircraft FROM n a JOIN n b ON a.aircraft = b.aircraft AND b.rank = a.rank + 1",
+    "graph_nodes": f"WITH {OBS}, r AS (SELECT aircraft, CAST(row_number() OVER (PARTITION BY aircraft ORDER BY ts, obs_id) AS INT) AS rank, obs_id FROM obs) SELECT 'node_' || substr(sha256(aircraft || '|' || rank), 1, 16) AS node_id, * FROM r WHERE rank <= 200",
     "coverage_difference": "SELECT c_custkey AS id FROM customer EXCEPT SELECT user_id FROM events",
     "coverage_intersection": "SELECT c_custkey AS id FROM customer INTERSECT SELECT user_id FROM events",
     "tail_candidates": "WITH o AS (SELECT o_custkey AS tail, count(*) AS orders FROM orders GROUP BY 1), e AS (SELECT user_id AS tail, count(*) AS events, count(DISTINCT event_type) AS kinds FROM events GROUP BY 1) SELECT tail, coalesce(orders, 0) AS orders, coalesce(events, 0) AS events, coalesce(kinds, 0) AS kinds FROM o FULL OUTER JOIN e USING (tail)",

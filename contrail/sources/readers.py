@@ -111,11 +111,13 @@ def file_manifest(spark: SparkSession, path: str, pattern: str = "*") -> DataFra
 def verified_package(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """`manifest` (name, sha256, record_count) with what lies in the folder: found_sha256, found_count, trusted.
 
-    Rows of a file count as its lines that are not blank; a file that is missing or differs is not trusted.
+    A name is a path below the folder. Rows of a file count as its lines that are not blank; a file that is missing or
+    differs is not trusted.
     """
-    files = file_manifest(spark, folder).select("name", F.col("sha256").alias("found_sha256"))
+    below = lambda path: F.element_at(F.split(path, F.lit("/" + folder.rstrip("/").rpartition("/")[2] + "/"), 2), 2)
+    files = file_manifest(spark, folder).select(below(F.col("path")).alias("name"), F.col("sha256").alias("found_sha256"))
     lines = spark.read.text(folder, recursiveFileLookup=True).where("trim(value) <> ''")
-    counts = lines.groupBy(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("name")).agg(F.count("*").alias("found_count"))
+    counts = lines.groupBy(below(F.url_decode(F.input_file_name())).alias("name")).agg(F.count("*").alias("found_count"))
     met = manifest.join(files, "name", "left").join(counts, "name", "left")
     good = F.col("sha256").eqNullSafe(F.col("found_sha256")) & (F.col("record_count") == F.coalesce("found_count", F.lit(0)))
     return met.withColumn("trusted", F.coalesce(good, F.lit(False)))

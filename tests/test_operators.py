@@ -1,6 +1,7 @@
 """Operators on literal rows, with the edges at each threshold."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -59,7 +60,47 @@ def test_card_fields_reads_every_observation(spark, tmp_path):
 
 def test_one_to_one_takes_the_cheapest_first(spark):
     rows = spark.createDataFrame([("c", "a", "x", 2), ("c", "a", "y", 1), ("c", "b", "y", 1), ("c", "b", "x", 9)], "g string, l string, r string, d int")
-    assert values(joins.one_to_one(rows, "g", "l", "r", "d"), "l", "r") == [("a", "y"), ("b", "x")]
+    assert values(joins.one_to_one(rows, "l", "r", ["d"]), "l", "r") == [("a", "y"), ("b", "x")]
+
+
+def test_one_to_one_equals_going_through_all_pairs(spark):
+    rng = random.Random(2)
+    pairs = sorted({(rng.randrange(30), rng.randrange(30)): rng.randrange(6) for _ in range(200)}.items(), key=lambda p: (p[1], *p[0]))
+    lefts, rights, want = set(), set(), []
+    for (a, b), _ in pairs:
+        if a not in lefts and b not in rights:
+            want.append((a, b))
+            lefts.add(a)
+            rights.add(b)
+    rows = spark.createDataFrame([(a, b, d) for (a, b), d in pairs], "l int, r int, d int")
+    assert values(joins.one_to_one(rows, "l", "r", ["d"]), "l", "r") == sorted(want)
+
+
+def test_leader_groups_equal_going_in_order(spark):
+    rng = random.Random(3)
+    pairs = {tuple(sorted(rng.sample(range(40), 2))) for _ in range(60)}
+    want = {}
+    for x in range(40):
+        led = [a for a, b in sorted(pairs) if b == x and want[a] == a]
+        want[x] = min(led) if led else x
+    got = joins.leader_groups(spark.range(40).withColumnRenamed("id", "node"), spark.createDataFrame(list(pairs), "a long, b long"))
+    assert {r["node"]: r["leader"] for r in got.collect()} == want
+
+
+def test_nearest_keeps_repeated_points_among_many_places(spark):
+    p = spark.createDataFrame([(1, 18.0, -66.0), (1, 18.0, -66.0), (2, -50.0, 179.95), (3, None, 1.0)], "i int, la double, lo double")
+    q = spark.range(60_000).select("id", (F.col("id") % 300 / 100 + 17).alias("lb"), (F.col("id") / 60_000 - 67).alias("lp"))
+    q = q.union(spark.createDataFrame([(-1, -50.0, -179.95)], "id long, lb double, lp double"))
+    got = joins.nearest(p, q, "i", ("la", "lo"), ("lb", "lp"), [F.col("id")])
+    d = geo.haversine(F.col("la"), F.col("lo"), F.col("lb"), F.col("lp"))
+    best = p.where("i = 1").limit(1).crossJoin(q).orderBy(d, "id").first()["id"]
+    assert values(got, "i", "id") == [(1, best), (1, best), (2, -1)]
+
+
+def test_boxes_hold_their_edges(spark):
+    p = spark.createDataFrame([(1, 1.0, 2.0), (2, 1.0, 2.0001), (3, -0.05, -0.05)], "i int, la double, lo double")
+    b = spark.createDataFrame([(7, 0.5, 1.5, 1.0, 2.0), (8, -1.0, -1.0, 1.0, 3.0)], "j int, s double, w double, n double, e double")
+    assert values(joins.box_join(p, b, ("la", "lo"), ("s", "w", "n", "e"), 0.4), "i", "j") == [(1, 7), (1, 8), (2, 8), (3, 8)]
 
 
 def test_upsert_and_insert_missing(spark):
@@ -141,8 +182,10 @@ def test_packages_fail_closed(spark, tmp_path):
     import hashlib
 
     good = hashlib.sha256(b"{}\n{}\n").hexdigest()
-    m = spark.createDataFrame([("a.jsonl", good, 2), ("b.jsonl", good, 2)], "name string, sha256 string, record_count int")
-    assert values(readers.verified_package(spark, str(tmp_path), m), "name", "trusted") == [("a.jsonl", True), ("b.jsonl", False)]
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "a.jsonl").write_text("{}\n")
+    m = spark.createDataFrame([("a.jsonl", good, 2), ("b.jsonl", good, 2), ("sub/a.jsonl", good, 2)], "name string, sha256 string, record_count int")
+    assert values(readers.verified_package(spark, str(tmp_path), m), "name", "trusted") == [("a.jsonl", True), ("b.jsonl", False), ("sub/a.jsonl", False)]
 
 
 def test_ledger_chain_breaks_where_a_body_changes(spark):
