@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cards, evidence, fusion, matching, places, review, rollups
+from . import cards, evidence, exchange, fusion, matching, places, review, rollups
 
-_PARTS = (fusion, matching, rollups, evidence, review, cards, places)
+_PARTS = (fusion, matching, rollups, evidence, review, cards, places, exchange)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for p in _PARTS for k, v in p.QUERIES.items()}
 ORACLE: dict[str, str] = {k: v for p in _PARTS for k, v in p.ORACLE.items()}

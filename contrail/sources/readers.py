@@ -6,8 +6,10 @@ readers, so any store that Spark reaches will do.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,10 +69,19 @@ def geojson(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return f.select("f.properties.*", F.get("f.geometry.coordinates", 0).alias("lon"), F.get("f.geometry.coordinates", 1).alias("lat"))
 
 
-def track_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """A track in CSV under any of the known column names; rows without valid coordinates are dropped."""
-    raw = spark.read.csv(path, header=True, inferSchema=False, encoding=encoding)
-    have = {c.strip().lower(): c for c in raw.columns}
+def encoding_of(spark: SparkSession, path: str) -> str:
+    """UTF-8 where all bytes of the files are, else Latin-1, in which any byte is a character."""
+    files = spark.read.format("binaryFile").load(path)
+    return "UTF-8" if files.where(~F.is_valid_utf8(F.col("content").cast("string"))).isEmpty() else "ISO-8859-1"
+
+
+def track_csv(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
+    """A track in CSV under any of the known column names; rows without valid coordinates are dropped.
+
+    Without `encoding` it is found out; a mark of byte order before the header is taken off.
+    """
+    raw = spark.read.csv(path, header=True, inferSchema=False, encoding=encoding or encoding_of(spark, path))
+    have = {c.strip("\ufeff ").lower(): c for c in raw.columns}
     picked = []
     for name, others in ALIASES.items():
         at = next((have[o] for o in others if o in have), None)
@@ -79,6 +90,71 @@ def track_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFr
     return raw.select(*picked).where("lat between -90 and 90 and lon between -180 and 180")
 
 
+def csv_sniffed(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV file whose delimiter and encoding are found out from its first line, headers in small letters joined by
+    underscores; without a delimiter every line is a value."""
+    encoding = encoding_of(spark, path)
+    first = spark.read.option("encoding", encoding).text(path).limit(1).collect()
+    line = first[0]["value"].strip("\ufeff") if first else ""
+    sep = max(",;\t|", key=line.count)
+    if not line.count(sep):
+        return spark.read.option("encoding", encoding).text(path).where("trim(value) <> ''")
+    raw = spark.read.csv(path, header=True, inferSchema=False, sep=sep, encoding=encoding)
+    names = [re.sub(r"[^a-z0-9]+", "_", c.strip("\ufeff ").lower()).strip("_") or f"column_{i}" for i, c in enumerate(raw.columns)]
+    return raw.toDF(*names)
+
+
+def cell_kind(cell: Column) -> Column:
+    """What a cell's text is: empty, bool, int, float or str, the first that fits."""
+    c = F.trim(F.coalesce(cell, F.lit("")))
+    number = c.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
+    return F.when(c == "", "empty").when(F.lower(c).isin("true", "false"), "bool").when(c.rlike(r"^[+-]?\d+$"), "int").when(number, "float").otherwise("str")
+
+
+def coerced(cell: Column) -> Column:
+    """A cell as the kind that its text is: a struct of which one field is set."""
+    kind, c = cell_kind(cell), F.trim(cell)
+    return F.struct(
+        kind.alias("kind"), F.when(kind == "bool", F.lower(c) == "true").alias("as_bool"), F.when(kind == "int", c.try_cast("long")).alias("as_int"),
+        F.when(kind == "float", c.try_cast("double")).alias("as_float"), F.when(kind == "str", cell).alias("as_str"),
+    )
+
+
+def csv_ledger(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """A ledger in CSV that must have these columns; others are kept, a missing one is an error that names it."""
+    raw = spark.read.csv(path, header=True, inferSchema=False)
+    missing = [c for c in columns if c not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    return raw
+
+
+def yaml_records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, section, record, field, values) of registries in YAML: sections of flat records.
+
+    A record begins with a dash; a value is a word, quoted or not, or a list in brackets; comments end lines.
+    """
+    lines = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("n", "line"))
+    lines = lines.withColumn("line", F.regexp_replace("line", r"(^|\s)#.*$", "")).where("trim(line) <> ''")
+    order = Window.partitionBy("file").orderBy("n")
+    head = F.regexp_extract("line", r"^([A-Za-z0-9_]+):\s*$", 1)
+    lines = lines.withColumns({"section": F.last(F.nullif(head, F.lit("")), True).over(order), "record": F.sum(F.col("line").rlike(r"^\s*- ").cast("int")).over(order)})
+    part = lambda g: F.regexp_extract("line", r"^\s*(?:- )?\s*([A-Za-z0-9_]+):\s+(.+?)\s*$", g)
+    inner = F.when(part(2).startswith("["), F.split(F.regexp_replace(part(2), r"^\[|\]$", ""), ",")).otherwise(F.array(part(2)))
+    values = F.filter(F.transform(inner, lambda v: F.regexp_replace(F.trim(v), r"^[\"']|[\"']$", "")), lambda v: v != "")
+    return lines.where(part(1) != "").select("file", "section", "record", part(1).alias("field"), values.alias("values"))
+
+
+def located(rows: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Registry rows that have coordinates."""
+    return rows.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+
+
+def fill_absent(rows: DataFrame, aliases: dict[str, str]) -> DataFrame:
+    """`rows` with each alias as a copy of its column, where no column of that name is there; the originals stay."""
+    return rows.withColumns({a: F.col(c) for a, c in aliases.items() if a not in rows.columns})
+
+
 def kml_points(spark: SparkSession, path: str) -> DataFrame:
     """(file, seq, lon, lat, altitude) of every coordinate in KML files."""
     text = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")

@@ -24,6 +24,54 @@ def geojson_features(df: DataFrame, lon: str, lat: str) -> DataFrame:
     return df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), point.alias("geometry"), F.struct(*others).alias("properties"))).alias("value"))
 
 
+def one_file(lines: DataFrame, value: str, order: str, head: str, tail: str, path: str, between: str = "") -> None:
+    """Text lines in order between a head and a tail as one file, for formats that have a frame: one task writes it, line
+    by line, as a single file must be."""
+    rows = lines.select(F.col(order).cast("string").alias("_o"), F.lit(1).alias("_p"), F.col(value).alias("_v"))
+    last = lines.agg(F.max(F.col(order).cast("string")).alias("_m"))
+    rows = rows.join(F.broadcast(last)).withColumn("_v", F.concat("_v", F.when(F.col("_o") == F.col("_m"), "").otherwise(between))).drop("_m")
+    frame = lines.sparkSession.createDataFrame([("", 0, head), ("", 2, tail)], "_o string, _p int, _v string")
+    rows.union(frame).repartition(1).sortWithinPartitions("_p", "_o").select(F.col("_v").alias("value")).write.mode("overwrite").text(path)
+
+
+def write_package(streams: dict[str, DataFrame], folder: str, order: dict[str, str]) -> DataFrame:
+    """Writes streams as sorted JSON lines with sorted keys below a folder; gives the manifest (name, stream, record_count,
+    sha256), a row for each file, and puts it beside them. Empty streams are left out."""
+    from .readers import file_manifest
+
+    spark = next(iter(streams.values())).sparkSession
+    for name, rows in streams.items():
+        if not rows.isEmpty():
+            rows.orderBy(order[name]).select(*sorted(rows.columns)).write.mode("overwrite").json(f"{folder}/{name}")
+    below = lambda path: F.element_at(F.split(path, F.lit("/" + folder.rstrip("/").rpartition("/")[2] + "/"), 2), 2)
+    files = file_manifest(spark, folder, "part-*").select(below(F.col("path")).alias("name"), "sha256")
+    lines = spark.read.text(folder, recursiveFileLookup=True, pathGlobFilter="part-*")
+    counts = lines.groupBy(below(F.url_decode(F.input_file_name())).alias("name")).agg(F.count("*").alias("record_count"))
+    made = files.join(counts, "name").withColumn("stream", F.split_part("name", F.lit("/"), F.lit(1)))
+    made.write.mode("overwrite").json(f"{folder}/manifest")
+    return spark.read.schema("name string, stream string, record_count long, sha256 string").json(f"{folder}/manifest")
+
+
+def add_items(queue: DataFrame, items: DataFrame, key: str) -> DataFrame:
+    """Events of a review queue with those items that it lacks, as open; adding again changes nothing."""
+    new = items.dropDuplicates([key]).join(queue.select(key), key, "left_anti")
+    return queue.unionByName(new.withColumns({"seq": F.lit(0).cast("long"), "state": F.lit("open")}), allowMissingColumns=True)
+
+
+#: States that each state may go to.
+NEXT = {"open": ("approved", "rejected", "needs_info"), "needs_info": ("approved", "rejected")}
+
+
+def transition(queue: DataFrame, changes: DataFrame, key: str, seq: str = "seq") -> DataFrame:
+    """`queue` with an event for each change (key, state) that its item's last state allows; others are left out."""
+    now = queue_state(queue, key, seq).select(key, F.col("state").alias("_s"), F.col(seq).alias("_n"))
+    allowed = F.lit(False)
+    for one, more in NEXT.items():
+        allowed = allowed | ((F.col("_s") == one) & F.col("state").isin(*more))
+    made = changes.join(now, key).where(allowed).select(key, (F.col("_n") + 1).alias(seq), "state")
+    return queue.unionByName(made, allowMissingColumns=True)
+
+
 def kml_placemarks(df: DataFrame, name: str, lon: str, lat: str) -> DataFrame:
     """One KML placemark a row as text."""
     safe = F.replace(F.replace(F.replace(F.col(name).cast("string"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
