@@ -50,6 +50,48 @@ WEIGHTS: dict[str, tuple[dict[str, float], dict[str, float]]] = {
             "REPEAT_GRIDID": 0.10,
         },
     ),
+    "corridor": (
+        {
+            "VEGETATION_BREAK": 0.08,
+            "UNPAVED_LINEAR_CLEARING": 0.08,
+            "UTILITY_EASEMENT": 0.06,
+            "SERVICE_TRACK": 0.06,
+            "DRAINAGE_CORRIDOR": 0.06,
+            "FENCE_OR_BOUNDARY_STRIP": 0.05,
+            "CONTINUITY": 0.12,
+            "LINEARITY": 0.12,
+            "WIDTH_CONSISTENCY": 0.08,
+            "EDGE_DEFINITION": 0.06,
+            "VEGETATION_CONTRAST": 0.05,
+            "SURFACE_CONTRAST": 0.05,
+            "JUNCTION_OR_TERMINUS_EVIDENCE": 0.06,
+            "VISIBLE_ASSET_SUPPORT": 0.05,
+            "RECURRENCE": 0.06,
+        },
+        {"PATCHWORK_POI": 0.03, "ROAD_END_NODE": 0.05, "CUT_FILL_FEATURE": 0.04, "REPEAT_GRIDID": 0.05},
+    ),
+    "water": (
+        {
+            "PERMANENT_POND": 0.06,
+            "RETENTION_BASIN": 0.06,
+            "DETENTION_BASIN": 0.05,
+            "SEASONAL_WATER": 0.04,
+            "EXCAVATED_WATER_BODY": 0.06,
+            "SPILLWAY": 0.04,
+            "DRAINAGE_OUTLET": 0.04,
+            "BERM": 0.04,
+            "WATER_SURFACE_VISIBILITY": 0.14,
+            "SHORELINE_CONTINUITY": 0.10,
+            "BASIN_GEOMETRY": 0.09,
+            "EXCAVATION_EVIDENCE": 0.07,
+            "BERM_CONTINUITY": 0.06,
+            "INLET_OUTLET_VISIBILITY": 0.05,
+            "SPILLWAY_EVIDENCE": 0.04,
+            "VEGETATION_MOISTURE_CONTRAST": 0.03,
+            "RECURRENCE": 0.03,
+        },
+        {"PATCHWORK_POI": 0.02, "ROAD_END_NODE": 0.03, "CUT_FILL_FEATURE": 0.04, "LINEAR_CORRIDOR": 0.03, "REPEAT_GRIDID": 0.04},
+    ),
     "artifact": (
         {
             "TILE_SEAM": 0.25,
