@@ -46,8 +46,9 @@ TRIED = 2
 MARGIN = 0.14
 #: Members of a bucket up to which its pairs are listed; fuller buckets are compared in squares.
 FEW = 8
-#: Side of the squares in which members of full buckets are compared, and hashes of the sets on a side.
-SQUARE, HASHES = 512, 1 << 20
+#: Sides of the squares in which members of full buckets are compared, squares in a row between these sizes, and hashes of
+#: the sets on a side.
+LEAST, SQUARE, CELLS, HASHES = 64, 512, 16, 1 << 20
 #: Documents that a task sketches at a time.
 LOT = 256
 
@@ -253,7 +254,8 @@ def _squares(rows: DataFrame, by: str, item: Column, hashes: Column) -> DataFram
     u, and all of its members, v, in squares that cover all pairs of the two, with about SQUARE members and HASHES
     `hashes` on a side at most."""
     sizes = rows.groupBy(by, "part").agg(F.count("*").alias("n"), F.sum(hashes).alias("h"))
-    cells = lambda n, h: F.ceil(F.greatest(n / SQUARE, h / HASHES)).cast("int")
+    side = lambda n: F.greatest(F.lit(LEAST), F.least(F.lit(SQUARE), n / CELLS))
+    cells = lambda n, h: F.ceil(F.greatest(n / side(n), h / HASHES)).cast("int")
     grid = compact(
         sizes.groupBy(by)
         .agg(F.count("*").alias("parts"), F.sum("n").alias("_n"), F.sum("h").alias("_h"), F.max(F.struct("n", "part", "h")).alias("top"))
