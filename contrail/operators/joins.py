@@ -81,6 +81,8 @@ def box_join(points: DataFrame, boxes: DataFrame, p: tuple[str, str], box: tuple
     return one.join(two, ["_y", "_x"]).where(inside).drop("_y", "_x")
 
 
+#: Up to so many places are broadcast and all compared; the result is the same either way.
+FEW = 500
 #: Radii in kilometres within which the nearest place is looked for, the last one half way round the earth.
 RINGS = (10.0, 50.0, 250.0, 1250.0, 6250.0, 20_040.0)
 
@@ -91,8 +93,16 @@ def nearest(points: DataFrame, places: DataFrame, id_: str, p: tuple[str, str],
     Rows are looked up within growing radii: what is found within one is nearest, and only the rest goes on to the next.
     Equal rows stay apart. Rows without coordinates, or without a place, are left out. `id_` names the points' id.
     """
-    rest = cut(points.where(F.col(p[0]).isNotNull() & F.col(p[1]).isNotNull()).withColumn("_key", F.monotonically_increasing_id()))
+    known = points.where(F.col(p[0]).isNotNull() & F.col(p[1]).isNotNull()).withColumn("_key", F.monotonically_increasing_id())
     ties = [c.alias(f"_o{i}") for i, c in enumerate(order)]
+    if places.limit(FEW + 1).count() <= FEW:
+        # so few places are all compared, each point in the task that has read it
+        placed = places.where(F.col(q[0]).isNotNull() & F.col(q[1]).isNotNull())
+        met = known.crossJoin(F.broadcast(placed)).withColumn("distance_km", haversine(F.col(p[0]), F.col(p[1]), F.col(q[0]), F.col(q[1])))
+        best = F.min(F.struct("distance_km", *ties, *places.columns)).alias("_b")
+        each = met.where(F.col("distance_km") <= most_km).groupBy("_key").agg(best, F.first(F.struct(*points.columns)).alias("_p"))
+        return each.select("_p.*", *[F.col(f"_b.{c}") for c in places.columns], "_b.distance_km")
+    rest = cut(known)
     found = None
     for km in [*[r for r in RINGS if r < most_km], most_km]:
         met = radius_join(rest, places, km, p, q)

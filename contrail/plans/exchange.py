@@ -279,12 +279,49 @@ def provider_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("icao24", "last_contact", F.round("longitude", 3).alias("longitude"))
 
 
+def workbook_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A flight log of two sheets in a workbook, its headers below a title, each in other columns. The file is written from
+    a small dimension."""
+    import io
+    import os
+    import zipfile
+
+    n = [(r[0], r[1]) for r in table(spark, sf_dir, "nation").select("n_nationkey", "n_name").collect()]  # a dimension of 25 rows
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+
+    def sheet(rows: list[tuple], first: str) -> str:
+        cell = lambda i, c, v: f'<c r="{chr(ord(first) + c)}{i}" t="inlineStr"><is><t>{v}</t></is></c>' if isinstance(v, str) else f'<c r="{chr(ord(first) + c)}{i}"><v>{v}</v></c>'
+        return f"<worksheet {ns}><sheetData>" + "".join(f'<row r="{i}">' + "".join(cell(i, c, v) for c, v in enumerate(r)) + "</row>" for i, r in enumerate(rows, 1)) + "</sheetData></worksheet>"
+
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {ns}><sheets><sheet name="A"/><sheet name="B"/></sheets></workbook>')
+        z.writestr("xl/worksheets/sheet1.xml", sheet([("Log",), ("Tail ", "Number"), *[(b, a) for a, b in n if a % 2]], "A"))
+        z.writestr("xl/worksheets/sheet2.xml", sheet([("number", "x", "TAIL"), ("", "", ""), *[(a, "y", b) for a, b in n if not a % 2]], "C"))
+    base = _folder(spark).removeprefix("file:")
+    os.makedirs(base, exist_ok=True)
+    with open(f"{base}/log.xlsx", "wb") as f:
+        f.write(buffer.getvalue())
+    return readers.sheet_records(readers.xlsx_rows(spark, f"{base}/log.xlsx"), {"tail": "Tail", "number": "Number"}).select("sheet", "tail", F.col("number").cast("long").alias("number"))
+
+
+def migrated_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table brought up by three numbered steps in two runs, none taken twice."""
+    at = _folder(spark)
+    steps = {1: lambda d: d.withColumn("size", F.length("r_name")), 2: lambda d: d.withColumnRenamed("r_name", "name"), 5: lambda d: d.withColumn("size", F.col("size") * 10)}
+    start = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    writers.migrate(start, at, {k: v for k, v in steps.items() if k < 5})
+    now = writers.migrate(start, at, steps)
+    ledger = spark.read.parquet(f"{at}/ledger").agg(F.count("*").alias("steps"), F.sum("rows").alias("noted"))
+    return now.join(F.broadcast(ledger))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         csv_strings, csv_typed_rows, coerced_cells, sniffed_csv, track_files, json_lines, json_documents, geojson_round_trip, kml_round_trip, gpx_points, file_roles, package_round_trip, sqlite_scan,
         yaml_registry, located_registry, calibration_sets, contract_ledger, union_of_keys, resumed_inserts, review_queue, upserted_rows, replaced_rows, hash_chains, session_overlay, entity_counts,
-        polled_reports, provider_reports,
+        polled_reports, provider_reports, workbook_log, migrated_table,
     )
 }
 
@@ -316,5 +353,7 @@ ORACLE = {
     "session_overlay": "SELECT CAST(n_nationkey AS BIGINT) AS id, CASE WHEN n_nationkey % 8 = 0 THEN 'PATCHED' ELSE n_name END AS n_name, CAST(n_regionkey AS BIGINT) AS r FROM nation UNION ALL SELECT 100, 'AGAIN', NULL",
     "entity_counts": "SELECT 'airports_view' AS entity, count(*) AS n FROM nation UNION ALL SELECT 'flights_view', count(*) FROM orders UNION ALL SELECT 'alerts_view', 0",
     "polled_reports": f"WITH {OBS}, r AS (SELECT DISTINCT lower(aircraft) AS icao24, coalesce(CASE WHEN k % 3 > 0 THEN epoch_us(ts) // 1000000 END, CASE WHEN k % 7 > 0 THEN epoch_us(ts) // 1000000 + 5 END) AS t FROM obs WHERE kind = 'click') SELECT icao24, count(*) AS n, min(t) AS first_at, (SELECT count(*) FROM r WHERE t IS NOT NULL) AS noted FROM r WHERE t IS NOT NULL GROUP BY 1",
+    "workbook_log": "SELECT CASE WHEN n_nationkey % 2 = 1 THEN 'A' ELSE 'B' END AS sheet, n_name AS tail, CAST(n_nationkey AS BIGINT) AS number FROM nation",
+    "migrated_table": "SELECT r_regionkey, r_name AS name, CAST(length(r_name) * 10 AS INT) AS size, 3 AS steps, 3 * (SELECT count(*) FROM region) AS noted FROM region",
     "provider_reports": "SELECT n_name AS icao24, CAST(n_nationkey AS BIGINT) AS last_contact, round(-66.0 + n_nationkey / CAST(10 AS DOUBLE), 3) AS longitude FROM nation WHERE n_nationkey <= 10",
 }

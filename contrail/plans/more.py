@@ -68,8 +68,8 @@ def fuzzy_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def density_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells of the heat map by band, with the least, mean and largest weight."""
-    o = observations(spark, sf_dir)
-    g = o.groupBy(F.rint(F.col("lat") / F.lit(0.02)).cast("int").alias("y"), F.rint(F.col("lon") / F.lit(0.02)).cast("int").alias("x")).agg(F.count("*").alias("w"))
+    o = observations(spark, sf_dir).where("kind = 'view'")
+    g = o.groupBy(F.rint(F.col("lat") / F.lit(0.05)).cast("int").alias("y"), F.rint(F.col("lon") / F.lit(0.05)).cast("int").alias("x")).agg(F.count("*").alias("w"))
     level = F.least(F.lit(1.0), F.col("w") / 10.0)
     return g.groupBy(F.when(level >= 0.75, "red").when(level >= 0.5, "orange").when(level >= 0.25, "yellow").otherwise("blue").alias("band")).agg(F.count("*").alias("cells"), F.min("w").alias("least"), F.round(F.avg("w"), 5).alias("mean"), F.max("w").alias("most"))
 
@@ -175,11 +175,34 @@ def footprint_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("s_suppkey", slug.alias("slug"), code.alias("code"), point(1).alias("lat"), point(2).alias("lon"), kind.alias("kind"), F.when(F.col("s_acctbal") < 0, "private").otherwise("public").alias("operator_class"), F.when(F.col("s_acctbal") > 6000, 5.0).when(F.col("s_acctbal") > 2000, 1.5).otherwise(0.5).alias("radius_nm"))
 
 
+def changed_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of the pixels (components) of following pictures that differ by more than a limit; sizes that differ give none."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    after = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other"))
+    met = e.where("vec_id % 2 = 0").join(after, "vec_id")
+    apart = F.zip_with("embedding", "other", lambda a, b: F.abs(a.cast("double") - b.cast("double")) > 0.1)
+    share = F.size(F.filter(apart, lambda x: x)) / F.size("embedding")
+    return met.select("vec_id", F.round(F.when(F.size("embedding") == F.size("other"), share), 6).alias("changed"))
+
+
+def zoom_rungs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zoom levels of each profile: log2 scales at the nearest whole step from the profile's median, and of each rung its
+    median, its median deviation and how many days support it, three at least."""
+    o = observations(spark, sf_dir)
+    scale = F.pow(F.lit(2.0), F.col("k") % 5 - 2) * (1.0 + (F.col("obs_id") % 11 - 5) / 100.0) * (F.lit(3.0) + F.col("corridor_id").cast("int"))
+    s = o.select("corridor_id", "day", F.log2(scale).alias("z"))
+    mid = s.groupBy("corridor_id").agg(F.median("z").alias("m"))
+    s = s.join(mid, "corridor_id").withColumn("rung", F.rint(F.col("z") - F.col("m")).cast("int"))
+    r = s.groupBy("corridor_id", "rung").agg(F.median("z").alias("level"), F.countDistinct("day").alias("support"))
+    mad = s.join(r, ["corridor_id", "rung"]).groupBy("corridor_id", "rung").agg(F.round(F.median(F.abs(F.col("z") - F.col("level"))), 5).alias("mad"), F.round(F.max("level"), 5).alias("level"), F.max("support").alias("support"))
+    return mad.where("support >= 3")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         flights_with_aircraft, queued_screenshots, infrastructure_proximity, layer_distances, raw_text_tails, feature_meanings, fuzzy_accuracy, density_statistics, coverage_gaps, affine_quality, wave_dashboard,
-        orientation_breakdown, annotation_scores, probe_sample, severity_cases, falsy_sorted, poi_shapes, label_classes, footprint_import,
+        orientation_breakdown, annotation_scores, probe_sample, severity_cases, falsy_sorted, poi_shapes, label_classes, footprint_import, changed_fractions, zoom_rungs,
     )
 }
 
@@ -193,7 +216,7 @@ ORACLE = {
     "raw_text_tails": f"WITH {OBS}, w AS (SELECT DISTINCT obs_id, aircraft, unnest(['N' || (k * 3) || CASE WHEN k % 2 = 0 THEN '' ELSE 'X' END, 'N' || (obs_id % 170)]) AS tail FROM obs) SELECT obs_id, tail FROM w WHERE tail <> aircraft AND tail IN (SELECT aircraft FROM obs)",
     "feature_meanings": "WITH k AS (SELECT p_partkey, unnest([p_name, p_type]) AS t FROM part), f AS (SELECT p_partkey, trim(regexp_replace(upper(t), '[^A-Z0-9]+', ' ', 'g')) AS key FROM k) SELECT key, count(DISTINCT p_partkey) AS meanings, min(p_partkey) AS first_id, CASE WHEN count(DISTINCT p_partkey) > 1 THEN 'ambiguous' ELSE 'unique' END AS status FROM f GROUP BY 1",
     "fuzzy_accuracy": "WITH g AS (SELECT p_type, p_brand, CASE p_partkey % 3 WHEN 0 THEN p_type || 'X' WHEN 1 THEN p_type ELSE p_name END AS guess FROM part) SELECT p_brand, count(*) AS n, count(*) FILTER (p_type = guess) AS exact, count(*) FILTER (levenshtein(p_type, guess) * 5 <= greatest(length(p_type), length(guess))) AS fuzzy FROM g GROUP BY 1",
-    "density_statistics": f"WITH {OBS}, g AS (SELECT round_even(lat / {_D(0.02)}, 0) AS y, round_even(lon / {_D(0.02)}, 0) AS x, count(*) AS w FROM obs GROUP BY 1, 2) SELECT CASE WHEN w >= 7.5 THEN 'red' WHEN w >= 5 THEN 'orange' WHEN w >= 2.5 THEN 'yellow' ELSE 'blue' END AS band, count(*) AS cells, min(w) AS least, round(avg(w), 5) AS mean, max(w) AS most FROM g GROUP BY 1",
+    "density_statistics": f"WITH {OBS}, g AS (SELECT round_even(lat / {_D(0.05)}, 0) AS y, round_even(lon / {_D(0.05)}, 0) AS x, count(*) AS w FROM obs WHERE kind = 'view' GROUP BY 1, 2) SELECT CASE WHEN w >= 7.5 THEN 'red' WHEN w >= 5 THEN 'orange' WHEN w >= 2.5 THEN 'yellow' ELSE 'blue' END AS band, count(*) AS cells, min(w) AS least, round(avg(w), 5) AS mean, max(w) AS most FROM g GROUP BY 1",
     "coverage_gaps": f"WITH {OBS}, n AS (SELECT altitude_ft % 40 AS m, aircraft, count(*) AS c FROM obs GROUP BY 1, 2), s AS (SELECT m, CAST(sum(c) AS BIGINT) AS sightings, count(*) AS aircraft, max(c) AS busiest FROM n GROUP BY 1) SELECT n_name AS municipality, coalesce(sightings, 0) AS sightings, coalesce(aircraft, 0) AS aircraft, coalesce(busiest, 0) AS busiest, sightings IS NULL AS gap FROM nation LEFT JOIN s ON m = n_nationkey * 2",
     "affine_quality": f"WITH {OBS}, o AS (SELECT aircraft, CAST(k AS DOUBLE) AS px, altitude_ft / {_D(100)} AS py, k * {_D(0.01)} + (obs_id % 7) * {_D(0.01)} AS gx, altitude_ft * {_D(0.00012)} + (obs_id % 5) * {_D(0.01)} AS gy FROM obs), f AS (SELECT aircraft, count(*) AS n, regr_intercept(gx, px) AS ax, regr_slope(gx, px) AS bx, regr_intercept(gy, py) AS ay, regr_slope(gy, py) AS b2 FROM o GROUP BY 1), r AS (SELECT aircraft, max(n) AS n, median(sqrt(pow(gx - ax - bx * px, 2) + pow(gy - ay - b2 * py, 2))) AS res, max(abs(bx - b2) / greatest(abs(bx), abs(b2), 1e-12)) AS dif FROM o JOIN f USING (aircraft) GROUP BY 1) SELECT aircraft, round(res, 5) AS residual, round(dif, 5) AS differ, CASE WHEN n < 30 THEN 'too_few' WHEN dif > 0.19 THEN 'axes_disagree' WHEN res > 0.02 THEN 'residual' ELSE 'accepted' END AS verdict FROM r",
     "wave_dashboard": f"WITH {OBS} SELECT day, count(DISTINCT aircraft) AS waves, count(*) FILTER (kind = 'error') AS held, count(*) FILTER (confidence >= 0.8) AS ready, count(*) FILTER (confidence < 0.2 AND kind = 'view') AS review FROM obs GROUP BY 1",
@@ -204,5 +227,7 @@ ORACLE = {
     "falsy_sorted": f"WITH {OBS}, s AS (SELECT obs_id, CASE WHEN k % 4 < 2 THEN '' ELSE CAST(k AS VARCHAR) END AS key FROM obs) SELECT * FROM s ORDER BY key DESC, obs_id LIMIT 40",
     "poi_shapes": f"WITH {OBS}, c AS (SELECT aircraft, day, kind, count(*) AS c FROM obs GROUP BY 1, 2, 3), m AS (SELECT aircraft, day, max(c) AS most, count(*) AS kinds FROM c GROUP BY 1, 2), g AS (SELECT aircraft, day, count(*) AS n, first(kind ORDER BY ts, obs_id) AS f, last(kind ORDER BY ts, obs_id) AS l FROM obs GROUP BY 1, 2) SELECT aircraft, day, CASE WHEN n = 1 THEN 'single_poi' WHEN kinds = 1 THEN 'stationary' WHEN f = l AND n >= 3 THEN 'loop' WHEN most * 2 > n THEN 'hub_and_spoke' WHEN kinds = n THEN 'linear' ELSE 'multi_visit' END AS shape FROM g JOIN m USING (aircraft, day)",
     "label_classes": f"WITH {OBS}, s AS (SELECT k % 5 AS c, aircraft, k + 1 AS w, altitude_ft % 90 + 1 AS h FROM obs) SELECT CASE c WHEN 0 THEN 'facility' WHEN 1 THEN 'place' WHEN 2 THEN 'tail' WHEN 3 THEN 'time' ELSE 'noise' END AS label_class, CASE WHEN w * h < 64 THEN 'dot' WHEN greatest(w, h) >= 6 * least(w, h) THEN 'line' WHEN greatest(w, h) * 4 <= 5 * least(w, h) THEN 'square' ELSE 'block' END AS component, count(*) AS n FROM s GROUP BY 1, 2",
+    "changed_fractions": "SELECT a.vec_id, round(len(list_filter(list_zip(a.embedding, b.embedding), lambda p: abs(CAST(p[1] AS DOUBLE) - CAST(p[2] AS DOUBLE)) > 0.1)) / CAST(len(a.embedding) AS DOUBLE), 6) AS changed FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1 WHERE a.vec_id % 2 = 0",
+    "zoom_rungs": f"WITH {OBS}, s AS (SELECT corridor_id, day, log2(pow({_D(2)}, k % 5 - 2) * (1 + (obs_id % 11 - 5) / {_D(100)}) * (3 + CAST(corridor_id AS INT))) AS z FROM obs), m AS (SELECT *, CAST(round_even(z - median(z) OVER (PARTITION BY corridor_id), 0) AS INT) AS rung FROM s), l AS (SELECT *, median(z) OVER (PARTITION BY corridor_id, rung) AS level FROM m) SELECT corridor_id, rung, round(median(abs(z - level)), 5) AS mad, round(max(level), 5) AS level, count(DISTINCT day) AS support FROM l GROUP BY 1, 2 HAVING count(DISTINCT day) >= 3",
     "footprint_import": "SELECT s_suppkey, 'aeropuerto-' || replace(lower(s_name), '#', '-') || CASE WHEN s_suppkey % 3 = 0 THEN '-tj' ELSE '-tx' END || s_suppkey AS slug, CASE WHEN s_suppkey % 3 = 0 THEN 'TJ' || s_suppkey END AS code, CASE WHEN s_suppkey % 4 > 0 THEN CAST('18.' || lpad(CAST(s_suppkey AS VARCHAR), 3, '0') AS DOUBLE) END AS lat, CASE WHEN s_suppkey % 4 > 0 THEN CAST(-66.5 AS DOUBLE) END AS lon, CASE WHEN s_acctbal > 6000 THEN 'airport' WHEN s_acctbal > 2000 THEN 'heliport' ELSE 'pad' END AS kind, CASE WHEN s_acctbal < 0 THEN 'private' ELSE 'public' END AS operator_class, CAST(CASE WHEN s_acctbal > 6000 THEN 5 WHEN s_acctbal > 2000 THEN 1.5 ELSE 0.5 END AS DOUBLE) AS radius_nm FROM supplier",
 }

@@ -7,6 +7,7 @@ readers, so any store that Spark reaches will do.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -155,6 +156,60 @@ def fill_absent(rows: DataFrame, aliases: dict[str, str]) -> DataFrame:
     return rows.withColumns({a: F.col(c) for a, c in aliases.items() if a not in rows.columns})
 
 
+def xlsx_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(file, sheet, row, cells) of the sheets of XLSX files, every cell as text; each file is read whole by one task.
+
+    Shared and inline texts and numbers are read; a cell that is left out is null.
+    """
+    import pandas as pd
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import io
+        import zipfile
+        from xml.etree import ElementTree
+
+        tag = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+        for frame in frames:
+            for file, content in zip(frame["path"], frame["content"], strict=True):
+                book, rows = zipfile.ZipFile(io.BytesIO(content)), []
+                names = [s.get("name") for s in ElementTree.fromstring(book.read("xl/workbook.xml")).iter(tag + "sheet")]
+                texts = []
+                if "xl/sharedStrings.xml" in book.namelist():
+                    texts = ["".join(t.text or "" for t in si.iter(tag + "t")) for si in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).iter(tag + "si")]
+                for i, name in enumerate(names, 1):
+                    for row in ElementTree.fromstring(book.read(f"xl/worksheets/sheet{i}.xml")).iter(tag + "row"):
+                        cells: list[str | None] = []
+                        for c in row.iter(tag + "c"):
+                            at = 0
+                            for letter in re.match("[A-Z]*", c.get("r") or "")[0]:
+                                at = at * 26 + ord(letter) - 64
+                            cells += [None] * (at - 1 - len(cells))
+                            value = c.findtext(tag + "v")
+                            if c.get("t") == "s" and value is not None:
+                                value = texts[int(value)]
+                            elif c.get("t") == "inlineStr":
+                                value = "".join(t.text or "" for t in c.iter(tag + "t"))
+                            cells.append(value)
+                        rows.append((file, name, int(row.get("r") or 0), cells))
+                yield pd.DataFrame(rows, columns=["file", "sheet", "row", "cells"])
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.mapInPandas(read, "file string, sheet string, row int, cells array<string>")
+
+
+def sheet_records(rows: DataFrame, fields: dict[str, str], within: int = 10) -> DataFrame:
+    """Records of sheets: the header is the first of the `within` first rows that names all fields (field to header, case
+    and outer spaces aside); rows after it give the fields, blank ones go."""
+    lower = F.transform("cells", lambda c: F.lower(F.trim(F.coalesce(c, F.lit("")))))
+    named = F.array(*[F.lit(h.lower()) for h in fields.values()])
+    heads = rows.where((F.col("row") <= within) & (F.size(F.array_except(named, lower)) == 0))
+    heads = heads.groupBy("file", "sheet").agg(F.min(F.struct("row", lower.alias("names"))).alias("h"))
+    met = rows.join(heads, ["file", "sheet"]).where(F.col("row") > F.col("h.row"))
+    at = {f: F.nullif(F.trim(F.get("cells", F.array_position("h.names", F.lit(h.lower())).cast("int") - 1)), F.lit("")) for f, h in fields.items()}
+    found = met.select("sheet", "row", *[c.alias(f) for f, c in at.items()])
+    return found.where(F.coalesce(*fields).isNotNull())
+
+
 def kml_points(spark: SparkSession, path: str) -> DataFrame:
     """(file, seq, lon, lat, altitude) of every coordinate in KML files."""
     text = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")

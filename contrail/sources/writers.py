@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,6 +55,24 @@ def write_package(streams: dict[str, DataFrame], folder: str, order: dict[str, s
     return spark.read.schema("name string, stream string, record_count long, sha256 string").json(f"{folder}/manifest")
 
 
+def migrate(table: DataFrame, folder: str, steps: dict[int, Callable[[DataFrame], DataFrame]]) -> DataFrame:
+    """Brings a table up to the last of the numbered steps, in order, and notes each in a ledger beside it; steps that the
+    ledger has are not taken again. Every version is a table of its own, so what fails leaves the one before it."""
+    spark = table.sparkSession
+    try:
+        done = spark.read.parquet(f"{folder}/ledger").agg(F.max("version")).first()[0]
+        now = spark.read.parquet(f"{folder}/v{done}")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        done, now = -1, table
+    for version in sorted(v for v in steps if v > done):
+        steps[version](now).write.mode("overwrite").parquet(f"{folder}/v{version}")
+        now = spark.read.parquet(f"{folder}/v{version}")
+        spark.createDataFrame([(version, now.count())], "version int, rows long").write.mode("append").parquet(f"{folder}/ledger")
+    return now
+
+
 def add_items(queue: DataFrame, items: DataFrame, key: str) -> DataFrame:
     """Events of a review queue with those items that it lacks, as open; adding again changes nothing."""
     new = items.dropDuplicates([key]).join(queue.select(key), key, "left_anti")
