@@ -27,11 +27,11 @@ from .shared import cut, without
 #: Tokens of a k-mer and of its inner s-mers; K - S is at most 15.
 K = 8
 S = 2
-#: Scripts without spaces, of which each character is a token.
-_SINGLE = "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
+#: Scripts without spaces, of which each character is a token, by their blocks: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han.
+_SINGLE = r"\u0E00-\u0FFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{2FA1F}"
 #: Characters that end a token within a run: rare letters, digits and signs that join.
 _LAST = r"jqxzJQXZ0-9+/=_\-"
-TOKEN = rf"[{_SINGLE}]|[^\s{_SINGLE}{_LAST}]*+[{_LAST}]|[^\s{_SINGLE}{_LAST}]++"
+TOKEN = rf"[^\s{_SINGLE}{_LAST}]++[{_LAST}]?+|[{_SINGLE}{_LAST}]"
 #: Ranges of ids, each ordered by one task, for each shuffle partition.
 RANGES = 4
 #: Bounds of ranges that are looked through at a time.
