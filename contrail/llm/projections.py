@@ -31,7 +31,7 @@ from .shared import attach, components, cut, look_up
 #: Passes, projections of each, and how many vectors before it a vector is compared with.
 PASSES, BITS, WINDOW = 40, 24, 32
 #: Sides of the squares in which a component's members are compared, and squares in a row between these sizes.
-SQUARE, LARGEST, CELLS = 64, 8192, 16
+SQUARE, LARGEST, CELLS = 128, 8192, 16
 #: Members of a square that are compared with the others at a time.
 LINES = 512
 #: Seed of the projections.
