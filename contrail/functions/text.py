@@ -30,11 +30,6 @@ def n_number(text: Column) -> Column:
     return F.coalesce(text.rlike(r"^N[1-9]\d{0,4}$|^N[1-9]\d{0,3}[A-HJ-NP-Z]$|^N[1-9]\d{0,2}[A-HJ-NP-Z]{2}$"), F.lit(False))
 
 
-def first_int(text: Column, pattern: str) -> Column:
-    """First group of a pattern as a number, thousands separators taken out; null without a match."""
-    return F.regexp_replace(F.regexp_extract(text, pattern, 1), ",", "").try_cast("long")
-
-
 def blank_to_null(text: Column) -> Column:
     """Trimmed text, null if nothing is left."""
     return F.nullif(F.trim(text), F.lit(""))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import cards as C
 from ..functions import geo, text
 from .mapping import OBS, hav_sql, observations, table
 
@@ -126,10 +127,11 @@ def card_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registration, altitude, speed, heading and type from the text of a card."""
     c = _card(observations(spark, sf_dir))
     card = F.col("card")
+    number = lambda p: F.replace(C.first(card, p), F.lit(","), F.lit("")).try_cast("long")
+    kinds = {n: card.rlike(p) for n, p in C.TYPES}
     return c.select(
-        "obs_id", F.nullif(F.regexp_extract(card, r"\bN[0-9]{1,5}[A-Z]{0,2}\b", 0), F.lit("")).alias("registration"), text.first_int(card, r"([0-9][0-9,]*)\s*ft\b").alias("altitude_ft"),
-        text.first_int(card, r"([0-9]{1,3})\s*kt\b").alias("speed_kt"), text.first_int(card, r"([0-9]{1,3})\s*mph\b").alias("speed_mph"), text.first_int(card, r"HEADING[^0-9]{0,8}(\d{1,3})").alias("heading"),
-        F.when(card.rlike(r"\bB-?407\b|\bBell\s*407\b"), "B407").when(card.rlike(r"\bR-?44\b"), "R44").alias("aircraft_type"),
+        "obs_id", C.first(card, C.REGISTRATION[0], group=0).alias("registration"), number(C.SCAN_FEET).alias("altitude_ft"), number(C.SCAN_KNOTS).alias("speed_kt"), number(C.SCAN_MPH).alias("speed_mph"),
+        number(C.HEADING).alias("heading"), F.when(kinds["B407"], "B407").when(kinds["AS350"], "AS350").when(kinds["R44"], "R44").alias("aircraft_type"),
     )
 
 
@@ -215,7 +217,7 @@ ORACLE = {
     "worklist_top": f"WITH {OBS}, g AS (SELECT CAST(trunc(lat / CAST(0.02 AS DOUBLE)) AS INT) AS cell, kind, 3 * count(DISTINCT aircraft) + count(*) + 2 * count(DISTINCT day) AS score FROM obs GROUP BY 1, 2) SELECT *, CAST(row_number() OVER (ORDER BY score DESC, cell, kind) AS INT) AS rank FROM g QUALIFY rank <= 25",
     "queue_ranking": f"WITH {OBS}, w AS (SELECT aircraft, count(*) AS wave FROM obs GROUP BY 1), q AS (SELECT obs_id, corridor_id, wave, CASE WHEN day < '2024-01-05' THEN 1 WHEN wave >= 70 THEN 2 ELSE 3 END AS band FROM obs JOIN w USING (aircraft) WHERE kind = 'error') SELECT obs_id, corridor_id, band, CAST(row_number() OVER (PARTITION BY corridor_id ORDER BY band, wave DESC, obs_id) AS INT) AS rank FROM q",
     "heterogeneous_union": "SELECT c_custkey AS id, c_mktsegment AS segment, NULL AS name FROM customer UNION ALL SELECT s_suppkey, NULL, s_name FROM supplier",
-    "card_fields": f"WITH {OBS}, {_CARD} SELECT obs_id, nullif(regexp_extract(card, '\\bN[0-9]{{1,5}}[A-Z]{{0,2}}\\b', 0), '') AS registration, TRY_CAST(replace(regexp_extract(card, '([0-9][0-9,]*)\\s*ft\\b', 1), ',', '') AS BIGINT) AS altitude_ft, TRY_CAST(nullif(regexp_extract(card, '([0-9]{{1,3}})\\s*kt\\b', 1), '') AS BIGINT) AS speed_kt, TRY_CAST(nullif(regexp_extract(card, '([0-9]{{1,3}})\\s*mph\\b', 1), '') AS BIGINT) AS speed_mph, TRY_CAST(regexp_extract(card, 'HEADING[^0-9]{{0,8}}(\\d{{1,3}})', 1) AS BIGINT) AS heading, CASE WHEN regexp_matches(card, 'Bell 407') THEN 'B407' WHEN regexp_matches(card, '\\bR44\\b') THEN 'R44' END AS aircraft_type FROM card",
+    "card_fields": f"WITH {OBS}, {_CARD} SELECT obs_id, nullif(regexp_extract(card, '{C.REGISTRATION[0]}', 0), '') AS registration, TRY_CAST(replace(regexp_extract(card, '{C.SCAN_FEET}', 1), ',', '') AS BIGINT) AS altitude_ft, TRY_CAST(nullif(regexp_extract(card, '{C.SCAN_KNOTS}', 1), '') AS BIGINT) AS speed_kt, TRY_CAST(nullif(regexp_extract(card, '{C.SCAN_MPH}', 1), '') AS BIGINT) AS speed_mph, TRY_CAST(regexp_extract(card, '{C.HEADING}', 1) AS BIGINT) AS heading, CASE WHEN k % 3 = 0 THEN 'B407' WHEN k % 3 = 1 THEN 'R44' END AS aircraft_type FROM card JOIN obs USING (obs_id)",
     "tail_normalization": f"SELECT p_partkey, regexp_replace(upper(regexp_replace({_RAW}, '\\(.*?\\)', '', 'g')), '[^A-Z0-9-]', '', 'g') AS tail, regexp_matches('N' || p_partkey || 'AB', '^N[1-9]\\d{{0,2}}[A-HJ-NP-Z]{{2}}$') AS valid, {_FOLD.format(_RAW)} AS folded FROM part",
     "edit_distances": f"SELECT p_partkey, CAST(levenshtein(p_name, p_type) AS INT) AS distance, {_FOLD.format('p_name')} = {_FOLD.format('p_type')} AS same FROM part",
     "unusual_patterns": f"WITH {OBS} SELECT obs_id, 'unusual_time' AS type FROM obs WHERE kind = 'error' AND NOT hour(ts) BETWEEN 7 AND 18 UNION ALL SELECT obs_id, 'unusual_duration' FROM obs WHERE kind = 'view' AND altitude_ft / CAST(60 AS DOUBLE) > 150 UNION ALL SELECT obs_id, 'potential_clustering_error' FROM obs WHERE k > 95",
