@@ -6,7 +6,9 @@ and a step over one URL character is a shift with carry between words, an AND wi
 the bits that a `*` keeps alive. All URLs of a batch step together, so the work is (longest URL) array operations.
 
 Nulls and URLs without `://` have an empty host and path and meet no rule. Empty tables give empty results; repeated
-rows are judged alike; other columns pass through, but for those that bear the name of a column of the result.
+rows are judged alike; of rules that fit equally long, the first in the order of their names wins; very long URLs are read
+whole, in time in proportion to the longest of a batch. Other columns pass through, but for those that bear the name of a
+column of the result.
 """
 
 from __future__ import annotations
