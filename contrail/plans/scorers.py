@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions import seams as S
-from ..functions.geo import band, clamp01
+from ..functions.geo import clamp01
 from ..operators import joins as J
 from .evidence import _S, _link, _link_sql, _signal
-from .mapping import AIR, OBS, airports, hav_sql, observations, table
+from .mapping import AIR, OBS, airports, hav_sql, observations
 
 
 def corridor_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
