@@ -65,8 +65,16 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Removes a folder in whatever store it lies."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to the documents of a directory."""
+    """The stages applied to the documents of a directory; a stage's table goes once the next one's is written, so that one
+    table stays, which the result reads."""
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}"
     docs = read(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
@@ -74,5 +82,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if i + 1 == len(STAGES):
             return out
         out.write.parquet(f"{folder}/{i}")
+        if i:
+            _remove(spark, f"{folder}/{i - 1}")
         docs = spark.read.parquet(f"{folder}/{i}")
     return docs
