@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import htmltext, mixing, packing, projections, quality, setsketch, sharding, surrogates, syncmers, urlrules
+from . import htmltext, licenses, mixing, packing, projections, quality, setsketch, sharding, surrogates, syncmers, urlrules
 from .shared import cut, read
 
 
@@ -60,6 +60,10 @@ def op10_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(read(spark, sf_dir, "pages"))
 
 
+def op13_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hierarchical_quality": op1_hierarchical_quality,
     "op2_entropy_balanced_mix": op2_entropy_balanced_mix,
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_feistel_sharding": op9_feistel_sharding,
     "op10_crf_main_text": op10_crf_main_text,
+    "op13_license_diagonals": op13_license_diagonals,
 }
 
 def _reach(edges: str, nodes: str) -> str:
