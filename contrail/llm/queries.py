@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import htmltext, licenses, mixing, packing, projections, quality, setsketch, sharding, surrogates, syncmers, urlrules
+from . import collocations, htmltext, licenses, mixing, packing, projections, quality, setsketch, sharding, surrogates, syncmers, urlrules
 from .shared import cut, read
 
 
@@ -60,6 +60,10 @@ def op10_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(read(spark, sf_dir, "pages"))
 
 
+def op12_suffix_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def op13_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(read(spark, sf_dir, "documents"))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_feistel_sharding": op9_feistel_sharding,
     "op10_crf_main_text": op10_crf_main_text,
+    "op12_suffix_collocations": op12_suffix_collocations,
     "op13_license_diagonals": op13_license_diagonals,
 }
 
@@ -107,4 +112,16 @@ ORACLE: dict[str, str] = {
  n AS (SELECT id, count(*) AS n FROM s GROUP BY 1), i AS (SELECT x.id AS a, y.id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.id <> y.id GROUP BY 1, 2),
  edges AS (SELECT a, b FROM i JOIN n p ON p.id = a JOIN n q ON q.id = b WHERE 100 * k >= 80 * (p.n + q.n - k)), {_reach('edges', 'w')}
  SELECT w.id AS doc_id, coalesce(n, 0) AS n_shingles, component_id, w.id = component_id AS kept FROM w JOIN comp ON comp.id = w.id LEFT JOIN n ON n.id = w.id""",
+    "op12_suffix_collocations": """WITH t AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+ w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM t),
+ g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS p FROM w, (VALUES (1), (2), (3)) x(k) WHERE len(w) >= k),
+ f AS (SELECT lang, k, p, count(*) AS n FROM g GROUP BY 1, 2, 3), total AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY 1),
+ c AS (SELECT lang, k, p, n AS a, string_split(p, ' ') AS w FROM f WHERE k > 1 AND n >= 10),
+ longer AS (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS p, a AS more FROM c WHERE k = 3),
+ kept AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM longer x WHERE x.lang = c.lang AND x.p = c.p AND 100 * more >= 50 * a)),
+ cuts AS (SELECT c.lang, c.p, a, i, l.n AS l, r.n AS r, ((1000000::HUGEINT * a * a) // (l.n::HUGEINT * r.n))::BIGINT AS score FROM kept c, (VALUES (1), (2)) x(i), f l, f r
+ WHERE i < c.k AND l.lang = c.lang AND l.p = array_to_string(c.w[1:i], ' ') AND r.lang = c.lang AND r.p = array_to_string(c.w[i + 1:], ' ')),
+ best AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, i) AS o FROM cuts),
+ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank FROM best WHERE o = 1)
+ SELECT ranked.lang, rank, p AS phrase, a, l, r, n, score FROM ranked JOIN total ON total.lang = ranked.lang WHERE rank <= 2000""",
 }
