@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, htmltext, licenses, mixing, packing, projections, quality, setsketch, sharding, surrogates, syncmers, urlrules
+from . import collocations, htmltext, licenses, mixing, packing, projections, quality, setsketch, sharding, surrogates, syncmers, urlrules, wavelets
 from .shared import cut, read
 
 
@@ -60,6 +60,10 @@ def op10_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(read(spark, sf_dir, "pages"))
 
 
+def op11_wavelet_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelets.rank(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op12_suffix_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"))
 
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_feistel_sharding": op9_feistel_sharding,
     "op10_crf_main_text": op10_crf_main_text,
+    "op11_wavelet_search": op11_wavelet_search,
     "op12_suffix_collocations": op12_suffix_collocations,
     "op13_license_diagonals": op13_license_diagonals,
 }
@@ -112,7 +117,16 @@ ORACLE: dict[str, str] = {
  n AS (SELECT id, count(*) AS n FROM s GROUP BY 1), i AS (SELECT x.id AS a, y.id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.id <> y.id GROUP BY 1, 2),
  edges AS (SELECT a, b FROM i JOIN n p ON p.id = a JOIN n q ON q.id = b WHERE 100 * k >= 80 * (p.n + q.n - k)), {_reach('edges', 'w')}
  SELECT w.id AS doc_id, coalesce(n, 0) AS n_shingles, component_id, w.id = component_id AS kept FROM w JOIN comp ON comp.id = w.id LEFT JOIN n ON n.id = w.id""",
-    "op12_suffix_collocations": """WITH t AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+    "op11_wavelet_search": r"""WITH d AS (SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+ s AS (SELECT count(*) AS n, sum(len(w))::BIGINT AS total FROM d WHERE len(w) > 0),
+ p AS (SELECT d, doc_id, len(w) AS size, unnest(w) AS term FROM d), tf AS (SELECT d, doc_id, size, term, count(*) AS tf FROM p GROUP BY ALL),
+ df AS (SELECT term, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, s GROUP BY term, n),
+ q AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+ c AS (SELECT item_id, term, count(*) AS times FROM q GROUP BY ALL),
+ scored AS (SELECT item_id, d, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * size * n) // total))))::BIGINT AS score FROM c JOIN df USING (term) JOIN tf USING (term), s GROUP BY ALL),
+ ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scored WHERE score > 0)
+ SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20""",
+    "op12_suffix_collocations": r"""WITH t AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
  w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM t),
  g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS p FROM w, (VALUES (1), (2), (3)) x(k) WHERE len(w) >= k),
  f AS (SELECT lang, k, p, count(*) AS n FROM g GROUP BY 1, 2, 3), total AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY 1),
