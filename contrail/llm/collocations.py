@@ -246,6 +246,12 @@ def _joined(cuts: DataFrame, known: DataFrame, side: str, name: str, total: int)
     return look_up(cuts, small, side, "uses", total)
 
 
+def score() -> Column:
+    """1,000,000 a * a div (l * r), by decimals of 38 digits: exact for counts of up to fifteen, beyond which the cast raises."""
+    wide = "cast({} AS decimal(15,0))".format
+    return F.expr(f"({wide('a')} * {wide('a')} * cast(1000000 AS decimal(7,0))) div ({wide('l')} * {wide('r')})")
+
+
 def collocations(docs: DataFrame, longest: int = 3, least: int = 10, share: int = 50, most: int = 2000) -> DataFrame:
     """Rows (lang, rank, phrase, a, l, r, n, score): each language's first `most` phrases of two to `longest` words."""
     known, totals = counts(docs, longest, least)
@@ -260,10 +266,7 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, share: int
     total = cuts.count()
     met = cut(_joined(cuts, keyed, "left", "l", total))
     met = _joined(met, keyed, "right", "r", total)
-    # decimals of 38 digits: exact up to counts of fifteen digits, beyond which the cast raises
-    wide = "cast({} AS decimal(15,0))".format
-    score = F.expr(f"({wide('a')} * {wide('a')} * cast(1000000 AS decimal(7,0))) div ({wide('l')} * {wide('r')})")
-    lowest = met.groupBy("lang", "phrase", "a").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("x"))
+    lowest = met.groupBy("lang", "phrase", "a").agg(F.min(F.struct(score().alias("score"), "k", "l", "r")).alias("x"))
     rows = lowest.select("lang", "phrase", "a", "x.l", "x.r", "x.score")
     return attach(_first(rows, most), totals, ["lang"]).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
