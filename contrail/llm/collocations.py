@@ -108,8 +108,9 @@ def automaton(ids: np.ndarray, linked: np.ndarray, depth: int) -> Automaton:
     piece."""
     columns, alive = [ids], np.ones(len(ids), bool)
     for d in range(1, depth):
-        alive = alive & np.append(np.zeros(d - 1, bool), linked[: len(ids) - d + 1])
-        columns.append(np.where(alive, np.append(np.full(d, -1), ids[: len(ids) - d]), -1))
+        # whether the word d places before, which is a piece's, still belongs to the same piece
+        alive = alive & np.append(np.zeros(d - 1, bool), linked)[: len(ids)]
+        columns.append(np.where(alive, np.append(np.full(d, -1), ids)[: len(ids)], -1))
     order = np.lexsort(columns[::-1])
     columns = [c[order] for c in columns]
     n = len(ids)
