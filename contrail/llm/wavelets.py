@@ -174,7 +174,8 @@ class Tree:
         while True:
             hopeful = bound > 0
             if len(scores) == k:
-                low = ids[number << (self.height - level)]  # a node's least id
+                # a node's least id; nodes past the last document are empty
+                low = ids[np.minimum(number << (self.height - level), len(ids) - 1)]
                 hopeful &= (bound > scores[-1]) | ((bound == scores[-1]) & (low < found[-1]))
             if not hopeful.all():
                 level, number, start, end, bound = level[hopeful], number[hopeful], start[hopeful], end[hopeful], bound[hopeful]

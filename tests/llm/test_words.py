@@ -71,7 +71,7 @@ def test_search_equals_going_through_all(spark, monkeypatch, shard):
     rng = random.Random(shard)
     vocabulary = [f"w{int(rng.paretovariate(0.7))}" for _ in range(300)]
     docs = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(0, 40)))) for i in rng.sample(range(-500, 900), 250)]
-    docs += [(1000 + i, "the same text w1 w2 w3") for i in range(60)] + [(5, "w1 w7"), (5, "w1 w7"), (None, "w1 w7 w7"), (None, None)]
+    docs += [(1000 + i, "the same text w1 w2 w3") for i in range(60)] + [(2000 + i, f"w1 w{i}") for i in range(9)] + [(5, "w1 w7"), (5, "w1 w7"), (None, "w1 w7 w7"), (None, None)]
     items = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(0, 12)))) for i in range(9)] + [(20, None), (21, "nowhere"), (22, "The SAME text w1"), (23, "")]
     rows = spark.createDataFrame(docs, "doc_id long, text string").withColumn("score", F.lit("clash")).withColumn("ids", F.lit(0))
     got = wavelets.rank(rows.repartition(3), spark.createDataFrame(items, "item_id long, text string").withColumn("rank", F.lit(0)), 7)
