@@ -147,47 +147,3 @@ def hamming_pairs(rows: DataFrame, id_: str, bits: str, most: int = 4) -> DataFr
     b = exploded.select(F.col("_id").alias("b"), F.col(bits).alias("_y"), "_p")
     distance = F.bit_count(F.col("_x").bitwiseXOR(F.col("_y")))
     return a.join(b, "_p").where("a < b").withColumn("distance", distance).where(F.col("distance") <= most).select("a", "b", "distance").distinct()
-
-
-def leader_groups(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Rows (node, leader): greedy groups in the order of the nodes, each node joining its least neighbour that leads a
-    group, or leading one itself; `pairs` (a, b) with a < b.
-
-    A node is decided once all neighbours before it are: rounds decide all such nodes at once, as many rounds as the
-    longest chain of neighbours in order.
-    """
-    open_ = cut(nodes.select("node"))
-    links = cut(pairs.select("a", "b"))
-    done = None
-    while not open_.isEmpty():
-        # neighbours before a node, undecided ones and leaders
-        waits = links.join(open_.withColumnRenamed("node", "a"), "a").select(F.col("b").alias("node")).distinct()
-        leads = open_.join(waits, "node", "left_anti")
-        if done is not None:
-            below = links.join(done.where("node = leader").select(F.col("node").alias("a")), "a").groupBy(F.col("b").alias("node")).agg(F.min("a").alias("leader"))
-            leads = leads.join(below, "node", "left")
-        else:
-            leads = leads.withColumn("leader", F.lit(None).cast(nodes.schema["node"].dataType))
-        found = cut(leads.select("node", F.coalesce("leader", "node").alias("leader")))
-        done = found if done is None else cut(done.union(found))
-        open_ = cut(open_.join(found, "node", "left_anti"))
-    return done if done is not None else nodes.select("node", F.col("node").alias("leader"))
-
-
-def one_to_one(pairs: DataFrame, left: str, right: str, order: list[str]) -> DataFrame:
-    """Greedy assignment over the total order (`order`, left, right): the first pair first, each side once.
-
-    A pair that is first for both its sides is taken in any case, so each round takes all of these and drops what they
-    use up; the result is that of going through all pairs in order, without any task that does.
-    """
-    rank = F.struct(*order, left, right)
-    rest = cut(pairs)
-    taken = None
-    while not rest.isEmpty():
-        one = rest.groupBy(left).agg(F.min(rank).alias("_l"))
-        two = rest.groupBy(right).agg(F.min(rank).alias("_r"))
-        first = rest.join(one, left).join(two, right).where((rank == F.col("_l")) & (rank == F.col("_r"))).select(*pairs.columns)
-        hit = cut(first)
-        taken = hit if taken is None else taken.union(hit)
-        rest = cut(rest.join(hit.select(left).distinct(), left, "left_anti").join(hit.select(right).distinct(), right, "left_anti").select(*pairs.columns))
-    return pairs.limit(0) if taken is None else taken

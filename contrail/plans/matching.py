@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..operators import graphs as R
 from ..operators import joins as J
 from .mapping import AIR, OBS, airports, hav_sql, observations, table
 
@@ -158,7 +159,7 @@ def hash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy groups of frames: in the order of ids, a frame joins the least leader within four bits, or leads itself."""
     classes = hash_classes(spark, sf_dir)
-    leaders = J.leader_groups(classes.select(F.col("class_id").alias("node")).distinct(), hash_near_duplicates(spark, sf_dir))
+    leaders = R.leader_groups(classes.select(F.col("class_id").alias("node")).distinct(), hash_near_duplicates(spark, sf_dir))
     return classes.join(leaders, F.col("class_id") == F.col("node")).select("obs_id", F.col("leader").alias("group_id"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, text
 from ..operators import graphs as R
 from ..operators import joins as J
-from ..operators.cuts import row_numbers
+from ..operators.cuts import cut, row_numbers
 from .mapping import OBS, observations, table
 from .matching import _FRAMES, _frames
 
@@ -162,26 +162,36 @@ def aoi_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aircraft with at least two pairs of sightings that are at most ten minutes apart on a day."""
     o = observations(spark, sf_dir)
-    t = o.select("aircraft", "corridor_id", "day", F.hour("ts").alias("part")).distinct()
-    a, b = t.withColumnRenamed("aircraft", "a"), t.withColumnRenamed("aircraft", "b")
-    return a.join(b, ["corridor_id", "day", "part"]).where("a < b").groupBy("a", "b").agg(F.count("*").alias("weight")).where("weight >= 2")
+    one, two = (o.select(F.col("aircraft").alias(n), "day", F.col("ts").alias(f"{n}_ts")) for n in "ab")
+    met = J.band_join(one, two, ["day"], "a_ts", "b_ts", 600).where("a < b")
+    return met.groupBy("a", "b").agg(F.count("*").alias("weight")).where("weight >= 2")
+
+
+def _degrees(edges: DataFrame) -> DataFrame:
+    both = edges.select(F.col("a").alias("node"), "weight").union(edges.select("b", "weight"))
+    return both.groupBy("node").agg(F.count("*").alias("degree"), F.sum("weight").alias("weighted"))
 
 
 def aircraft_communities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Communities of aircraft seen together, with their members and the weight within each."""
-    e = _edges(spark, sf_dir)
-    c = R.communities(e)
-    inner = e.join(c.withColumnRenamed("node", "a").withColumnRenamed("community", "ca"), "a").join(c.withColumnRenamed("node", "b").withColumnRenamed("community", "cb"), "b").where("ca = cb")
-    w = inner.groupBy(F.col("ca").alias("community")).agg(F.sum("weight").alias("weight"))
-    return c.groupBy("community").agg(F.count("*").alias("members"), F.min("node").alias("first_member")).join(w, "community", "left").na.fill(0, ["weight"])
+    """Communities of aircraft seen together: how many there are, their sightings, and the first five aircraft and owners."""
+    e = cut(_edges(spark, sf_dir))
+    seen = observations(spark, sf_dir).groupBy(F.col("aircraft").alias("node")).agg(F.count("*").alias("sightings"))
+    owners = table(spark, sf_dir, "customer").select(F.concat(F.lit("N"), F.col("c_custkey").cast("string")).alias("node"), F.col("c_mktsegment").alias("owner"))
+    n = R.communities(e).join(seen, "node").join(_degrees(e), "node").join(owners, "node", "left").na.fill("?", ["owner"])
+    most = [F.desc("sightings"), F.desc("weighted"), F.col("node")]
+    listed = lambda rows, name, number, out: rows.groupBy("community").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", name, number))), lambda x: F.concat(x[name], F.lit("("), x[number], F.lit(")"))), ", ").alias(out))
+    top = n.withColumn("_r", F.row_number().over(Window.partitionBy("community").orderBy(*most))).where("_r <= 5")
+    by_owner = n.groupBy("community", "owner").agg(F.count("*").alias("n"), F.min(F.struct(-F.col("weighted"), "node")).alias("first"))
+    main = by_owner.withColumn("_r", F.row_number().over(Window.partitionBy("community").orderBy(F.desc("n"), "first"))).where("_r <= 5")
+    whole = n.groupBy("community").agg(F.count("*").alias("n_aircraft"), F.sum("sightings").alias("total_sightings"))
+    return whole.join(listed(top, "node", "sightings", "top_aircraft"), "community").join(listed(main, "owner", "n", "owners"), "community")
 
 
 def graph_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Degree and weighted degree of each aircraft in the graph of those seen together."""
-    e = _edges(spark, sf_dir)
-    both = e.select(F.col("a").alias("node"), "weight").union(e.select("b", "weight"))
-    return both.groupBy("node").agg(F.count("*").alias("degree"), F.sum("weight").alias("weighted"))
+    return _degrees(_edges(spark, sf_dir))
 
 
 def icon_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +202,7 @@ def icon_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     hue = ranked.select("rank", "hue")
     met = pairs.join(hue.select(F.col("rank").alias("a"), F.col("hue").alias("ha")), "a").join(hue.select(F.col("rank").alias("b"), F.col("hue").alias("hb")), "b")
     gap = F.least(F.abs(F.col("ha") - F.col("hb")), 360 - F.abs(F.col("ha") - F.col("hb")))
-    led = J.leader_groups(ranked.select(F.col("rank").alias("node")), met.where(gap <= 20).select("a", "b"))
+    led = R.leader_groups(ranked.select(F.col("rank").alias("node")), met.where(gap <= 20).select("a", "b"))
     return ranked.join(led, F.col("rank") == F.col("node")).groupBy(F.col("leader").alias("cluster")).agg(F.count("*").alias("hashes"), F.sum("n").alias("icons"))
 
 
@@ -307,7 +317,7 @@ def _seg(px: str, py: str, ax: float, ay: float, bx: float, by: float) -> str:
     return hav_sql(py, px, f"(CAST({ay} AS DOUBLE) + {t} * {dy})", f"(CAST({ax} AS DOUBLE) + {t} * {dx})", 3440.065)
 
 
-_EDGES = "t AS (SELECT DISTINCT aircraft, corridor_id, day, hour(ts) AS part FROM obs), e AS (SELECT a.aircraft AS a, b.aircraft AS b, count(*) AS weight FROM t a JOIN t b USING (corridor_id, day, part) WHERE a.aircraft < b.aircraft GROUP BY 1, 2 HAVING count(*) >= 2)"
+_EDGES = "e AS (SELECT x.aircraft AS a, y.aircraft AS b, count(*) AS weight FROM obs x JOIN obs y ON x.day = y.day AND x.aircraft < y.aircraft AND abs(epoch_us(x.ts) - epoch_us(y.ts)) <= 600000000 GROUP BY 1, 2 HAVING count(*) >= 2)"
 _TILE_Y = "CAST(floor((1.0 - ln(tan(radians({0})) + 1.0 / cos(radians({0}))) / pi()) / 2.0 * 4096.0) AS BIGINT)"
 _TILE_X = "CAST(floor(({0} + 180.0) / 360.0 * 4096.0) AS BIGINT)"
 ORACLE = {

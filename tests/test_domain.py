@@ -50,27 +50,6 @@ def test_variants_change_four_places_at_most(spark):
     assert len(spark.range(1).select(tails.variants(F.lit("000000")).alias("v")).first()["v"]) == 4**4
 
 
-def test_communities_equal_plain_rounds(spark):
-    rng = random.Random(5)
-    edges = {tuple(sorted(rng.sample("abcdefghijklmnop", 2))): rng.randint(1, 4) for _ in range(26)}
-    near = defaultdict(dict)
-    for (a, b), w in edges.items():
-        near[a][b] = near[b][a] = w
-    label = {n: n for n in near}
-    for _ in range(20):
-        new = {}
-        for n in near:
-            votes = defaultdict(int)
-            for m, w in near[n].items():
-                votes[label[m]] += w
-            new[n] = min(k for k, v in votes.items() if v == max(votes.values()))
-        if new == label:
-            break
-        label = new
-    rows = spark.createDataFrame([(a, b, w) for (a, b), w in edges.items()], "a string, b string, weight int")
-    assert {r["node"]: r["community"] for r in graphs.communities(rows).collect()} == label
-
-
 def test_stencil_and_slope(spark):
     cells = spark.createDataFrame([(y, x, 10.0 * x) for y in range(3) for x in range(3)], "y long, x long, z double")
     got = {(r["y"], r["x"]): r["s"] for r in graphs.stencil(cells, "z").select("y", "x", graphs.slope(10.0).alias("s")).collect()}

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from contrail.functions import evidence, geo, text
-from contrail.operators import aggregates, joins, windows
+from contrail.operators import aggregates, graphs, joins, windows
 from contrail.sources import readers, writers
 
 
@@ -60,7 +60,7 @@ def test_card_fields_reads_every_observation(spark, tmp_path):
 
 def test_one_to_one_takes_the_cheapest_first(spark):
     rows = spark.createDataFrame([("c", "a", "x", 2), ("c", "a", "y", 1), ("c", "b", "y", 1), ("c", "b", "x", 9)], "g string, l string, r string, d int")
-    assert values(joins.one_to_one(rows, "l", "r", ["d"]), "l", "r") == [("a", "y"), ("b", "x")]
+    assert values(graphs.one_to_one(rows, "l", "r", ["d"]), "l", "r") == [("a", "y"), ("b", "x")]
 
 
 def test_one_to_one_equals_going_through_all_pairs(spark):
@@ -73,7 +73,7 @@ def test_one_to_one_equals_going_through_all_pairs(spark):
             lefts.add(a)
             rights.add(b)
     rows = spark.createDataFrame([(a, b, d) for (a, b), d in pairs], "l int, r int, d int")
-    assert values(joins.one_to_one(rows, "l", "r", ["d"]), "l", "r") == sorted(want)
+    assert values(graphs.one_to_one(rows, "l", "r", ["d"]), "l", "r") == sorted(want)
 
 
 def test_leader_groups_equal_going_in_order(spark):
@@ -83,7 +83,7 @@ def test_leader_groups_equal_going_in_order(spark):
     for x in range(40):
         led = [a for a, b in sorted(pairs) if b == x and want[a] == a]
         want[x] = min(led) if led else x
-    got = joins.leader_groups(spark.range(40).withColumnRenamed("id", "node"), spark.createDataFrame(list(pairs), "a long, b long"))
+    got = graphs.leader_groups(spark.range(40).withColumnRenamed("id", "node"), spark.createDataFrame(list(pairs), "a long, b long"))
     assert {r["node"]: r["leader"] for r in got.collect()} == want
 
 
