@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import graphs as R
 from ..operators import joins as J
+from ..operators import patterns as P
 from .mapping import AIR, OBS, airports, hav_sql, observations, table
 
 
@@ -223,10 +224,23 @@ def alias_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first alias, in order, that a part's name holds."""
     aliases = spark.createDataFrame([(1, "red"), (2, "blue"), (3, "green"), (4, "part"), (5, "1")], "ord int, alias string")
     p = table(spark, sf_dir, "part")
-    met = p.join(F.broadcast(aliases), F.lower("p_name").contains(F.col("alias")))
+    met = P.contained(p.select("p_partkey", F.lower("p_name").alias("name")), "name", aliases, "alias")
     return met.groupBy("p_partkey").agg(F.min_by("alias", "ord").alias("alias"))
 
 
+def alias_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels whose first variant, in order, a document's text holds in any case, but for labels among its first words.
+
+    Labels are the long words of the benchmark, their variants the word and its first seven letters.
+    """
+    words = table(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all(F.upper("text"), F.lit("[A-Z]{8,}"), F.lit(0))).alias("label")).distinct()
+    variants = words.select("label", F.posexplode(F.array("label", F.substring("label", 1, 7))).alias("ord", "variant"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.upper("text").alias("text"))
+    known = d.select("doc_id", F.explode(F.slice(F.split("text", " "), 1, 20)).alias("label")).distinct()
+    met = P.contained(d, "text", variants, "variant").groupBy("doc_id", "label").agg(F.min_by("variant", "ord").alias("variant"))
+    return met.join(known, ["doc_id", "label"], "left_anti")
+
+
 def alias_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brands as keys: one meaning is resolved, several go to review."""
     p = table(spark, sf_dir, "part").withColumn("key", text.fold(F.concat("p_brand", F.lit(" "), F.col("p_size").cast("string"))))
@@ -274,9 +288,11 @@ def token_subset_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature names all of whose tokens a label holds, the fewest tokens first."""
     p = table(spark, sf_dir, "part").select("p_partkey", F.split(F.lower("p_type"), " ").alias("have"))
     f = spark.createDataFrame([(1, "brass"), (2, "standard brass"), (3, "promo"), (4, "economy tin"), (5, "steel"), (6, "small")], "ord int, feature string")
-    f = f.withColumn("need", F.split("feature", " "))
-    met = p.join(F.broadcast(f), F.size(F.array_except("need", "have")) == 0)
-    return met.groupBy("p_partkey").agg(F.min(F.struct(F.size("need").alias("s"), "ord", "feature")).alias("b")).select("p_partkey", F.col("b.feature").alias("feature"))
+    f = f.withColumn("need", F.array_distinct(F.split("feature", " ")))
+    tokens = f.select("ord", "feature", F.size("need").alias("s"), F.explode("need").alias("token"))
+    held = p.select("p_partkey", F.explode(F.array_distinct("have")).alias("token")).join(F.broadcast(tokens), "token")
+    met = held.groupBy("p_partkey", "s", "ord", "feature").agg(F.count("*").alias("n")).where("n = s")
+    return met.groupBy("p_partkey").agg(F.min(F.struct("s", "ord", "feature")).alias("b")).select("p_partkey", F.col("b.feature").alias("feature"))
 
 
 def graph_track_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,7 +310,7 @@ def skip_reason_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return met.groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (registry_join, five_way_join, projected_positions, frames_with_conditions, unobserved_aircraft, observed_aircraft, group_anchor_recovery, temporal_band_pairs, cross_domain_overlaps, nearest_airport, footprint_radius_matches, airport_alignment, bbox_layer_context, poi_pair_flights, hash_near_duplicates, hash_classes, near_duplicate_groups, full_outer_fusion, last_report_lookup, log_verification, captured_within_days, confusable_registry_match, edit_distance_match, text_token_matches, alias_containment, alias_collisions, prediction_accuracy, latest_per_zone, label_cooccurrence, registry_cascade, token_subset_match, graph_track_summary, skip_reason_cascade)}
+QUERIES = {f.__name__: f for f in (registry_join, five_way_join, projected_positions, frames_with_conditions, unobserved_aircraft, observed_aircraft, group_anchor_recovery, temporal_band_pairs, cross_domain_overlaps, nearest_airport, footprint_radius_matches, airport_alignment, bbox_layer_context, poi_pair_flights, hash_near_duplicates, hash_classes, near_duplicate_groups, full_outer_fusion, last_report_lookup, log_verification, captured_within_days, confusable_registry_match, edit_distance_match, text_token_matches, alias_containment, alias_mentions, alias_collisions, prediction_accuracy, latest_per_zone, label_cooccurrence, registry_cascade, token_subset_match, graph_track_summary, skip_reason_cascade)}
 
 _FRAMES = "f AS (SELECT obs_id, xor(CAST('0x' || substr(md5(CAST(k AS VARCHAR)), 1, 15) AS BIGINT), CAST(pow(2, obs_id % 5) AS BIGINT) + CAST(pow(2, 20 + obs_id % 3) AS BIGINT)) AS h FROM obs)"
 _KM = hav_sql("lat", "lon", "a_lat", "a_lon", 6371.0088)
@@ -323,6 +339,8 @@ ORACLE = {
     "confusable_registry_match": "WITH r AS (SELECT p_partkey, translate(upper(p_name), 'OILSBZG', '0115826') AS key FROM part), s AS (SELECT p_partkey, translate(translate(upper(p_name), '0158', 'OISB'), 'OILSBZG', '0115826') AS key FROM part) SELECT s.p_partkey, min(r.p_partkey) AS reg_id FROM s JOIN r USING (key) GROUP BY 1 HAVING count(*) = 1",
     "edit_distance_match": "SELECT s_suppkey, c_custkey, CAST(levenshtein(s_name, c_name) AS INT) AS distance FROM supplier JOIN customer ON CAST(regexp_extract(s_name, '(\\d+)', 1) AS BIGINT) = CAST(regexp_extract(c_name, '(\\d+)', 1) AS BIGINT) WHERE levenshtein(s_name, c_name) <= 9",
     "text_token_matches": "WITH b AS (SELECT item_id, list_sort(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: length(w) >= 9))[1] AS token FROM benchmark), d AS (SELECT doc_id, unnest(list_distinct(regexp_split_to_array(lower(text), '[^a-z]+'))) AS token FROM documents) SELECT item_id, token, count(*) AS documents FROM d JOIN b USING (token) GROUP BY 1, 2",
+    "alias_mentions": """WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(upper(text), '[A-Z]{8,}')) AS label FROM benchmark), v AS (SELECT label, 0 AS ord, label AS variant FROM w UNION ALL SELECT label, 1, substr(label, 1, 7) FROM w),
+ d AS (SELECT doc_id, upper(text) AS text FROM documents) SELECT doc_id, label, first(variant ORDER BY ord) AS variant FROM d JOIN v ON contains(text, variant) WHERE NOT list_contains(string_split(text, ' ')[1:20], label) GROUP BY 1, 2""",
     "alias_containment": "WITH a(ord, alias) AS (VALUES (1, 'red'), (2, 'blue'), (3, 'green'), (4, 'part'), (5, '1')) SELECT p_partkey, first(alias ORDER BY ord) AS alias FROM part JOIN a ON contains(lower(p_name), alias) GROUP BY 1",
     "alias_collisions": "WITH k AS (SELECT trim(regexp_replace(upper(p_brand || ' ' || p_size), '[^A-Z0-9]+', ' ', 'g')) AS key, p_partkey FROM part), n AS (SELECT key, count(DISTINCT p_partkey) AS ids, min(p_partkey) AS f FROM k GROUP BY 1) SELECT key, ids, CASE WHEN ids > 1 THEN 'collision_review_required' ELSE 'resolved' END AS status, CASE WHEN ids = 1 THEN f END AS id FROM n",
     "prediction_accuracy": "WITH t AS (SELECT doc_id, n_chars, 'lang' AS field, lang AS truth FROM documents UNION ALL SELECT doc_id, n_chars, 'source', source FROM documents), g AS (SELECT *, CASE WHEN doc_id % 5 = 0 THEN NULL WHEN field = 'lang' AND n_chars % 3 = 0 THEN 'en' ELSE truth END AS guess FROM t WHERE truth <> '') SELECT field, count(*) AS n, count(*) FILTER (guess = truth) AS \"right\", count(*) FILTER (guess IS NULL) AS missing FROM g GROUP BY 1",

@@ -9,8 +9,9 @@ from ..functions import geo
 from ..functions import seams as S
 from ..functions.geo import clamp01
 from ..operators import joins as J
+from ..operators import patterns as P
 from .evidence import _S, _link, _link_sql, _signal
-from .mapping import AIR, OBS, airports, hav_sql, observations
+from .mapping import AIR, OBS, airports, hav_sql, observations, table
 
 
 def corridor_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,13 +152,19 @@ def layer_readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sightings by tail: whether the registry's tokens cover them, whether they should be taken in, whether a keyword hits."""
-    tokens = J.small(spark.createDataFrame([("N1",), ("VIEW",)], "token string"))
-    o = observations(spark, sf_dir)
-    n = o.groupBy(F.upper("aircraft").alias("tail")).agg(F.count("*").alias("sightings"), F.count_if(F.col("kind") == "error").alias("gap_hits"), F.upper(F.concat_ws(" ", F.first("aircraft"), F.max("kind"))).alias("hay"))
-    known = n.join(tokens, F.col("hay").contains(F.col("token")), "left_semi").select("tail", F.lit(True).alias("known"))
-    exact = tokens.select(F.col("token").alias("tail"), F.lit(True).alias("listed"))
-    met = n.join(known, "tail", "left").join(exact, "tail", "left")
+    """Sightings by tail: whether a token of the registry stands in what is known of them, whether they are seen often enough to be
+    taken in (three times, and no token themselves), and how many rows name a known gap. Suppliers are the registry, with
+    their tails and nations as tokens."""
+    s, n, c = (table(spark, sf_dir, t) for t in ("supplier", "nation", "customer"))
+    tail = lambda k: F.concat(F.lit("N"), F.col(k).cast("string"))
+    listed = s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(F.explode(F.array(F.concat(F.lit("N"), (F.col("s_suppkey") * 7).cast("string")), F.upper("n_name"))).alias("token")).distinct()
+    o = observations(spark, sf_dir).withColumn("tail", F.upper("aircraft"))
+    seen = o.groupBy("tail").agg(F.count("*").alias("sightings"), F.count_if(F.col("kind") == "error").alias("gap_hits"), F.max("kind").alias("kind"))
+    owners = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(tail("c_custkey").alias("tail"), F.when(F.col("c_acctbal") < 2000, F.col("n_name")).otherwise(F.col("c_mktsegment")).alias("operator"))
+    hay = seen.join(owners, "tail", "left").withColumn("hay", F.upper(F.concat_ws(" ", "tail", "operator", "kind")))
+    known = P.contained(hay.select("tail", "hay"), "hay", listed, "token").select("tail", F.lit(True).alias("known")).distinct()
+    exact = listed.select(F.col("token").alias("tail"), F.lit(True).alias("listed"))
+    met = seen.join(known, "tail", "left").join(exact, "tail", "left")
     return met.select("tail", "sightings", "gap_hits", F.coalesce("known", F.lit(False)).alias("covered"), ((F.col("sightings") >= 3) & F.col("listed").isNull()).alias("onboard"))
 
 
@@ -297,7 +304,10 @@ ORACLE = {
     "label_promotion": f"WITH {_PROMO} SELECT obs_id, resolved, resolution, round(adjusted, 4) AS adjusted, decision FROM q",
     "calibration_summary": f"WITH {_PROMO}, u AS (SELECT 'decision' AS histogram, decision AS bucket, * FROM q UNION ALL SELECT 'class', kind, * FROM q UNION ALL SELECT 'resolution', resolution, * FROM q) SELECT histogram, bucket, count(*) AS n, round(avg(confidence), 4) AS mean_raw, round(min(adjusted), 4) AS least, round(max(adjusted), 4) AS most, count(DISTINCT day) AS frames FROM u GROUP BY 1, 2",
     "layer_readiness": f"WITH {OBS}, s AS (SELECT aircraft, day, obs_id % 5 AS layer, arg_max({_STATE}, obs_id) AS status FROM obs GROUP BY 1, 2, 3), w AS (SELECT aircraft, day, {', '.join(_L)} FROM s GROUP BY 1, 2) SELECT aircraft, day, CASE WHEN l1 IN ('DEGRADED', 'MISSING') OR l2 IN ('DEGRADED', 'MISSING') OR l3 IN ('DEGRADED', 'MISSING') THEN 'DEGRADED' WHEN l4 IN ('DEGRADED', 'MISSING') OR l5 IN ('DEGRADED', 'MISSING') THEN 'PARTIAL' WHEN l1 || l2 || l3 || l4 || l5 = repeat('READY', 5) THEN 'READY_FOR_BATCH_ANALYSIS' ELSE 'PARTIAL' END AS status, concat_ws(',', CASE WHEN l1 <> 'READY' THEN 'L1' END, CASE WHEN l2 <> 'READY' THEN 'L2' END, CASE WHEN l3 <> 'READY' THEN 'L3' END) AS blocking, concat_ws(',', CASE WHEN l4 <> 'READY' THEN 'L4' END, CASE WHEN l5 <> 'READY' THEN 'L5' END) AS advised FROM w",
-    "registry_audit": f"WITH {OBS} SELECT aircraft AS tail, count(*) AS sightings, count(*) FILTER (kind = 'error') AS gap_hits, contains(aircraft, 'N1') OR max(kind) = 'view' AS covered, count(*) >= 3 AND aircraft <> 'N1' AS onboard FROM obs GROUP BY 1",
+    "registry_audit": f"""WITH {OBS}, l AS (SELECT DISTINCT unnest(['N' || CAST(s_suppkey * 7 AS VARCHAR), upper(n_name)]) AS token FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+ w AS (SELECT 'N' || CAST(c_custkey AS VARCHAR) AS tail, CASE WHEN c_acctbal < 2000 THEN n_name ELSE c_mktsegment END AS operator FROM customer JOIN nation ON c_nationkey = n_nationkey),
+ s AS (SELECT upper(aircraft) AS tail, count(*) AS sightings, count(*) FILTER (kind = 'error') AS gap_hits, max(kind) AS kind FROM obs GROUP BY 1), h AS (SELECT s.*, upper(concat_ws(' ', s.tail, operator, kind)) AS hay FROM s LEFT JOIN w ON w.tail = s.tail)
+ SELECT tail, sightings, gap_hits, EXISTS (SELECT 1 FROM l WHERE contains(hay, token)) AS covered, sightings >= 3 AND NOT EXISTS (SELECT 1 FROM l WHERE token = tail) AS onboard FROM h""",
     "review_harvest": f"WITH {OBS} SELECT obs_id, CASE WHEN obs_id % 6 IN (0, 5) THEN '0' ELSE '1' END AS is_false_positive, kind AS false_positive_class, k AS confidence FROM obs WHERE obs_id % 6 IN (0, 1, 2, 5) AND k % 10 <> 0",
     "ocr_benchmark": f"WITH {OBS}, g AS (SELECT kind AS zone, CASE k % 3 WHEN 0 THEN 'baseline' WHEN 1 THEN 'sharp' ELSE 'upscaled' END AS variant, count(*) AS n, round(avg(confidence), 4) AS conf, round(avg(altitude_ft % 40), 4) AS words, avg(obs_id % 7) AS h, round(avg(value), 4) AS seconds FROM obs GROUP BY 1, 2) SELECT g.zone, g.variant, g.n, g.conf, g.words, round(g.h, 4) AS hits, g.seconds, CASE WHEN g.variant <> 'baseline' THEN round(g.h - b.h, 4) END AS delta FROM g LEFT JOIN g b ON b.zone = g.zone AND b.variant = 'baseline'",
     "best_assessments": f"WITH {OBS} SELECT aircraft, day, obs_id, CASE kind WHEN 'view' THEN 'TILE_SEAM' ELSE 'SHADOW' END AS artifact, least(CAST(0.74 AS DOUBLE), confidence) AS score, count(*) OVER (PARTITION BY aircraft, day) AS candidates FROM obs WHERE kind IN ('view', 'error') QUALIFY row_number() OVER (PARTITION BY aircraft, day ORDER BY confidence DESC, obs_id) = 1",
