@@ -35,7 +35,7 @@ from .words import Words, classes, words
 #: Bytes of terms: letters, digits and all beyond ASCII.
 TERM = classes(bytes(b for b in range(128) if not chr(b).isalnum()))
 #: Words of a shard, which bound a task's memory.
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 1_000_000
 #: Queries of a block.
 BLOCK = 256
 #: Nodes that a search opens at a time.
