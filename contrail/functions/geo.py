@@ -67,3 +67,26 @@ def tile(lat: Column, lon: Column, zoom: int) -> tuple[Column, Column]:
 def to_mph(speed: Column, unit: Column) -> Column:
     """A speed in miles an hour; knots are converted, other units stay."""
     return F.when(F.lower(unit).isin("kt", "kts", "knots"), speed * 1.15078).otherwise(speed)
+
+
+def inside(x: Column, y: Column, rings: Column) -> Column:
+    """Whether a place lies in a polygon, given as its rings of (x, y), holes among them: by how many edges a ray to the east
+    crosses. A place on an edge, be it of a hole, is inside. Rings may repeat their first place at the end or not."""
+
+    def edges(ring: Column) -> Column:
+        closed = F.concat(ring, F.slice(ring, 1, 1))
+        return F.transform(F.sequence(F.lit(0), F.size(ring) - 1), lambda i: F.struct(F.get(closed, i).alias("a"), F.get(closed, i + 1).alias("b")))
+
+    def side(e: Column) -> Column:
+        return (e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) - (e["b"]["y"] - e["a"]["y"]) * (x - e["a"]["x"])
+
+    def crosses(e: Column) -> Column:
+        up = e["b"]["y"] > e["a"]["y"]
+        return ((e["a"]["y"] > y) != (e["b"]["y"] > y)) & F.when(up, side(e) > 0).otherwise(side(e) < 0)
+
+    def on(e: Column) -> Column:
+        spans = lambda p, c: p.between(F.least(e["a"][c], e["b"][c]), F.greatest(e["a"][c], e["b"][c]))
+        return (side(e) == 0) & spans(x, "x") & spans(y, "y")
+
+    every = F.flatten(F.transform(F.filter(rings, lambda r: F.size(r) > 0), edges))
+    return F.exists(every, on) | (F.size(F.filter(every, crosses)) % 2 == 1)

@@ -8,7 +8,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import haversine
+from ..functions.geo import haversine, inside
 from .cuts import cut
 
 #: A dimension of at most this many rows may be broadcast.
@@ -81,6 +81,13 @@ def box_join(points: DataFrame, boxes: DataFrame, p: tuple[str, str], box: tuple
     return one.join(two, ["_y", "_x"]).where(inside).drop("_y", "_x")
 
 
+def polygon_join(points: DataFrame, polygons: DataFrame, p: tuple[str, str], size: float) -> DataFrame:
+    """Pairs of a point (lat, lon) and a polygon (`rings`, and its envelope south, west, north, east) that holds it, edges
+    included; they meet by cells of `size` degrees."""
+    met = box_join(points, polygons, p, ("south", "west", "north", "east"), size)
+    return met.where(inside(F.col(p[1]), F.col(p[0]), F.col("rings")))
+
+
 #: Up to so many places are broadcast and all compared; the result is the same either way.
 FEW = 500
 #: Radii in kilometres within which the nearest place is looked for, the last one half way round the earth.

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cards, evidence, exchange, fusion, matching, more, places, records, review, rollups, scorers
+from . import cards, evidence, exchange, fusion, grids, matching, more, places, records, review, rollups, scorers
 
-_PARTS = (fusion, matching, rollups, evidence, review, cards, places, exchange, scorers, records, more)
+_PARTS = (fusion, matching, rollups, evidence, review, cards, places, exchange, scorers, records, more, grids)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for p in _PARTS for k, v in p.QUERIES.items()}
 ORACLE: dict[str, str] = {k: v for p in _PARTS for k, v in p.ORACLE.items()}
