@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import joins as J
+from ..operators import ladders as L
 from .mapping import AIR, OBS, airports, hav_sql, observations, table
 
 
@@ -185,17 +186,18 @@ def changed_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return met.select("vec_id", F.round(F.when(F.size("embedding") == F.size("other"), share), 6).alias("changed"))
 
 
-def zoom_rungs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zoom levels of each profile: log2 scales at the nearest whole step from the profile's median, and of each rung its
-    median, its median deviation and how many days support it, three at least."""
+def _scales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scales of views, by profile; near copies are one piece of evidence."""
     o = observations(spark, sf_dir)
-    scale = F.pow(F.lit(2.0), F.col("k") % 5 - 2) * (1.0 + (F.col("obs_id") % 11 - 5) / 100.0) * (F.lit(3.0) + F.col("corridor_id").cast("int"))
-    s = o.select("corridor_id", "day", F.log2(scale).alias("z"))
-    mid = s.groupBy("corridor_id").agg(F.median("z").alias("m"))
-    s = s.join(mid, "corridor_id").withColumn("rung", F.rint(F.col("z") - F.col("m")).cast("int"))
-    r = s.groupBy("corridor_id", "rung").agg(F.median("z").alias("level"), F.countDistinct("day").alias("support"))
-    mad = s.join(r, ["corridor_id", "rung"]).groupBy("corridor_id", "rung").agg(F.round(F.median(F.abs(F.col("z") - F.col("level"))), 5).alias("mad"), F.round(F.max("level"), 5).alias("level"), F.max("support").alias("support"))
-    return mad.where("support >= 3")
+    scale = F.pow(F.lit(2.0), F.col("k") % 5 - 2) * (1.0 + (F.col("obs_id") % 23 - 11) / 100.0) * (F.lit(3.0) + F.col("corridor_id").cast("int"))
+    evidence = F.when(F.col("k") % 3 > 0, F.concat(F.lit("near_dup:"), F.col("k") * 7 + F.col("obs_id") % 5)).otherwise(F.concat(F.lit("screenshot:"), "obs_id"))
+    return o.select("obs_id", F.col("corridor_id").alias("profile"), scale.alias("scale"), evidence.alias("evidence"), (scale * 1e-5).alias("dlon_dx"), (-scale * (1.0 + F.col("k") / 1000.0) * 1e-5).alias("dlat_dy"))
+
+
+def zoom_rungs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zoom levels of each profile: whole steps from its densest cluster of scales, by independent evidence."""
+    r = L.rungs(L.stepped(_scales(spark, sf_dir)), ["dlon_dx", "dlat_dy"])
+    return r.select("profile", "rung", F.round("scale", 6).alias("scale"), F.round("dlon_dx", 9).alias("dlon_dx"), F.round("dlat_dy", 9).alias("dlat_dy"), "support", F.round("dispersion", 6).alias("dispersion"), "records", "eligible")
 
 
 QUERIES = {
@@ -228,6 +230,5 @@ ORACLE = {
     "poi_shapes": f"WITH {OBS}, c AS (SELECT aircraft, day, kind, count(*) AS c FROM obs GROUP BY 1, 2, 3), m AS (SELECT aircraft, day, max(c) AS most, count(*) AS kinds FROM c GROUP BY 1, 2), g AS (SELECT aircraft, day, count(*) AS n, first(kind ORDER BY ts, obs_id) AS f, last(kind ORDER BY ts, obs_id) AS l FROM obs GROUP BY 1, 2) SELECT aircraft, day, CASE WHEN n = 1 THEN 'single_poi' WHEN kinds = 1 THEN 'stationary' WHEN f = l AND n >= 3 THEN 'loop' WHEN most * 2 > n THEN 'hub_and_spoke' WHEN kinds = n THEN 'linear' ELSE 'multi_visit' END AS shape FROM g JOIN m USING (aircraft, day)",
     "label_classes": f"WITH {OBS}, s AS (SELECT k % 5 AS c, aircraft, k + 1 AS w, altitude_ft % 90 + 1 AS h FROM obs) SELECT CASE c WHEN 0 THEN 'facility' WHEN 1 THEN 'place' WHEN 2 THEN 'tail' WHEN 3 THEN 'time' ELSE 'noise' END AS label_class, CASE WHEN w * h < 64 THEN 'dot' WHEN greatest(w, h) >= 6 * least(w, h) THEN 'line' WHEN greatest(w, h) * 4 <= 5 * least(w, h) THEN 'square' ELSE 'block' END AS component, count(*) AS n FROM s GROUP BY 1, 2",
     "changed_fractions": "SELECT a.vec_id, round(len(list_filter(list_zip(a.embedding, b.embedding), lambda p: abs(CAST(p[1] AS DOUBLE) - CAST(p[2] AS DOUBLE)) > 0.1)) / CAST(len(a.embedding) AS DOUBLE), 6) AS changed FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1 WHERE a.vec_id % 2 = 0",
-    "zoom_rungs": f"WITH {OBS}, s AS (SELECT corridor_id, day, log2(pow({_D(2)}, k % 5 - 2) * (1 + (obs_id % 11 - 5) / {_D(100)}) * (3 + CAST(corridor_id AS INT))) AS z FROM obs), m AS (SELECT *, CAST(round_even(z - median(z) OVER (PARTITION BY corridor_id), 0) AS INT) AS rung FROM s), l AS (SELECT *, median(z) OVER (PARTITION BY corridor_id, rung) AS level FROM m) SELECT corridor_id, rung, round(median(abs(z - level)), 5) AS mad, round(max(level), 5) AS level, count(DISTINCT day) AS support FROM l GROUP BY 1, 2 HAVING count(DISTINCT day) >= 3",
     "footprint_import": "SELECT s_suppkey, 'aeropuerto-' || replace(lower(s_name), '#', '-') || CASE WHEN s_suppkey % 3 = 0 THEN '-tj' ELSE '-tx' END || s_suppkey AS slug, CASE WHEN s_suppkey % 3 = 0 THEN 'TJ' || s_suppkey END AS code, CASE WHEN s_suppkey % 4 > 0 THEN CAST('18.' || lpad(CAST(s_suppkey AS VARCHAR), 3, '0') AS DOUBLE) END AS lat, CASE WHEN s_suppkey % 4 > 0 THEN CAST(-66.5 AS DOUBLE) END AS lon, CASE WHEN s_acctbal > 6000 THEN 'airport' WHEN s_acctbal > 2000 THEN 'heliport' ELSE 'pad' END AS kind, CASE WHEN s_acctbal < 0 THEN 'private' ELSE 'public' END AS operator_class, CAST(CASE WHEN s_acctbal > 6000 THEN 5 WHEN s_acctbal > 2000 THEN 1.5 ELSE 0.5 END AS DOUBLE) AS radius_nm FROM supplier",
 }
