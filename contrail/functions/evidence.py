@@ -110,18 +110,23 @@ WEIGHTS: dict[str, tuple[dict[str, float], dict[str, float]]] = {
 
 @dataclass(frozen=True)
 class Family:
-    """A family of detectors: weights by signal and by link."""
+    """A family of detectors: weights by signal and by link, whether contributions are rounded before they are summed, and whether
+    the band is that of the score less artifacts."""
 
     signals: dict[str, float]
     links: dict[str, float] = field(default_factory=dict)
+    rounded: bool = True
+    adjusted_band: bool = False
 
 
-FAMILIES = {k: Family(*v) for k, v in WEIGHTS.items()}
+FAMILIES = {k: Family(*v, rounded=k != "water", adjusted_band=k in ("corridor", "water")) for k, v in WEIGHTS.items()}
 
 
 def signal_score(signals: Column, family: Family) -> Column:
-    """Sum of weight times clamped presence, each rounded to 4 places; unknown signals count nothing."""
-    parts = [F.bround(F.coalesce(clamp01(F.element_at(signals, k)), F.lit(0.0)) * w, 4) for k, w in family.signals.items()]
+    """Sum of weight times clamped presence, each rounded to 4 places where the family does; unknown signals count nothing."""
+    parts = [F.coalesce(clamp01(F.element_at(signals, k)), F.lit(0.0)) * w for k, w in family.signals.items()]
+    if family.rounded:
+        parts = [F.bround(p, 4) for p in parts]
     return F.bround(clamp01(sum(parts[1:], parts[0])), 4)
 
 
@@ -141,6 +146,17 @@ def discounted(score: Column, artifact: Column) -> Column:
     return F.bround(clamp01(score * (1.0 - 0.5 * clamp01(artifact))), 4)
 
 
+def review_reasons(adjusted: Column, artifact: Column, classes: Column, signals: Column) -> Column:
+    """Why a water feature goes to review, in order: many artifacts, a low score, no known class, no signals."""
+    reasons = {
+        "HIGH_ARTIFACT_CONFIDENCE": artifact >= 0.7,
+        "LOW_ADJUSTED_CONFIDENCE": adjusted < 0.40,
+        "NO_VISIBLE_SIGNAL_VALUES": F.coalesce(F.size(signals), F.lit(0)) <= 0,
+        "UNKNOWN_WATER_CLASS": F.coalesce(F.size(classes), F.lit(0)) <= 0,
+    }
+    return F.array_compact(F.array(*[F.when(c, k) for k, c in reasons.items()]))
+
+
 def available_mean(parts: list[tuple[Column, float]], penalty: float = 0.05, most: float = 0.35) -> tuple[Column, Column]:
     """(weighted mean over the parts that are not null, penalty for those that are)."""
     top = sum((F.coalesce(c * w, F.lit(0.0)) for c, w in parts), F.lit(0.0))

@@ -5,11 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters that optical reading takes for each other.
-CONFUSED = ("0O", "0D", "0Q", "1I", "1L", "1l", "2Z", "3B", "4A", "5S", "6G", "6b", "7T", "8B", "9g", "9q")
-READ_AS = {"0": "ODQ", "1": "IL", "2": "Z", "3": "B", "4": "A", "5": "S", "6": "G", "7": "T", "8": "B", "A": "4", "B": "83", "D": "0O", "G": "6", "I": "1l", "L": "1", "O": "0Q", "Q": "0O", "S": "5", "T": "17", "Z": "2"}
+# Pairs of characters that optical reading takes for each other.
+CONFUSED = ("0O", "0Q", "0D", "1I", "1L", "1l", "1|", "2Z", "3B", "4A", "5S", "6G", "6b", "7T", "8B", "9g", "9q")
+# A character, and those that it may be read as.
+READ_AS = {
+    "0": "OQD",
+    "1": "ILlTJ|",
+    "2": "Z",
+    "3": "B",
+    "4": "A",
+    "5": "S",
+    "6": "Gb",
+    "7": "T",
+    "8": "B",
+    "9": "gq",
+    "B": "83",
+    "D": "0O",
+    "G": "6",
+    "I": "1l",
+    "L": "1",
+    "O": "0Q",
+    "Q": "0O",
+    "S": "5",
+    "T": "17",
+    "Z": "2",
+}
 #: Classes of confused characters: each character and the one that stands for its class.
-FOLD_FROM, FOLD_TO = "ODQILlZ3BASGbTgq", "0001112884566799"
+FOLD_FROM, FOLD_TO = "OQDILl|Z3BASGbTgq", "00011112884566799"
 #: Places of a text that variants change, from its start.
 PLACES = 4
 
@@ -62,3 +84,9 @@ def variants(text: Column) -> Column:
 
     start = F.struct(F.array(F.lit("")).alias("texts"), F.lit(0).alias("used"))
     return F.aggregate(F.split(F.upper(text), ""), start, step, lambda s: F.array_distinct(s["texts"]))
+
+
+def plausible(seen: Column, tail: Column, distance: Column) -> Column:
+    """Whether a distance may come of misreading: it counts a confused pair, or nothing but characters lost or added. A plain
+    exchange, such as of 9 for 4, is another tail."""
+    return (distance % 1 > 0) | (F.abs(F.length(seen) - F.length(tail)) >= F.floor(distance))

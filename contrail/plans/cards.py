@@ -134,7 +134,7 @@ def masked_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("obs_id", *[c.alias(n) for n, c in C.masked_identity(F.col("tail")).items()])
 
 
-_LOG = "CASE obs_id % 5 WHEN 0 THEN 'Noon' WHEN 1 THEN '9:05' WHEN 2 THEN ' 10:11:12' WHEN 3 THEN 'late' ELSE '1 0:30' END"
+_LOG = "CASE obs_id % 9 WHEN 0 THEN 'Noon' WHEN 5 THEN ' am' WHEN 6 THEN 'PM' WHEN 7 THEN 'Midday' WHEN 8 THEN 'evening' WHEN 1 THEN '9:05' WHEN 2 THEN ' 10:11:12' WHEN 3 THEN 'late' ELSE '1 0:30' END"
 _ROUTE = "CASE k % 4 WHEN 0 THEN 'San Juan → Ponce -> Vieques' WHEN 1 THEN 'Caguas↔Ponce' WHEN 2 THEN ' -> ' ELSE 'Arecibo' END"
 
 

@@ -27,8 +27,13 @@ def _link_sql(i: int) -> str:
     return f"((obs_id + {i}) % {i + 2} = 0)"
 
 
+def _scale(family: E.Family) -> float:
+    """Signals of families that do not round their contributions are no hundredths, so that it shows."""
+    return 1.0 if family.rounded else 0.937113
+
+
 def _maps(o: DataFrame, family: E.Family) -> DataFrame:
-    signals = F.create_map(*[x for i, k in enumerate(family.signals) for x in (F.lit(k), _signal(i))])
+    signals = F.create_map(*[x for i, k in enumerate(family.signals) for x in (F.lit(k), _signal(i) * _scale(family))])
     links = F.create_map(*[x for i, k in enumerate(family.links) for x in (F.lit(k), _link(i))])
     return o.select("obs_id", "confidence", signals.alias("signals"), links.alias("links"))
 
@@ -39,19 +44,33 @@ def _clamp_sql(x: str) -> str:
 
 def _family(name: str):
     family = E.FAMILIES[name]
+    water = name == "water"
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         m = _maps(observations(spark, sf_dir), family)
         score = E.combined_score(F.col("signals"), F.col("links"), family)
-        out = m.select("obs_id", E.signal_score(F.col("signals"), family).alias("signal_score"), E.link_score(F.col("links"), family).alias("link_score"), score.alias("combined_score"), E.discounted(score, F.col("confidence") * 0.7391 + 0.0013713).alias("adjusted_score"))
-        return out.withColumn("band", band(F.col("combined_score")))
-
-    parts = " + ".join(f"round_even({_clamp_sql(_signal_sql(i))} * CAST({w} AS DOUBLE), 4)" for i, w in enumerate(family.signals.values()))
+        artifact = F.col("confidence") * 0.7391 + 0.0013713
+        if water:
+            artifact = F.bround(artifact, 4)
+        scored = m.select("*", E.signal_score(F.col("signals"), family).alias("signal_score"), E.link_score(F.col("links"), family).alias("link_score"), score.alias("combined_score"), E.discounted(score, artifact).alias("adjusted_score"))
+        more = [band(F.col("adjusted_score" if family.adjusted_band else "combined_score")).alias("band")]
+        if water:
+            classes = F.when(F.col("obs_id") % 4 > 0, F.array(F.lit("PERMANENT_POND")))
+            more.append(F.array_join(E.review_reasons(F.col("adjusted_score"), artifact, classes, F.col("signals")), ",").alias("reasons"))
+        return scored.select("obs_id", "signal_score", "link_score", "combined_score", "adjusted_score", *more)
+
+    one = lambda i, w: f"{_clamp_sql(f'{_signal_sql(i)} * CAST({_scale(family)} AS DOUBLE)')} * CAST({w} AS DOUBLE)"
+    parts = " + ".join(f"round_even({one(i, w)}, 4)" if family.rounded else one(i, w) for i, w in enumerate(family.signals.values()))
     links = " + ".join(f"CASE WHEN {_link_sql(i)} THEN CAST({w} AS DOUBLE) ELSE 0 END" for i, w in enumerate(family.links.values()))
+    artifact = "(confidence * CAST(0.7391 AS DOUBLE) + CAST(0.0013713 AS DOUBLE))"
+    if water:
+        artifact = f"round({artifact}, 4)"
+    by = "adjusted_score" if family.adjusted_band else "combined_score"
+    reasons = f""", concat_ws(',', CASE WHEN {artifact} >= 0.7 THEN 'HIGH_ARTIFACT_CONFIDENCE' END, CASE WHEN adjusted_score < 0.4 THEN 'LOW_ADJUSTED_CONFIDENCE' END, CASE WHEN obs_id % 4 = 0 THEN 'UNKNOWN_WATER_CLASS' END) AS reasons"""
     sql = f"""WITH {OBS}, s AS (SELECT obs_id, confidence, round({_clamp_sql(parts)}, 4) AS signal_score, round({_clamp_sql(links)}, 4) AS link_score FROM obs),
- c AS (SELECT *, round({_clamp_sql('signal_score + link_score')}, 4) AS combined_score FROM s)
- SELECT obs_id, signal_score, link_score, combined_score, round(combined_score * (1.0 - CAST(0.5 AS DOUBLE) * (confidence * CAST(0.7391 AS DOUBLE) + CAST(0.0013713 AS DOUBLE))), 4) AS adjusted_score,
- CASE WHEN combined_score >= 0.7 THEN 'HIGH' WHEN combined_score >= 0.4 THEN 'MEDIUM' ELSE 'LOW' END AS band FROM c"""
+ c AS (SELECT *, round({_clamp_sql('signal_score + link_score')}, 4) AS combined_score FROM s),
+ a AS (SELECT *, round(combined_score * (1.0 - CAST(0.5 AS DOUBLE) * {artifact}), 4) AS adjusted_score FROM c)
+ SELECT obs_id, signal_score, link_score, combined_score, adjusted_score, CASE WHEN {by} >= 0.7 THEN 'HIGH' WHEN {by} >= 0.4 THEN 'MEDIUM' ELSE 'LOW' END AS band{reasons if water else ''} FROM a"""
     query.__name__ = f"{name}_scores"
     return query, sql
 

@@ -180,20 +180,40 @@ def last_report_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("aircraft").distinct().join(report, "aircraft", "left")
 
 
+def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as rows of a flight log of seven weeks."""
+    o = table(spark, sf_dir, "orders")
+    day = F.date_add(F.lit("2023-12-20").cast("date"), F.datediff("o_orderdate", F.lit("1992-01-01").cast("date")) % 49)
+    return o.select("o_orderkey", F.concat(F.lit("N"), F.col("o_custkey").cast("string")).alias("aircraft"), day.alias("flight_date"))
+
+
+def _sighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations with the day that their flight is of: that of a replay, told on the screen, or of the capture."""
+    o = observations(spark, sf_dir)
+    replay = F.col("obs_id") % 9 == 0
+    true_day = F.when(replay, F.date_sub("day", (F.col("k") % 45).cast("int"))).otherwise(F.col("day"))
+    return o.select("obs_id", "aircraft", true_day.alias("flight_date"), replay.alias("is_replay"))
+
+
 def log_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log rows (orders by day and customer) confirmed by observations of that day and tail."""
-    o = observations(spark, sf_dir).groupBy("aircraft", F.dayofmonth("day").alias("dom")).agg(F.count("*").alias("seen"))
-    log = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("N"), F.col("o_custkey").cast("string")).alias("aircraft"), F.dayofmonth("o_orderdate").alias("dom"))
-    met = log.join(o, ["aircraft", "dom"], "left")
-    return met.select("o_orderkey", "aircraft", F.coalesce("seen", F.lit(0)).alias("seen"), F.when(F.col("seen").isNotNull(), "confirmed_by_log").otherwise("unconfirmed").alias("status"))
+    """Log rows confirmed by observations of their tail whose flight is of their date, and how many of these are replays."""
+    seen = _sighted(spark, sf_dir).groupBy("aircraft", "flight_date").agg(F.count("*").alias("seen"), F.count_if("is_replay").alias("replays"), F.min("obs_id").alias("evidence"))
+    met = _log(spark, sf_dir).join(seen, ["aircraft", "flight_date"], "left").na.fill(0, ["seen", "replays"])
+    return met.select("o_orderkey", "aircraft", "flight_date", "seen", "replays", "evidence", F.when(F.col("seen") > 0, "confirmed_by_log").otherwise("unconfirmed").alias("status"))
+
+
+def pre_log_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days and tails from before the log's first day of which there is a replay."""
+    start = _log(spark, sf_dir).agg(F.min("flight_date").alias("start"))
+    seen = _sighted(spark, sf_dir).groupBy("aircraft", "flight_date").agg(F.count("*").alias("obs_count"), F.bool_or("is_replay").alias("replayed"), F.min("obs_id").alias("example"))
+    return seen.join(F.broadcast(start), F.col("flight_date") < F.col("start")).where("replayed").select("aircraft", "flight_date", "obs_count", "example")
 
 
 def captured_within_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log rows whose tail was seen within two days of the month, by an equi-join on tail and neighbouring days."""
-    o = observations(spark, sf_dir).select("aircraft", F.dayofmonth("day").alias("d")).distinct()
-    near = o.select("aircraft", F.explode(F.sequence(F.col("d") - 2, F.col("d") + 2)).alias("dom")).distinct()
-    log = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("N"), F.col("o_custkey").cast("string")).alias("aircraft"), F.dayofmonth("o_orderdate").alias("dom"))
-    return log.join(near, ["aircraft", "dom"], "left_semi").select("o_orderkey", "aircraft", "dom")
+    """Log rows of which a track, of the same tail, begins within two days, by an equi-join on tail and neighbouring dates."""
+    o = _sighted(spark, sf_dir).select("aircraft", F.col("flight_date").alias("d")).distinct()
+    near = o.select("aircraft", F.explode(F.sequence(F.date_sub("d", 2), F.date_add("d", 2))).alias("flight_date")).distinct()
+    return _log(spark, sf_dir).join(near, ["aircraft", "flight_date"], "left_semi").select("o_orderkey", "aircraft", "flight_date")
 
 
 def confusable_registry_match(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -310,10 +330,12 @@ def skip_reason_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return met.groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (registry_join, five_way_join, projected_positions, frames_with_conditions, unobserved_aircraft, observed_aircraft, group_anchor_recovery, temporal_band_pairs, cross_domain_overlaps, nearest_airport, footprint_radius_matches, airport_alignment, bbox_layer_context, poi_pair_flights, hash_near_duplicates, hash_classes, near_duplicate_groups, full_outer_fusion, last_report_lookup, log_verification, captured_within_days, confusable_registry_match, edit_distance_match, text_token_matches, alias_containment, alias_mentions, alias_collisions, prediction_accuracy, latest_per_zone, label_cooccurrence, registry_cascade, token_subset_match, graph_track_summary, skip_reason_cascade)}
+QUERIES = {f.__name__: f for f in (registry_join, five_way_join, projected_positions, frames_with_conditions, unobserved_aircraft, observed_aircraft, group_anchor_recovery, temporal_band_pairs, cross_domain_overlaps, nearest_airport, footprint_radius_matches, airport_alignment, bbox_layer_context, poi_pair_flights, hash_near_duplicates, hash_classes, near_duplicate_groups, full_outer_fusion, last_report_lookup, log_verification, pre_log_replays, captured_within_days, confusable_registry_match, edit_distance_match, text_token_matches, alias_containment, alias_mentions, alias_collisions, prediction_accuracy, latest_per_zone, label_cooccurrence, registry_cascade, token_subset_match, graph_track_summary, skip_reason_cascade)}
 
 _FRAMES = "f AS (SELECT obs_id, xor(CAST('0x' || substr(md5(CAST(k AS VARCHAR)), 1, 15) AS BIGINT), CAST(pow(2, obs_id % 5) AS BIGINT) + CAST(pow(2, 20 + obs_id % 3) AS BIGINT)) AS h FROM obs)"
 _KM = hav_sql("lat", "lon", "a_lat", "a_lon", 6371.0088)
+_LOG_SQL = """log AS (SELECT o_orderkey, 'N' || o_custkey AS aircraft, DATE '2023-12-20' + CAST((CAST(o_orderdate AS DATE) - DATE '1992-01-01') % 49 AS INT) AS flight_date FROM orders),
+ sighted AS (SELECT obs_id, aircraft, CASE WHEN obs_id % 9 = 0 THEN day - CAST(k % 45 AS INT) ELSE day END AS flight_date, obs_id % 9 = 0 AS is_replay FROM obs)"""
 ORACLE = {
     "registry_join": f"WITH {OBS} SELECT r_name, n_name, count(*) AS n, count(DISTINCT aircraft) AS aircraft FROM obs JOIN customer ON c_custkey = CAST(substr(aircraft, 2) AS BIGINT) JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2",
     "five_way_join": "SELECT n_name, c_mktsegment, count(*) AS n, round(sum(l_quantity), 4) AS quantity FROM orders JOIN customer ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE o_orderstatus = 'F' AND c_acctbal > 0 AND l_returnflag = 'R' AND s_acctbal > 0 GROUP BY 1, 2",
@@ -334,8 +356,9 @@ ORACLE = {
     "near_duplicate_groups": f"WITH {OBS}, {_FRAMES}, n AS (SELECT min(obs_id) AS id, h FROM f GROUP BY h), e AS (SELECT a.id AS a, b.id AS b FROM n a JOIN n b ON a.id < b.id AND bit_count(xor(a.h, b.h)) <= 4), o AS (SELECT f.obs_id, n.id FROM f JOIN n USING (h)), z AS (SELECT list(DISTINCT a) FILTER (a IS NOT NULL) AS near, n.id FROM n LEFT JOIN e ON e.b = n.id GROUP BY n.id), w AS (SELECT list_reduce(list_prepend([]::BIGINT[], list(ids ORDER BY ids[1])), lambda led, x: CASE WHEN len(list_intersect(led, x[2:])) = 0 THEN list_append(led, x[1]) ELSE led END) AS led FROM (SELECT list_prepend(id, coalesce(near, [])) AS ids FROM z)) SELECT obs_id, CASE WHEN list_contains(led, o.id) THEN o.id ELSE list_min(list_intersect(led, near)) END AS group_id FROM o JOIN z USING (id), w",
     "full_outer_fusion": f"WITH {OBS}, w AS (SELECT aircraft, day, max(confidence) AS whole_confidence FROM obs WHERE kind = 'view' GROUP BY 1, 2), r AS (SELECT aircraft, day, max(confidence) AS region_confidence FROM obs WHERE kind = 'click' GROUP BY 1, 2) SELECT aircraft, day, whole_confidence, region_confidence, whole_confidence IS NOT NULL AND region_confidence IS NOT NULL AND abs(whole_confidence - region_confidence) > 0.25 AS conflict FROM w FULL OUTER JOIN r USING (aircraft, day)",
     "last_report_lookup": f"WITH {OBS}, r AS (SELECT aircraft, obs_id AS report_id FROM obs WHERE kind = 'error' QUALIFY row_number() OVER (PARTITION BY aircraft ORDER BY ts DESC, obs_id DESC) = 1) SELECT DISTINCT obs.aircraft, report_id FROM obs LEFT JOIN r USING (aircraft)",
-    "log_verification": f"WITH {OBS}, s AS (SELECT aircraft, day(day) AS dom, count(*) AS seen FROM obs GROUP BY 1, 2) SELECT o_orderkey, 'N' || o_custkey AS aircraft, coalesce(seen, 0) AS seen, CASE WHEN seen IS NOT NULL THEN 'confirmed_by_log' ELSE 'unconfirmed' END AS status FROM orders LEFT JOIN s ON s.aircraft = 'N' || o_custkey AND s.dom = day(o_orderdate)",
-    "captured_within_days": f"WITH {OBS} SELECT o_orderkey, 'N' || o_custkey AS aircraft, CAST(day(o_orderdate) AS INT) AS dom FROM orders WHERE EXISTS (SELECT 1 FROM obs WHERE obs.aircraft = 'N' || o_custkey AND abs(day(day) - day(o_orderdate)) <= 2)",
+    "log_verification": f"WITH {OBS}, {_LOG_SQL}, s AS (SELECT aircraft, flight_date, count(*) AS seen, count(*) FILTER (is_replay) AS replays, min(obs_id) AS evidence FROM sighted GROUP BY 1, 2) SELECT o_orderkey, l.aircraft, l.flight_date, coalesce(seen, 0) AS seen, coalesce(replays, 0) AS replays, evidence, CASE WHEN seen IS NOT NULL THEN 'confirmed_by_log' ELSE 'unconfirmed' END AS status FROM log l LEFT JOIN s ON s.aircraft = l.aircraft AND s.flight_date = l.flight_date",
+    "pre_log_replays": f"WITH {OBS}, {_LOG_SQL} SELECT aircraft, flight_date, count(*) AS obs_count, min(obs_id) AS example FROM sighted WHERE flight_date < (SELECT min(flight_date) FROM log) GROUP BY 1, 2 HAVING bool_or(is_replay)",
+    "captured_within_days": f"WITH {OBS}, {_LOG_SQL} SELECT o_orderkey, aircraft, flight_date FROM log l WHERE EXISTS (SELECT 1 FROM sighted s WHERE s.aircraft = l.aircraft AND abs(s.flight_date - l.flight_date) <= 2)",
     "confusable_registry_match": "WITH r AS (SELECT p_partkey, translate(upper(p_name), 'OILSBZG', '0115826') AS key FROM part), s AS (SELECT p_partkey, translate(translate(upper(p_name), '0158', 'OISB'), 'OILSBZG', '0115826') AS key FROM part) SELECT s.p_partkey, min(r.p_partkey) AS reg_id FROM s JOIN r USING (key) GROUP BY 1 HAVING count(*) = 1",
     "edit_distance_match": "SELECT s_suppkey, c_custkey, CAST(levenshtein(s_name, c_name) AS INT) AS distance FROM supplier JOIN customer ON CAST(regexp_extract(s_name, '(\\d+)', 1) AS BIGINT) = CAST(regexp_extract(c_name, '(\\d+)', 1) AS BIGINT) WHERE levenshtein(s_name, c_name) <= 9",
     "text_token_matches": "WITH b AS (SELECT item_id, list_sort(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: length(w) >= 9))[1] AS token FROM benchmark), d AS (SELECT doc_id, unnest(list_distinct(regexp_split_to_array(lower(text), '[^a-z]+'))) AS token FROM documents) SELECT item_id, token, count(*) AS documents FROM d JOIN b USING (token) GROUP BY 1, 2",
