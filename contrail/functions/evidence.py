@@ -143,7 +143,7 @@ def combined_score(signals: Column, links: Column, family: Family) -> Column:
 
 def discounted(score: Column, artifact: Column) -> Column:
     """A score less up to half of it for image artifacts."""
-    return F.bround(clamp01(score * (1.0 - 0.5 * clamp01(artifact))), 4)
+    return F.bround(F.round(clamp01(score * (1.0 - 0.5 * clamp01(artifact))), 9), 4)  # no tie is lost to the last binary digit
 
 
 def review_reasons(adjusted: Column, artifact: Column, classes: Column, signals: Column) -> Column:

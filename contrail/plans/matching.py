@@ -363,7 +363,7 @@ ORACLE = {
     "edit_distance_match": "SELECT s_suppkey, c_custkey, CAST(levenshtein(s_name, c_name) AS INT) AS distance FROM supplier JOIN customer ON CAST(regexp_extract(s_name, '(\\d+)', 1) AS BIGINT) = CAST(regexp_extract(c_name, '(\\d+)', 1) AS BIGINT) WHERE levenshtein(s_name, c_name) <= 9",
     "text_token_matches": "WITH b AS (SELECT item_id, list_sort(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: length(w) >= 9))[1] AS token FROM benchmark), d AS (SELECT doc_id, unnest(list_distinct(regexp_split_to_array(lower(text), '[^a-z]+'))) AS token FROM documents) SELECT item_id, token, count(*) AS documents FROM d JOIN b USING (token) GROUP BY 1, 2",
     "alias_mentions": """WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(upper(text), '[A-Z]{8,}')) AS label FROM benchmark), v AS (SELECT label, 0 AS ord, label AS variant FROM w UNION ALL SELECT label, 1, substr(label, 1, 7) FROM w),
- d AS (SELECT doc_id, upper(text) AS text FROM documents) SELECT doc_id, label, first(variant ORDER BY ord) AS variant FROM d JOIN v ON contains(text, variant) WHERE NOT list_contains(string_split(text, ' ')[1:20], label) GROUP BY 1, 2""",
+ d AS (SELECT doc_id, upper(replace(text, 'ß', 'ss')) AS text FROM documents) SELECT doc_id, label, first(variant ORDER BY ord) AS variant FROM d JOIN v ON contains(text, variant) WHERE NOT list_contains(string_split(text, ' ')[1:20], label) GROUP BY 1, 2""",
     "alias_containment": "WITH a(ord, alias) AS (VALUES (1, 'red'), (2, 'blue'), (3, 'green'), (4, 'part'), (5, '1')) SELECT p_partkey, first(alias ORDER BY ord) AS alias FROM part JOIN a ON contains(lower(p_name), alias) GROUP BY 1",
     "alias_collisions": "WITH k AS (SELECT trim(regexp_replace(upper(p_brand || ' ' || p_size), '[^A-Z0-9]+', ' ', 'g')) AS key, p_partkey FROM part), n AS (SELECT key, count(DISTINCT p_partkey) AS ids, min(p_partkey) AS f FROM k GROUP BY 1) SELECT key, ids, CASE WHEN ids > 1 THEN 'collision_review_required' ELSE 'resolved' END AS status, CASE WHEN ids = 1 THEN f END AS id FROM n",
     "prediction_accuracy": "WITH t AS (SELECT doc_id, n_chars, 'lang' AS field, lang AS truth FROM documents UNION ALL SELECT doc_id, n_chars, 'source', source FROM documents), g AS (SELECT *, CASE WHEN doc_id % 5 = 0 THEN NULL WHEN field = 'lang' AND n_chars % 3 = 0 THEN 'en' ELSE truth END AS guess FROM t WHERE truth <> '') SELECT field, count(*) AS n, count(*) FILTER (guess = truth) AS \"right\", count(*) FILTER (guess IS NULL) AS missing FROM g GROUP BY 1",
