@@ -66,10 +66,14 @@ def _family(name: str):
     if water:
         artifact = f"round({artifact}, 4)"
     by = "adjusted_score" if family.adjusted_band else "combined_score"
+    less = f"round_even(round(combined_score * (1.0 - CAST(0.5 AS DOUBLE) * {artifact}), 9), 4)"
+    if water:  # both factors have four digits, so ties are found in whole numbers
+        n = f"CAST(round(combined_score * 10000) AS BIGINT) * (20000 - CAST(round({artifact} * 10000) AS BIGINT))"
+        less = f"({n} // 20000 + CASE WHEN {n} % 20000 > 10000 OR {n} % 20000 = 10000 AND {n} // 20000 % 2 = 1 THEN 1 ELSE 0 END) / CAST(10000 AS DOUBLE)"
     reasons = f""", concat_ws(',', CASE WHEN {artifact} >= 0.7 THEN 'HIGH_ARTIFACT_CONFIDENCE' END, CASE WHEN adjusted_score < 0.4 THEN 'LOW_ADJUSTED_CONFIDENCE' END, CASE WHEN obs_id % 4 = 0 THEN 'UNKNOWN_WATER_CLASS' END) AS reasons"""
     sql = f"""WITH {OBS}, s AS (SELECT obs_id, confidence, round({_clamp_sql(parts)}, 4) AS signal_score, round({_clamp_sql(links)}, 4) AS link_score FROM obs),
  c AS (SELECT *, round({_clamp_sql('signal_score + link_score')}, 4) AS combined_score FROM s),
- a AS (SELECT *, round_even(round(combined_score * (1.0 - CAST(0.5 AS DOUBLE) * {artifact}), 9), 4) AS adjusted_score FROM c)
+ a AS (SELECT *, {less} AS adjusted_score FROM c)
  SELECT obs_id, signal_score, link_score, combined_score, adjusted_score, CASE WHEN {by} >= 0.7 THEN 'HIGH' WHEN {by} >= 0.4 THEN 'MEDIUM' ELSE 'LOW' END AS band{reasons if water else ''} FROM a"""
     query.__name__ = f"{name}_scores"
     return query, sql
