@@ -53,31 +53,6 @@ def producer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one("observations", "fr24-", status).union(one("sources", "src-", F.col("aircraft"))).union(one("lineage", "lin-", F.concat(F.lit("src-"), F.col("obs_id").cast("string")))).union(one("confidence", "conf-", F.format_string("%.4f", sure))).union(skipped)
 
 
-#: A record's schema: type, whether it must be there, and its least and largest value or the values allowed.
-_SCHEMA = {"id": ("long", True, None), "score": ("double", True, (0.0, 1.0)), "status": ("string", True, ("ok", "held")), "note": ("string", False, None)}
-_RECORD = "CASE obs_id % 7 WHEN 0 THEN '{\"id\": ' || CAST(obs_id AS STRING) || ', \"score\": 0.5, \"status\": \"ok\"}' WHEN 1 THEN '{\"id\": \"x\", \"score\": 0.5, \"status\": \"ok\"}' WHEN 2 THEN '{\"id\": 1, \"score\": 1.5, \"status\": \"ok\"}' WHEN 3 THEN '{\"id\": 1, \"score\": 0.1}' WHEN 4 THEN '{\"id\": 2, \"score\": 0.2, \"status\": \"gone\"}' WHEN 5 THEN 'not json' ELSE '{\"id\": 3, \"score\": 1, \"status\": \"held\", \"note\": \"n\"}' END"
-
-
-def schema_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records against a schema: errors by field, valid ones apart from rejects."""
-    r = observations(spark, sf_dir).selectExpr("obs_id", f"{_RECORD} AS body")
-    parsed = F.from_json("body", "map<string,string>")
-    r = r.withColumn("m", parsed)
-    errors = []
-    for name, (kind, must, limit) in _SCHEMA.items():
-        v = F.element_at("m", name)
-        typed = v.try_cast(kind)
-        bad = F.when(v.isNull(), f"{name}: missing" if must else None).when(typed.isNull(), f"{name}: type")
-        if limit and kind == "double":
-            bad = bad.when(~typed.between(*limit), f"{name}: range")
-        elif limit:
-            bad = bad.when(~typed.isin(*limit), f"{name}: value")
-        errors.append(bad)
-    broken = F.col("m").isNull() | (F.size("m") == 0)
-    found = F.when(broken, F.array(F.lit("not a record"))).otherwise(F.array_compact(F.array(*errors)))
-    return r.select("obs_id", F.array_join(found, "; ").alias("errors"), F.when(F.size(found) == 0, "valid").otherwise("reject").alias("split"))
-
-
 def target_rows(spark: SparkSession, sf_dir: str, month: str | None = "2024-01", retry: bool = True, stale: int | None = 5, limit: int = 500) -> DataFrame:
     """Rows that a stage still has to do: by month, failed ones too if asked, those with an old stamp; the first by id."""
     o = observations(spark, sf_dir)
@@ -299,7 +274,7 @@ def tile_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        federation_rows, bridge_records, producer_records, schema_validation, target_rows, calibration_validation, review_state_validation, imagery_manifest, infrastructure_filter, ground_truth_rows, governed_thresholds,
+        federation_rows, bridge_records, producer_records, target_rows, calibration_validation, review_state_validation, imagery_manifest, infrastructure_filter, ground_truth_rows, governed_thresholds,
         aoi_chain, aircraft_communities, graph_degrees, icon_clusters, grid_terrain, track_vectors, ui_regions, plane_distances, daily_worklist, recent_runs, otsu_thresholds, inverse_distance, tile_boxes,
     )
 }
@@ -324,7 +299,6 @@ ORACLE = {
     "federation_rows": f"WITH {OBS}, c AS (SELECT DISTINCT corridor_id FROM obs) SELECT {_fid('src', 'corridor_id')} AS id, 'sources' AS stream, CAST(1.0 AS DOUBLE) AS confidence, NULL AS from_id FROM c UNION ALL SELECT {_fid('ent', chr(39) + 'source' + chr(39), 'corridor_id')}, 'entities', 1.0, {_fid('src', 'corridor_id')} FROM c UNION ALL SELECT {_fid('ent', chr(39) + 'observation' + chr(39), 'obs_id')}, 'entities', round(confidence, 4), {_fid('src', 'corridor_id')} FROM obs UNION ALL SELECT {_fid('obs', 'obs_id')}, 'observations', round(confidence, 4), {_fid('ent', chr(39) + 'observation' + chr(39), 'obs_id')} FROM obs UNION ALL SELECT {_fid('rel', chr(39) + 'observed_by' + chr(39), 'obs_id')}, 'relationships', round(confidence, 4), {_fid('ent', chr(39) + 'observation' + chr(39), 'obs_id')} FROM obs UNION ALL SELECT {_fid('alt', 'obs_id')}, 'alerts', round(confidence, 4), {_fid('ent', chr(39) + 'observation' + chr(39), 'obs_id')} FROM obs WHERE kind = 'error' AND confidence >= 0.9",
     "bridge_records": f"WITH {OBS}, g AS (SELECT aircraft, day, min(ts) AS start_ts, max(ts) AS end_ts, list('[' || printf('%.3f', round(lon, 3)) || ',' || printf('%.3f', round(lat, 3)) || ']' ORDER BY ts, obs_id) AS p, round(max(confidence), 4) AS score, last(kind ORDER BY ts, obs_id) AS kind FROM obs GROUP BY 1, 2) SELECT aircraft, day, start_ts, end_ts, CASE WHEN len(p) >= 2 THEN '{{\"type\":\"LineString\",\"coordinates\":[' || array_to_string(p, ',') || ']}}' END AS geometry, CASE WHEN score > 0.85 THEN kind END AS mission, score, CASE kind WHEN 'view' THEN 'reviewed' WHEN 'click' THEN 'needs_review' ELSE 'unreviewed' END AS review_status FROM g",
     "producer_records": f"WITH {OBS}, s AS (SELECT * FROM obs WHERE k % 7 > 0) SELECT 'observations' AS stream, 'fr24-' || obs_id AS id, CASE WHEN k >= 50 THEN 'located' ELSE 'approximate' END AS detail FROM s UNION ALL SELECT 'sources', 'src-' || obs_id, aircraft FROM s UNION ALL SELECT 'lineage', 'lin-' || obs_id, 'src-' || obs_id FROM s UNION ALL SELECT 'confidence', 'conf-' || obs_id, printf('%.4f', round((confidence + k / CAST(100 AS DOUBLE)) / 2, 4)) FROM s UNION ALL SELECT 'skipped', CAST(obs_id AS VARCHAR), 'missing timestamp or coordinates' FROM obs WHERE k % 7 = 0",
-    "schema_validation": f"WITH {OBS} SELECT obs_id, CASE obs_id % 7 WHEN 1 THEN 'id: type' WHEN 2 THEN 'score: range' WHEN 3 THEN 'status: missing' WHEN 4 THEN 'status: value' WHEN 5 THEN 'not a record' ELSE '' END AS errors, CASE WHEN obs_id % 7 IN (0, 6) THEN 'valid' ELSE 'reject' END AS split FROM obs",
     "target_rows": f"WITH {OBS} SELECT obs_id, kind FROM obs WHERE (k % 3 = 0 OR kind = 'error' OR k < 5) AND month = '2024-01' ORDER BY obs_id LIMIT 500",
     "calibration_validation": "WITH i AS (SELECT p_brand AS name, 'adjustment_range' AS issue, 'error' AS level FROM part WHERE p_size <= 5 AND NOT (p_size - 4) / CAST(2 AS DOUBLE) BETWEEN -1 AND 0 UNION ALL SELECT name, 'alias_target', 'error' FROM (SELECT DISTINCT p_brand || 'x' AS name, p_type FROM part WHERE p_size = 7) WHERE p_type NOT IN (SELECT p_type FROM part WHERE p_size = 8) UNION ALL SELECT p_brand, 'id_mismatch', 'warning' FROM part GROUP BY 1 HAVING min(p_partkey) % 2 <> max(p_partkey) % 2) SELECT name, issue, level, count(*) AS n FROM i GROUP BY 1, 2, 3",
     "review_state_validation": f"WITH {OBS} SELECT obs_id, CASE WHEN k % 13 = 0 AND kind = 'error' THEN 'empty_id,status' WHEN k % 13 = 0 THEN 'empty_id' ELSE 'status' END AS why FROM obs WHERE k % 13 = 0 OR kind = 'error'",
