@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 from collections.abc import Iterator
@@ -45,6 +46,19 @@ def content(address: str) -> bytes:
         return file.read()
 
 
+def hashed(address: str) -> tuple[str, int] | None:
+    """SHA-256 and size of a file, read piece by piece; none if it is missing."""
+    store, path = located(address)
+    if store.get_file_info(path).type != fs.FileType.File:
+        return None
+    digest, size = hashlib.sha256(), 0
+    with store.open_input_stream(path) as file:
+        while piece := file.read(1 << 20):
+            digest.update(piece)
+            size += len(piece)
+    return digest.hexdigest(), size
+
+
 def lines(address: str) -> Iterator[str]:
     """The lines of a file, one at a time."""
     store, path = located(address)
