@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bundles, cards, entities, evidence, exchange, fusion, grids, matching, more, places, records, review, rollups, schemas, scorers
+from . import bundles, cards, entities, evidence, exchange, fusion, grids, matching, more, pictures, places, records, review, rollups, schemas, scorers
 
-_PARTS = (fusion, matching, rollups, evidence, review, cards, places, exchange, scorers, records, more, grids, schemas, bundles, entities)
+_PARTS = (fusion, matching, rollups, evidence, review, cards, places, exchange, scorers, records, more, grids, schemas, bundles, entities, pictures)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for p in _PARTS for k, v in p.QUERIES.items()}
 ORACLE: dict[str, str] = {k: v for p in _PARTS for k, v in p.ORACLE.items()}

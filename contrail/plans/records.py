@@ -111,19 +111,6 @@ def ground_truth_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.insert_missing(first(rows.where("obs_id % 2 = 0")), first(rows), ["image", "cls"])
 
 
-_THRESHOLDS = [("promote", "0.80", "EXECUTABLE"), ("review", "0.55", "EXECUTABLE_CANDIDATE"), ("mission", "0.50", "PROHIBITED"), ("draft", "0.10", "PROPOSED"), ("odd", "n/a", "EXECUTABLE")]
-
-
-def governed_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What rules get for the thresholds that they name: the value, or why there is none; dangling names are told."""
-    reg = J.small(spark.createDataFrame(_THRESHOLDS, "threshold_id string, value string, status string"))
-    asks = table(spark, sf_dir, "region").select("r_regionkey", F.element_at(F.array(*[F.lit(t) for t in ("promote", "mission", "draft", "absent", "odd")]), (F.col("r_regionkey") % 5 + 1).cast("int")).alias("threshold_id"))
-    met = asks.join(reg, "threshold_id", "left")
-    fit = F.col("status").isin("EXECUTABLE", "EXECUTABLE_CANDIDATE")
-    why = F.when(F.col("status").isNull(), "not_registered").when(F.col("status") == "PROHIBITED", "prohibited").when(~fit, "not_executable").when(F.col("value").try_cast("double").isNull(), "no_number").otherwise("ok")
-    return met.select("r_regionkey", "threshold_id", why.alias("outcome"), F.when(why == "ok", F.col("value").try_cast("double")).alias("value"))
-
-
 def aoi_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Areas with their detections: overlay, agreement between epochs, and ledger rows; areas without any give one too."""
     o = observations(spark, sf_dir)
@@ -274,7 +261,7 @@ def tile_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        federation_rows, bridge_records, producer_records, target_rows, calibration_validation, review_state_validation, imagery_manifest, infrastructure_filter, ground_truth_rows, governed_thresholds,
+        federation_rows, bridge_records, producer_records, target_rows, calibration_validation, review_state_validation, imagery_manifest, infrastructure_filter, ground_truth_rows,
         aoi_chain, aircraft_communities, graph_degrees, icon_clusters, grid_terrain, track_vectors, ui_regions, plane_distances, daily_worklist, recent_runs, otsu_thresholds, inverse_distance, tile_boxes,
     )
 }
@@ -305,7 +292,6 @@ ORACLE = {
     "imagery_manifest": f"WITH {OBS} SELECT obs_id, round(greatest(-90.0, lat - k), 4) AS south, round(least(90.0, lat + k), 4) AS north, round(greatest(-180.0, lon - k * 2), 4) AS west, round(least(180.0, lon + k * 2), 4) AS east, CASE WHEN k % 3 = 0 THEN 'unknown_cloud' WHEN k <= 20 THEN 'high' WHEN k <= 60 THEN 'medium' ELSE 'low' END AS reliability FROM obs WHERE kind = 'purchase'",
     "infrastructure_filter": "SELECT s_suppkey, concat_ws(',', CASE WHEN s_nationkey = 3 THEN 'type' END, CASE WHEN contains(s_name, '7') THEN 'operator' END, CASE WHEN s_acctbal > 5000 THEN 'sector' END) AS passes FROM supplier WHERE s_nationkey = 3 OR contains(s_name, '7') OR s_acctbal > 5000",
     "ground_truth_rows": f"WITH {OBS}, r AS (SELECT aircraft || '/' || day AS image, CASE kind WHEN 'click' THEN 'view' ELSE kind END AS cls, CASE k % 4 WHEN 1 THEN 0 ELSE 1 END AS flag, obs_id FROM obs WHERE k % 4 <> 3) SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY image, cls ORDER BY obs_id % 2, obs_id) = 1",
-    "governed_thresholds": "SELECT r_regionkey, ['promote', 'mission', 'draft', 'absent', 'odd'][r_regionkey % 5 + 1] AS threshold_id, ['ok', 'prohibited', 'not_executable', 'not_registered', 'no_number'][r_regionkey % 5 + 1] AS outcome, CASE WHEN r_regionkey % 5 = 0 THEN CAST(0.8 AS DOUBLE) END AS value FROM region",
     "aoi_chain": f"WITH {OBS}, d AS (SELECT altitude_ft % 31 AS aoi, count(*) AS detections, max(round(least(1.0, confidence * CAST(1.1 AS DOUBLE)), 4)) AS best, bool_or(day >= DATE '2024-01-16') AND bool_or(day < DATE '2024-01-16') AS p FROM obs WHERE kind = 'error' GROUP BY 1) SELECT CAST(n_nationkey AS BIGINT) AS aoi, coalesce(detections, 0) AS detections, best, CASE WHEN detections IS NULL THEN 'no_detections' WHEN p AND best >= 0.8 THEN 'candidate' WHEN p THEN 'review' ELSE 'single_epoch' END AS state FROM nation LEFT JOIN d ON aoi = n_nationkey",
     "graph_degrees": f"WITH {OBS}, {_EDGES} SELECT node, count(*) AS degree, CAST(sum(weight) AS BIGINT) AS weighted FROM (SELECT a AS node, weight FROM e UNION ALL SELECT b, weight FROM e) GROUP BY 1",
     "icon_clusters": f"WITH {OBS}, {_FRAMES}, n AS (SELECT h, count(*) AS n, round(avg(obs_id * 37 % 360), 6) AS hue FROM f GROUP BY h), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, h) - 1 AS rank FROM n), e AS (SELECT a.rank AS a, b.rank AS b FROM r a JOIN r b ON a.rank < b.rank AND bit_count(xor(a.h, b.h)) <= 4 AND least(abs(a.hue - b.hue), 360 - abs(a.hue - b.hue)) <= 20), z AS (SELECT r.rank, list(a) FILTER (a IS NOT NULL) AS near FROM r LEFT JOIN e ON e.b = r.rank GROUP BY 1), w AS (SELECT list_reduce(list_prepend([]::BIGINT[], list(ids ORDER BY ids[1])), lambda led, x: CASE WHEN len(list_intersect(led, x[2:])) = 0 THEN list_append(led, x[1]) ELSE led END) AS led FROM (SELECT list_prepend(rank, coalesce(near, [])) AS ids FROM z)), g AS (SELECT z.rank, CASE WHEN list_contains(led, z.rank) THEN z.rank ELSE list_min(list_intersect(led, near)) END AS cluster FROM z, w) SELECT cluster, count(*) AS hashes, CAST(sum(n) AS BIGINT) AS icons FROM g JOIN r USING (rank) GROUP BY 1",
