@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import BROADCAST_ROWS, attach, compact, components, cut, lean, look_up
+from .shared import BROADCAST_ROWS, attach, compact, components, cut, lean, look_up, salted_join
 
 #: The scale of the registers: base, rate and largest value.
 B, A, Q = 1.001, 20.0, 65_534
@@ -165,6 +165,11 @@ def _banded(classes: DataFrame) -> DataFrame:
     return classes.select("id", F.explode(F.array(*bands)).alias("bucket"))
 
 
+def _times(rows: DataFrame, key: str) -> DataFrame:
+    """How many rows bear each key."""
+    return rows.groupBy(key).agg(F.count("*").alias("n"))
+
+
 def _likely(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
     """The pairs (id, other) whose estimate allows the threshold, with `likeness`."""
 
@@ -182,7 +187,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
     one = classes.select("id", F.col("n").alias("n1"), F.col("registers").alias("r1"))
     two = classes.select(F.col("id").alias("other"), F.col("n").alias("n2"), F.col("registers").alias("r2"))
     fits = F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * threshold
-    return pairs.join(one, "id").join(two, "other").where(fits).select("id", "other", "n1", "n2", "r1", "r2").mapInArrow(
+    return salted_join(pairs.join(one, "id"), two, "other", "id", _times(pairs, "other")).where(fits).select("id", "other", "n1", "n2", "r1", "r2").mapInArrow(
         compare, "id long, other long, likeness double"
     )
 
@@ -210,7 +215,8 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, t
     sets = _full_sets(pairs.select(F.explode(F.array("a", "b")).alias("id")), classes, docs, width)
     one = sets.select(F.col("c").alias("a"), F.col("s").alias("s1"))
     two = sets.select(F.col("c").alias("b"), F.col("s").alias("s2"))
-    sized = pairs.join(one, "a").join(two, "b").select(
+    first = salted_join(pairs, one, "a", "b", _times(pairs, "a"))
+    sized = salted_join(first, two, "b", "a", _times(pairs, "b")).select(
         "a", "b", F.size(F.array_intersect("s1", "s2")).alias("i"), (F.size("s1") + F.size("s2")).alias("t")
     )
     return compact(sized.where(F.col("i") * 100 >= (F.col("t") - F.col("i")) * threshold).select("a", "b"))
@@ -395,14 +401,14 @@ def grouped(docs: DataFrame, width: int, threshold: int) -> DataFrame:
     )
     banded = _banded(classes)
     draw = F.min(F.struct(F.xxhash64("id", "bucket").alias("h"), F.col("id").alias("id")))
-    shared = (
+    shared = compact(
         banded.groupBy("bucket")
         .agg(F.count("*").alias("n"), F.min("id").alias("low"), draw.alias("drawn"))
         .where("n > 1")
-        .select("bucket", "low", F.col("drawn.id").alias("drawn"))
+        .select("bucket", "n", "low", F.col("drawn.id").alias("drawn"))
     )
-    met = compact(banded.join(shared, "bucket"))
-    heads = met.select("id", F.explode(F.array("low", "drawn")).alias("other")).where("id <> other").distinct()
+    met = compact(salted_join(banded, shared.drop("n"), "bucket", "id", shared))
+    heads = compact(met.select("id", F.explode(F.array("low", "drawn")).alias("other")).where("id <> other").distinct())
     likely = compact(_likely(heads, classes, threshold))
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("likeness"), "other"))
     ends = [F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")]

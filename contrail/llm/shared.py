@@ -84,6 +84,24 @@ def look_up(big: DataFrame, small: DataFrame, key: str, rows: str, total: int) -
     return first.union(rest).union(none)
 
 
+def salted_join(big: DataFrame, small: DataFrame, key: str, by: str, counts: DataFrame) -> DataFrame:
+    """`big` joined to `small`, which has one row for each key; rows that meet none go. `counts` (key, n) says how many rows of
+    `big` bear each key and must be cheap to read again.
+
+    Keys of more than a thousandth of all rows, fewer than a thousand, are told to both sides by broadcast: as many copies
+    of their rows of `small` are dealt out as they hold thousandths, and each row of `big` meets one of them, by the hash
+    of its column `by`, so that a task that runs again deals as before. So no task gets much more than its share, and rows of `small`, however long, are not broadcast.
+    """
+    total = counts.agg(F.sum("n")).first()[0] or 1
+    hot = cut(counts.where(F.col("n") * 1000 > total).select(key, F.ceil(F.col("n") * 1000 / total).cast("int").alias("_copies")))
+    if hot.isEmpty():
+        return big.join(small, key)
+    copies = F.coalesce("_copies", F.lit(1))
+    left = big.join(F.broadcast(hot), key, "left").withColumn("_salt", F.pmod(F.xxhash64(by), copies).cast("int")).drop("_copies")
+    right = small.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1))).drop("_copies")
+    return left.join(right, [key, "_salt"]).drop("_salt")
+
+
 def count_words(text: Column) -> Column:
     """Number of runs of characters other than ASCII white space; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from contrail.llm import htmltext, mixing, packing, projections, quality, setsketch, sharding, surrogates, syncmers, urlrules
 from contrail.llm.queries import QUERIES
-from contrail.llm.shared import attach, components, cut, look_up, read
+from contrail.llm.shared import attach, components, cut, look_up, read, salted_join
 
 
 # -- shared ---------------------------------------------------------------------------------------
@@ -51,6 +51,14 @@ def test_look_up_equals_a_left_join(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+def test_a_salted_join_equals_a_join(spark):
+    big = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 2500).alias("k"), F.col("id").alias("v"))
+    small = spark.range(2400).select(F.col("id").alias("k"), (-F.col("id")).alias("w"))
+    got = salted_join(big, small, "k", "v", cut(big.groupBy("k").agg(F.count("*").alias("n"))))
+    assert got.columns == ["k", "v", "w"] and sorted(map(tuple, got.collect())) == sorted(map(tuple, big.join(small, "k").collect()))
+    assert salted_join(big.limit(0), small, "k", "v", big.limit(0).groupBy("k").agg(F.count("*").alias("n"))).count() == 0
+
+
 def test_attach_salted_equals_broadcast(spark):
     big = spark.createDataFrame([("x", i) for i in range(50)] + [(None, -1), ("z", 7)], "k string, v int")
     small = cut(spark.createDataFrame([("x", 1), ("y", 2), (None, 3)], "k string, w int"))
