@@ -3,7 +3,8 @@
 Each pass hashes a vector to the signs of random projections, read as one number, and orders the vectors of a label by
 it (ties by a hash of pass and vector). Vectors at a small angle share long prefixes, so near ones come to stand close in some
 pass; each vector is compared with the WINDOW before it by cosine in double precision. A pass is a range partitioning
-and a sort, which no label or cluster can fill, and a window crosses batches but not partitions. Pairs verified in a
+and a sort, which no label or cluster can fill. A window crosses batches within a partition; the first and last rows of every
+partition are gathered, in order, and windowed again, so that none is cut short at a border. Pairs verified in a
 partition are reduced to a spanning forest before they leave the task; the forests of all passes are joined into
 components, so a group of near copies costs links in proportion to its members. Within a component every pair is then
 compared, in squares of which each serves both its sides, so each member's count of links is exact there. Squares grow with
@@ -23,8 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .shared import attach, components, cut, look_up
 
@@ -96,8 +99,9 @@ def _passes(reps: DataFrame) -> DataFrame:
     return rows.select("label", "length", "node", "vector", F.posexplode("codes").alias("pass", "code"))
 
 
-def _forest(threshold: float):
-    """A task's rows, sorted by label, length, pass and code, to the spanning forest (a, b) of its verified pairs."""
+def _forest(threshold: float, schema: pa.Schema):
+    """A task's rows, sorted by label, length, pass and code, to the spanning forest (a, b) of its verified pairs, and its first
+    and last rows, WINDOW of each, with their places (part, at)."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parent: dict[int, int] = {}
@@ -108,9 +112,22 @@ def _forest(threshold: float):
                 x = parent[x]
             return x
 
+        def given(columns: dict[str, pa.Array], n: int) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+        part = TaskContext.get().partitionId()
         last: tuple = ()
         tail_ids, tail = np.zeros(0, dtype=np.int64), None
+        heads: list[pa.RecordBatch] = []
+        ends: list[tuple[int, pa.RecordBatch]] = []
+        seen = 0
         for batch in (b.slice(i, 1024) for b in batches for i in range(0, b.num_rows, 1024)):
+            if seen < WINDOW:
+                heads.append(batch.slice(0, WINDOW - seen))
+            ends.append((seen, batch))
+            seen += len(batch)
+            while len(ends) > 1 and seen - ends[1][0] >= WINDOW:
+                ends.pop(0)
             keys = list(zip(*(batch.column(c).to_pylist() for c in ("label", "length", "pass")), strict=True))
             cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
             edges = []
@@ -118,9 +135,9 @@ def _forest(threshold: float):
                 if keys[start] != last:
                     last, parent = keys[start], {}
                     tail_ids, tail = np.zeros(0, dtype=np.int64), np.zeros((0, keys[start][1]))
-                part = batch.slice(start, end - start)
-                ids = np.concatenate([tail_ids, part.column("node").to_numpy()])
-                x = np.concatenate([tail, _unit(_matrix(part.column("vector"), last[1]), last[1])])
+                own = batch.slice(start, end - start)
+                ids = np.concatenate([tail_ids, own.column("node").to_numpy()])
+                x = np.concatenate([tail, _unit(_matrix(own.column("vector"), last[1]), last[1])])
                 old = len(tail_ids)
                 for step in range(1, min(WINDOW, len(ids) - 1) + 1):
                     from_ = max(step, old)
@@ -132,11 +149,35 @@ def _forest(threshold: float):
                             edges.append((ids[k], ids[k - step]))
                 tail_ids, tail = ids[-WINDOW:], x[-WINDOW:]
             table = np.array(edges, dtype=np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(table[:, 0]), pa.array(table[:, 1])], names=["a", "b"])
+            yield given({"a": pa.array(table[:, 0]), "b": pa.array(table[:, 1])}, len(table))
+        rest = max(seen - WINDOW, sum(map(len, heads)))  # what is not among the first
+        at = 0
+        for first, rows in [*((None, h) for h in heads), *ends]:
+            if first is not None:
+                rows, at = rows.slice(max(0, rest - first)), max(first, rest)
+            if len(rows):
+                places = {"part": pa.repeat(part, len(rows)), "at": pa.array(np.arange(at, at + len(rows)))}
+                yield given({c: rows.column(c) for c in rows.schema.names} | places, len(rows))
+            at += len(rows)
 
     return walk
 
 
+def _linked(sorted_: DataFrame, threshold: float) -> DataFrame:
+    """Edges (a, b) of rows that are dealt out by ranges and sorted; the rows at the ranges' borders, some for each range, meet
+    again by label and pass, in their order."""
+    columns = ["label", "length", "pass", "node", "vector"]
+    kinds = {f.name: f.dataType.simpleString() for f in sorted_.select(*columns).schema}
+    out = ", ".join(["a long", "b long", *[f"{c} {k}" for c, k in kinds.items()], "part int", "at long"])
+    schema = to_arrow_schema(sorted_.select(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), *columns, F.lit(0).alias("part"), F.lit(0).cast("long").alias("at")).schema)
+    schema = pa.schema([f.with_nullable(True) for f in schema])
+    found = cut(sorted_.select(*columns).mapInArrow(_forest(threshold, schema), out))
+    keys = ["label", "length", "pass"]
+    border = found.where("a IS NULL").repartition(*keys).sortWithinPartitions(*keys, "part", "at").select(*columns)
+    again = border.mapInArrow(_forest(threshold, schema), out)
+    return found.unionByName(again).where("a IS NOT NULL").select("a", "b")
+
+
 def _counted(members: DataFrame, threshold: float) -> DataFrame:
     """Rows (node, links): for each member (component, node, length, vector, n), the vectors of other members that are
     near, copies counted. Members meet in squares on and above the diagonal; a square gives sums for both its sides."""
@@ -189,8 +230,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ["label", "length", "pass", "code", "tie"]
     sorted_ = split.withColumn("tie", F.xxhash64("pass", "node")).repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-    edges = sorted_.select("label", "length", "pass", "node", "vector").mapInArrow(_forest(threshold), "a long, b long")
-    found = components(edges)
+    found = components(_linked(sorted_, threshold))
     members = cut(found.join(reps, "node").select("component", "node", "length", "vector", "n"))
     links = _counted(members, threshold)
     named = reps.select("node", "n", "vec_id").join(found, "node", "left").join(links, "node", "left")

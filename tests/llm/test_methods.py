@@ -460,6 +460,20 @@ def test_op6_equals_brute_force(spark, sf):
     assert found >= 0.995 * near.sum()
 
 
+def test_windows_cross_the_borders_of_ranges(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.standard_normal((30, 8))
+    rows = [(c // 12, 8, p, c * 100 + i, i + 40 * c, [float(x) for x in centres[c] + rng.standard_normal(8) * 0.12]) for p in range(2) for c in range(30) for i in range(rng.integers(1, 60))]
+    df = spark.createDataFrame(rows, "label int, length int, pass int, node long, code long, vector array<double>")
+    keys = ["label", "length", "pass", "code"]
+    parts = {}
+    for n in (1, 7, 90):
+        edges = projections._linked(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys), 0.93)
+        parts[n] = {r["node"]: r["component"] for r in components(edges).collect()}
+    assert parts[1] == parts[7] == parts[90] and len(set(parts[1].values())) > 10
+    assert projections._linked(df.limit(0).repartitionByRange(3, *keys), 0.93).count() == 0
+
+
 # -- personal data --------------------------------------------------------------------------------
 
 
