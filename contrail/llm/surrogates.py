@@ -1,15 +1,17 @@
 """Personal data replaced by surrogates: keyed, of the same type and format, distinct, and the same everywhere.
 
 Patterns find mail addresses, telephone numbers, payment cards, IBANs, social security numbers, IPv4 and IPv6 and MAC
-addresses, access keys, labelled secrets, dates of birth, street addresses and names after a title; a name that is known
+addresses, access keys, labelled secrets, passport numbers, dates of birth, street addresses and names after a title, with initials or in
+capitals too; a name that is known
 so is also found where it stands without its title, alone or after a given name. A surrogate is a keyed permutation of the
 values of the entity's own format (digits stay digits, letters keep case and script, separators stay), so it needs no
 table: equal entities get equal surrogates in every document, different ones get different ones by construction. The
 permutation is D(E(x) + 1), a single cycle, so no value keeps itself; where only some values of a format will do, the
 cycle is walked on to the next of them, which leaves it one to one. Payment cards and IBANs keep right check digits;
-octets stay below 256; dates stay dates. A name's words are permuted one by one among words with vowels and consonants in
-the same places and the same last letter, which tells the gender in many languages; the title stays. So the surrogates
-of Anna Berg, Berg and Karl Berg agree in the family name. A surrogate may be a value that someone else bears, as any value
+octets stay below 256; dates stay dates. A common given name becomes another of its gender and script. Other words of names are
+permuted among words with vowels and consonants in the same places and the same last letter, which tells the gender in many
+languages, and become no common given name; the title stays, an initial becomes another, and capitals stay capitals. So the
+surrogates of Anna Berg, Berg, BERG and Karl Berg agree in the family name. A surrogate may be a value that someone else bears, as any value
 of a format may. `collisions` checks a corpus for entities that share a surrogate; there are none.
 
 Nulls: a null text stays null; an empty text stays empty. Where two types begin at one place, the first in `PATTERNS` wins.
@@ -41,20 +43,34 @@ KEY = b"contrail-surrogates"
 FEMALE = "Mrs Ms Miss Mme Madame Mlle Frau Señora Sra Srta Doña Signora Госпожа Κυρία".split()
 MALE = "Mr Herr Monsieur Señor Sr Don Signor Господин Κύριος".split()
 EITHER = "Dr Prof Professor Доктор".split()
-GIVEN = frozenset(
-    "Adam Alice Ana Andreas Andrew Anna Anne Antonio Anton Barbara Carlos Carmen Charles Charlotte Christian Clara Claire "
-    "Daniel David Elena Elizabeth Emil Emily Emma Eva Felix Fernando Francesco François Frank Georg George Giulia Hannah "
-    "Hans Heinrich Helen Henry Ida Ines Isabel Jack Jacques James Jan Jane Javier Jean Jennifer Johanna Johannes John Jorge "
-    "José Juan Julia Karl Katharina Laura Leon Linda Lisa Louis Lucas Lucia Luis Manuel Marco Marc Maria Marie Mark Martin "
-    "Mary Michael Miguel Nora Oliver Olivia Oscar Pablo Patricia Paul Paula Pedro Peter Philippe Pierre Rachel Richard Robert "
-    "Rosa Sara Sarah Sofia Sophie Stefan Susan Thomas Tomas Ursula Vera Victor William "
-    "Андрей Анна Борис Вера Дмитрий Елена Иван Ирина Максим Мария Наталья Нина Олег Ольга Павел Сергей Юлия Юрий "
-    "Άννα Γιάννης Γιώργος Ελένη Κώστας Μαρία Νίκος Πέτρος Σοφία".split()
+GIVEN_FEMALE = (
+    "Alice Ana Anna Anne Barbara Carmen Charlotte Clara Claire Elena Elizabeth Emily Emma Eva Giulia Hannah Helen Ida Ines Isabel "
+    "Jane Jennifer Johanna Julia Katharina Laura Linda Lisa Lucia Maria Marie Mary Nora Olivia Patricia Paula Rachel Rosa Sara "
+    "Sarah Sofia Sophie Susan Ursula Vera",
+    "Анна Вера Елена Ирина Мария Наталья Нина Ольга Юлия",
+    "Άννα Ελένη Μαρία Σοφία",
 )
+GIVEN_MALE = (
+    "Adam Andreas Andrew Antonio Anton Carlos Charles Christian Daniel David Emil Felix Fernando Francesco François Frank Georg "
+    "George Hans Heinrich Henry Jack Jacques James Jan Javier Jean Johannes John Jorge José Juan Karl Leon Louis Lucas Luis Manuel "
+    "Marco Marc Mark Martin Michael Miguel Oliver Oscar Pablo Paul Pedro Peter Philippe Pierre Richard Robert Stefan Thomas Tomas "
+    "Victor William",
+    "Андрей Борис Дмитрий Иван Максим Олег Павел Сергей Юрий",
+    "Γιάννης Γιώργος Κώστας Νίκος Πέτρος",
+)
+#: Given names of one gender and script each, and where a name stands among them.
+_GROUPS = [names.split() for names in GIVEN_FEMALE + GIVEN_MALE]
+_PLACE = {name: (g, i) for g, names in enumerate(_GROUPS) for i, name in enumerate(names)}
+GIVEN = frozenset(_PLACE)
 
 _UPPER, _LOWER = "A-ZÀ-ÖØ-ÞĀΑ-ΩΆΈΉΊΌΎΏА-ЯЁ", "a-zß-öø-ÿα-ωά-ώςа-яё"
 #: A word of a name: Berg, O'Brien, Jean-Luc, McDonald.
 _WORD = rf"[{_UPPER}](?:['’][{_UPPER}])?[{_LOWER}]+(?:(?:['’\-][{_UPPER}]?|[{_UPPER}])[{_LOWER}]{{2,}})*"
+#: The same in capitals.
+_CAPS = rf"[{_UPPER}]{{2,}}(?:['’\-][{_UPPER}]{{2,}})*"
+#: Words before a telephone number without an area code, and before the number of a passport.
+_CALL = "call|phone|telephone|tel|mobile|cell|fax|telefon|téléphone|tél|teléfono"
+_PASSPORT = r"(?:passport|reisepass|passeport|pasaporte)(?:[ ]?(?:no\.?|number|nr\.?|nummer|n°|numéro|número))?"
 _MARKS = r"AKIA|ASIA|gh[pos]_|sk-|xox[abp]-"
 _LABELS = r"token|secret|password|passwd|pwd|api[_\-]?key|access[_\-]?key"
 _HEX = "[0-9A-Fa-f]{1,4}"
@@ -69,6 +85,7 @@ PATTERNS: dict[str, str] = {
     "key": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\b(?:ghp|gho|ghs)_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9]{20,}\b|\bxox[abp]-[A-Za-z0-9\-]{10,}",
     "secret": r"(?i:\b(?:" + _LABELS + r")\b\s*[=:]\s*[\"']?)(?P<secret>[A-Za-z0-9_\-+/=.]{6,})",
     "birth": rf"(?i:\b(?:{_BORN})\b[: ]{{1,3}})(?P<birth>[0-9]{{1,2}}(?P<_dot>[./\-])[0-9]{{1,2}}(?P=_dot)[0-9]{{4}}|[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})(?![0-9])",
+    "document": rf"(?i:\b{_PASSPORT}[:# ]{{1,3}})(?P<document>[A-Z]{{0,2}}[0-9]{{6,9}})\b",
     "email": r"(?<![\w.+%\-])[\w.+%\-]++@[^\W_](?:[\w.\-]*[^\W_])?\.[^\W\d_]{2,}",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "mac": r"\b(?:[0-9A-Fa-f]{2}[:\-]){5}[0-9A-Fa-f]{2}\b",
@@ -77,15 +94,18 @@ PATTERNS: dict[str, str] = {
     "card": r"(?<![\d.])(?:\d{4}[ \-]?){3}\d{4}(?!\d)|(?<![\d.])3[47]\d{2}[ \-]?\d{6}[ \-]?\d{5}(?!\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "phone": r"(?<![\w.])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}(?!\d)|(?<![\w.])\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}(?!\d)"
-    r"|(?<![\w.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])|(?<![\w.+\-/])(?:0\d{1,4}|\(0\d{1,4}\))[ /\-]\d{3,4}[ \-]?\d{3,5}(?![\w\-])|(?<![\w.])0\d(?:[ .]\d{2}){4}(?![\w.])",
+    r"|(?<![\w.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])|(?<![\w.+\-/])(?:0\d{1,4}|\(0\d{1,4}\))[ /\-]\d{3,4}[ \-]?\d{3,5}(?![\w\-])|(?<![\w.])0\d(?:[ .]\d{2}){4}(?![\w.])"
+    rf"|(?i:\b(?:{_CALL})\b\.?[: ]{{1,2}})(?P<local>\d{{3}}[\-. ]\d{{4}})(?![\d\-])",
     "address": rf"\b\d{{1,5}}[A-Za-z]?[ ](?:{_WORD}[ ]){{1,3}}(?:{_STREET})\b|\b[{_UPPER}][{_LOWER}]+?(?:{_STRASSE})[ ]\d{{1,4}}[a-z]?\b"
     rf"|\b\d{{1,4}},?[ ](?:{_RUE})[ ](?:(?:de[ ]la|des|du|de)[ ]|de[ ]l['’]|d['’])?{_WORD}(?:[ \-]{_WORD})?|\b(?:{_CALLE})[ ](?:de[ ](?:la[ ]|los[ ]|las[ ])?)?{_WORD}(?:[ ]{_WORD})?,?[ ]\d{{1,4}}\b",
-    "name": rf"\b(?P<title>{'|'.join(FEMALE + MALE + EITHER)})\.?[ ](?P<name>{_WORD}(?:[ ]{_WORD}){{0,2}})",
+    "name": rf"\b(?P<title>{'|'.join(FEMALE + MALE + EITHER)})\.?[ ](?P<name>(?:[{_UPPER}]\.[ ]){{0,2}}(?:{_WORD}(?:[ ](?:[{_UPPER}]\.[ ])?{_WORD}){{0,2}}|{_CAPS}(?:[ ]{_CAPS}){{0,2}}))",
 }
 _ANY = re.compile("|".join(f"(?P<t_{k}>{p})" for k, p in PATTERNS.items()))
 #: A text without any of these holds no entity.
 _HINT = re.compile(r"[\d@]|:[0-9A-Fa-f]{0,4}:|-[0-9A-Fa-f]{2}-|" + "|".join(FEMALE + MALE + EITHER) + rf"|{_MARKS}|(?i:{_LABELS})")
 _WORDS = re.compile(_WORD)
+#: Parts of a name: words, words in capitals, initials.
+_PARTS = re.compile(rf"{_WORD}|{_CAPS}|[{_UPPER}](?=\.)")
 
 
 def luhn(digits: str) -> bool:
@@ -299,15 +319,25 @@ _END = re.compile(rf"(?:{_STRASSE})$")
 
 
 def _word(word: str, key: bytes) -> str:
-    """A word of a name; its last letter stays, unless nothing else could change."""
+    """A word of a name. A common given name becomes another of its gender and script; of any other word the last letter stays,
+    unless nothing else could change, and it becomes no common given name. Words in capitals go as the same words without."""
+    if word in _PLACE:
+        group, at = _PLACE[word]
+        return _GROUPS[group][Permutation(key, f"given{group}", len(_GROUPS[group])).next(at)]
+    plain = word[:1] + word[1:].lower()
+    if len(word) > 1 and word.isupper() and plain.upper() == word and "-" not in word:
+        return _word(plain, key).upper()
+    if "-" in word:
+        return "-".join(_word(part, key) for part in word.split("-"))
     body, last = word[:-1], word[-1:]
+    free = lambda w: w not in _STAY and w not in _PLACE
     if not any(len(_sound(c)) > 1 for c in body):
-        return permuted(word, key, "word", _sound)
-    return permuted(body, key, "word" + last, _sound, lambda b: b + last not in _STAY) + last
+        return permuted(word, key, "word", _sound, free)
+    return permuted(body, key, "word" + last, _sound, lambda b: free(b + last)) + last
 
 
 def _named(value: str, key: bytes) -> str:
-    return _WORDS.sub(lambda m: _word(m.group(), key), value)
+    return _PARTS.sub(lambda m: permuted(m.group(), key, "initial") if len(m.group()) == 1 else _word(m.group(), key), value)
 
 
 def _address(value: str, key: bytes) -> str:
@@ -326,7 +356,7 @@ def _address(value: str, key: bytes) -> str:
 
 _MAKERS: dict[str, Callable[[str, bytes], str]] = {
     "card": _card, "iban": _iban, "ipv4": _ipv4, "email": _email, "birth": _birth, "secret": _secret, "name": _named, "address": _address,
-    "mac": lambda v, k: _hex(v, k, "mac"), "ipv6": lambda v, k: _hex(v, k, "ipv6"), **{k: _plain(k) for k in ("key", "ssn", "phone")},
+    "mac": lambda v, k: _hex(v, k, "mac"), "ipv6": lambda v, k: _hex(v, k, "ipv6"), **{k: _plain(k) for k in ("key", "ssn", "phone", "document")},
 }
 
 
@@ -353,11 +383,12 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
         if kind == "name":
             gender = _gender(m["title"])
             out.append((m.start("name"), m.end("name"), "name:" + gender, m["name"]))
-            *first, last = m["name"].split(" ")
+            *first, last = _PARTS.findall(m["name"])
             family.setdefault(last, gender)
             given |= {w: gender for w in first}
-        elif kind in ("secret", "birth"):
-            out.append((m.start(kind), m.end(kind), kind, m[kind]))
+        elif kind in ("secret", "birth", "document") or m["local"]:
+            group = "local" if m["local"] else kind
+            out.append((m.start(group), m.end(group), kind, m[group]))
         else:
             out.append((m.start(), m.end(), kind, m.group()))
     return _with_names(text, out, family, given) if family else out
