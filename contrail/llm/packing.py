@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import attach, cut, lean
+from .shared import attach, cut, lean, written_out
 
 #: Longest sequence, a power of two.
 MOST = 2048
@@ -126,7 +126,8 @@ def numbered(rows: DataFrame) -> DataFrame:
     window numbers each block and bucket, and the blocks before (few rows) give its offset.
     """
     kinds = cut(rows.groupBy(*rows.columns).agg(F.count("*").alias("_n")))
-    blocks = max(1, -(-kinds.count() // BLOCK_ROWS))
+    many, most = kinds.agg(F.count("*"), F.coalesce(F.max("_n"), F.lit(0))).first()
+    blocks = max(1, -(-many // BLOCK_ROWS))
     placed = kinds.withColumn("_block", F.pmod(F.xxhash64(*rows.columns), F.lit(blocks)))
     order = Window.orderBy(F.desc("length"), "_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cut(
@@ -136,12 +137,9 @@ def numbered(rows: DataFrame) -> DataFrame:
     )
     before = Window.partitionBy("length", "_block").orderBy(*rows.columns).rowsBetween(Window.unboundedPreceding, -1)
     ranked = placed.withColumn("_rank", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    first = F.col("_offset") + F.col("_rank")
-    return attach(ranked, offsets, ["length", "_block"]).select(
-        *rows.columns,
-        F.explode(F.sequence(first, first + F.col("_n") - 1)).alias("sequence_id"),
-        F.lit(0).cast("long").alias("offset"),
-    )
+    ranked = attach(ranked, offsets, ["length", "_block"]).select(*rows.columns, "_n", (F.col("_offset") + F.col("_rank")).alias("_at"))
+    numbers = written_out(ranked, F.col("_at"), "_n", "sequence_id", most)
+    return numbers.select(*rows.columns, "sequence_id", F.lit(0).cast("long").alias("offset"))
 
 
 def pack(docs: DataFrame, path: str | None = None, most: int = MOST, end: int = END) -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import attach, cut
+from .shared import attach, cut, written_out
 
 #: Half rounds of the permutation.
 HALF_ROUNDS = 8
@@ -60,7 +60,7 @@ def numbered(rows: DataFrame, columns: list[str]) -> DataFrame:
     offset by the blocks before. The list of blocks (N / BLOCK_ROWS of them) is the only thing that meets in one task.
     """
     counted = cut(rows.groupBy(*columns).agg(F.count("*").alias("_n")))
-    kinds = counted.count()
+    kinds, most = counted.agg(F.count("*"), F.coalesce(F.max("_n"), F.lit(0))).first()
     blocks = max(1, -(-kinds // BLOCK_ROWS))
     placed = counted.withColumn("_block", F.pmod(F.xxhash64(*columns), F.lit(blocks)))
     sums = placed.groupBy("_block").agg(F.sum("_n").alias("_rows"))
@@ -76,10 +76,8 @@ def numbered(rows: DataFrame, columns: list[str]) -> DataFrame:
     placed = placed.withColumn(
         "_first", F.coalesce(F.sum("_n").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     )
-    first = F.col("_offset") + F.col("_first")
-    return attach(placed, offsets, ["_block"]).select(
-        *columns, "total", F.explode(F.sequence(first, first + F.col("_n") - 1)).alias("number")
-    )
+    ranked = attach(placed, offsets, ["_block"]).select(*columns, "total", "_n", (F.col("_offset") + F.col("_first")).alias("_at"))
+    return written_out(ranked, F.col("_at"), "_n", "number", most).select(*columns, "total", "number")
 
 
 def shard(docs: DataFrame, shards: int = 24, key: int = 20_240_229) -> DataFrame:

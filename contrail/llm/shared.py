@@ -17,6 +17,8 @@ BROADCAST_ROWS = 100_000
 PART_ROWS = 20_000
 #: Edges that a task holds at a time.
 EDGE_ROWS = 200_000
+#: Copies of a row that one task writes out.
+RUN = 100_000
 #: Copies of a look-up row when its join is salted.
 SALTS = 16
 
@@ -102,6 +104,23 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, by: str, counts: Dat
     return left.join(right, [key, "_salt"]).drop("_salt")
 
 
+def written_out(rows: DataFrame, first: Column, times: str, name: str, most: int) -> DataFrame:
+    """Each of `rows` as often as `times` says, numbered on from `first` as `name`; `most` is the greatest `times`.
+
+    Copies are written out by runs of RUN, which are dealt over the tasks where a row has several, so that none writes out
+    all copies of one row, and no list of numbers is longer than a run.
+    """
+    n = F.col(times)
+    if most <= RUN:
+        return rows.withColumn(name, F.explode(F.sequence(first, first + n - 1))).drop(times)
+    runs = rows.withColumns({"_first": first, "_run": F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / RUN)))})
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # given, so that few runs are not put together
+    dealt = runs.repartition(parts, *[c for c in runs.columns if c != "_first"])
+    start = F.col("_first") + F.col("_run") * RUN
+    end = F.least(start + RUN, F.col("_first") + n) - 1
+    return dealt.withColumn(name, F.explode(F.sequence(start, end))).drop(times, "_first", "_run")
+
+
 def count_words(text: Column) -> Column:
     """Number of runs of characters other than ASCII white space; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

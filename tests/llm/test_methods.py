@@ -59,6 +59,17 @@ def test_a_salted_join_equals_a_join(spark):
     assert salted_join(big.limit(0), small, "k", "v", big.limit(0).groupBy("k").agg(F.count("*").alias("n"))).count() == 0
 
 
+def test_a_row_repeated_a_million_times_is_dealt_over_tasks(spark):
+    rows = spark.range(1_000_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text")).union(spark.createDataFrame([(1, "a"), (1, "a")], "doc_id long, text string"))
+    got = sharding.shard(rows)
+    numbers = got.agg(F.count("*").alias("n"), F.countDistinct("number").alias("d"), F.min("number").alias("a"), F.max("number").alias("b")).first()
+    assert tuple(numbers) == (1_000_002, 1_000_002, 0, 1_000_001)
+    tasks = got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    assert tasks < 1_000_000
+    pieces = packing.digest(spark.range(250_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("").alias("text")))
+    assert tuple(pieces.agg(F.count("*"), F.countDistinct("sequence_id"), F.max("sequence_id")).first()) == (250_000, 250_000, 249_999)
+
+
 def test_attach_salted_equals_broadcast(spark):
     big = spark.createDataFrame([("x", i) for i in range(50)] + [(None, -1), ("z", 7)], "k string, v int")
     small = cut(spark.createDataFrame([("x", 1), ("y", 2), (None, 3)], "k string, w int"))
