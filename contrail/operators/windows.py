@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .cuts import row_numbers
+from .cuts import cut, row_numbers
 from .joins import small
 
 
@@ -62,9 +62,21 @@ def monthly_changes(counts: DataFrame, entity: str, month: str, n: str) -> DataF
     return grid.withColumns({"z": z, "prior": prior, "seen": seen}).withColumn("delta", F.col(n) - F.col("prior")).withColumn("flag", flag).drop("seen")
 
 
-def running_max(rows: DataFrame, by: str, value: str, order: list[Column]) -> Column:
-    """The largest value so far in each group's order."""
-    return F.max(value).over(Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+def running_max(rows: DataFrame, by: str, value: str, order: list[Column], name: str) -> DataFrame:
+    """`rows` with `name`, the largest value so far in each group's order.
+
+    Groups are cut into ranges of their order, each windowed by one task, so that none holds a whole group; what comes before a
+    range adds one row for each range and group. Rows equal in order must be equal in value or bear another column in it.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(by), *order]
+    placed = cut(rows.repartitionByRange(parts, *keys).withColumn("_part", F.spark_partition_id()))
+    most = placed.groupBy("_part", by).agg(F.max(value).alias("_most"))
+    before = Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = small(cut(most.select(F.col("_part").alias("_p"), F.col(by).alias("_g"), F.max("_most").over(before).alias("_ahead"))))
+    own = F.max(value).over(Window.partitionBy("_part", by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    met = placed.withColumn("_own", own).join(ahead, (F.col("_part") == F.col("_p")) & F.col(by).eqNullSafe(F.col("_g")))
+    return met.withColumn(name, F.greatest("_own", "_ahead")).select(*rows.columns, name)
 
 
 def batch_plan(rows: DataFrame, order: list[Column], size: int) -> DataFrame:

@@ -58,7 +58,7 @@ def sniffed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def track_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tracks under other column names in another encoding; rows without valid coordinates go."""
     at = _folder(spark)
-    o = observations(spark, sf_dir).where("kind = 'error'")
+    o = observations(spark, sf_dir)
     o.select((F.col("lat") + F.when(F.col("k") % 10 == 0, 90).otherwise(0)).alias("Latitude"), F.col("lon").alias("LNG"), F.concat(F.lit("día "), F.col("obs_id").cast("string")).alias("timestamp"), F.col("speed_mph").alias("gs")).write.csv(at, header=True, encoding="ISO-8859-1")
     return readers.track_csv(spark, at).select("time", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "speed")
 
@@ -101,7 +101,7 @@ def kml_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gpx_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Track, route and way points of a GPX file."""
     at = _folder(spark)
-    p = _points(spark, sf_dir).where("kind = 'click'")
+    p = _points(spark, sf_dir)
     tag = F.when(F.col("obs_id") % 3 == 0, "trkpt").when(F.col("obs_id") % 3 == 1, "rtept").otherwise("wpt")
     p.select(F.format_string('<%s lon="%s" lat="%s"></%s>', tag, F.col("lon").cast("string"), F.col("lat").cast("string"), tag)).write.text(at)
     return readers.gpx_points(spark, at).groupBy("lon", "lat").agg(F.count("*").alias("n"))
@@ -161,7 +161,7 @@ def located_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 def calibration_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels of calibration sets in folders of their own, with the set that a folder is."""
     at = _folder(spark)
-    o = observations(spark, sf_dir).where("kind = 'error'")
+    o = observations(spark, sf_dir)
     o.select(F.col("corridor_id").alias("set"), "obs_id", "confidence").write.partitionBy("set").csv(at, header=True)
     rows = spark.read.option("recursiveFileLookup", True).csv(at, header=True).withColumn("set_id", F.regexp_extract(F.input_file_name(), r"set=(\w+)/", 1))
     return rows.groupBy("set_id").agg(F.count("*").alias("labels"), F.round(F.avg(F.col("confidence").cast("double")), 6).alias("mean"))
@@ -191,7 +191,7 @@ def union_of_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resumed_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers without a finished order of every fifth number, which a resumed run would go on with."""
-    return writers.pending(table(spark, sf_dir, "customer").select("c_custkey"), table(spark, sf_dir, "orders").where("o_orderstatus = 'F' and o_orderkey % 5 = 0").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    return writers.pending(table(spark, sf_dir, "customer").select("c_custkey"), table(spark, sf_dir, "orders").where("o_orderstatus = 'F' and o_totalprice > 250000").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
 
 
 def review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,21 +331,21 @@ ORACLE = {
     "csv_typed_rows": f"WITH {OBS} SELECT obs_id, CASE WHEN k % 5 <> 0 THEN altitude_ft END AS altitude_ft, kind FROM obs",
     "coerced_cells": f"WITH {OBS} SELECT obs_id, CASE obs_id % 7 WHEN 0 THEN 'bool' WHEN 1 THEN 'int' WHEN 2 THEN 'float' WHEN 3 THEN 'float' WHEN 4 THEN 'empty' WHEN 5 THEN 'int' ELSE 'str' END AS kind, CASE WHEN obs_id % 7 = 0 THEN true END AS as_bool, CASE obs_id % 7 WHEN 1 THEN k WHEN 5 THEN 7 END AS as_int, CASE obs_id % 7 WHEN 2 THEN k + CAST(0.5 AS DOUBLE) WHEN 3 THEN 1000 END AS as_float, CASE WHEN obs_id % 7 = 6 THEN kind END AS as_str FROM obs",
     "sniffed_csv": "SELECT CAST(s_suppkey AS VARCHAR) AS supplier_key, 'Ñandú é ' || s_name AS full_name FROM supplier",
-    "track_files": f"WITH {OBS} SELECT 'día ' || obs_id AS time, round(lat, 6) AS lat, round(lon, 6) AS lon, speed_mph AS speed FROM obs WHERE kind = 'error' AND k % 10 <> 0",
+    "track_files": f"WITH {OBS} SELECT 'día ' || obs_id AS time, round(lat, 6) AS lat, round(lon, 6) AS lon, speed_mph AS speed FROM obs WHERE k % 10 <> 0",
     "json_lines": "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey FROM nation",
     "json_documents": "SELECT CAST(r_regionkey AS BIGINT) AS id, r_name AS name FROM region",
     "geojson_round_trip": f"{_POINTS} SELECT * FROM p WHERE kind = 'purchase'",
     "kml_round_trip": f"{_POINTS} SELECT CAST(row_number() OVER (ORDER BY obs_id) AS INT) AS seq, lon, lat FROM p WHERE kind = 'signup'",
-    "gpx_points": f"{_POINTS} SELECT lon, lat, count(*) AS n FROM p WHERE kind = 'click' GROUP BY 1, 2",
+    "gpx_points": f"{_POINTS} SELECT lon, lat, count(*) AS n FROM p GROUP BY 1, 2",
     "file_roles": "SELECT CAST(r_regionkey AS VARCHAR) AS k, 'txt' AS extension, 'other' AS role, strlen(r_regionkey || ',' || r_name) + 1 AS size, sha256(r_regionkey || ',' || r_name || chr(10)) AS sha256 FROM region",
     "package_round_trip": "SELECT 'nations' AS stream, count(*) AS records, count(*) AS found, true AS trusted FROM nation UNION ALL SELECT 'regions', count(*), count(*), false FROM region",
     "sqlite_scan": "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name FROM nation",
     "yaml_registry": "SELECT n_name AS name, unnest([lower(n_name), 'n' || n_nationkey]) AS alias FROM nation",
     "located_registry": "SELECT s_suppkey AS airport_id, s_name AS name, s_acctbal AS lat, s_acctbal AS lon, 'kept' AS icao_code, s_name AS airport_name, s_acctbal AS latitude, s_acctbal AS longitude FROM supplier WHERE s_suppkey % 4 > 0",
-    "calibration_sets": f"WITH {OBS} SELECT corridor_id AS set_id, count(*) AS labels, round(avg(confidence), 6) AS mean FROM obs WHERE kind = 'error' GROUP BY 1",
+    "calibration_sets": f"WITH {OBS} SELECT corridor_id AS set_id, count(*) AS labels, round(avg(confidence), 6) AS mean FROM obs GROUP BY 1",
     "contract_ledger": "SELECT r_name, '' AS lacks FROM region UNION ALL SELECT NULL, 'r_comment, r_owner'",
     "union_of_keys": "SELECT CAST(r_regionkey AS VARCHAR) AS r_regionkey, r_name, NULL AS nation FROM region UNION ALL SELECT CAST(n_regionkey AS VARCHAR), NULL, n_name FROM nation",
-    "resumed_inserts": "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 5 = 0)",
+    "resumed_inserts": "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 250000)",
     "review_queue": "WITH i AS (SELECT c_custkey AS item FROM customer WHERE c_custkey % 4 < 3) SELECT item, CASE WHEN item % 3 <> 0 THEN 0 WHEN item % 6 = 0 AND item % 5 = 0 THEN 2 ELSE 1 END AS seq, CASE WHEN item % 3 <> 0 THEN 'open' WHEN item % 5 <> 0 THEN 'approved' WHEN item % 6 = 0 THEN 'rejected' ELSE 'needs_info' END AS state FROM i",
     "upserted_rows": "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'new' WHEN c_custkey % 3 <> 0 THEN c_mktsegment ELSE 'missing' END AS v FROM customer",
     "replaced_rows": f"WITH {OBS} SELECT aircraft, kind, obs_id FROM obs QUALIFY row_number() OVER (PARTITION BY aircraft, kind ORDER BY ts DESC, obs_id DESC) = 1",

@@ -204,8 +204,9 @@ def replay_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def running_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = observations(spark, sf_dir).where("kind = 'signup'")
-    return o.select("obs_id", W.running_max(o, "corridor_id", "value", [F.col("confidence"), F.col("obs_id")]).alias("running_value"))
+    """Each observation's largest value so far in its corridor, by confidence."""
+    o = observations(spark, sf_dir).select("obs_id", "corridor_id", "value", "confidence")
+    return W.running_max(o, "corridor_id", "value", [F.col("confidence"), F.col("obs_id")], "running_value").select("obs_id", "running_value")
 
 
 QUERIES = {f.__name__: f for f in (historical_baselines, baseline_anomaly_scores, anomaly_band_counts, wave_rollup, flight_fusion, fused_points, session_polylines, group_best_dedup, priority_review_queue, flight_sessions, recurring_routes, pair_physics_checks, track_endpoints, weekly_change_flags, short_forecast, batch_plan, gap_overlaps, sampled_points, replay_timeline, running_calibration)}
@@ -230,7 +231,7 @@ ORACLE = {
     "gap_overlaps": f"WITH {OBS}, g AS (SELECT aircraft, obs_id, ts AS start_ts, ts + to_hours(CAST(altitude_ft % 12 AS INT)) AS end_ts FROM obs), p AS (SELECT *, lag(end_ts) OVER (PARTITION BY aircraft ORDER BY start_ts, end_ts, obs_id) AS before_end FROM g) SELECT aircraft, obs_id, start_ts, before_end FROM p WHERE before_end > start_ts",
     "sampled_points": f"WITH {OBS}, p AS (SELECT aircraft, list(obs_id ORDER BY ts, obs_id) AS p FROM obs GROUP BY 1) SELECT aircraft, CASE WHEN len(p) <= 5 THEN array_to_string(p, ',') ELSE array_to_string(list_transform(range(0, 5), lambda i: p[CAST(i * len(p) // 5 AS INT) + 1]), ',') END AS sample FROM p",
     "replay_timeline": f"WITH {OBS}, u AS (SELECT ts AS event_ts, 'a' || obs_id AS item, 'adsb' AS sensor FROM obs WHERE kind = 'view' UNION ALL SELECT ts, 'b' || obs_id, 'screen' FROM obs WHERE kind = 'click') SELECT event_ts, item, sensor, coalesce(epoch_us(event_ts) - epoch_us(lag(event_ts) OVER (PARTITION BY sensor ORDER BY event_ts, item)), 0) > 7200000000 AS after_gap FROM u",
-    "running_calibration": f"WITH {OBS} SELECT obs_id, max(value) OVER (PARTITION BY corridor_id ORDER BY confidence, obs_id ROWS UNBOUNDED PRECEDING) AS running_value FROM obs WHERE kind = 'signup'",
+    "running_calibration": f"WITH {OBS} SELECT obs_id, max(value) OVER (PARTITION BY corridor_id ORDER BY confidence, obs_id ROWS UNBOUNDED PRECEDING) AS running_value FROM obs",
 }
 
 

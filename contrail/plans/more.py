@@ -180,7 +180,7 @@ def changed_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of the pixels (components) of following pictures that differ by more than a limit; sizes that differ give none."""
     e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     after = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other"))
-    met = e.where("vec_id % 2 = 0").join(after, "vec_id")
+    met = e.join(after, "vec_id")
     apart = F.zip_with("embedding", "other", lambda a, b: F.abs(a.cast("double") - b.cast("double")) > 0.1)
     share = F.size(F.filter(apart, lambda x: x)) / F.size("embedding")
     return met.select("vec_id", F.round(F.when(F.size("embedding") == F.size("other"), share), 6).alias("changed"))
@@ -229,6 +229,6 @@ ORACLE = {
     "falsy_sorted": f"WITH {OBS}, s AS (SELECT obs_id, CASE WHEN k % 4 < 2 THEN '' ELSE CAST(k AS VARCHAR) END AS key FROM obs) SELECT * FROM s ORDER BY key DESC, obs_id LIMIT 40",
     "poi_shapes": f"WITH {OBS}, c AS (SELECT aircraft, day, kind, count(*) AS c FROM obs GROUP BY 1, 2, 3), m AS (SELECT aircraft, day, max(c) AS most, count(*) AS kinds FROM c GROUP BY 1, 2), g AS (SELECT aircraft, day, count(*) AS n, first(kind ORDER BY ts, obs_id) AS f, last(kind ORDER BY ts, obs_id) AS l FROM obs GROUP BY 1, 2) SELECT aircraft, day, CASE WHEN n = 1 THEN 'single_poi' WHEN kinds = 1 THEN 'stationary' WHEN f = l AND n >= 3 THEN 'loop' WHEN most * 2 > n THEN 'hub_and_spoke' WHEN kinds = n THEN 'linear' ELSE 'multi_visit' END AS shape FROM g JOIN m USING (aircraft, day)",
     "label_classes": f"WITH {OBS}, s AS (SELECT k % 5 AS c, aircraft, k + 1 AS w, altitude_ft % 90 + 1 AS h FROM obs) SELECT CASE c WHEN 0 THEN 'facility' WHEN 1 THEN 'place' WHEN 2 THEN 'tail' WHEN 3 THEN 'time' ELSE 'noise' END AS label_class, CASE WHEN w * h < 64 THEN 'dot' WHEN greatest(w, h) >= 6 * least(w, h) THEN 'line' WHEN greatest(w, h) * 4 <= 5 * least(w, h) THEN 'square' ELSE 'block' END AS component, count(*) AS n FROM s GROUP BY 1, 2",
-    "changed_fractions": "SELECT a.vec_id, round(len(list_filter(list_zip(a.embedding, b.embedding), lambda p: abs(CAST(p[1] AS DOUBLE) - CAST(p[2] AS DOUBLE)) > 0.1)) / CAST(len(a.embedding) AS DOUBLE), 6) AS changed FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1 WHERE a.vec_id % 2 = 0",
+    "changed_fractions": "SELECT a.vec_id, round(len(list_filter(list_zip(a.embedding, b.embedding), lambda p: abs(CAST(p[1] AS DOUBLE) - CAST(p[2] AS DOUBLE)) > 0.1)) / CAST(len(a.embedding) AS DOUBLE), 6) AS changed FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1",
     "footprint_import": "SELECT s_suppkey, 'aeropuerto-' || replace(lower(s_name), '#', '-') || CASE WHEN s_suppkey % 3 = 0 THEN '-tj' ELSE '-tx' END || s_suppkey AS slug, CASE WHEN s_suppkey % 3 = 0 THEN 'TJ' || s_suppkey END AS code, CASE WHEN s_suppkey % 4 > 0 THEN CAST('18.' || lpad(CAST(s_suppkey AS VARCHAR), 3, '0') AS DOUBLE) END AS lat, CASE WHEN s_suppkey % 4 > 0 THEN CAST(-66.5 AS DOUBLE) END AS lon, CASE WHEN s_acctbal > 6000 THEN 'airport' WHEN s_acctbal > 2000 THEN 'heliport' ELSE 'pad' END AS kind, CASE WHEN s_acctbal < 0 THEN 'private' ELSE 'public' END AS operator_class, CAST(CASE WHEN s_acctbal > 6000 THEN 5 WHEN s_acctbal > 2000 THEN 1.5 ELSE 0.5 END AS DOUBLE) AS radius_nm FROM supplier",
 }

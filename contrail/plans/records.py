@@ -85,7 +85,7 @@ def review_state_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def imagery_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pictures as manifest rows: footprints held within the world, reliability by whether clouds are known."""
-    o = observations(spark, sf_dir).where("kind = 'purchase'")
+    o = observations(spark, sf_dir)
     cloud = F.when(F.col("k") % 3 > 0, F.col("k").cast("double"))
     half = F.col("k") / 1.0
     edge = lambda c, d, most: F.round(F.greatest(F.lit(-most), F.least(F.lit(most), F.col(c) + d)), 4)
@@ -197,7 +197,7 @@ def track_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ui_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regions of screens as fractions of their size, in pixels."""
     parts = [("top_bar", 0.0, 0.0, 1.0, 0.16), ("map", 0.04, 0.08, 0.92, 0.64), ("panel", 0.0, 0.6, 1.0, 1.0), ("timeline", 0.0, 0.8, 1.0, 1.0)]
-    o = observations(spark, sf_dir).where("kind = 'signup'").select("obs_id", (F.lit(1000) + F.col("k")).alias("w"), (F.lit(2000) + F.col("altitude_ft") % 100).alias("h"))
+    o = observations(spark, sf_dir).select("obs_id", (F.lit(1000) + F.col("k")).alias("w"), (F.lit(2000) + F.col("altitude_ft") % 100).alias("h"))
     each = F.array(*[F.struct(F.lit(n).alias("region"), *[F.floor(F.col(s) * f + 1e-9).cast("int").alias(c) for c, s, f in (("x0", "w", a), ("y0", "h", b), ("x1", "w", c_), ("y1", "h", d))]) for n, a, b, c_, d in parts])
     return o.select("obs_id", F.explode(each).alias("r")).select("obs_id", "r.*")
 
@@ -250,7 +250,7 @@ def inverse_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tile_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boxes around points, held to the area, and the tiles of their corners and centre."""
-    o = observations(spark, sf_dir).where("kind = 'purchase'")
+    o = observations(spark, sf_dir)
     d = F.lit(0.02) + (F.col("k") % 5) / 50.0
     box = {"south": F.greatest(F.lit(17.95), F.col("lat") - d), "west": F.greatest(F.lit(-67.25), F.col("lon") - d), "north": F.least(F.lit(18.6), F.col("lat") + d), "east": F.least(F.lit(-65.25), F.col("lon") + d)}
     b = o.select("obs_id", *[F.round(c, 6).alias(n) for n, c in box.items()])
@@ -289,7 +289,7 @@ ORACLE = {
     "target_rows": f"WITH {OBS} SELECT obs_id, kind FROM obs WHERE (k % 3 = 0 OR kind = 'error' OR k < 5) AND month = '2024-01' ORDER BY obs_id LIMIT 500",
     "calibration_validation": "WITH i AS (SELECT p_brand AS name, 'adjustment_range' AS issue, 'error' AS level FROM part WHERE p_size <= 5 AND NOT (p_size - 4) / CAST(2 AS DOUBLE) BETWEEN -1 AND 0 UNION ALL SELECT name, 'alias_target', 'error' FROM (SELECT DISTINCT p_brand || 'x' AS name, p_type FROM part WHERE p_size = 7) WHERE p_type NOT IN (SELECT p_type FROM part WHERE p_size = 8) UNION ALL SELECT p_brand, 'id_mismatch', 'warning' FROM part GROUP BY 1 HAVING min(p_partkey) % 2 <> max(p_partkey) % 2) SELECT name, issue, level, count(*) AS n FROM i GROUP BY 1, 2, 3",
     "review_state_validation": f"WITH {OBS} SELECT obs_id, CASE WHEN k % 13 = 0 AND kind = 'error' THEN 'empty_id,status' WHEN k % 13 = 0 THEN 'empty_id' ELSE 'status' END AS why FROM obs WHERE k % 13 = 0 OR kind = 'error'",
-    "imagery_manifest": f"WITH {OBS} SELECT obs_id, round(greatest(-90.0, lat - k), 4) AS south, round(least(90.0, lat + k), 4) AS north, round(greatest(-180.0, lon - k * 2), 4) AS west, round(least(180.0, lon + k * 2), 4) AS east, CASE WHEN k % 3 = 0 THEN 'unknown_cloud' WHEN k <= 20 THEN 'high' WHEN k <= 60 THEN 'medium' ELSE 'low' END AS reliability FROM obs WHERE kind = 'purchase'",
+    "imagery_manifest": f"WITH {OBS} SELECT obs_id, round(greatest(-90.0, lat - k), 4) AS south, round(least(90.0, lat + k), 4) AS north, round(greatest(-180.0, lon - k * 2), 4) AS west, round(least(180.0, lon + k * 2), 4) AS east, CASE WHEN k % 3 = 0 THEN 'unknown_cloud' WHEN k <= 20 THEN 'high' WHEN k <= 60 THEN 'medium' ELSE 'low' END AS reliability FROM obs",
     "infrastructure_filter": "SELECT s_suppkey, concat_ws(',', CASE WHEN s_nationkey = 3 THEN 'type' END, CASE WHEN contains(s_name, '7') THEN 'operator' END, CASE WHEN s_acctbal > 5000 THEN 'sector' END) AS passes FROM supplier WHERE s_nationkey = 3 OR contains(s_name, '7') OR s_acctbal > 5000",
     "ground_truth_rows": f"WITH {OBS}, r AS (SELECT aircraft || '/' || day AS image, CASE kind WHEN 'click' THEN 'view' ELSE kind END AS cls, CASE k % 4 WHEN 1 THEN 0 ELSE 1 END AS flag, obs_id FROM obs WHERE k % 4 <> 3) SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY image, cls ORDER BY obs_id % 2, obs_id) = 1",
     "aoi_chain": f"WITH {OBS}, d AS (SELECT altitude_ft % 31 AS aoi, count(*) AS detections, max(round(least(1.0, confidence * CAST(1.1 AS DOUBLE)), 4)) AS best, bool_or(day >= DATE '2024-01-16') AND bool_or(day < DATE '2024-01-16') AS p FROM obs WHERE kind = 'error' GROUP BY 1) SELECT CAST(n_nationkey AS BIGINT) AS aoi, coalesce(detections, 0) AS detections, best, CASE WHEN detections IS NULL THEN 'no_detections' WHEN p AND best >= 0.8 THEN 'candidate' WHEN p THEN 'review' ELSE 'single_epoch' END AS state FROM nation LEFT JOIN d ON aoi = n_nationkey",
@@ -297,12 +297,12 @@ ORACLE = {
     "icon_clusters": f"WITH {OBS}, {_FRAMES}, n AS (SELECT h, count(*) AS n, round(avg(obs_id * 37 % 360), 6) AS hue FROM f GROUP BY h), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, h) - 1 AS rank FROM n), e AS (SELECT a.rank AS a, b.rank AS b FROM r a JOIN r b ON a.rank < b.rank AND bit_count(xor(a.h, b.h)) <= 4 AND least(abs(a.hue - b.hue), 360 - abs(a.hue - b.hue)) <= 20), z AS (SELECT r.rank, list(a) FILTER (a IS NOT NULL) AS near FROM r LEFT JOIN e ON e.b = r.rank GROUP BY 1), w AS (SELECT list_reduce(list_prepend([]::BIGINT[], list(ids ORDER BY ids[1])), lambda led, x: CASE WHEN len(list_intersect(led, x[2:])) = 0 THEN list_append(led, x[1]) ELSE led END) AS led FROM (SELECT list_prepend(rank, coalesce(near, [])) AS ids FROM z)), g AS (SELECT z.rank, CASE WHEN list_contains(led, z.rank) THEN z.rank ELSE list_min(list_intersect(led, near)) END AS cluster FROM z, w) SELECT cluster, count(*) AS hashes, CAST(sum(n) AS BIGINT) AS icons FROM g JOIN r USING (rank) GROUP BY 1",
     "grid_terrain": f"WITH {OBS}, g AS (SELECT CAST(floor(lat / CAST(0.05 AS DOUBLE)) AS BIGINT) AS y, CAST(floor(lon / CAST(0.05 AS DOUBLE)) AS BIGINT) AS x, avg(altitude_ft) AS z FROM obs GROUP BY 1, 2), s AS (SELECT g.y, g.x, g.z, max(n.z) FILTER (n.y = g.y AND n.x = g.x + 1) AS e, max(n.z) FILTER (n.y = g.y AND n.x = g.x - 1) AS w, max(n.z) FILTER (n.y = g.y + 1 AND n.x = g.x) AS u, max(n.z) FILTER (n.y = g.y - 1 AND n.x = g.x) AS d, max(abs(n.z - g.z)) AS rough FROM g JOIN g n ON abs(n.y - g.y) <= 1 AND abs(n.x - g.x) <= 1 GROUP BY 1, 2, 3) SELECT y, x, round(degrees(atan(sqrt(pow((coalesce(e, z) - coalesce(w, z)) / CASE WHEN e IS NOT NULL AND w IS NOT NULL THEN 11100.0 ELSE 5550.0 END, 2) + pow((coalesce(u, z) - coalesce(d, z)) / CASE WHEN u IS NOT NULL AND d IS NOT NULL THEN 11100.0 ELSE 5550.0 END, 2)))), 5) AS slope_deg, round(coalesce(e, z) + coalesce(w, z) + coalesce(u, z) + coalesce(d, z) - 4 * z, 5) AS curvature, round(rough, 5) AS roughness FROM s",
     "track_vectors": f"WITH {OBS}, g AS (SELECT aircraft, day, count(*) AS n, var_pop(lon) AS a, var_pop(lat) AS c, covar_pop(lon, lat) AS b FROM obs GROUP BY 1, 2 HAVING count(*) >= 3), r AS (SELECT *, sqrt(pow(a - c, 2) + 4 * b * b) AS q FROM g), e AS (SELECT *, round(CASE WHEN a + c + q <= 0 THEN 0 ELSE 1 - sqrt(greatest(0.0, (a + c - q) / 2) / ((a + c + q) / 2)) END, 5) AS elongation FROM r) SELECT aircraft, day, round(degrees(atan2(2 * b, a - c)) / 2, 4) AS angle_deg, elongation, CASE WHEN elongation >= 0.8 THEN 'linear' WHEN elongation <= 0.3 THEN 'loop' ELSE 'curved' END AS shape FROM e",
-    "ui_regions": f"WITH {OBS}, o AS (SELECT obs_id, 1000 + k AS w, 2000 + altitude_ft % 100 AS h FROM obs WHERE kind = 'signup'), p(region, a, b, c, d) AS (VALUES ('top_bar', 0, 0, 100, 16), ('map', 4, 8, 92, 64), ('panel', 0, 60, 100, 100), ('timeline', 0, 80, 100, 100)) SELECT obs_id, region, CAST(w * a // 100 AS INT) AS x0, CAST(h * b // 100 AS INT) AS y0, CAST(w * c // 100 AS INT) AS x1, CAST(h * d // 100 AS INT) AS y1 FROM o, p",
+    "ui_regions": f"WITH {OBS}, o AS (SELECT obs_id, 1000 + k AS w, 2000 + altitude_ft % 100 AS h FROM obs), p(region, a, b, c, d) AS (VALUES ('top_bar', 0, 0, 100, 16), ('map', 4, 8, 92, 64), ('panel', 0, 60, 100, 100), ('timeline', 0, 80, 100, 100)) SELECT obs_id, region, CAST(w * a // 100 AS INT) AS x0, CAST(h * b // 100 AS INT) AS y0, CAST(w * c // 100 AS INT) AS x1, CAST(h * d // 100 AS INT) AS y1 FROM o, p",
     "plane_distances": f"WITH {OBS} SELECT obs_id, round(sqrt(pow((lat - 18.0) * 111000.0, 2) + pow((lon + 67.0) * 111000.0 * cos(radians(CAST(18.0 AS DOUBLE))), 2)), 3) AS flat_m, round({_seg('lon', 'lat', -67.0, 18.0, -65.5, 18.4)}, 5) AS segment_nm, round({_seg('lat', 'lon', 18.0, -67.0, 18.4, -65.5)}, 5) AS swapped_nm FROM obs",
     "daily_worklist": f"WITH {OBS}, d AS (SELECT aircraft FROM obs GROUP BY 1 HAVING count(*) FILTER (kind = 'purchase') >= 18) SELECT obs_id, aircraft, day + CAST(k % 5 AS INT) AS expires FROM obs WHERE kind = 'error' AND aircraft NOT IN (SELECT aircraft FROM d) ORDER BY k % 3, day + CAST(k % 5 AS INT), day, ts, obs_id LIMIT 60",
     "recent_runs": f"WITH {OBS} SELECT day, count(*) AS inputs, count(*) FILTER (kind = 'error') AS failed FROM obs GROUP BY 1 ORDER BY 1 DESC LIMIT 10",
     "otsu_thresholds": f"WITH {OBS}, h AS (SELECT kind, CAST(floor(value) AS BIGINT) AS v, count(*) AS n FROM obs GROUP BY 1, 2), c AS (SELECT kind, v, CAST(sum(n) OVER u AS BIGINT) AS w0, CAST(sum(n * v) OVER u AS BIGINT) AS s0, CAST(sum(n) OVER (PARTITION BY kind) AS BIGINT) AS w, CAST(sum(n * v) OVER (PARTITION BY kind) AS BIGINT) AS s FROM h WINDOW u AS (PARTITION BY kind ORDER BY v)) SELECT kind, v AS threshold FROM c WHERE w0 < w QUALIFY row_number() OVER (PARTITION BY kind ORDER BY round(CAST(w0 AS DOUBLE) * (w - w0) * (s0 / w0 - (s - s0) / (w - w0)) * (s0 / w0 - (s - s0) / (w - w0)), 3) DESC, v) = 1",
-    "tile_boxes": f"WITH {OBS}, b AS (SELECT obs_id, round(greatest(CAST(17.95 AS DOUBLE), lat - d), 6) AS south, round(greatest(CAST(-67.25 AS DOUBLE), lon - d), 6) AS west, round(least(CAST(18.6 AS DOUBLE), lat + d), 6) AS north, round(least(CAST(-65.25 AS DOUBLE), lon + d), 6) AS east FROM (SELECT *, CAST(0.02 AS DOUBLE) + (k % 5) / CAST(50 AS DOUBLE) AS d FROM obs WHERE kind = 'purchase')), t AS (SELECT *, {_TILE_X.format('west')} AS x0, {_TILE_Y.format('north')} AS y0, {_TILE_X.format('east')} AS x1, {_TILE_Y.format('south')} AS y1 FROM b) SELECT obs_id, south, west, north, east, x0, y0, (x1 - x0 + 1) * (y1 - y0 + 1) AS tiles FROM t",
+    "tile_boxes": f"WITH {OBS}, b AS (SELECT obs_id, round(greatest(CAST(17.95 AS DOUBLE), lat - d), 6) AS south, round(greatest(CAST(-67.25 AS DOUBLE), lon - d), 6) AS west, round(least(CAST(18.6 AS DOUBLE), lat + d), 6) AS north, round(least(CAST(-65.25 AS DOUBLE), lon + d), 6) AS east FROM (SELECT *, CAST(0.02 AS DOUBLE) + (k % 5) / CAST(50 AS DOUBLE) AS d FROM obs)), t AS (SELECT *, {_TILE_X.format('west')} AS x0, {_TILE_Y.format('north')} AS y0, {_TILE_X.format('east')} AS x1, {_TILE_Y.format('south')} AS y1 FROM b) SELECT obs_id, south, west, north, east, x0, y0, (x1 - x0 + 1) * (y1 - y0 + 1) AS tiles FROM t",
 }
 
 

@@ -209,7 +209,7 @@ def legacy_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def infrastructure_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Step scores of the distance to the nearest place and of the depth of water."""
-    o = observations(spark, sf_dir).where("kind = 'purchase'").select("obs_id", "lat", "lon", "altitude_ft")
+    o = observations(spark, sf_dir).select("obs_id", "lat", "lon", "altitude_ft")
     best = J.nearest(o, airports(spark, sf_dir), "obs_id", ("lat", "lon"), ("a_lat", "a_lon"), [F.col("airport_id")])
     nm = geo.haversine(F.col("lat"), F.col("lon"), F.col("a_lat"), F.col("a_lon"), "nm")
     depth = F.abs(F.col("altitude_ft") / 4.0)
@@ -312,7 +312,7 @@ ORACLE = {
     "ocr_benchmark": f"WITH {OBS}, g AS (SELECT kind AS zone, CASE k % 3 WHEN 0 THEN 'baseline' WHEN 1 THEN 'sharp' ELSE 'upscaled' END AS variant, count(*) AS n, round(avg(confidence), 4) AS conf, round(avg(altitude_ft % 40), 4) AS words, avg(obs_id % 7) AS h, round(avg(value), 4) AS seconds FROM obs GROUP BY 1, 2) SELECT g.zone, g.variant, g.n, g.conf, g.words, round(g.h, 4) AS hits, g.seconds, CASE WHEN g.variant <> 'baseline' THEN round(g.h - b.h, 4) END AS delta FROM g LEFT JOIN g b ON b.zone = g.zone AND b.variant = 'baseline'",
     "best_assessments": f"WITH {OBS} SELECT aircraft, day, obs_id, CASE kind WHEN 'view' THEN 'TILE_SEAM' ELSE 'SHADOW' END AS artifact, least(CAST(0.74 AS DOUBLE), confidence) AS score, count(*) OVER (PARTITION BY aircraft, day) AS candidates FROM obs WHERE kind IN ('view', 'error') QUALIFY row_number() OVER (PARTITION BY aircraft, day ORDER BY confidence DESC, obs_id) = 1",
     "legacy_status": f"WITH {OBS}, n AS (SELECT corridor_id, kind, count(*) FILTER (confidence >= 0.9) AS c, count(*) FILTER (k < 5) AS f FROM obs GROUP BY 1, 2) SELECT corridor_id, CAST(sum(c) AS BIGINT) AS candidates, count(*) FILTER (f > 20) AS flagged_layers, CASE WHEN max(f) > 20 THEN 'needs_calibration' ELSE 'calibrated' END AS status FROM n GROUP BY 1",
-    "infrastructure_steps": f"WITH {OBS}, {AIR}, m AS (SELECT obs_id, altitude_ft, min({hav_sql('lat', 'lon', 'a_lat', 'a_lon', 3440.065)}) AS d FROM obs, air WHERE kind = 'purchase' GROUP BY 1, 2) SELECT obs_id, CAST(CASE WHEN d <= 2 THEN 1 WHEN d <= 5 THEN 0.75 WHEN d <= 10 THEN 0.5 WHEN d <= 20 THEN 0.25 ELSE 0.1 END AS DOUBLE) AS infrastructure, CAST(CASE WHEN altitude_ft < 200 THEN 0.9 WHEN altitude_ft < 800 THEN 0.6 WHEN altitude_ft < 4000 THEN 0.4 ELSE 0.2 END AS DOUBLE) AS hydro FROM m",
+    "infrastructure_steps": f"WITH {OBS}, {AIR}, m AS (SELECT obs_id, altitude_ft, min({hav_sql('lat', 'lon', 'a_lat', 'a_lon', 3440.065)}) AS d FROM obs, air GROUP BY 1, 2) SELECT obs_id, CAST(CASE WHEN d <= 2 THEN 1 WHEN d <= 5 THEN 0.75 WHEN d <= 10 THEN 0.5 WHEN d <= 20 THEN 0.25 ELSE 0.1 END AS DOUBLE) AS infrastructure, CAST(CASE WHEN altitude_ft < 200 THEN 0.9 WHEN altitude_ft < 800 THEN 0.6 WHEN altitude_ft < 4000 THEN 0.4 ELSE 0.2 END AS DOUBLE) AS hydro FROM m",
     "field_choices": f"""WITH {OBS}, f AS (SELECT obs_id, confidence < 0.5 AS rsure, CASE WHEN obs_id % 2 = 0 THEN 'right_panel' ELSE 'bottom_timeline' END AS rg, CASE WHEN k % 3 = 0 THEN '' ELSE aircraft END AS cw, CASE WHEN k % 4 = 0 THEN '' WHEN k % 5 = 0 THEN 'OTHER' ELSE lower(aircraft) END AS cr, CASE WHEN k % 2 = 0 THEN '' ELSE CAST(altitude_ft AS VARCHAR) END AS aw, CASE WHEN k % 5 = 0 THEN '' ELSE CAST(altitude_ft AS VARCHAR) END AS ar FROM obs),
  s AS (SELECT *, CASE WHEN cw <> '' AND cr <> '' AND lower(cw) <> lower(cr) THEN 'disagreement' WHEN cw = '' AND cr = '' THEN 'missing' WHEN cr = '' OR (cw <> '' AND NOT rsure) THEN 'whole_image' ELSE 'region:' || rg END AS cs, CASE WHEN aw = '' AND ar = '' THEN 'missing' WHEN ar = '' OR (aw <> '' AND NOT rsure AND rg <> 'right_panel') THEN 'whole_image' ELSE 'region:' || rg END AS s2 FROM f)
  SELECT obs_id, CASE WHEN cs = 'whole_image' THEN cw WHEN starts_with(cs, 'region') THEN cr ELSE '' END AS callsign, CASE WHEN s2 = 'whole_image' THEN aw WHEN starts_with(s2, 'region') THEN ar ELSE '' END AS altitude, CASE WHEN cs = 'disagreement' THEN 'callsign' ELSE '' END AS disagreements, concat_ws(';', CASE WHEN cs = 'missing' THEN 'callsign' END, CASE WHEN s2 = 'missing' THEN 'altitude' END) AS missing, array_to_string(list_sort(list_distinct(list_filter([cs, s2], lambda x: x NOT IN ('missing', 'disagreement')))), ';') AS sources FROM s""",

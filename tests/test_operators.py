@@ -201,3 +201,14 @@ def test_overlay_patches_win(spark):
     created = spark.createDataFrame([(3, "c")], "k int, v string")
     patches = spark.createDataFrame([(1, "z"), (2, None)], "k int, v string")
     assert values(writers.overlay(base, created, patches, "k").na.fill("-"), "k", "v", "w") == [(1, "z", "x"), (2, "b", "y"), (3, "c", "-")]
+
+
+def test_a_running_maximum_crosses_ranges(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice(["a", "a", "a", None]), i, rng.choice([None, 1.0, 5.0, float(i % 40)])) for i in range(300)]
+    want, most = [], {}
+    for g, i, v in sorted(rows, key=lambda r: r[1]):
+        most[g] = max((x for x in (most.get(g), v) if x is not None), default=None)
+        want.append((i, most[g]))
+    df = spark.createDataFrame(rows, "g string, i int, v double").repartition(6)
+    assert sorted((r["i"], r["m"]) for r in windows.running_max(df, "g", "v", [F.col("i")], "m").collect()) == want
