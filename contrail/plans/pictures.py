@@ -57,7 +57,9 @@ def picture_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = o.groupBy("aircraft").agg(F.count("*").alias("n")).select("aircraft", F.substring("aircraft", 2, 9).cast("long").alias("user"))
     pixels = sizes.withColumn("y", F.explode(F.sequence(F.lit(0), (h - 1).cast("int")))).withColumn("x", F.explode(F.sequence(F.lit(0), (w - 1).cast("int"))))
     pixels = pixels.withColumn("grey", (F.col("y") * 37 + F.col("x") * F.col("user") * 11) % 256)
-    hues = o.groupBy("aircraft").agg(F.round(P.circular_mean(F.col("k") * 7.0, F.col("confidence")), 4).alias("mean_hue"), F.round(F.percentile("altitude_ft", F.lit(0.9)), 6).alias("p90"))
+    # rounded as the SQL does, which scales the double first: 88.87755, stored just below, gives 88.8775
+    hue = F.round(P.circular_mean(F.col("k") * 7.0, F.col("confidence")) * 10_000.0) / 10_000.0
+    hues = o.groupBy("aircraft").agg(hue.alias("mean_hue"), F.round(F.percentile("altitude_ft", F.lit(0.9)), 6).alias("p90"))
     return P.average_hash(pixels, ["aircraft"]).join(hues, "aircraft")
 
 
