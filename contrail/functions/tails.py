@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,8 +45,9 @@ def folded(text: Column) -> Column:
     return F.translate(text, FOLD_FROM, FOLD_TO)
 
 
-def deletions(text: Column) -> Column:
-    """The text, and what is left of it without one or two of its characters: texts within two edits share one of them."""
+def deletions(text: Column, most: int = 2) -> Column:
+    """The text, and what is left of it without one or `most` (two at most) of its characters: texts within `most` edits share one
+    of them."""
     n = F.length(text)
 
     def without(t: Column, i: Column) -> Column:
@@ -51,7 +56,7 @@ def deletions(text: Column) -> Column:
     every = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
     one = F.transform(every, lambda i: without(text, i))
     two = F.flatten(F.transform(every, lambda i: F.transform(F.filter(every, lambda j: j < i), lambda j: without(without(text, i), j))))
-    return F.array_distinct(F.concat(F.array(text), one, two))
+    return F.array_distinct(F.concat(F.array(text), *[one, two][:most]))
 
 
 def weighted_distance(a: Column, b: Column) -> Column:
@@ -72,6 +77,34 @@ def weighted_distance(a: Column, b: Column) -> Column:
     return F.element_at(F.aggregate(x, start, row), -1)
 
 
+def with_distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (seen, tail) of a task with `distance`, the weighted distance of the two, all pairs of a batch at once."""
+    half = np.zeros((128, 128), bool)
+    for x, y in CONFUSED:
+        half[ord(x), ord(y)] = half[ord(y), ord(x)] = True
+    for batch in batches:
+        if not len(batch):
+            continue
+        a, b = (np.array(batch.column(c).to_pylist(), dtype=np.str_) for c in ("seen", "tail"))
+        x, y = (np.ascontiguousarray(t).view(np.uint32).reshape(len(t), -1) for t in (a, b))
+        ends, stops = np.char.str_len(a), np.char.str_len(b)
+        row = np.tile(np.arange(y.shape[1] + 1, dtype=float), (len(a), 1))
+        every = np.arange(len(a))
+        out = row[every, stops]
+        for i in range(x.shape[1]):
+            now = np.empty_like(row)
+            now[:, 0] = i + 1
+            c = x[:, i]
+            for j in range(y.shape[1]):
+                d = y[:, j]
+                like = half[np.minimum(c, 127), np.minimum(d, 127)] & (c < 128) & (d < 128)
+                cost = np.where(c == d, 0.0, np.where(like, 0.5, 1.0))
+                now[:, j + 1] = np.minimum(np.minimum(row[:, j + 1], now[:, j]) + 1.0, row[:, j] + cost)
+            row = now
+            out = np.where(ends == i + 1, row[every, stops], out)
+        yield pa.RecordBatch.from_arrays([batch.column("seen"), batch.column("tail"), pa.array(out)], names=["seen", "tail", "distance"])
+
+
 def variants(text: Column) -> Column:
     """The spellings of a text, its first PLACES doubtful characters read as themselves or as those they are taken for."""
     table = F.create_map(*[F.lit(x) for kv in READ_AS.items() for x in kv])
@@ -86,6 +119,25 @@ def variants(text: Column) -> Column:
     return F.aggregate(F.split(F.upper(text), ""), start, step, lambda s: F.array_distinct(s["texts"]))
 
 
+def form(text: Column) -> Column:
+    """Each character as one of all that READ_AS links it with, through others too: a text and its variants have one form."""
+    return F.translate(folded(text), "7J", "11")
+
+
+def reads_as(text: Column, other: Column) -> Column:
+    """Whether `other` is one of the variants of `text`, without writing these out."""
+    table = F.create_map(*[F.lit(x) for kv in READ_AS.items() for x in kv])
+
+    def step(state: Column, x: Column) -> Column:
+        more = F.when(state["used"] < PLACES, F.element_at(table, x["c"]))
+        same = (x["c"] == x["o"]) | F.coalesce(F.contains(more, x["o"]), F.lit(False))
+        return F.struct((state["ok"] & same).alias("ok"), (state["used"] + more.isNotNull().cast("int")).alias("used"))
+
+    both = F.zip_with(F.split(F.upper(text), ""), F.split(other, ""), lambda c, o: F.struct(c.alias("c"), o.alias("o")))
+    start = F.struct(F.lit(True).alias("ok"), F.lit(0).alias("used"))
+    return (F.length(text) == F.length(other)) & F.aggregate(both, start, step, lambda s: s["ok"])
+
+
 def plausible(seen: Column, tail: Column, distance: Column) -> Column:
     """Whether a distance may come of misreading: it counts a confused pair, or nothing but characters lost or added. A plain
     exchange, such as of 9 for 4, is another tail."""

@@ -157,3 +157,19 @@ def test_time_words_and_codes_of_a_log(spark):
     card = spark.createDataFrame([("SEE ALL FAJ SJU x",)], "t string")
     got = card.select(*[c.alias(n) for n, c in cards.mined(F.col("t")).items()]).first()
     assert (got["origin_iata"], got["destination_iata"], len(cards.IATA)) == ("FAJ", "SJU", 46)
+
+
+def test_distances_of_batches_equal_the_table(spark):
+    rng = random.Random(2)
+    pairs = [("".join(rng.choice("N0O1I5S8Bé😀") for _ in range(rng.randint(1, 8))), "".join(rng.choice("N0O1I5S8Bé😀") for _ in range(rng.randint(1, 7)))) for _ in range(300)]
+    got = spark.createDataFrame(pairs, "seen string, tail string").mapInArrow(tails.with_distances, "seen string, tail string, distance double")
+    assert all(r["distance"] == weighted(r["seen"], r["tail"]) for r in got.collect())
+
+
+def test_tails_that_read_as_a_text_are_its_variants(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("N01T7JBbg") for _ in range(5)) for _ in range(12)]
+    rows = spark.createDataFrame([(t,) for t in texts], "seen string").withColumn("v", tails.variants(F.col("seen")))
+    others = spark.createDataFrame([(t,) for t in {*texts, *(x for r in rows.collect() for x in r["v"][::7])}], "tail string")
+    met = rows.crossJoin(others).select(F.array_contains("v", F.col("tail")).alias("want"), tails.reads_as(F.col("seen"), F.col("tail")).alias("got"), (tails.form(F.upper("seen")) == tails.form(F.col("tail"))).alias("met")).collect()
+    assert all(r["want"] == r["got"] and (r["met"] or not r["want"]) for r in met) and sum(r["want"] for r in met) > 12
