@@ -78,7 +78,8 @@ def box_join(points: DataFrame, boxes: DataFrame, p: tuple[str, str], box: tuple
     two = boxes.withColumn("_y", F.explode(F.sequence(cell(south), cell(north)))).withColumn("_x", F.explode(F.sequence(cell(west), cell(east))))
     one = points.withColumn("_y", cell(p[0])).withColumn("_x", cell(p[1]))
     inside = F.col(p[0]).between(F.col(south), F.col(north)) & F.col(p[1]).between(F.col(west), F.col(east))
-    return one.join(two, ["_y", "_x"]).where(inside).drop("_y", "_x")
+    # few boxes are sent to the points, so that no task gets all points of a crowded cell
+    return one.join(small(two), ["_y", "_x"]).where(inside).drop("_y", "_x")
 
 
 def polygon_join(points: DataFrame, polygons: DataFrame, p: tuple[str, str], size: float) -> DataFrame:

@@ -64,8 +64,10 @@ def zone_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = _folder(spark)
     G.write_layer(_zones(spark, sf_dir), at, "zones", ["airport_id", "airport"], "file")
     zones = cut(G.read_layer(spark, at, "zones"))
-    met = J.polygon_join(observations(spark, sf_dir).select("obs_id", "lat", "lon"), zones, ("lat", "lon"), 0.1)
-    return met.groupBy("airport_id").agg(F.count("*").alias("n"), F.min("obs_id").alias("first_obs"))
+    # sightings at one position lie in the same zones
+    places = observations(spark, sf_dir).groupBy("lat", "lon").agg(F.count("*").alias("n"), F.min("obs_id").alias("first_obs"))
+    met = J.polygon_join(places, zones, ("lat", "lon"), 0.1)
+    return met.groupBy("airport_id").agg(F.sum("n").alias("n"), F.min("first_obs").alias("first_obs"))
 
 
 def _depths(spark: SparkSession, sf_dir: str) -> DataFrame:
