@@ -19,8 +19,11 @@ def spans(texts: DataFrame, places: DataFrame, id_: str, tokens: str, most: int
     each start the longest name counts; a name is taken if it begins where the one taken before it has ended, or later,
     which one pass over the text's own names decides.
     """
-    at = texts.select(id_, tokens, F.posexplode(tokens).alias("start", "_w"))
-    runs = F.array(*[F.when(F.col("start") + n <= F.size(tokens), F.array_join(F.slice(tokens, F.col("start") + 1, n), " ")) for n in range(1, most + 1)])
+    # each token with those after it, so that a row holds its runs and never the whole text
+    after = [F.slice(tokens, n + 1, F.size(tokens)).alias(f"_{n}") for n in range(most)]
+    at = texts.select(id_, F.posexplode(F.arrays_zip(*after)).alias("start", "_w"))
+    words_ = [F.col(f"_w._{n}") for n in range(most)]
+    runs = F.array(*[F.when(words_[n].isNotNull(), F.concat_ws(" ", *words_[: n + 1])) for n in range(most)])
     grams = at.select(id_, "start", F.posexplode(runs).alias("_n", "key")).where(F.length("key") >= least_chars)
     found = grams.join(places, "key").withColumn("end", F.col("start") + F.col("_n") + 1)
     longest = F.row_number().over(Window.partitionBy(id_, "start").orderBy(F.desc("end")))
