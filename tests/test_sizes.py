@@ -32,3 +32,15 @@ def test_no_row_of_a_run_of_words_holds_the_text(spark):
 def test_regions_of_an_order_pair_within_its_row(spark, sf):
     plan = matching.poi_pair_flights(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("lineitem") <= 1 and plan.count("l_suppkey#") > 0 and "collect_set" in plan
+
+
+def test_pairs_in_time_are_grouped_where_they_meet(spark, sf):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = places.pairing_ledger(spark, sf)._jdf.queryExecution().executedPlan().toString().split("Union")[1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.splitlines()
+    join = next(i for i, x in enumerate(lines) if "Join" in x and "_bucket" in x)
+    assert not any("Exchange" in x for x in lines[:join])
