@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from contrail.functions import cards
 from contrail.operators import gazetteer, joins
 from contrail.plans import grids, matching, places
 
@@ -44,3 +45,17 @@ def test_pairs_in_time_are_grouped_where_they_meet(spark, sf):
     lines = plan.splitlines()
     join = next(i for i, x in enumerate(lines) if "Join" in x and "_bucket" in x)
     assert not any("Exchange" in x for x in lines[:join])
+
+
+def test_texts_without_what_a_pattern_needs_are_not_searched_and_none_is_missed(spark, sf):
+    samples = [
+        "FLIGHT  radar REG no", "\u0130 glightRADAR reg. n12ab (AB1) x", "Lockheed Martin C130J30 super Herc. x", "lockheed c-130t hercules", "MCDONNELL DOUGLAS AV-8B+ HARRIER II", "boeing c17a globemaster iii BELL 407",
+        "grumman c2a greyhound", "sikorsky mh60t jayhawk", "ROBINSON R44 raven ii", "icon a5", "Barometric Alt about 1,200 FT GROUND speed: 90 MPH", "...PARTED 1:00 ago ARRIVED2:00 ago Departed 3 ago", "1,100 ft ground speed", "\u212aEJA netjets N1A (x)", "", " ",
+    ]
+    rows = spark.createDataFrame([(x,) for x in samples], "t string").withColumn("low", F.lower("t"))
+    for pattern in cards.NEEDS:
+        both = rows.select(cards.first(F.col("t"), pattern, group=0).alias("a"), cards.first(F.col("t"), pattern, group=0, low=F.col("low")).alias("b")).collect()
+        assert [r["a"] for r in both] == [r["b"] for r in both]
+    plan = spark.createDataFrame([("x", 1)], "t string, n int")
+    plan = cards.whole_images(plan, "t", "n")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(_t") <= 36 and plan.count("(?:Mon|") <= 5
