@@ -54,7 +54,7 @@ def picture_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Average hashes and mean hues of small pictures, one for each aircraft, of 6 to 19 rows."""
     o = observations(spark, sf_dir)
     h, w = 6 + F.col("user") % 14, 8 + F.col("user") % 9
-    sizes = o.groupBy("aircraft").agg(F.count("*").alias("n")).select("aircraft", F.substring("aircraft", 2, 9).cast("long").alias("user"))
+    sizes = o.groupBy("aircraft").agg(F.count("*").alias("n")).select("aircraft", F.substring("aircraft", 2, 20).cast("long").alias("user"))
     pixels = sizes.withColumn("y", F.explode(F.sequence(F.lit(0), (h - 1).cast("int")))).withColumn("x", F.explode(F.sequence(F.lit(0), (w - 1).cast("int"))))
     pixels = pixels.withColumn("grey", (F.col("y") * 37 + F.col("x") * F.col("user") * 11) % 256)
     # rounded as the SQL does, which scales the double first: 88.87755, stored just below, gives 88.8775
