@@ -59,6 +59,33 @@ def deletions(text: Column, most: int = 2) -> Column:
     return F.array_distinct(F.concat(F.array(text), *[one, two][:most]))
 
 
+def one_edit_keys(text: Column, other: bool = False) -> Column:
+    """What two texts, the second one's with `other`, have in common if and only if at most one edit parts them: with a place, what is left
+    without the character there; and what is left of one without a character, which is the whole other. Unequal ones share one key."""
+    n = F.length(text)
+    every = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    left = F.transform(every, lambda i: F.concat(i.cast("string"), F.lit(":"), F.substr(text, F.lit(1), i - 1), F.substr(text, i + 1)))
+    less = F.filter(deletions(text, 1), lambda t: F.length(t) < n)
+    shorter = F.transform(less, lambda t: F.concat(F.lit("+:" if other else "-:"), t))
+    return F.concat(left, shorter, F.array(F.concat(F.lit("-:" if other else "+:"), text)))
+
+
+def exchanged(text: Column) -> Column:
+    """The texts that have one of two confused characters for the other at one place of `text`."""
+    like: dict[str, str] = {}
+    for x, y in CONFUSED:
+        like[x], like[y] = like.get(x, "") + y, like.get(y, "") + x
+    table = F.create_map(*[F.lit(x) for kv in like.items() for x in kv])
+    n = F.length(text)
+    every = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+
+    def at(i: Column) -> Column:
+        more = F.element_at(table, F.substr(text, i, F.lit(1)))
+        return F.transform(F.when(more.isNotNull(), F.split(more, "")).otherwise(F.array().cast("array<string>")), lambda c: F.concat(F.substr(text, F.lit(1), i - 1), c, F.substr(text, i + 1)))
+
+    return F.array_distinct(F.flatten(F.transform(every, at)))
+
+
 def weighted_distance(a: Column, b: Column) -> Column:
     """Edit distance in which taking one of two confused characters for the other costs a half."""
     x, y = F.split(a, ""), F.split(b, "")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from contrail.functions import cards, tails
-from contrail.operators import gazetteer, graphs
+from contrail.operators import cuts, gazetteer, graphs
 from contrail.plans import places, stages
 from contrail.plans.mapping import table
 from contrail.sources import plugins, readers, writers
@@ -173,3 +173,32 @@ def test_tails_that_read_as_a_text_are_its_variants(spark):
     others = spark.createDataFrame([(t,) for t in {*texts, *(x for r in rows.collect() for x in r["v"][::7])}], "tail string")
     met = rows.crossJoin(others).select(F.array_contains("v", F.col("tail")).alias("want"), tails.reads_as(F.col("seen"), F.col("tail")).alias("got"), (tails.form(F.upper("seen")) == tails.form(F.col("tail"))).alias("met")).collect()
     assert all(r["want"] == r["got"] and (r["met"] or not r["want"]) for r in met) and sum(r["want"] for r in met) > 12
+
+
+@pytest.mark.parametrize("share", [0.02, 0.4, 1.0])
+def test_fuzzy_tails_of_sparse_and_dense_registries_are_whole_without_broadcasts(spark, sf, monkeypatch, share):
+    rng = random.Random(int(share * 100))
+    every = [f"N{i:03d}{c}" for i in range(0, 1000, 3) for c in "AB"]
+    reg = [t for t in every if rng.random() < share]
+    seen = sorted({"".join(rng.choice([c, c, c, c + "X", "", {"0": "O", "1": "I", "5": "S", "8": "B", "6": "G", "B": "8"}.get(c, c), rng.choice("0159OIS")]) for c in rng.choice(every)) for _ in range(150)})
+    plans = []
+    monkeypatch.setattr(places, "_registry", lambda *_: spark.createDataFrame([(t,) for t in reg], "tail string"))
+    monkeypatch.setattr(places, "_misread", lambda *_: spark.createDataFrame(list(enumerate(seen)), "c_custkey long, seen string"))
+    monkeypatch.setattr(places, "cut", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), cuts.cut(df))[1])
+    out = places.fuzzy_tails(spark, sf)
+    got = {r["seen"]: (r["distance"], r["tail"]) for r in out.collect()}
+    want = {}
+    for s in seen:
+        (d, tail), *after = sorted((weighted(s, t), t) for t in reg)[:2]
+        if d <= 2 and (not after or after[0][0] - d >= 1) and (d % 1 > 0 or abs(len(s) - len(tail)) >= int(d)):
+            want[s] = d, tail
+    assert got == want and want
+    assert not any("BroadcastHashJoin" in p for p in [*plans, out._jdf.queryExecution().executedPlan().toString()])
+
+
+def test_texts_one_edit_apart_share_one_key_and_others_none(spark):
+    texts = ["", "1", "11", "12", "112", "121", "1212", "2121", "3121"]
+    rows = spark.createDataFrame([(a, b) for a in texts for b in texts if a != b], "a string, b string")
+    got = rows.select("a", "b", F.size(F.array_intersect(tails.one_edit_keys(F.col("a")), tails.one_edit_keys(F.col("b"), True))).alias("n"), F.levenshtein("a", "b").alias("d")).collect()
+    assert all(r["n"] == int(r["d"] == 1) for r in got) and any(r["n"] for r in got)
+    assert set(spark.range(1).select(tails.exchanged(F.lit("N0B")).alias("x")).first()["x"]) == {"NOB", "NQB", "NDB", "N03", "N08"}
