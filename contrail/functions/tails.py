@@ -36,7 +36,7 @@ READ_AS = {
 }
 #: Classes of confused characters: each character and the one that stands for its class.
 FOLD_FROM, FOLD_TO = "OQDILl|Z3BASGbTgq", "00011112884566799"
-#: Places of a text that variants change, from its start.
+#: Places of a text, from its start, that `variants` changes, so that it does not write out too many.
 PLACES = 4
 
 
@@ -152,17 +152,11 @@ def form(text: Column) -> Column:
 
 
 def reads_as(text: Column, other: Column) -> Column:
-    """Whether `other` is one of the variants of `text`, without writing these out."""
+    """Whether `other` is `text` with any of its doubtful characters, however many, read as one of those they are taken for."""
     table = F.create_map(*[F.lit(x) for kv in READ_AS.items() for x in kv])
-
-    def step(state: Column, x: Column) -> Column:
-        more = F.when(state["used"] < PLACES, F.element_at(table, x["c"]))
-        same = (x["c"] == x["o"]) | F.coalesce(F.contains(more, x["o"]), F.lit(False))
-        return F.struct((state["ok"] & same).alias("ok"), (state["used"] + more.isNotNull().cast("int")).alias("used"))
-
     both = F.zip_with(F.split(F.upper(text), ""), F.split(other, ""), lambda c, o: F.struct(c.alias("c"), o.alias("o")))
-    start = F.struct(F.lit(True).alias("ok"), F.lit(0).alias("used"))
-    return (F.length(text) == F.length(other)) & F.aggregate(both, start, step, lambda s: s["ok"])
+    same = lambda x: (x["c"] == x["o"]) | F.coalesce(F.contains(F.element_at(table, x["c"]), x["o"]), F.lit(False))
+    return (F.length(text) == F.length(other)) & F.forall(both, same)
 
 
 def plausible(seen: Column, tail: Column, distance: Column) -> Column:

@@ -202,3 +202,15 @@ def test_texts_one_edit_apart_share_one_key_and_others_none(spark):
     got = rows.select("a", "b", F.size(F.array_intersect(tails.one_edit_keys(F.col("a")), tails.one_edit_keys(F.col("b"), True))).alias("n"), F.levenshtein("a", "b").alias("d")).collect()
     assert all(r["n"] == int(r["d"] == 1) for r in got) and any(r["n"] for r in got)
     assert set(spark.range(1).select(tails.exchanged(F.lit("N0B")).alias("x")).first()["x"]) == {"NOB", "NQB", "NDB", "N03", "N08"}
+
+
+def test_any_number_of_doubtful_characters_is_read_as_others(spark):
+    pairs = [("NISBOZX", "N15802X", True), ("000000", "QQQQQD", True), ("1111117B", "1111177B", False), ("1111117B", "IIIIITT8", True), ("n0i2s4b", "NQ1Z548", True), ("", "", True), ("NISBOZX", "N15802", False), ("0", "", False), ("A", "4", False)]
+    got = spark.createDataFrame(pairs, "a string, b string, want boolean").select("want", tails.reads_as(F.col("a"), F.col("b")).alias("got")).collect()
+    assert [r["got"] for r in got] == [r["want"] for r in got]
+
+
+def test_variant_tails_know_no_greatest_number_of_misread_places(spark, sf, monkeypatch):
+    monkeypatch.setattr(places, "_registry", lambda *_: spark.createDataFrame([("N15815S",), ("N15815T",), ("N00000A",)], "tail string"))
+    monkeypatch.setattr(places, "_misread", lambda *_: spark.createDataFrame([(1, "NISBIS5"), (2, "N1SB15S"), (3, "NOQOQOA"), (4, "N4"), (5, "NISBIST")], "c_custkey long, seen string"))
+    assert sorted((r["c_custkey"], r["n"], r["tail"]) for r in places.variant_tails(spark, sf).collect()) == [(1, 1, "N15815S"), (2, 1, "N15815S"), (3, 1, "N00000A"), (5, 1, "N15815T")]
