@@ -1,5 +1,7 @@
 """What must not grow: copies of rows, pairs that are rows, and texts carried along."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from contrail.functions import cards
@@ -59,3 +61,21 @@ def test_texts_without_what_a_pattern_needs_are_not_searched_and_none_is_missed(
     plan = spark.createDataFrame([("x", 1)], "t string, n int")
     plan = cards.whole_images(plan, "t", "n")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract(_t") <= 36 and plan.count("(?:Mon|") <= 5
+
+
+def test_a_picture_meets_a_track_once_so_that_no_pair_is_grouped(spark, sf):
+    lines = places.pairing_ledger(spark, sf)._jdf.queryExecution().executedPlan().toString().split("Union")[1].splitlines()
+    join = next(i for i, x in enumerate(lines) if "Join" in x and "_bucket" in x)
+    assert not any(w in x for x in lines[:join] for w in ("Aggregate", "Sort", "Exchange"))
+
+
+def test_spans_of_the_nearest_rows_hold_every_time_once(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice("abc"), rng.randrange(-300, 300)) for _ in range(90)] + [("a", 7)] * 3 + [(None, 5)]
+    times = [(i, rng.randrange(-340, 340)) for i in range(150)]
+    spans = joins.nearest_spans(spark.createDataFrame(rows, "k string, t long"), "k", "t", 20)
+    got = joins.span_join(spark.createDataFrame(times, "i long, v long"), spans, "v", "low", "high", 41, "left").collect()
+    want = {(i, k): min(abs(v - t) for x, t in rows if x == k) for i, v in times for k in ("a", "b", "c", None)}
+    want = {x: d for x, d in want.items() if d <= 20}
+    assert sorted((r["i"], str(r["k"]), abs(r["v"] - r["t"])) for r in got if r["t"] is not None) == sorted((i, str(k), d) for (i, k), d in want.items())
+    assert {r["i"] for r in got if r["t"] is None} == {i for i, _ in times} - {i for i, _ in want} != set()
