@@ -1,7 +1,9 @@
 """What must not grow: copies of rows, pairs that are rows, and texts carried along."""
 
+import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from contrail.functions import cards
@@ -79,3 +81,24 @@ def test_spans_of_the_nearest_rows_hold_every_time_once(spark):
     want = {x: d for x, d in want.items() if d <= 20}
     assert sorted((r["i"], str(r["k"]), abs(r["v"] - r["t"])) for r in got if r["t"] is not None) == sorted((i, str(k), d) for (i, k), d in want.items())
     assert {r["i"] for r in got if r["t"] is None} == {i for i, _ in times} - {i for i, _ in want} != set()
+
+
+@pytest.mark.parametrize("looked_at", [5, 200_000])
+def test_pairs_in_time_and_place_are_picked_within_groups(spark, sf, monkeypatch, looked_at):
+    assert "Join" not in matching.cross_domain_overlaps(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(joins, "LOOKED_AT", looked_at)
+    rng = random.Random(looked_at)
+    rows = [(i, rng.randrange(0, 90_000), rng.choice([18.0, 18.1, -70.0]) + rng.random() / 2, rng.choice([-180.2, 179.8, -66.0]) + rng.random() / 2, rng.choice("ab")) for i in range(240)]
+    rows = [(i, t, la, lo if lo >= -180 else lo + 360, k) for i, t, la, lo, k in rows]
+    odd = [(900, None, 18.0, -66.0, "a"), (901, 5, None, -66.0, "a"), (902, 5, 18.0, None, "a"), (903, 40, 18.1, -66.0, None), (904, 40, 18.1, -66.0, None)]
+    frame = spark.createDataFrame([*rows, *odd], "i long, s long, la double, lo double, k string").withColumn("t", F.timestamp_seconds("s")).drop("s")
+    one, two = frame.where("i % 2 = 0"), frame.where("i % 2 = 1").toDF(*[f"{c}2" for c in frame.columns])
+    got = joins.band_radius_join(one, two, "t", "t2", 1800, 40.0, ("la", "lo"), ("la2", "lo2"), ("k", "k2")).collect()
+
+    def km(a, b):
+        x = math.sin(math.radians(b[2] - a[2]) / 2) ** 2 + math.cos(math.radians(a[2])) * math.cos(math.radians(b[2])) * math.sin(math.radians(b[3] - a[3]) / 2) ** 2
+        return 2 * 6371.0088 * math.asin(math.sqrt(x))
+
+    rows += odd[3:]
+    want = {(a[0], b[0]): (abs(a[1] - b[1]) * 1_000_000, km(a, b), a[4] == b[4] is not None) for a in rows for b in rows if a[0] % 2 == 0 and b[0] % 2 == 1 and abs(a[1] - b[1]) <= 1800 and km(a, b) <= 40}
+    assert {(r["i"], r["i2"]): (r["apart_us"], pytest.approx(r["distance_km"], abs=1e-9), r["alike"]) for r in got} == want and len(got) == len(want) > 20
